@@ -23,8 +23,8 @@ from .shared import id_remainder, letters_in
 #: The bound of the sample: documents of a language, and the longest that is taken, in bytes.
 SAMPLE_DOCS, SAMPLE_BYTES = 400, 16_384
 DICTIONARY_BYTES = 98_304
-PIECE_BYTES = 4096
-LEVEL = 3
+PIECE_BYTES = 1024
+LEVEL = 6
 #: Sharpness of the score: how fast a language loses weight with its relative size.
 SHARPNESS = 60.0
 #: Relative margin under which a prediction counts as narrow.

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, packing, url_rules
+from . import exact_dedup, language_id, line_dedup, packing, quality, url_rules
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,9 +23,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": language_id.query,
         "op2_packing": packing.query,
         "op3_exact_dedup": op3,
+        "op6_line_dedup": line_dedup.query,
+        "op8_quality": quality.query,
         "op10_url_filters": op10,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL, "op10_url_filters": url_rules.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op6_line_dedup": line_dedup.SQL, "op10_url_filters": url_rules.SQL}
