@@ -72,7 +72,9 @@ def fit_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     for row in sample.collect():
         by_lang.setdefault(row.lang, []).append((row.rank, bytes(row.text)))
     found = {lang: dictionary([t for _, t in sorted(rows)]) for lang, rows in by_lang.items()}
-    return {lang: found[lang] for lang in sorted(found) if found[lang]}
+    # one row a language; the more frequent language wins a tie
+    often = {r[0]: r[1] for r in docs.groupBy(F.col(lang_col)).count().collect()}
+    return {lang: found[lang] for lang in sorted(found, key=lambda x: (-often.get(x, 0), x)) if found[lang]}
 
 
 @lru_cache(maxsize=8)
@@ -106,8 +108,8 @@ def predict(text: bytes | None, langs: list[str], coders: list) -> tuple[str, fl
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = MIN_MARGIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, lang_best, score, margin, lang`` over whole texts.
 
-    ``lang_best`` is the language of the smallest encoding (of equal ones, the first
-    by name), or ``und`` where the text is null, empty or has no letter; ``lang`` is
+    ``lang_best`` is the language of the smallest encoding (of equal ones, the most
+    frequent), or ``und`` where the text is null, empty or has no letter; ``lang`` is
     the same but ``und`` where the margin is under ``min_margin``. Without any
     dictionary all is ``und``. Only the id and the text are read.
     """

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language_id, line_dedup, packing, quality, url_rules
+from . import decontaminate, exact_dedup, language_id, line_dedup, packing, quality, url_rules
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_packing": packing.query,
         "op3_exact_dedup": op3,
         "op6_line_dedup": line_dedup.query,
+        "op7_decontamination": decontaminate.query,
         "op8_quality": quality.query,
         "op10_url_filters": op10,
     }
