@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, packing, quality, url_rules
+from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, packing, quality, url_rules
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_line_dedup": line_dedup.query,
         "op7_decontamination": decontaminate.query,
         "op8_quality": quality.query,
+        "op9_lm_scores": lm_score.query,
         "op10_url_filters": op10,
     }
 
