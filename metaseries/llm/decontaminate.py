@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import mix, stash, windows
+from .shared import mix, stash, windows, without
 
 WIDTH = 6
 #: Literal words that a window needs to be hashed as a template.
@@ -181,8 +181,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: f
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents in which a benchmark item is found; all columns stay."""
-    found = leaks(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, F.col(id_col) == F.col("_leak"), "left_anti")
+    return without(docs, leaks(docs, benchmark, id_col=id_col, text_col=text_col).select("doc_id"), id_col)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

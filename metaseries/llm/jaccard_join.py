@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .components import components
-from .shared import mix, row_count_at_most, stash, windows, word_hashes, words
+from .shared import mix, row_count_at_most, stash, windows, without, word_hashes, words
 
 SHINGLE, PERCENT = 4, 85
 #: 64-bit words of the fixed sketch that turns pairs down.
@@ -205,11 +205,15 @@ def _turned_down(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component: that of the smallest id.
 
-    Rows that repeat the kept id stay repeated only if their texts differ.
+    Of rows that repeat the kept id with the same text one stays.
     """
-    found = near_duplicates(docs, width, percent, id_col, text_col).where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(found, F.col(id_col) == F.col("_kept"), "left_semi")
-    return kept.dropDuplicates([id_col, text_col])
+    found = near_duplicates(docs, width, percent, id_col, text_col)
+    kept = without(docs, found.where(F.col("doc_id") != F.col("component_id")).select("doc_id"), id_col)
+    repeated = stash(docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(id_col).alias("_again")))
+    if repeated.isEmpty():
+        return kept
+    again = F.col(id_col).eqNullSafe(F.col("_again"))
+    return kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").dropDuplicates([id_col, text_col]))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

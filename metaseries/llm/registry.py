@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, packing, quality, url_rules
+from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, packing, quality, token_files, url_rules
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language_id": language_id.query,
         "op2_packing": packing.query,
         "op3_exact_dedup": op3,
+        "op4_token_counts": token_files.query,
         "op5_jaccard_join": jaccard_join.query,
         "op6_line_dedup": line_dedup.query,
         "op7_decontamination": decontaminate.query,

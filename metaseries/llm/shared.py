@@ -101,6 +101,18 @@ def row_count_at_most(df: DataFrame, bound: int) -> bool:
     return df.limit(bound + 1).count() <= bound
 
 
+def without(docs: DataFrame, ids: DataFrame, id_col: str, bound: int = 1_000_000) -> DataFrame:
+    """``docs`` without the rows whose id is in the one column of ``ids``.
+
+    Up to ``bound`` ids are broadcast, so the texts stay where they lie; more are
+    shuffled. Rows with a null id stay.
+    """
+    gone = stash(ids.toDF("_gone").where("_gone is not null").distinct())
+    if row_count_at_most(gone, bound):
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+
+
 def letters_in(text: bytes) -> bool:
     """Whether the text holds any letter of any script."""
     return bool(re.search(rb"[A-Za-z]", text)) or (not text.isascii() and any(map(str.isalpha, text.decode("utf-8", "replace"))))

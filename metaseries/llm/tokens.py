@@ -30,9 +30,12 @@ def _visible() -> dict[int, str]:
 
 
 class TokenCache(dict):
-    """Ids of words, as little-endian unsigned 32-bit bytes, up to a fixed number of words."""
+    """Ids of words after a space, as little-endian unsigned 32-bit bytes.
 
-    limit = 250_000
+    A key is the word without the space; up to ``limit`` words are remembered.
+    """
+
+    limit = 500_000
     _held: dict[str, TokenCache] = {}
 
     def __init__(self, path: str):
@@ -51,15 +54,18 @@ class TokenCache(dict):
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
+    def merged(self, stretch: str) -> bytes:
+        """Ids of a stretch that is cut no further before the merges."""
+        shown = stretch if stretch.isascii() and " " not in stretch else stretch.encode().decode("latin-1").translate(self.visible)
+        return np.asarray([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
+
     def __missing__(self, word: str) -> bytes:
-        stem = word[1:] if word[:1] == " " else word
-        if stem.isalpha():  # letters only: one stretch for the merges
-            shown = word.encode().decode("latin-1").translate(self.visible)
-            ids = np.asarray([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
-        elif len(stem) > 1 and stem[-1] in PUNCTUATION and stem[:-1].isalpha():
-            return self[word[:-1]] + self[word[-1]]
+        if word.isalpha():  # letters only
+            ids = self.merged(" " + word)
+        elif len(word) > 1 and word[-1] in PUNCTUATION and word[:-1].isalpha():
+            ids = self[word[:-1]] + self.merged(word[-1])
         else:
-            ids = self.whole(word)
+            ids = self.whole(" " + word)
         if len(word) <= 40:
             if len(self) >= self.limit:
                 self.clear()
@@ -70,5 +76,5 @@ class TokenCache(dict):
         if "  " in text or SPECIAL in text:
             return self.whole(text)
         first, *rest = text.split(" ")
-        head = self[first] if first else b""
-        return head + b"".join([self[" " + w] for w in rest])
+        head = self.whole(first) if first else b""
+        return head + b"".join(map(self.__getitem__, rest))
