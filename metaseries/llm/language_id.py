@@ -58,12 +58,19 @@ def fit_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     The sample is fixed by a hash of the id, so it is the same at each run. The
     ranking is cut to the sample in each task before anything is shuffled.
     """
+    # one row a language; the more frequent language wins a tie
+    often = {r[0]: r[1] for r in docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col)).count().collect()}
+    if not often:
+        return {}
+    order = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30))
+    # about four times the sample passes this cut; the ranking then makes its bound exact
+    shares = F.create_map(*[F.lit(x) for lang, n in often.items() for x in (lang, int(min(1.0, 4 * per_language / n) * (1 << 30)))])
     pick = Window.partitionBy("lang").orderBy("order", "id")
     sample = (
-        docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"))
-        .where("lang is not null and text is not null and length(text) > 0")
+        docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"), order.alias("order"))
+        .where(F.col("order") <= shares[F.col("lang")])
+        .where("text is not null and length(text) > 0")
         .where(F.length("text") <= longest)
-        .withColumn("order", F.xxhash64("id"))
         .withColumn("rank", F.row_number().over(pick))
         .where(F.col("rank") <= per_language)
         .select("lang", "rank", "text")
@@ -72,9 +79,7 @@ def fit_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     for row in sample.collect():
         by_lang.setdefault(row.lang, []).append((row.rank, bytes(row.text)))
     found = {lang: dictionary([t for _, t in sorted(rows)]) for lang, rows in by_lang.items()}
-    # one row a language; the more frequent language wins a tie
-    often = {r[0]: r[1] for r in docs.groupBy(F.col(lang_col)).count().collect()}
-    return {lang: found[lang] for lang in sorted(found, key=lambda x: (-often.get(x, 0), x)) if found[lang]}
+    return {lang: found[lang] for lang in sorted(found, key=lambda x: (-often[x], x)) if found[lang]}
 
 
 @lru_cache(maxsize=8)
