@@ -6,11 +6,17 @@ number of words in which two sketches differ - their Hamming distance - is at mo
 the size of the sets' symmetric difference. Jaccard similarity of at least t percent
 bounds that difference by (100 - t) / (100 + t) of both sizes together. By the
 pigeonhole principle two such sets agree in one of any (bound + 1) words of the
-sketch; so each set is filed under its first (bound + 1) words that are not empty,
-and only sets that meet in a word are compared. A second sketch of one bit per
+sketch; so each set is filed under (bound + 1) words, and only sets that meet in a word are
+compared. A second sketch of one bit per
 shingle's parity, of fixed width, turns down most of the others; what is left is
 verified on the shingle sets themselves.
 
+Passages that many documents share make words that many sets have. Such hot words are
+passed over: a set is filed under its first (bound + 1) words that are neither empty
+nor hot. As a word is hot for all sets that have it, the same argument holds. Which
+words are hot is told from a sample of the documents; this choice bears on the cost,
+not on the result. A set with too few other words is filed under all it has.
+
 A band is a factor of two in size. A set that may link with larger ones of the next
 band is filed there too, so no pair is lost between bands.
 
@@ -38,6 +44,8 @@ SHINGLE, PERCENT = 4, 85
 FIXED_WORDS = 16
 #: Ids up to this number may be broadcast to pick the texts to verify.
 BROADCAST_IDS = 1_000_000
+#: Hot words that are passed over, at most.
+HOT_KEYS = 500_000
 
 
 def shingle_set(text: bytes | None, width: int = SHINGLE) -> np.ndarray:
@@ -51,24 +59,21 @@ def most_apart(n: int, percent: int = PERCENT) -> int:
 
 
 def sketch_words(band: int, percent: int) -> int:
-    """Words of the sketches of a band, over the bound of its largest pairs."""
-    return max(16, 1 + (2 * (100 - percent) * (2 << band) * 9) // ((100 + percent) * 8))
+    """Words of the sketches of a band: some more than the bound of its largest pairs."""
+    return max(16, 1 + (2 * (100 - percent) * (2 << band) * 5) // ((100 + percent) * 4))
 
 
-def filing_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The keys that a set is filed under.
+def sketch_keys(shingles: np.ndarray, percent: int = PERCENT) -> tuple[list[np.ndarray], list[int]]:
+    """The keys of a set's sketch in each of its bands, and how many each part has.
 
-    Of a band's sketch these are the first (bound + 1) words with shingles. A set with
-    fewer such words is filed under all, the empty ones too; so two sets with too few
-    still meet, and one with too few meets one with enough in the latter's words.
+    Of each band first those of words with shingles, in order, then those of empty words.
     """
     n = len(shingles)
     if not n:
-        return np.empty(0, dtype=np.uint64)
-    need = most_apart(n, percent) + 1
+        return [], []
     own = n.bit_length() - 1
     bands = [own, own + 1] if n * 100 // percent >= 2 << own else [own]
-    keys = []
+    keys, parts = [], []
     for band in bands:
         m = sketch_words(band, percent)
         at = (mix(shingles ^ np.uint64(0xA5A5A5A5)) % np.uint64(m)).astype(np.int64)
@@ -76,13 +81,28 @@ def filing_keys(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         at = at[order]
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
         word, value = at[first], np.bitwise_xor.reduceat(shingles[order], first)
-        if len(word) >= need:
-            word, value = word[:need], value[:need]
-        else:
-            empty = np.setdiff1d(np.arange(m), word)
-            word, value = np.concatenate([word, empty]), np.concatenate([value, np.zeros(len(empty), np.uint64)])
-        keys.append(mix(value ^ mix(word.astype(np.uint64) + np.uint64(band << 32))))
-    return np.concatenate(keys)
+        empty = np.ones(m, dtype=bool)
+        empty[word] = False
+        empty = np.flatnonzero(empty)
+        place = mix(np.concatenate([word, empty]).astype(np.uint64) + np.uint64(band << 32))
+        keys.append(mix(np.concatenate([value, np.zeros(len(empty), np.uint64)]) ^ place))
+        parts += [len(word), len(empty)]
+    return keys, parts
+
+
+def filing_keys(keys: np.ndarray, parts: list[int], n: int, hot: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The keys that a set of ``n`` is filed under, given its sketches' keys and whether each is hot.
+
+    Of each band the first (bound + 1) that are neither empty nor hot. A set with fewer
+    is filed under all its words, the hot and empty ones too: two such sets meet in any
+    word that agrees, and one of them meets a set with enough in the latter's words.
+    """
+    need, at, out = most_apart(n, percent) + 1, 0, []
+    for full, empty in zip(parts[::2], parts[1::2], strict=True):
+        cold = np.flatnonzero(~hot[at : at + full])[:need]
+        out.append(keys[at : at + full][cold] if len(cold) == need else keys[at : at + full + empty])
+        at += full + empty
+    return np.concatenate(out)
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
@@ -92,33 +112,72 @@ def parity_bits(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, n, mark1, mark2, keys, bits`` of each whole text; equal sets have equal marks."""
+    """``doc_id, n, mark1, mark2, keys, parts, bits`` of each whole text; equal sets have equal marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, marks1, marks2, keys, bits = [], [], [], [], []
+            n, marks1, marks2, keys, parts, bits = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, width)
                 n.append(len(s))
                 marks1.append(int(np.bitwise_xor.reduce(s).view(np.int64)) if len(s) else 0)
                 marks2.append(int(mix(s).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-                keys.append(filing_keys(s, percent).view(np.int64))
+                own, sizes = sketch_keys(s, percent)
+                keys.append(np.concatenate(own).view(np.int64) if own else np.empty(0, np.int64))
+                parts.append(sizes)
                 bits.append(parity_bits(s))
             ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
             filed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)))
             fixed = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * FIXED_WORDS), pa.array(np.concatenate(bits) if bits else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(marks1, pa.int64()), pa.array(marks2, pa.int64()), filed, fixed], names=["doc_id", "n", "mark1", "mark2", "keys", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(marks1, pa.int64()), pa.array(marks2, pa.int64()), filed, pa.array(parts, pa.list_(pa.int32())), fixed], names=["doc_id", "n", "mark1", "mark2", "keys", "parts", "bits"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return texts.mapInArrow(run, f"doc_id {kind}, n long, mark1 long, mark2 long, keys array<long>, bits array<long>")
+    return texts.mapInArrow(run, f"doc_id {kind}, n long, mark1 long, mark2 long, keys array<long>, parts array<int>, bits array<long>")
+
+
+def hot_keys(table: DataFrame, share: int = 8, often: int = 8, most: int = HOT_KEYS) -> np.ndarray:
+    """Keys that ``often`` documents or more of a sample (one in ``share``) have: at most
+    ``most`` of them, the more frequent first."""
+    sample = table.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(F.explode("keys").alias("key"))
+    counts = stash(sample.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= often))
+    level = F.floor(F.log2(F.col("c").cast("double")) * 4).cast("int")
+    rows = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).collect()  # some hundred rows
+    held, least = 0, None
+    for r in sorted(rows, key=lambda r: -r.level):
+        held += r.n
+        if held > most:
+            break
+        least = r.least
+    if least is None:
+        return np.empty(0, np.int64)
+    return np.sort(counts.where(F.col("c") >= least).select("key").toPandas()["key"].to_numpy())
+
+
+def filed_under(table: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
+    """``doc_id, key`` of the keys that each set is filed under."""
+    held = table.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = held.value
+        for batch in batches:
+            keys = np.asarray(batch.column(2).flatten())
+            ends = np.cumsum([0, *batch.column(2).value_lengths().to_pylist()])
+            is_hot = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), dtype=bool)
+            found = [
+                filing_keys(keys[ends[i] : ends[i + 1]], parts, n, is_hot[ends[i] : ends[i + 1]], percent)
+                for i, (n, parts) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True))
+            ]
+            row = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(np.concatenate(found) if found else np.empty(0, np.int64))], names=["doc_id", "key"])
+
+    kind = table.schema["doc_id"].dataType.simpleString()
+    return table.select("doc_id", "n", "keys", "parts").mapInArrow(run, f"doc_id {kind}, key long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Those of ``pairs (a, b)`` whose shingle sets are similar enough, by the sets themselves."""
-    ids = stash(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
-    few = F.broadcast(ids) if row_count_at_most(ids, BROADCAST_IDS) else ids
-    texts = docs.join(few, F.col(id_col) == F.col("_id"), "left_semi")
+    texts = _only(docs, pairs, id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,14 +220,17 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     table = stash(sketches(docs, width, percent, id_col, text_col))
     same = ["n", "mark1", "mark2"]
     classes = stash(table.where("n > 0").groupBy(same).agg(F.min("doc_id").alias("rep")))
-    firsts = classes.select(F.col("rep").alias("doc_id")).distinct()
-    filed = table.where("n > 0").join(firsts, "doc_id", "left_semi").select("doc_id", F.explode("keys").alias("key"))
+    # copies of a set are not filed; these are few or many, and only their ids are joined
+    copies = table.where("n > 0").select("doc_id", *same).join(classes, same).where(F.col("doc_id") != F.col("rep")).select("doc_id")
+    copies = copies.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
+    filed = filed_under(without(table.where("n > 0"), copies, "doc_id"), hot_keys(table), percent)
     by_key = Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # under each key, every member but the first, with the first
     met = stash(filed.withColumn("first", F.first("doc_id").over(by_key)).where("doc_id <> first"))
 
     about = table.select("doc_id", "n", "bits")
-    links = stash(verified(_turned_down(met.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct(), about, percent), docs, width, percent, id_col, text_col))
+    stars = met.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+    links = stash(verified(stash(_turned_down(stars, about, percent)), docs, width, percent, id_col, text_col))
     joined = components(links)
 
     # what meets under a key but is in another component than the key's first member
@@ -186,9 +248,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     else:
         keys = apart.select("key").distinct()
         members = held.select("key", "doc_id", "component").unionByName(held.select("key", F.col("first").alias("doc_id"), F.col("of_first").alias("component"))).distinct().join(keys, "key", "left_semi")
-        side = lambda d, k: d.select("key", F.col("doc_id").alias(f"i{k}"), F.col("component").alias(f"c{k}")).join(about.select(F.col("doc_id").alias(f"i{k}"), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}")), f"i{k}")
-        pairs = side(apart, 1).join(side(members, 2), "key").where((F.col("c1") != F.col("c2")) & _near(percent))
-        pairs = pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct()
+        side = lambda d, k: d.select("key", F.col("doc_id").alias(f"i{k}"), F.col("component").alias(f"c{k}"))
+        pairs = side(apart, 1).join(side(members, 2), "key").where("c1 <> c2")
+        pairs = _turned_down(pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct(), about, percent)
         done = met.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
         more = stash(verified(stash(pairs.join(done, ["a", "b"], "left_anti")), docs, width, percent, id_col, text_col))
         every = components(links.unionByName(more)) if not more.isEmpty() else joined
@@ -197,11 +259,20 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
 
 
 def _turned_down(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` without those that sizes or fixed sketches rule out."""
+    """``pairs (a, b)`` without those that sizes or fixed sketches rule out."""
+    pairs = stash(pairs)
+    about = _only(about, pairs, "doc_id")
     side = lambda k, c: about.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
     return pairs.join(side(1, "a"), "a").join(side(2, "b"), "b").where(_near(percent)).select("a", "b").distinct()
 
 
+def _only(rows: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
+    """The rows whose id is an end of a pair; up to BROADCAST_IDS ids are broadcast, more are shuffled."""
+    ids = stash(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
+    few = F.broadcast(ids) if row_count_at_most(ids, BROADCAST_IDS) else ids
+    return rows.join(few, F.col(id_col) == F.col("_id"), "left_semi")
+
+
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component: that of the smallest id.
 
