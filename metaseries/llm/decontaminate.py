@@ -75,38 +75,42 @@ class WordKinds(dict):
 _kinds = WordKinds()
 
 
-def template(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """Of each word: hash of its canonical form, verbatim hash, slot kind (0: none), value."""
-    _kinds.fresh()
+def word_codes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of a text's words, and where its lines begin among them."""
     codes, starts = [], []
     for line in text.split(b"\n"):
         starts.append(len(codes))
         codes += map(_kinds.__getitem__, line.split())
+    return np.array(codes, dtype=np.int64), np.array(starts, dtype=np.int64)
+
+
+def template(codes: np.ndarray, starts: np.ndarray, hashes: np.ndarray, kinds: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word: hash of its canonical form, verbatim hash, slot kind (0: none)."""
     n = len(codes)
-    verbatim = np.array([_kinds.hash[c] for c in codes], dtype=np.uint64)
-    kind = np.array([_kinds.kind[c] for c in codes], dtype=np.int8)
+    verbatim, kind = hashes[codes], kinds[codes]
     first = np.zeros(n + 1, dtype=bool)
-    first[1:] = [_kinds.ends[c] for c in codes]
+    first[1:] = ends[codes]
     first[starts] = True
-    number = kind == NUMBER
-    after_number = np.concatenate([[False], number[:-1]]) if n else number
-    slot = np.where(number, NUMBER, np.where((kind == NAME) & ~first[:n], NAME, np.where((kind == UNIT) & after_number, UNIT, 0)))
-    shown = np.where(slot > 0, _marks[np.maximum(slot, 1) - 1], verbatim)
-    return shown, verbatim, slot, [_kinds.value[c] for c in codes]
+    slot = np.where((kind == NUMBER) | ((kind == NAME) & ~first[:n]), kind, 0)
+    slot[1:] = np.where((kind[1:] == UNIT) & (kind[:-1] == NUMBER), UNIT, slot[1:])
+    return np.where(slot > 0, _marks[np.maximum(slot, 1) - 1], verbatim), verbatim, slot
 
 
 def template_windows(shown: np.ndarray, verbatim: np.ndarray, slot: np.ndarray, width: int, literals: int = LITERALS) -> np.ndarray:
     """The hash of each window of ``width`` words; none where there are fewer words."""
     if len(shown) < width:
         return np.empty(0, dtype=np.uint64)
+    out = windows(shown, width)
     count = np.concatenate([[0], np.cumsum(slot == 0)])
-    enough = count[width:] - count[:-width] >= min(literals, width)
-    return np.where(enough, windows(shown, width), ~windows(verbatim, width))
+    few = count[width:] - count[:-width] < min(literals, width)
+    if few.any():
+        out[few] = ~windows(verbatim, width)[few]
+    return out
 
 
-def _slots(slot: np.ndarray, values: list[bytes], at: int, width: int) -> list[str]:
+def _slots(slot: np.ndarray, codes: np.ndarray, at: int, width: int) -> list[str]:
     """The slot values in a window, each led by its place."""
-    return [f"{j}:" + values[at + j].decode("utf-8", "replace") for j in range(width) if slot[at + j]]
+    return [f"{j}:" + _kinds.value[codes[at + j]].decode("utf-8", "replace") for j in range(width) if slot[at + j]]
 
 
 def _window_rows(texts: DataFrame, id_col: str, text_col: str, width_of, keep) -> DataFrame:
@@ -115,8 +119,11 @@ def _window_rows(texts: DataFrame, id_col: str, text_col: str, width_of, keep) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, hashes, pos, width, total, slots = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                shown, verbatim, slot, values = template(text or b"")
+            _kinds.fresh()
+            coded = [word_codes(text or b"") for text in batch.column(1).to_pylist()]
+            tables = np.array(_kinds.hash, dtype=np.uint64), np.array(_kinds.kind, dtype=np.int8), np.array(_kinds.ends, dtype=bool)
+            for i, (codes, starts) in enumerate(coded):
+                shown, verbatim, slot = template(codes, starts, *tables)
                 for w in width_of(len(shown)):
                     found = template_windows(shown, verbatim, slot, w)
                     for at in keep(found).tolist():
@@ -125,7 +132,7 @@ def _window_rows(texts: DataFrame, id_col: str, text_col: str, width_of, keep) -
                         pos.append(at)
                         width.append(w)
                         total.append(len(found))
-                        slots.append(_slots(slot, values, at, w))
+                        slots.append(_slots(slot, codes, at, w))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row, pa.int64())), pa.array(hashes, pa.int64()), *(pa.array(x, pa.int32()) for x in (pos, width, total)), pa.array(slots, pa.list_(pa.string()))],
                 names=["id", "hash", "pos", "width", "total", "slots"],

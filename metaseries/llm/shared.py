@@ -83,17 +83,20 @@ def word_hashes(found: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_hashes.__getitem__, found), dtype=np.uint64, count=len(found))
 
 
+#: Odd factors of the places in a window.
+_factors = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+
+
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
-    """The hash of each run of ``width`` words; of the whole where it is shorter."""
+    """The hash of each run of ``width`` words (64 at most); of the whole where it is shorter."""
     n = len(hashes)
     k = min(width, n)
     if not n:
         return hashes
-    factor = np.uint64(0x9E3779B97F4A7C15)
-    out = mix(hashes[: n - k + 1] + np.uint64(k))
+    out = hashes[: n - k + 1] * _factors[0]
     for j in range(1, k):
-        out = mix(out * factor + hashes[j : n - k + 1 + j])
-    return out
+        out += hashes[j : n - k + 1 + j] * _factors[j]
+    return mix(out + np.uint64(k))
 
 
 def row_count_at_most(df: DataFrame, bound: int) -> bool:
