@@ -75,6 +75,17 @@ class WordKinds(dict):
 _kinds = WordKinds()
 
 
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, kind and sentence end of all words seen, by number."""
+    return np.array(_kinds.hash, dtype=np.uint64), np.array(_kinds.kind, dtype=np.int8), np.array(_kinds.ends, dtype=bool)
+
+
+def coded_texts(texts: list[bytes | None]) -> tuple[list[tuple[np.ndarray, np.ndarray]], tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Each text's ``word_codes``, and the tables that the numbers point into."""
+    _kinds.fresh()
+    return [word_codes(text or b"") for text in texts], _tables()
+
+
 def word_codes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of a text's words, and where its lines begin among them."""
     codes, starts = [], []
@@ -119,9 +130,7 @@ def _window_rows(texts: DataFrame, id_col: str, text_col: str, width_of, keep) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, hashes, pos, width, total, slots = [], [], [], [], [], []
-            _kinds.fresh()
-            coded = [word_codes(text or b"") for text in batch.column(1).to_pylist()]
-            tables = np.array(_kinds.hash, dtype=np.uint64), np.array(_kinds.kind, dtype=np.int8), np.array(_kinds.ends, dtype=bool)
+            coded, tables = coded_texts(batch.column(1).to_pylist())
             for i, (codes, starts) in enumerate(coded):
                 shown, verbatim, slot = template(codes, starts, *tables)
                 for w in width_of(len(shown)):
