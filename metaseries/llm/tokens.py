@@ -7,14 +7,20 @@ neighbours (two spaces together, special tokens) are encoded in one piece.
 
 from __future__ import annotations
 
+import string
+import sys
+from array import array
+
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+if array("I").itemsize != 4 or sys.byteorder != "little":
+    raise RuntimeError("ids are kept as little-endian 32-bit values")
+
 #: The id that ends each document.
 END_ID = 0
 SPECIAL = "<|endoftext|>"
-PUNCTUATION = frozenset(".,;:!?")
 
 
 def default_path() -> str:
@@ -29,13 +35,29 @@ def _visible() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+class _Held(dict):
+    """Results of a function, up to a fixed number of them."""
+
+    limit = 100_000
+
+    def __init__(self, of):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, text: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        self[text] = found = self.of(text)
+        return found
+
+
 class TokenCache(dict):
     """Ids of words after a space, as little-endian unsigned 32-bit bytes.
 
     A key is the word without the space; up to ``limit`` words are remembered.
     """
 
-    limit = 500_000
+    limit = 350_000
     _held: dict[str, TokenCache] = {}
 
     def __init__(self, path: str):
@@ -43,6 +65,9 @@ class TokenCache(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.visible = _visible()
+        self.space = self.visible[ord(" ")]
+        self.marks, self.bare = _Held(self.merged), _Held(self.whole)
+        self.line_end = self.whole("\n")
 
     @classmethod
     def of(cls, path: str | None = None) -> TokenCache:
@@ -56,14 +81,22 @@ class TokenCache(dict):
 
     def merged(self, stretch: str) -> bytes:
         """Ids of a stretch that is cut no further before the merges."""
-        shown = stretch if stretch.isascii() and " " not in stretch else stretch.encode().decode("latin-1").translate(self.visible)
-        return np.asarray([t.id for t in self.model.tokenize(shown)], dtype="<u4").tobytes()
+        shown = stretch if stretch.isascii() else stretch.encode().decode("latin-1").translate(self.visible)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+
+    def after_space(self, word: str) -> bytes:
+        """Ids of letters after a space."""
+        if word.isascii():
+            return array("I", [t.id for t in self.model.tokenize(self.space + word)]).tobytes()
+        return self.merged(" " + word)
 
     def __missing__(self, word: str) -> bytes:
         if word.isalpha():  # letters only
-            ids = self.merged(" " + word)
-        elif len(word) > 1 and word[-1] in PUNCTUATION and word[:-1].isalpha():
-            ids = self[word[:-1]] + self.merged(word[-1])
+            ids = self.after_space(word)
+        elif (stem := word.rstrip(string.punctuation)).isalpha():  # letters, then marks
+            ids = self[stem] + self.marks[word[len(stem) :]]
+        elif word.count("\n") == 1 and (at := word.index("\n")) and at < len(word) - 1 and not (word[at - 1].isspace() or word[at + 1].isspace()):
+            ids = self[word[:at]] + self.line_end + self.bare[word[at + 1 :]]
         else:
             ids = self.whole(" " + word)
         if len(word) <= 40:
@@ -76,5 +109,5 @@ class TokenCache(dict):
         if "  " in text or SPECIAL in text:
             return self.whole(text)
         first, *rest = text.split(" ")
-        head = self.whole(first) if first else b""
+        head = self.bare[first] if first else b""
         return head + b"".join(map(self.__getitem__, rest))
