@@ -7,9 +7,8 @@ the size of the sets' symmetric difference. Jaccard similarity of at least t per
 bounds that difference by (100 - t) / (100 + t) of both sizes together. By the
 pigeonhole principle two such sets agree in one of any (bound + 1) words of the
 sketch; so each set is filed under (bound + 1) words, and only sets that meet in a word are
-compared. A second sketch of one bit per
-shingle's parity, of fixed width, turns down most of the others; what is left is
-verified on the shingle sets themselves.
+compared. A second sketch of one bit per shingle turns down most of the others; what
+is left is verified on the shingle sets themselves.
 
 Passages that many documents share make words that many sets have. Such hot words are
 passed over: a set is filed under its first (bound + 1) words that are neither empty
@@ -40,8 +39,8 @@ from .components import components
 from .shared import mix, row_count_at_most, stash, windows, without, word_hashes, words
 
 SHINGLE, PERCENT = 4, 85
-#: 64-bit words of the fixed sketch that turns pairs down.
-FIXED_WORDS = 16
+#: Least 64-bit words of the fine sketch that turns pairs down; over 1023 shingles it doubles with the set.
+FINE_WORDS = 16
 #: Ids up to this number may be broadcast to pick the texts to verify.
 BROADCAST_IDS = 1_000_000
 #: Hot words that are passed over, at most.
@@ -106,8 +105,13 @@ def filing_keys(keys: np.ndarray, parts: list[int], n: int, hot: np.ndarray, per
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """The fixed sketch: of each bit, the parity of the shingles that fall on it."""
-    bits = np.bincount((mix(shingles ^ np.uint64(0x5A5A5A5A)) % np.uint64(64 * FIXED_WORDS)).astype(np.int64), minlength=64 * FIXED_WORDS) & 1
+    """The fine sketch: of each bit, the parity of the shingles that fall on it.
+
+    It widens by powers of two with the set, and a wide one folds: the halves' XOR is
+    the sketch of half the width.
+    """
+    words = FINE_WORDS << max(0, len(shingles).bit_length() - 10)
+    bits = np.bincount((mix(shingles ^ np.uint64(0x5A5A5A5A)) % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
@@ -128,8 +132,9 @@ def sketches(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
                 bits.append(parity_bits(s))
             ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
             filed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.empty(0, np.int64)))
-            fixed = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * FIXED_WORDS), pa.array(np.concatenate(bits) if bits else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(marks1, pa.int64()), pa.array(marks2, pa.int64()), filed, pa.array(parts, pa.list_(pa.int32())), fixed], names=["doc_id", "n", "mark1", "mark2", "keys", "parts", "bits"])
+            ends = np.cumsum([0, *map(len, bits)], dtype=np.int32)
+            fine = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(bits) if bits else np.empty(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(marks1, pa.int64()), pa.array(marks2, pa.int64()), filed, pa.array(parts, pa.list_(pa.int32())), fine], names=["doc_id", "n", "mark1", "mark2", "keys", "parts", "bits"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
@@ -202,10 +207,17 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_col
 
 
 def _near(percent: int) -> Column:
-    """Whether a pair (n1, bits1), (n2, bits2) can link, by sizes and fixed sketches."""
-    apart = F.aggregate(F.zip_with("bits1", "bits2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    sizes = (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent)
-    return sizes & (apart * (100 + percent) <= (F.col("n1") + F.col("n2")) * (100 - percent))
+    """Whether a pair (n1, bits1), (n2, bits2) can link, by sizes and fine sketches."""
+    sizes = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
+    width = F.least(F.size("bits1"), F.size("bits2"))
+
+    def folded(bits: str) -> Column:
+        # sets that can link are within a factor of two, so one fold is enough
+        both = F.zip_with(F.slice(bits, F.lit(1), width), F.slice(bits, width + 1, width), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(bits) > width, both).otherwise(F.col(bits))
+
+    apart = F.aggregate(F.zip_with(folded("bits1"), folded("bits2"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return F.when(sizes, apart * (100 + percent) <= (F.col("n1") + F.col("n2")) * (100 - percent)).otherwise(False)
 
 
 def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -214,7 +226,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     Two documents link when their sets of ``width``-word shingles have a Jaccard
     similarity of ``percent`` or more; ``component_id`` is the smallest id reachable by
     links. A text with fewer words is one shingle; without words, or null, its set is
-    empty and links with nothing. Rows that share an id share a component. An empty
+    empty and links with nothing. Rows that share an id share a component. Rows without
+    id are in the component of an equal set with one, else in none (null). An empty
     table gives no rows; only the id and text columns are read.
     """
     table = stash(sketches(docs, width, percent, id_col, text_col))
@@ -223,7 +236,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     # copies of a set are not filed; these are few or many, and only their ids are joined
     copies = table.where("n > 0").select("doc_id", *same).join(classes, same).where(F.col("doc_id") != F.col("rep")).select("doc_id")
     copies = copies.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
-    filed = filed_under(without(table.where("n > 0"), copies, "doc_id"), hot_keys(table), percent)
+    filed = filed_under(without(table.where("n > 0 and doc_id is not null"), copies, "doc_id"), hot_keys(table), percent)
     by_key = Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # under each key, every member but the first, with the first
     met = stash(filed.withColumn("first", F.first("doc_id").over(by_key)).where("doc_id <> first"))
@@ -259,7 +272,7 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
 
 
 def _turned_down(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
-    """``pairs (a, b)`` without those that sizes or fixed sketches rule out."""
+    """``pairs (a, b)`` without those that sizes or fine sketches rule out."""
     pairs = stash(pairs)
     about = _only(about, pairs, "doc_id")
     side = lambda k, c: about.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
