@@ -8,12 +8,13 @@ are put in order.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from metaseries.sources.schemas import Rule, Schema, describe_condition, printed, shortest
+from metaseries.sources.schemas import Schema, describe_condition, printed
 
 from .rules import date_precision, whole
 
@@ -62,45 +63,60 @@ def _describe(cell: Column) -> Column:
     return F.concat(F.coalesce(kinds[cell["kind"]], F.lit("a value")), value)
 
 
-def _inside(field: Column, of: Column) -> Column:
-    """The container of a field: what is before its last name."""
-    return F.regexp_replace(field, r"(^|\.)(?:[^.\\]|\\.)*$", "")
+_CONDITION = "struct<field:string,root:boolean,op:string,values:array<string>,text:string>"
+_RULE = (
+    "place string, container string, name string, need string, type string, kinds array<string>, pattern string, most_bytes int, precisions array<string>, `values` array<string>,"
+    f" literals array<string>, minimum double, min_length int, checkable boolean, required_when {_CONDITION}, refused_when {_CONDITION}, block_needs array<string>, distinct_items boolean, holds_members boolean"
+)
+_kind_of = {"string": "string", "integer": "int", "boolean": "bool", "float": "float"}
+_expected = {"string": "a text", "int": "a whole number", "bool": "true or false", "float": "a number with a decimal point", "array": "a list", "table": "a table"}
 
 
-def condition(c: dict, cells: Column, container: Column) -> Column:
-    """True or false; a condition that the record can't decide is false both ways.
+def _condition_row(c: dict | None) -> tuple | None:
+    """A condition as data; none where the record alone can't decide it, or it never holds."""
+    if c is None or c.get("never") or "vocabulary" in c or "source_stated" in c:
+        return None
+    op = next(o for o in ("equals", "not_equals", "in", "present", "absent") if o in c)
+    values = [printed(v) for v in (c["in"] if op == "in" else [c[op]] if op in ("equals", "not_equals") else [])]
+    return c["field"], "." in c["field"], "in" if op == "equals" else op, values, describe_condition(c)
 
-    A dotted name is looked up from the record's root, a bare one in the enclosing block.
-    """
-    if c.get("never") or "vocabulary" in c or "source_stated" in c:
-        return F.lit(False)
-    name = c["field"]
-    at = F.lit(name) if "." in name else F.when(container == "", F.lit(name)).otherwise(F.concat(container, F.lit("."), F.lit(name)))
-    cell = F.try_element_at(cells, at)
-    if "present" in c:
-        return cell.isNotNull()
-    if "absent" in c:
-        return cell.isNull()
-    if "not_equals" in c:
-        return F.coalesce(cell["repr"] != printed(c["not_equals"]), F.lit(False))
-    values = c["in"] if "in" in c else [c["equals"]]
-    return F.coalesce(cell["repr"].isin([printed(v) for v in values]), F.lit(False))
-
-
-def _any(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, columns, F.lit(False))
-
-
-def suppressed(schema: Schema) -> Column:
-    """The fields that are present and refused by a condition; nothing in them is checked."""
-    ruled = [r for r in schema.rules() if "refused_when" in r.rule]
-    cells = F.col("cells")
 
-    def refused(field: Column) -> Column:
-        place = cells[field]["place"]
-        return _any([(place == r.place) & condition(r.rule["refused_when"], cells, _inside(field, None)) for r in ruled])
+def rule_rows(schema: Schema) -> list[tuple]:
+    """The schema as rows: one for each place a value can stand."""
+    out = []
+    for r in schema.rules():
+        base, item = schema.base(r.type), schema.element(r.type)
+        scalar = schema.scalars.get(base, {})
+        container = schema.is_container(r.type)
+        checkable = item is not None or container or base in (*_kind_of, "any") or "pattern" in scalar or "precisions" in scalar
+        kinds = ["array"] if item is not None else ["table"] if container else [_kind_of[base]] if base in _kind_of else ["string"] if "pattern" in scalar or "precisions" in scalar else None
+        required = _condition_row(r.rule.get("required_when")) if r.rule.get("decidable", True) else None
+        minimum = r.rule.get("minimum")
+        out.append((
+            r.place, r.container if not r.element else None, r.name, r.need, r.type, kinds, whole(scalar["pattern"]) if "pattern" in scalar else None, scalar.get("most_bytes"), scalar.get("precisions"), r.rule.get("values"),
+            r.rule.get("literals"), None if minimum is None else float(minimum), r.rule.get("min_length"), checkable, required, _condition_row(r.rule.get("refused_when")), schema.at_least_one_of.get(r.type),
+            item not in (None, "string"), container,
+        ))
+    return out
+
 
-    return F.filter(F.map_keys(cells), refused)
+def _member(block: Column, name: Column) -> Column:
+    return F.when(block == "", name).otherwise(F.concat(block, F.lit("."), name))
+
+
+def holds(c: Column, cells: Column, block: Column) -> Column:
+    """Whether a condition holds; one that is undecidable (null) does not.
+
+    A dotted name is looked up from the record's root, a bare one in the enclosing block.
+    """
+    cell = F.try_element_at(cells, F.when(c["root"], c["field"]).otherwise(_member(block, c["field"])))
+    found = (
+        F.when(c["op"] == "present", cell.isNotNull())
+        .when(c["op"] == "absent", cell.isNull())
+        .when(c["op"] == "in", F.array_contains(c["values"], cell["repr"]))
+        .otherwise(cell["repr"] != F.get(c["values"], F.lit(0)))
+    )
+    return F.coalesce(found, F.lit(False))
 
 
 def _under(field: Column, fields: Column, itself: bool) -> Column:
@@ -113,125 +129,79 @@ def _refusals(rows: DataFrame, site: str | Column, field: Column, found: Column,
     return rows.select(site.alias("site"), F.col("path").alias("file"), _named(field).alias("field"), found.alias("found"), expected.alias("expected"))
 
 
-def _value_checks(schema: Schema, rule: Rule, cell: Column) -> list[tuple[Column, str, str]]:
-    """In order, what is wrong with a value at ``rule``'s place: (condition, site, expected).
-
-    The first that holds is the value's refusal.
-    """
-    kind, literals = rule.type, rule.rule.get("literals", [])
-    wrong = lambda *kinds: ~cell["kind"].isin(*kinds)
-    if schema.element(kind) is not None:
-        out = [(wrong("array"), "wrong-type", "a list")]
-        if "min_length" in rule.rule:
-            out.append((cell["n"] < rule.rule["min_length"], "list-too-short", f"at least {rule.rule['min_length']} item(s)"))
-        return out
-    if schema.is_container(kind):
-        return [(wrong("table"), "wrong-type", f"a table of {kind}")]
-    base = schema.base(kind)
-    scalar = schema.scalars.get(base, {})
-    out = []
-    if "pattern" in scalar:
-        out.append((wrong("string"), "wrong-type", f"a text ({base})"))
-        out.append((~cell["s"].rlike(whole(scalar["pattern"])), "malformed-value", f"a text of the form {scalar['pattern']}"))
-        if "most_bytes" in scalar:
-            out.append((F.octet_length(cell["s"]) > scalar["most_bytes"], "malformed-value", f"at most {scalar['most_bytes']} characters"))
-    elif "precisions" in scalar:
-        out.append((wrong("string"), "wrong-type", "a date written as text"))
-        out.append((~F.coalesce(date_precision(cell["s"]).isin(scalar["precisions"]), F.lit(False)), "malformed-value", f"an existing date by {' or '.join(scalar['precisions'])}"))
-    elif base == "string":
-        out.append((wrong("string"), "wrong-type", "a text"))
-    elif base == "integer":
-        out.append((wrong("int"), "wrong-type", "a whole number"))
-    elif base == "boolean":
-        out.append((wrong("bool"), "wrong-type", "true or false"))
-    elif base == "float":
-        out.append((wrong("float"), "wrong-type", "a number with a decimal point"))
-        if "minimum" in rule.rule:
-            out.append((~F.isnan(cell["d"]) & (cell["d"] < float(rule.rule["minimum"])), "below-minimum", f"{shortest(float(rule.rule['minimum']))} or more"))
-    elif base != "any":
-        out.append((F.lit(True), "wrong-type", f"a type that can be checked, not {base}"))
-    if "values" in rule.rule:
-        out.append((~cell["repr"].isin(rule.rule["values"]), "value-outside-set", "one of " + ", ".join(rule.rule["values"])))
-    if literals:
-        is_literal = (cell["kind"] == "string") & cell["s"].isin(literals)
-        out = [(~is_literal & wrong_, site, f"{expected}, or one of {', '.join(literals)}") for wrong_, site, expected in out]
-    return out
-
-
 def structure(records: DataFrame, schema: Schema) -> DataFrame:
     """Refusals of parsed ``records (path, cells)`` that are all of ``schema``'s version."""
     spark = records.sparkSession
-    rules = schema.rules()
+    rules = F.broadcast(spark.createDataFrame(rule_rows(schema), _RULE))
+    interiors = schema.interiors()
+    containers = ["", *sorted({r.place for r in schema.rules() if schema.is_container(r.type)})]
     cells = F.col("cells")
-    held = records.select("path", "cells").withColumn("refused", suppressed(schema))
+
+    # the blocks of a record, and the fields in them that are present though ruled out; what is in those is not checked
+    tables = F.filter(F.map_entries("cells"), lambda e: (e["value"]["kind"] == "table") & e["value"]["place"].isin(containers[1:]))
+    blocks = F.concat(F.array(F.struct(F.lit("").alias("block"), F.lit("").alias("at"))), F.transform(tables, lambda e: F.struct(e["key"].alias("block"), e["value"]["place"].alias("at"))))
+    names = ("field", "root", "op", "values", "text")
+    refusing = [{"container": r[1], "name": r[2], "c": dict(zip(names, r[15], strict=True))} for r in rule_rows(schema) if r[15] is not None]
+    refusing = F.from_json(F.lit(json.dumps(refusing)), f"array<struct<container:string,name:string,c:{_CONDITION}>>")
+    ruled_out = lambda b: F.transform(
+        F.filter(refusing, lambda r: (r["container"] == b["at"]) & F.try_element_at(cells, _member(b["block"], r["name"])).isNotNull() & holds(r["c"], cells, b["block"])), lambda r: _member(b["block"], r["name"])
+    )
+    held = records.select("path", "cells").withColumn("blocks", blocks).withColumn("refused", F.flatten(F.transform("blocks", ruled_out)))
     entries = held.select("path", "cells", "refused", F.explode("cells").alias("field", "cell")).where(~_under(F.col("field"), F.col("refused"), itself=False))
+    checked = entries.where(~F.array_contains("refused", F.col("field")))
     out = []
 
-    # undeclared keys of tables whose keys are declared
-    containers = {"": "", **{r.place: r.type for r in rules if schema.is_container(r.type)}}
-    declared = sorted({r.place for r in rules} | set(schema.interiors()))
-    tables = sorted(set(containers) | set(schema.interiors()))
-    parent = F.when(F.col("cell.parent") == "", F.lit("")).otherwise(cells[F.col("cell.parent")]["place"])
-    keyed = entries.where((F.col("cell.key") != "") & ~_under(F.col("field"), F.col("refused"), itself=True))
-    names = spark.createDataFrame([(t,) for t in tables], "t string")
-    known = spark.createDataFrame([(t,) for t in declared], "t string")
-    unknown = keyed.join(F.broadcast(names), parent == F.col("t"), "left_semi").join(F.broadcast(known), F.col("cell.place") == F.col("t"), "left_anti")
+    # undeclared keys of tables whose keys are declared, and tables in between that are none
+    parent = F.when(F.col("cell.parent") == "", F.lit("")).otherwise(F.try_element_at(cells, F.col("cell.parent"))["place"])
+    known = F.broadcast(spark.createDataFrame([(x,) for x in sorted({r.place for r in schema.rules()} | set(interiors))], "t string"))
+    unknown = checked.where((F.col("cell.key") != "") & parent.isin([*containers, *interiors])).join(known, F.col("cell.place") == F.col("t"), "left_anti")
     out.append(_refusals(unknown, "unknown-field", F.col("field"), _describe(F.col("cell")), F.lit("a declared field")))
-
-    # tables in between that are none
-    between = entries.where(F.col("cell.place").isin(schema.interiors()) & (F.col("cell.kind") != "table"))
+    between = entries.where(F.col("cell.place").isin(interiors) & (F.col("cell.kind") != "table"))
     out.append(_refusals(between, "wrong-type", F.col("field"), _describe(F.col("cell")), F.lit("a table")))
 
-    # presence, in each block that is there: the root, and tables at blocks' places
-    blocks = entries.where((F.col("cell.kind") == "table") & ~F.array_contains("refused", F.col("field"))).select("path", "cells", F.col("field").alias("block"), F.col("cell.place").alias("at"))
-    blocks = blocks.unionByName(held.select("path", "cells", F.lit("").alias("block"), F.lit("").alias("at")))
-    presence = []
-    members = [r for r in rules if not r.element and r.need != "optional"]
-    for r in members:
-        field = F.when(F.col("block") == "", F.lit(r.name)).otherwise(F.concat("block", F.lit("." + r.name)))
-        absent = F.try_element_at(cells, field).isNull()
-        problems = []
-        if r.need == "required":
-            problems.append(F.when(absent, F.struct(F.lit("missing-required-field").alias("site"), field.alias("field"), F.lit("nothing").alias("found"), F.lit(f"{r.name}, of type {r.type}").alias("expected"))))
-        else:
-            if r.rule.get("decidable", True):
-                required = condition(r.rule["required_when"], cells, F.col("block"))
-                problems.append(F.when(absent & required, F.struct(F.lit("conditional-field-missing").alias("site"), field.alias("field"), F.lit("nothing").alias("found"), F.lit(f"{r.name}, as {describe_condition(r.rule['required_when'])}").alias("expected"))))
-            refused = condition(r.rule["refused_when"], cells, F.col("block"))
-            problems.append(F.when(~absent & refused, F.struct(F.lit("conditional-field-refused").alias("site"), field.alias("field"), _describe(F.try_element_at(cells, field)).alias("found"), F.lit(f"no {r.name}, as {describe_condition(r.rule['refused_when'])}").alias("expected"))))
-        presence += [(r.container, p) for p in problems]
-    for block, needed in schema.at_least_one_of.items():
-        for r in [r for r in rules if r.type == block]:
-            none = ~_any([F.try_element_at(cells, F.concat("block", F.lit("." + n))).isNotNull() for n in needed])
-            presence.append((r.place, F.when(none, F.struct(F.lit("no-member-present").alias("site"), F.col("block").alias("field"), F.lit("none of them").alias("found"), F.lit("at least one of " + ", ".join(needed)).alias("expected")))))
-    # a block is only held against its own members
-    own = None
-    for place in sorted({p for p, _ in presence}):
-        problems = F.array(*[c for p, c in presence if p == place])
-        own = F.when(F.col("at") == place, problems) if own is None else own.when(F.col("at") == place, problems)
-    here = blocks.select("path", F.explode(F.array_compact(own)).alias("r"))
-    out.append(_refusals(here, F.col("r.site"), F.col("r.field"), F.col("r.found"), F.col("r.expected")))
-
-    # values: of each place the first thing wrong with it
-    checked = entries.where(~F.array_contains("refused", F.col("field")))
-    verdict = None
-    for r in rules:
-        problem = None
-        for wrong, site, expected in _value_checks(schema, r, F.col("cell")):
-            result = F.struct(F.lit(site).alias("site"), F.lit(expected).alias("expected"))
-            problem = F.when(wrong, result) if problem is None else problem.when(wrong, result)
-        if problem is not None:
-            verdict = F.when(F.col("cell.place") == r.place, problem) if verdict is None else verdict.when(F.col("cell.place") == r.place, problem)
-    judged = checked.withColumn("r", verdict).where("r is not null")
-    found = F.when(F.col("cell.kind") == "array", F.concat_ws(" ", F.col("cell.n").cast("string"), F.lit("item(s)"))).otherwise(_describe(F.col("cell")))
+    # presence: the members of each block that is there
+    here = held.select("path", "cells", "refused", F.explode("blocks").alias("b")).select("*", "b.block", "b.at").where(~_under(F.col("block"), F.col("refused"), itself=True))
+    members = here.join(rules.where("container is not null and need <> 'optional'"), F.col("at") == F.col("container"))
+    field = _member(F.col("block"), F.col("name"))
+    cell = F.try_element_at(cells, field)
+    wanted = F.concat_ws(", of type ", "name", "type")
+    problem = lambda site, found, expected: F.struct(F.lit(site).alias("site"), found.alias("found"), expected.alias("expected"))
+    nothing = F.lit("nothing")
+    presence = (
+        F.when((F.col("need") == "required") & cell.isNull(), problem("missing-required-field", nothing, wanted))
+        .when(cell.isNull() & F.col("required_when").isNotNull() & holds(F.col("required_when"), cells, F.col("block")), problem("conditional-field-missing", nothing, F.concat_ws(", as ", wanted, "required_when.text")))
+        .when(cell.isNotNull() & F.array_contains("refused", field), problem("conditional-field-refused", _describe(cell), F.concat(F.lit("no "), F.col("name"), F.lit(", as "), F.col("refused_when.text"))))
+    )
+    found = members.select("path", field.alias("field"), presence.alias("r")).where("r is not null")
+    out.append(_refusals(found, F.col("r.site"), F.col("field"), F.col("r.found"), F.col("r.expected")))
+    needy = here.join(rules.where("block_needs is not null").select("place", "block_needs"), F.col("at") == F.col("place"))
+    none = ~F.exists("block_needs", lambda n: F.try_element_at(cells, F.concat("block", F.lit("."), n)).isNotNull())
+    out.append(_refusals(needy.where(none), "no-member-present", F.col("block"), F.lit("none of them"), F.concat(F.lit("at least one of "), F.array_join("block_needs", ", "))))
+
+    # values: the first thing wrong with each
+    typed = checked.join(rules, F.col("cell.place") == F.col("place"))
+    cell = F.col("cell")
+    expected_kind = F.create_map(*[F.lit(x) for pair in _expected.items() for x in pair])[F.get("kinds", F.lit(0))]
+    bad = lambda site, expected: F.struct(F.lit(site).alias("site"), expected.alias("expected"))
+    verdict = (
+        F.when(~F.col("checkable"), bad("wrong-type", F.concat(F.lit("a type that can be checked, not "), F.col("type"))))
+        .when(F.coalesce(F.array_contains("literals", cell["s"]), F.lit(False)), None)
+        .when(F.col("kinds").isNotNull() & ~F.array_contains("kinds", cell["kind"]), bad("wrong-type", F.concat_ws(", for ", expected_kind, "type")))
+        .when(F.col("pattern").isNotNull() & ~F.expr("cell.s RLIKE pattern"), bad("malformed-value", F.concat(F.lit("a text of the form "), F.col("pattern"))))
+        .when(F.octet_length(cell["s"]) > F.col("most_bytes"), bad("malformed-value", F.concat_ws(" ", F.lit("at most"), F.col("most_bytes").cast("string"), F.lit("characters"))))
+        .when(F.col("precisions").isNotNull() & ~F.coalesce(F.array_contains("precisions", date_precision(cell["s"])), F.lit(False)), bad("malformed-value", F.concat(F.lit("an existing date by "), F.array_join("precisions", " or "))))
+        .when(~F.array_contains("values", cell["repr"]), bad("value-outside-set", F.concat(F.lit("one of "), F.array_join("values", ", "))))
+        .when(~F.isnan(cell["d"]) & (cell["d"] < F.col("minimum")), bad("below-minimum", F.concat(F.col("minimum").cast("string"), F.lit(" or more"))))
+        .when(cell["n"] < F.col("min_length"), bad("list-too-short", F.concat_ws(" ", F.lit("at least"), F.col("min_length").cast("string"), F.lit("item(s)"))))
+    )
+    judged = typed.select("path", "field", "cell", verdict.alias("r")).where("r is not null")
+    found = F.when(cell["kind"] == "array", F.concat_ws(" ", cell["n"].cast("string"), F.lit("item(s)"))).otherwise(_describe(cell))
     out.append(_refusals(judged, F.col("r.site"), F.col("field"), found, F.col("r.expected")))
 
     # repeated items, of lists other than of plain texts
-    lists = [r.place for r in rules if schema.element(r.type) not in (None, "string")]
-    listed = checked.where(F.col("cell.place").isin(lists) & (F.col("cell.kind") == "array"))
-    items = F.transform(F.sequence(F.lit(0), F.col("cell.n") - 1), lambda i: cells[F.concat(F.col("field"), F.lit("["), i.cast("string"), F.lit("]"))]["repr"])
-    again = listed.where("cell.n > 1").withColumn("items", items).select("path", "field", "items", F.posexplode("items").alias("i", "item"))
-    again = again.where(F.array_position("items", F.col("item")) <= F.col("i"))
+    listed = typed.where("distinct_items and cell.kind = 'array' and cell.n > 1")
+    items = F.transform(F.sequence(F.lit(0), F.col("cell.n") - 1), lambda i: F.try_element_at(cells, F.concat("field", F.lit("["), i.cast("string"), F.lit("]")))["repr"])
+    again = listed.withColumn("items", items).select("path", "field", "items", F.posexplode("items").alias("i", "item")).where(F.array_position("items", F.col("item")) <= F.col("i"))
     out.append(_refusals(again, "duplicate-in-list", F.concat("field", F.lit("["), F.col("i").cast("string"), F.lit("]")), F.col("item"), F.lit("an item that the list does not have yet")))
     return reduce(DataFrame.unionByName, out)
 
