@@ -43,6 +43,8 @@ SHINGLE, PERCENT = 4, 85
 FINE_WORDS = 16
 #: Ids up to this number may be broadcast to pick the texts to verify.
 BROADCAST_IDS = 1_000_000
+#: Members of a key up to which it is joined with itself; and of a block of larger ones.
+FEW, BLOCK = 24, 512
 #: Hot words that are passed over, at most.
 HOT_KEYS = 500_000
 
@@ -93,13 +95,17 @@ def filing_keys(keys: np.ndarray, parts: list[int], n: int, hot: np.ndarray, per
     """The keys that a set of ``n`` is filed under, given its sketches' keys and whether each is hot.
 
     Of each band the first (bound + 1) that are neither empty nor hot. A set with fewer
-    is filed under all its words, the hot and empty ones too: two such sets meet in any
-    word that agrees, and one of them meets a set with enough in the latter's words.
+    is filed under all its words that are not empty, the hot ones too: of as many words
+    as the bound and one more, one agrees with any set it links with. Only a set whose
+    words that are not empty are fewer still is filed under the empty ones as well.
     """
     need, at, out = most_apart(n, percent) + 1, 0, []
     for full, empty in zip(parts[::2], parts[1::2], strict=True):
         cold = np.flatnonzero(~hot[at : at + full])[:need]
-        out.append(keys[at : at + full][cold] if len(cold) == need else keys[at : at + full + empty])
+        if len(cold) == need:
+            out.append(keys[at : at + full][cold])
+        else:
+            out.append(keys[at : at + full + (empty if full < need else 0)])
         at += full + empty
     return np.concatenate(out)
 
@@ -141,7 +147,7 @@ def sketches(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     return texts.mapInArrow(run, f"doc_id {kind}, n long, mark1 long, mark2 long, keys array<long>, parts array<int>, bits array<long>")
 
 
-def hot_keys(table: DataFrame, share: int = 8, often: int = 8, most: int = HOT_KEYS) -> np.ndarray:
+def hot_keys(table: DataFrame, share: int = 4, often: int = 3, most: int = HOT_KEYS) -> np.ndarray:
     """Keys that ``often`` documents or more of a sample (one in ``share``) have: at most
     ``most`` of them, the more frequent first."""
     sample = table.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(F.explode("keys").alias("key"))
@@ -260,10 +266,9 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
         every = joined
     else:
         keys = apart.select("key").distinct()
+        # all members of these keys
         members = held.select("key", "doc_id", "component").unionByName(held.select("key", F.col("first").alias("doc_id"), F.col("of_first").alias("component"))).distinct().join(keys, "key", "left_semi")
-        side = lambda d, k: d.select("key", F.col("doc_id").alias(f"i{k}"), F.col("component").alias(f"c{k}"))
-        pairs = side(apart, 1).join(side(members, 2), "key").where("c1 <> c2")
-        pairs = _turned_down(pairs.select(F.least("i1", "i2").alias("a"), F.greatest("i1", "i2").alias("b")).distinct(), about, percent)
+        pairs = _across(stash(members), about, percent)
         done = met.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
         more = stash(verified(stash(pairs.join(done, ["a", "b"], "left_anti")), docs, width, percent, id_col, text_col))
         every = components(links.unionByName(more)) if not more.isEmpty() else joined
@@ -271,6 +276,52 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     return table.select("doc_id", *same).join(named, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def _across(members: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members (key, doc_id, component) of one key that are in different
+    components and that sizes and fine sketches let pass.
+
+    Keys of few members are joined with themselves. Larger ones are cut into blocks, and
+    each two blocks of a key are compared in memory, so only what passes leaves the task.
+    """
+    same_key = Window.partitionBy("key")
+    counted = members.withColumn("count", F.count(F.lit(1)).over(same_key)).withColumn("at", F.row_number().over(same_key.orderBy("doc_id")) - 1)
+    counted = stash(counted)
+    few = counted.where(F.col("count") <= FEW)
+    side = lambda k: few.select("key", F.col("doc_id").alias(f"i{k}"), F.col("component").alias(f"c{k}"))
+    joined = side(1).join(side(2), "key").where("c1 <> c2 and i1 < i2").select(F.col("i1").alias("a"), F.col("i2").alias("b")).distinct()
+    passed = _turned_down(joined, about, percent)
+    many = counted.where(F.col("count") > FEW)
+    if many.isEmpty():
+        return passed
+    last = F.floor((F.col("count") - 1) / BLOCK)
+    own = F.floor(F.col("at") / BLOCK)
+    blocks = many.select("key", "doc_id", "component", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("other"))
+    blocks = blocks.select("key", "doc_id", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    # an own block is not repeated where it meets itself, as own = other there only once
+    fine = _only(about, many.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")), "doc_id")
+    kind = members.schema["doc_id"].dataType.simpleString()
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        first = table.column("own").to_numpy() == key[1].as_py()
+        ids, component, n = (table.column(c).to_numpy() for c in ("doc_id", "component", "n"))
+        bits = [np.asarray(b, dtype=np.int64) for b in table.column("bits").to_pylist()]
+        width = min(map(len, bits))
+        folded = np.array([b if len(b) == width else np.bitwise_xor.reduce(b.reshape(-1, width)) for b in bits]).view(np.uint64)
+        low = np.flatnonzero(first)
+        high = low if key[1].as_py() == key[2].as_py() else np.flatnonzero(~first)
+        a, b = [], []
+        for i in low.tolist():
+            apart = np.bitwise_count(folded[high] ^ folded[i]).sum(axis=1, dtype=np.int64)
+            near = (apart * (100 + percent) <= (n[high] + n[i]) * (100 - percent)) & (np.minimum(n[high], n[i]) * 100 >= np.maximum(n[high], n[i]) * percent) & (component[high] != component[i])
+            for j in high[near].tolist():
+                a.append(min(ids[i], ids[j]))
+                b.append(max(ids[i], ids[j]))
+        return pa.table({"a": pa.array(a, table.schema.field("doc_id").type), "b": pa.array(b, table.schema.field("doc_id").type)})
+
+    found = blocks.join(fine, "doc_id").groupBy("key", "low", "high").applyInArrow(run, f"a {kind}, b {kind}")
+    return passed.unionByName(found).distinct()
+
+
 def _turned_down(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     """``pairs (a, b)`` without those that sizes or fine sketches rule out."""
     pairs = stash(pairs)
