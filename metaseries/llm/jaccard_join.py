@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .components import components
-from .shared import mix, row_count_at_most, stash, windows, without, word_hashes, words
+from .shared import mix, row_count_at_most, slices, stash, windows, without, word_hashes, words
 
 SHINGLE, PERCENT = 4, 85
 #: Least 64-bit words of the fine sketch that turns pairs down; over 1023 shingles it doubles with the set.
@@ -125,7 +125,7 @@ def sketches(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     """``doc_id, n, mark1, mark2, keys, parts, bits`` of each whole text; equal sets have equal marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n, marks1, marks2, keys, parts, bits = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, width)
@@ -171,7 +171,7 @@ def filed_under(table: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = held.value
-        for batch in batches:
+        for batch in slices(batches):
             keys = np.asarray(batch.column(2).flatten())
             ends = np.cumsum([0, *batch.column(2).value_lengths().to_pylist()])
             is_hot = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), dtype=bool)
@@ -191,7 +191,7 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_col
     texts = _only(docs, pairs, id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             held = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, LongType, StructField, StructType
 
-from .shared import stash
+from .shared import slices, stash
 from .tokens import END_ID, TokenCache
 
 WINDOW = 1024
@@ -86,7 +86,7 @@ def token_pieces(docs: DataFrame, size: int = WINDOW, tokenizer: str | None = No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = TokenCache.of(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             row, start, length, total, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 held = cache.encode(text or "") + END_ID.to_bytes(4, "little")

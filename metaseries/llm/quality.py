@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import id_remainder, stash
+from .shared import id_remainder, slices, stash
 
 FEATURES = (
     "log_words",
@@ -90,7 +90,7 @@ def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``doc_id, x``: the statistics of each whole text, one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             x = [statistics(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
 

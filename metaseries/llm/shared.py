@@ -62,7 +62,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, remembered up to a fixed number of words."""
 
-    limit = 300_000
+    limit = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
@@ -99,6 +99,13 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(out + np.uint64(k))
 
 
+def slices(batches, rows: int = 1024):
+    """The rows of Arrow batches in smaller batches, so that a task holds few of them as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def row_count_at_most(df: DataFrame, bound: int) -> bool:
     """Whether ``df`` has at most ``bound`` rows: the check before a broadcast."""
     return df.limit(bound + 1).count() <= bound
