@@ -303,6 +303,29 @@ def test_decontamination_catches_other_numbers_and_names(spark, odd, none):
     assert decontaminate.decontaminate(odd, benchmark).columns == odd.columns
 
 
+def test_decontamination_catches_other_spellings_wraps_and_lengths(spark):
+    copies = {
+        1: ITEM.lower(),
+        2: ITEM.upper(),
+        3: ITEM.replace(" Paris", "\nParis").replace(" Anna", "\nAnna"),
+        4: ITEM.replace("12 miles", "about 12 miles"),
+        5: ITEM.replace("Anna", "Mary Ann"),
+        6: ITEM.replace(" Paris", "\nRome").replace(" Anna", "\nRose"),
+        7: "no full stop here\n" + ITEM.replace("12 miles", "about 15 miles").replace("Anna", "Mary Ann"),
+    }
+    others = {
+        20: ITEM.replace("train leaves", "boat leaves").replace("walks", "swims").replace("arrives", "goes").replace("stone", "x").upper(),
+        21: "Tom Hill has 5 apples and gives 4 pears to all of them today",
+        22: " ".join(sorted(ITEM.split())),
+    }
+    items = spark.createDataFrame([(7, ITEM), (8, "He has 3 apples and gives 3 pears to all of them today")], "item_id long, text string")
+    table = spark.createDataFrame(list((copies | others).items()), "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r for r in decontaminate.leaks(table, items).collect()}
+    assert set(found) == {(i, 7) for i in copies}
+    assert all(found[i, 7].coverage == 1 and found[i, 7].verbatim for i in (1, 2, 3)) and not found[5, 7].verbatim
+    assert {r.doc_id for r in decontaminate.decontaminate(table, items).collect()} == set(others)
+
+
 def test_decontamination_finds_planted_items(spark, docs):
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
     texts = {d.doc_id: " ".join(d.text.split()) for d in docs.collect()}
