@@ -8,9 +8,10 @@ counts in the training texts.
 
 Counts are aggregated over all words of all training texts. The most frequent words
 - a fixed number at most - are broadcast, so most tokens are counted where they lie;
-only rarer ones are shuffled to join their counts. The model starts from a bounded
-sample on the driver; then each task goes on training it on a window of each of its
-training texts, and the weights of all tasks are averaged.
+only rarer ones are shuffled to join their counts. The model starts on the driver from
+windows of some texts of any length; then each task goes on training it on all positions
+of all its training texts, and the weights of all tasks are averaged, each by the
+positions that it saw.
 """
 
 from __future__ import annotations
@@ -25,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import attention
-from .shared import id_remainder, stash, words
+from .shared import id_remainder, slices, stash, words
 from .tokens import TokenCache
 
 #: Words whose counts are broadcast, at most.
 HEAD_WORDS = 1 << 18
-#: The bound of the sample that the model starts from, and the longest text taken, in bytes.
-SAMPLE_DOCS, SAMPLE_BYTES = 1500, 16_384
+#: Texts that the model starts from, at most, and windows of each.
+SAMPLE_DOCS, SAMPLE_WINDOWS = 1500, 16
 START_STEPS, START_BATCH, TASK_BATCH = 300, 96, 48
 START_RATE, TASK_RATE = 6e-3, 1e-3
 #: Subword ids are below this; the last one stands for the end.
@@ -141,44 +142,60 @@ def class_table(by_lead: dict[int, tuple[int, int]], classes: int = attention.CL
     return of, count, mass
 
 
-def _class_sequence(text: bytes | None, lexicon: Lexicon, of: np.ndarray) -> np.ndarray:
-    found = [lexicon.lead[lexicon[w]] for w in words(text or b"")]
-    return of[np.array([*found, END_LEAD], dtype=np.int64)]
+def _class_sequences(texts: list[bytes | None], lexicon: Lexicon, of: np.ndarray) -> list[np.ndarray]:
+    """Classes of each text's words and its end."""
+    codes = [np.array(list(map(lexicon.__getitem__, words(text or b""))), dtype=np.int64) for text in texts]
+    table = of[np.array(lexicon.lead, dtype=np.int64)]
+    return [np.append(table[c], of[END_LEAD]) for c in codes]
 
 
-def _training_batch(sequences: list[np.ndarray], end: int, seeds: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One window of each text, at a place that its seed picks."""
+def text_windows(c: np.ndarray, end: int) -> np.ndarray:
+    """Consecutive windows that cover all positions of a text: a row has the class before
+    its first position, then its classes; -1 beyond the text."""
     n = attention.CONTEXT
-    x, t, valid = (np.full((len(sequences), n), end, dtype=np.int64) for _ in range(3))
-    valid = np.zeros((len(sequences), n), dtype=bool)
-    for i, (c, seed) in enumerate(zip(sequences, seeds, strict=True)):
-        at = seed % max(1, len(c) - n + 1)
-        own = c[at : at + n]
-        before = np.concatenate([[c[at - 1] if at else end], own[:-1]])
-        x[i, : len(own)], t[i, : len(own)], valid[i, : len(own)] = before, own, True
-    return x, t, valid
+    count = -(-len(c) // n)
+    shown = np.full(count * n + 1, -1, dtype=np.int32)
+    shown[0], shown[1 : len(c) + 1] = end, c
+    return shown[np.arange(count)[:, None] * n + np.arange(n + 1)]
+
+
+def _batch(rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, targets and valid positions of windows."""
+    valid = rows[:, 1:] >= 0
+    rows = np.where(rows < 0, end, rows).astype(np.int64)
+    return rows[:, :-1], rows[:, 1:], valid
+
+
+def _start_windows(train: DataFrame, of: np.ndarray, texts: float, id_col: str, text_col: str, tokenizer: str | None) -> np.ndarray:
+    """Windows, at hashed places, of the texts that the model starts from."""
+    end, width = int(of[END_LEAD]), attention.CONTEXT + 1
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon.of(tokenizer)
+        for part in slices(parts):
+            lexicon.fresh()
+            marks, rows = part.column(0).to_pylist(), []
+            for mark_, c in zip(marks, _class_sequences(part.column(1).to_pylist(), lexicon, of), strict=True):
+                found = text_windows(c, end)
+                picked = np.random.default_rng(mark_ & 0x7FFFFFFF).permutation(len(found))[:SAMPLE_WINDOWS]
+                rows.append(found[picked].ravel())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["mark", "windows"])
+
+    # about four times the sample passes this cut; the limit then makes its bound exact
+    passed = min(1 << 30, int((4 * SAMPLE_DOCS / max(1.0, texts)) * (1 << 30)))
+    marked = train.select(F.xxhash64(F.col(id_col)).alias("mark"), F.col(text_col).cast("binary").alias("text")).where(F.pmod("mark", F.lit(1 << 30)) <= passed)
+    rows = marked.mapInArrow(run, "mark long, windows array<int>").orderBy("mark").limit(SAMPLE_DOCS).collect()  # SAMPLE_WINDOWS windows a row at most
+    return np.array([x for r in rows for x in r.windows], dtype=np.int32).reshape(-1, width)
 
 
 def fit(train: DataFrame, of: np.ndarray, frequency: np.ndarray, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> dict[str, np.ndarray]:
-    """The model's weights: started on a bounded sample, then averaged over all tasks."""
+    """The model's weights: started on some windows, then trained on all positions and averaged over all tasks."""
     end = len(frequency) - 1
     start = attention.initial(frequency)
-    mark = F.xxhash64(F.col(id_col))
-    sample = train.where(F.length(F.col(text_col).cast("binary")) <= SAMPLE_BYTES).select(mark.alias("mark"), F.col(text_col).cast("binary").alias("text"))
-    # about four times the sample passes this cut; the limit then makes its bound exact
-    passed = min(1 << 30, int((4 * SAMPLE_DOCS / max(1.0, frequency[end])) * (1 << 30)))
-    rows = sample.where(F.pmod("mark", F.lit(1 << 30)) <= passed).orderBy("mark").limit(SAMPLE_DOCS).collect()
-    if rows:
-        lexicon = Lexicon(tokenizer)
-        held = [_class_sequence(bytes(r.text) if r.text is not None else b"", lexicon, of) for r in rows]
+    held = _start_windows(train, of, float(frequency[end]), id_col, text_col, tokenizer)
+    if len(held):
         rng = np.random.default_rng(11)
-
-        def batches():
-            for _ in range(START_STEPS):
-                own = rng.integers(0, len(held), START_BATCH)
-                yield _training_batch([held[i] for i in own], end, rng.integers(0, 1 << 30, START_BATCH).tolist())
-
-        start, _ = attention.train(start, batches(), START_RATE)
+        start, _ = attention.train(start, (_batch(held[rng.integers(0, len(held), START_BATCH)], end) for _ in range(START_STEPS)), START_RATE)
     begun = train.sparkSession.sparkContext.broadcast((attention.flat(start), of))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,47 +204,33 @@ def fit(train: DataFrame, of: np.ndarray, frequency: np.ndarray, id_col: str = "
 
         def batches():
             nonlocal n
-            sequences, seeds = [], []
-            for part in parts:
+            rng, left = np.random.default_rng(13), np.empty((0, attention.CONTEXT + 1), dtype=np.int32)
+            for part in slices(parts):
                 lexicon.fresh()
-                for mark_, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    # only the window's words are looked up
-                    found = words(text or b"")
-                    at = (mark_ & 0x7FFFFFFF) % max(1, len(found) + 2 - attention.CONTEXT)
-                    own = [lexicon.lead[lexicon[w]] for w in found[max(0, at - 1) : at + attention.CONTEXT]]
-                    tail = [END_LEAD] if at + attention.CONTEXT > len(found) else []
-                    head = [] if at else [END_LEAD]
-                    sequences.append(class_of[np.array(head + own + tail, dtype=np.int64)])
-                    n += 1
-                    if len(sequences) == TASK_BATCH:
-                        yield _shifted(sequences, end)
-                        sequences, seeds = [], []
-            if sequences:
-                yield _shifted(sequences, end)
+                left = np.concatenate([left, *(text_windows(c, end) for c in _class_sequences(part.column(0).to_pylist(), lexicon, class_of))])
+                n += int((left[:, 1:] >= 0).sum())
+                left = left[rng.permutation(len(left))]  # a long text's windows are not one batch
+                full = len(left) - len(left) % TASK_BATCH
+                for at in range(0, full, TASK_BATCH):
+                    yield _batch(left[at : at + TASK_BATCH], end)
+                left = left[full:]
+                n -= int((left[:, 1:] >= 0).sum())
+            if len(left):
+                n += int((left[:, 1:] >= 0).sum())
+                yield _batch(left, end)
 
         after, _ = attention.train(attention.unflat(weights, end + 1), batches(), TASK_RATE)
         if n:
             w = attention.flat(after)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array(w.astype(float) * n), pa.array(np.full(len(w), n, dtype=np.int64))], names=["i", "w", "n"])
 
-    texts = train.select(mark.alias("mark"), F.col(text_col).cast("binary").alias("text"))
+    texts = train.select(F.col(text_col).cast("binary").alias("text"))
     mean = texts.mapInArrow(run, "i int, w double, n long").groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas().sort_values("i")  # one row a weight
     if len(mean):
         start = attention.unflat(mean["w"].to_numpy(), end + 1)
     return start
 
 
-def _shifted(sequences: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs and targets of sequences that begin with the position before the first target."""
-    n = attention.CONTEXT
-    x, t = np.full((len(sequences), n), end, dtype=np.int64), np.full((len(sequences), n), end, dtype=np.int64)
-    valid = np.zeros((len(sequences), n), dtype=bool)
-    for i, s in enumerate(sequences):
-        s = s[: n + 1]
-        x[i, : len(s) - 1], t[i, : len(s) - 1], valid[i, : len(s) - 1] = s[:-1], s[1:], True
-    return x, t, valid
-
-
 def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, head: int = HEAD_WORDS, classes: int = attention.CLASSES) -> DataFrame:
     """One row per document: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``.
 

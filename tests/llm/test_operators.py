@@ -380,6 +380,26 @@ def test_scores_against_counts(spark, docs):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
 
 
+def test_training_windows_cover_all_positions():
+    for n in (1, 5, 31, 32, 33, 64, 700):
+        c = np.arange(n) % 90
+        rows = lm_score.text_windows(c, 95)
+        assert rows[:, 1:][rows[:, 1:] >= 0].tolist() == c.tolist()
+        assert rows[:, 0].tolist() == [95, *c[attention.CONTEXT - 1 : n - 1 : attention.CONTEXT]]
+
+
+def test_long_texts_are_learnt_whole(spark, monkeypatch):
+    """Texts of over 16,384 bytes, whose order only the positions after the first third show."""
+    rng = random.Random(5)
+    say = lambda: " ".join(rng.choice(["alpha", "beta"]) for _ in range(2000)) + " alpha beta" * 2000
+    train = spark.createDataFrame([(i, say()) for i in range(60)], "doc_id long, text string").coalesce(1)
+    asked = spark.createDataFrame([(1, "alpha beta " * 500)], "doc_id long, text string")
+    gain = lambda: (lambda r: (r.score - r.base_score) / r.n_tokens)(lm_score.score(asked, train).first())
+    assert gain() > 0.1
+    monkeypatch.setattr(lm_score, "START_STEPS", 0)
+    assert gain() > 0.03
+
+
 def test_score_edges(odd, none):
     rows = lm_score.score(odd, odd, head=4).collect()
     assert len(rows) == odd.count()
