@@ -160,7 +160,9 @@ def _trim_fill_sql(rounds: int = 4) -> str:
     return "WITH " + ", ".join(parts) + f" SELECT p.quantity, k, round(estimate, 5) AS estimate, round(adjusted, 5) AS adjusted, filled FROM plain p JOIN adjusted a ON p.quantity = a.quantity JOIN {last} f ON p.quantity = f.quantity"
 
 
-register("trim_and_fill", lambda s, d: rounded(diagnostics.trim_and_fill(studies.event_studies(s, d), Q), 5), _trim_fill_sql())
+# its SQL states four rounds; trim_and_fill_settled goes on to the fixed point
+register("trim_and_fill", lambda s, d: rounded(diagnostics.trim_and_fill(studies.event_studies(s, d), Q, rounds=4), 5), _trim_fill_sql())
+register("trim_and_fill_settled", lambda s, d: rounded(diagnostics.trim_and_fill(studies.event_studies(s, d), Q), 5))
 register(
     "split_by_technique",
     lambda s, d: rounded(diagnostics.shares(studies.price_studies(s, d), ["quantity", "technique"]), 3),

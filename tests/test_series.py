@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from metaseries.functions import quantiles
-from metaseries.operators import compare, deviation, pooling, tension
+from metaseries.operators import compare, deviation, diagnostics, pooling, tension
 from metaseries.plans import registry
 
 SF = "/root/testdata/sf0.001"
@@ -93,3 +93,26 @@ def test_version_bump(spark):
 def test_reach(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c")], "src string, dst string")
     assert {tuple(r) for r in compare.reach(edges).collect()} == {("a", "b"), ("b", "c"), ("a", "c")}
+
+
+def test_trim_and_fill_settles(spark):
+    """Against plain Python at the fixed point, on a series that four rounds do not settle."""
+    rows = [("a", i, (i / 60) ** 0.5, 1.0) for i in range(60)] + [("b", i, float(i % 7), 1.0) for i in range(40)]
+
+    def settled(own, rounds=None):
+        own = sorted(own, key=lambda r: (r[2], r[1]))
+        k, filled, done = len(own), None, 0
+        while rounds is None or done < rounds:
+            kept = own[: k - (filled or 0)]
+            c = sum(r[2] / r[3] for r in kept) / sum(1 / r[3] for r in kept)
+            ranked = sorted(own, key=lambda r: (abs(r[2] - c), r[1]))
+            right = sum(i for i, r in enumerate(ranked, 1) if r[2] > c)
+            was, filled, done = filled, max(0, min(k - 2, math.floor((4 * right - k * (k + 1)) / (2 * k - 1) + 0.5))), done + 1
+            if filled == was:
+                break
+        return filled
+
+    table = spark.createDataFrame(rows, "quantity string, grp long, y double, v double")
+    found = {r.quantity: r.filled for r in diagnostics.trim_and_fill(table, ["quantity"]).collect()}
+    assert found == {q: settled([r for r in rows if r[0] == q]) for q in "ab"}
+    assert found["a"] != settled([r for r in rows if r[0] == "a"], 4)
