@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from metaseries.sources.tables import materialise
+
 
 def differences(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """``key, change`` of what was added, removed or changed between two states."""
@@ -35,12 +37,19 @@ def not_in_intervals(sites: DataFrame, blocks: DataFrame, file: str = "file", li
 
 
 def reach(edges: DataFrame) -> DataFrame:
-    """``src, dst`` of each pair joined by a path of ``edges (src, dst)``."""
-    edges.createOrReplaceTempView("_reach_edges")
-    return edges.sparkSession.sql(
-        "WITH RECURSIVE walk(src, dst, depth) AS (SELECT src, dst, 1 FROM _reach_edges UNION ALL"
-        " SELECT w.src, e.dst, w.depth + 1 FROM walk w JOIN _reach_edges e ON w.dst = e.src WHERE w.depth < 32) SELECT DISTINCT src, dst FROM walk"
-    )
+    """``src, dst`` of each pair joined by a path of ``edges (src, dst)``.
+
+    Each round adds the pairs one edge longer that were not met before, and writes them
+    out, until there are none; so paths may be of any length and go in circles.
+    """
+    links = materialise(edges.select("src", "dst").distinct())
+    step = links.select(F.col("src").alias("dst"), F.col("dst").alias("next"))
+    found = new = links
+    while not new.isEmpty():
+        longer = new.join(step, "dst").select("src", F.col("next").alias("dst")).distinct()
+        new = materialise(longer.subtract(found))  # null ends are equal here
+        found = materialise(found.unionByName(new))
+    return found
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

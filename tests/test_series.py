@@ -116,3 +116,11 @@ def test_trim_and_fill_settles(spark):
     found = {r.quantity: r.filled for r in diagnostics.trim_and_fill(table, ["quantity"]).collect()}
     assert found == {q: settled([r for r in rows if r[0] == q]) for q in "ab"}
     assert found["a"] != settled([r for r in rows if r[0] == "a"], 4)
+
+
+def test_reach_beyond_32_hops_and_in_circles(spark):
+    chain = [(i, i + 1) for i in range(36)]
+    circle = [(100, 101), (101, 102), (102, 100)]
+    found = compare.reach(spark.createDataFrame(chain + circle, "src long, dst long").coalesce(1)).collect()
+    expected = {(i, j) for i in range(37) for j in range(i + 1, 37)} | {(i, j) for i in range(100, 103) for j in range(100, 103)}
+    assert len(found) == len(expected) and {tuple(r) for r in found} == expected
