@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .pooling import latest, leave_one_out, pool_random
+from .pooling import centred, leave_one_out, pool_fixed, pool_random
 
 #: Of a reference's half-width to a measurement's, the largest ratio admitted.
 ADMITTED = 1 / 3
@@ -22,23 +22,35 @@ def deviation(x: Column, r: Column, plus: Column, minus: Column) -> Column:
     return F.try_divide(x - r, side_width(x, r, plus, minus))
 
 
-def references(studies: DataFrame, keys: list[str], resolved_below: float = 0.5) -> DataFrame:
-    """Each study with its reference value under four kinds: ``reference_kind, r, r_half``.
+def accepted_values(studies: DataFrame, keys: list[str]) -> DataFrame:
+    """``r, r_half, vintage`` of each key: the pool of all that was published up to the vintage, the last day.
 
-    ``modern``: the last published study of the key, for all others; ``later``: the
-    pool of all studies published after it; ``leave-one-out``: the pool of all others;
-    ``resolved``: ``modern``, for keys whose I2 is under ``resolved_below``.
+    It stands in where no accepted value is handed in. Studies that dominate it are those
+    that the admission rule leaves out.
     """
+    last = studies.groupBy(*keys).agg(F.max("pub").alias("vintage"))
+    return pool_fixed(studies, keys).join(last, keys).select(*keys, F.col("estimate").alias("r"), F.col("se").alias("r_half"), "vintage")
+
+
+def references(studies: DataFrame, keys: list[str], accepted: DataFrame | None = None, resolved_below: float = 0.5) -> DataFrame:
+    """Each study with its reference value under four kinds: ``reference_kind, r, r_half, vintage``.
+
+    ``modern``: the key's accepted value, from ``accepted`` or else ``accepted_values``;
+    ``later``: the pool of all studies published on later days; ``leave-one-out``: the
+    pool of all others; ``resolved``: ``modern``, for keys whose I2 is under
+    ``resolved_below``. The vintage is the last day that a value takes in.
+    """
+    modern = studies.join(accepted_values(studies, keys) if accepted is None else accepted, keys)
     w = 1 / F.col("v")
-    newest = latest(studies, keys).select(*keys, F.col("grp").alias("new_grp"), F.col("pub").alias("new_pub"), F.col("technique").alias("new_technique"), F.col("y").alias("r"), F.col("s").alias("r_half"))
-    itself = (F.col("grp") == F.col("new_grp")) & (F.col("pub") == F.col("new_pub")) & (F.col("technique") == F.col("new_technique"))
-    modern = studies.join(newest, keys).where(~itself)
-    after = Window.partitionBy(*keys).orderBy(F.datediff("pub", F.lit("1970-01-01").cast("date"))).rangeBetween(1, Window.unboundedFollowing)
-    later = studies.withColumn("_sw", F.sum(w).over(after)).withColumn("r", F.sum(w * F.col("y")).over(after) / F.col("_sw")).withColumn("r_half", F.sqrt(1 / F.col("_sw"))).where("_sw is not null")
-    others = leave_one_out(studies, keys).withColumnRenamed("reference", "r").withColumnRenamed("reference_se", "r_half").where("r is not null")
+    days = centred(studies, keys).groupBy(*keys, "pivot", "pub").agg(F.sum(w).alias("w"), F.sum(w * F.col("d")).alias("wd"))
+    after = Window.partitionBy(*keys).orderBy("pub").rowsBetween(1, Window.unboundedFollowing)
+    ahead = days.select(*keys, "pub", "pivot", F.sum("w").over(after).alias("w"), F.sum("wd").over(after).alias("wd"), F.max("pub").over(after).alias("vintage"))
+    later = studies.join(ahead.where("w is not null"), [*keys, "pub"]).withColumn("r", F.col("pivot") + F.col("wd") / F.col("w")).withColumn("r_half", F.sqrt(1 / F.col("w")))
+    last = studies.groupBy(*keys).agg(F.max("pub").alias("vintage"))
+    others = leave_one_out(studies, keys).join(last, keys).withColumnRenamed("reference", "r").withColumnRenamed("reference_se", "r_half").where("r is not null")
     settled = pool_random(studies, keys).where(F.col("i2") < resolved_below).select(*keys)
     columns = studies.columns
-    kind = lambda d, name: d.select(*columns, F.lit(name).alias("reference_kind"), "r", "r_half")
+    kind = lambda d, name: d.select(*columns, F.lit(name).alias("reference_kind"), "r", "r_half", "vintage")
     return kind(modern, "modern").unionByName(kind(later, "later")).unionByName(kind(others, "leave-one-out")).unionByName(kind(modern.join(settled, keys, "left_semi"), "resolved"))
 
 
@@ -66,6 +78,12 @@ def accounting(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by, "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def width_source(components: Column) -> Column:
+    """Which width ``effective_width`` gives: ``total``, ``quadrature``, or null for none."""
+    totals = F.size(F.filter(components, lambda c: c["component"] == "total"))
+    return F.when(effective_width(components).isNotNull(), F.when(totals == 1, "total").otherwise("quadrature"))
+
+
 def effective_width(components: Column) -> Column:
     """Half-width from an array of (component, width): the quoted total if there is one,
     else the root of the sum of squares; null with several totals, none, or a zero width."""

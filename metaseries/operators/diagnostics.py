@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from metaseries.functions.quantiles import normal_quantile
 from metaseries.sources.tables import materialise
 
-from .pooling import pool_fixed, weighted_sums
+from .pooling import centre, centred, pool_fixed, pool_random, weighted_sums
 
 
 def funnel_points(studies: DataFrame, keys: list[str]) -> DataFrame:
@@ -18,20 +19,26 @@ def funnel_points(studies: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def egger_regression(studies: DataFrame, keys: list[str]) -> DataFrame:
-    """Regression of y / s on 1 / s (Egger et al. 1997): ``k, intercept, slope, t``; null under three studies."""
-    x, z = 1 / F.col("s"), F.col("y") / F.col("s")
-    sums = studies.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"), F.sum(x).alias("sx"), F.sum(z).alias("sz"), F.sum(x * x).alias("sxx"), F.sum(x * z).alias("sxz"), F.sum(z * z).alias("szz"))
+    """Regression of y / s on 1 / s (Egger et al. 1997): ``k, intercept, slope, t``; null under three studies.
+
+    Values are taken from the series' least, which lowers the slope by as much and leaves
+    the intercept, and 1 / s from the widest study's.
+    """
+    least = studies.groupBy(*keys).agg(F.min(1 / F.col("s")).alias("px"))
+    x, z = 1 / F.col("s") - F.col("px"), F.col("d") / F.col("s")
+    sums = centred(studies, keys).join(least, keys).groupBy(*keys, "pivot", "px").agg(F.count(F.lit(1)).alias("k"), F.sum(x).alias("sx"), F.sum(z).alias("sz"), F.sum(x * x).alias("sxx"), F.sum(x * z).alias("sxz"), F.sum(z * z).alias("szz"))
     k = F.col("k")
     cxx, cxz, czz = (F.col(a) - F.col(b) * F.col(c) / k for a, b, c in (("sxx", "sx", "sx"), ("sxz", "sx", "sz"), ("szz", "sz", "sz")))
     slope = F.try_divide(cxz, F.when(k > 2, cxx))
     fitted = sums.withColumn("slope", slope).withColumn("cxx", cxx).withColumn("rest", F.greatest(F.lit(0.0), czz - slope * cxz))
-    intercept = (F.col("sz") - F.col("slope") * F.col("sx")) / F.col("k")
-    error = F.sqrt(F.try_divide(F.col("rest"), F.col("k") - 2) * (1 / F.col("k") + F.col("sx") ** 2 / F.col("k") ** 2 / F.col("cxx")))
-    return fitted.select(*keys, "k", intercept.alias("intercept"), "slope", F.try_divide(intercept, error).alias("t"))
+    mean = F.col("px") + F.col("sx") / F.col("k")
+    intercept = F.col("sz") / F.col("k") - F.col("slope") * mean
+    error = F.sqrt(F.try_divide(F.col("rest"), F.col("k") - 2) * (1 / F.col("k") + mean**2 / F.col("cxx")))
+    return fitted.select(*keys, "k", intercept.alias("intercept"), (F.col("pivot") + F.col("slope")).alias("slope"), F.try_divide(intercept, error).alias("t"))
 
 
-def trim_and_fill(studies: DataFrame, keys: list[str], rounds: int | None = None) -> DataFrame:
-    """Duval and Tweedie's L0 on the right side: ``k, filled, estimate, adjusted``.
+def trim_and_fill(studies: DataFrame, keys: list[str], rounds: int | None = None, side: str = "right") -> DataFrame:
+    """Duval and Tweedie's L0: ``k, filled, estimate, adjusted``; studies in excess on the right are trimmed, or on the ``left``.
 
     Each round centres on the studies without the ``filled`` largest values, ranks the
     distances from there, and takes the number of unmatched studies on the right from
@@ -39,6 +46,9 @@ def trim_and_fill(studies: DataFrame, keys: list[str], rounds: int | None = None
     ``filled`` changes, or stop after ``rounds``; a key whose rounds come back to an
     earlier number keeps going round, which is an error.
     """
+    if side == "left":
+        mirrored = trim_and_fill(studies.withColumn("y", -F.col("y")), keys, rounds)
+        return mirrored.select(*keys, "k", (-F.col("estimate")).alias("estimate"), (-F.col("adjusted")).alias("adjusted"), "filled")
     by_value = Window.partitionBy(*keys).orderBy("y", "grp")
     k = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     ranked = materialise(studies.select(*keys, "grp", "y", "v", F.row_number().over(by_value).alias("place"), k.alias("k")))
@@ -68,6 +78,22 @@ def trim_and_fill(studies: DataFrame, keys: list[str], rounds: int | None = None
     return plain.join(adjusted, keys).join(state.select(*keys, "filled"), keys)
 
 
+def forest_rows(studies: DataFrame, keys: list[str], level: float = 0.95) -> DataFrame:
+    """The lines of a forest plot: each study with its interval and weight, in order of publication, then the key's pooled lines.
+
+    ``kind`` is study, fixed or random; ``weight`` the share in the fixed-effect pool.
+    """
+    z = normal_quantile(0.5 + level / 2)
+    fixed, random = pool_fixed(studies, keys), pool_random(studies, keys)
+    line = lambda d, kind, label, y, s, weight: d.select(
+        *keys, F.lit(kind).alias("kind"), label.cast("string").alias("label"), y.alias("y"), (y - z * s).alias("lower"), (y + z * s).alias("upper"), weight.alias("weight")
+    )
+    joined = studies.join(fixed.select(*keys, F.col("se").alias("of")), keys)
+    own = line(joined, "study", F.concat_ws(" ", F.col("pub"), F.col("grp")), F.col("y"), F.sqrt("v"), F.col("of") ** 2 / F.col("v"))
+    pools = [line(d, kind, F.lit(None), F.col("estimate"), F.col("se"), F.lit(None).cast("double")) for d, kind in ((fixed, "fixed"), (random, "random"))]
+    return own.unionByName(pools[0]).unionByName(pools[1])
+
+
 def histogram(deviations: DataFrame, by: list[str], width: float = 0.5, last: float = 5.0) -> DataFrame:
     """Counts of |z| in bins of ``width``; all from ``last`` on share one."""
     at = F.least(F.floor(F.abs("z") / width), F.lit(int(last / width))).cast("long")
@@ -76,4 +102,4 @@ def histogram(deviations: DataFrame, by: list[str], width: float = 0.5, last: fl
 
 def shares(studies: DataFrame, by: list[str]) -> DataFrame:
     """Count, mean width and pooled estimate by any split of the series."""
-    return weighted_sums(studies, by).select(*by, "k", (F.col("swy") / F.col("sw")).alias("estimate"))
+    return weighted_sums(studies, by).select(*by, "k", centre().alias("estimate"))

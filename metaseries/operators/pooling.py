@@ -1,7 +1,8 @@
 """Pooled estimates of measurement series, from sums over studies.
 
 All estimators are built from weighted sums, so a series of any length is
-pre-aggregated where its studies lie. ``studies`` have ``y`` and ``v`` (value and
+pre-aggregated where its studies lie. Values are taken from a value of their own series
+first, so that sums keep their digits where widths are a billionth of the values. ``studies`` have ``y`` and ``v`` (value and
 variance, v > 0) and key columns. Sources of the formulas: inverse-variance pooling;
 DerSimonian and Laird 1986; Paule and Mandel 1982; Hartung and Knapp 2001; Birge 1932;
 Higgins, Thompson and Spiegelhalter 2009 for the prediction interval.
@@ -17,23 +18,36 @@ from metaseries.functions.quantiles import student_column
 from metaseries.sources.tables import materialise
 
 
+def centred(studies: DataFrame, keys: list[str]) -> DataFrame:
+    """``studies`` with ``pivot``, the least value of the key, and ``d``, the distance from it."""
+    if "pivot" in studies.columns:
+        return studies
+    pivot = studies.groupBy(*keys).agg(F.min("y").alias("pivot"))
+    return studies.join(pivot, keys).withColumn("d", F.col("y") - F.col("pivot"))
+
+
 def weighted_sums(studies: DataFrame, keys: list[str], weight: Column | None = None) -> DataFrame:
-    """``k, sw, swy, swyy, sww`` of each key."""
+    """``k, pivot, sw, swd, swdd, sww`` of each key; ``d`` is the distance from the pivot."""
     w = 1 / F.col("v") if weight is None else weight
-    y = F.col("y")
-    return studies.groupBy(*keys).agg(
-        F.count("y").alias("k"), F.sum(w).alias("sw"), F.sum(w * y).alias("swy"), F.sum(w * y * y).alias("swyy"), F.sum(w * w).alias("sww")
+    d = F.col("d")
+    return centred(studies, keys).groupBy(*keys, "pivot").agg(
+        F.count("d").alias("k"), F.sum(w).alias("sw"), F.sum(w * d).alias("swd"), F.sum(w * d * d).alias("swdd"), F.sum(w * w).alias("sww")
     )
 
 
+def centre() -> Column:
+    """The weighted mean of weighted sums."""
+    return F.col("pivot") + F.col("swd") / F.col("sw")
+
+
 def scatter() -> Column:
     """Cochran's Q of weighted sums."""
-    return F.greatest(F.lit(0.0), F.col("swyy") - F.col("swy") * F.col("swy") / F.col("sw"))
+    return F.greatest(F.lit(0.0), F.col("swdd") - F.col("swd") * F.col("swd") / F.col("sw"))
 
 
 def pool_fixed(studies: DataFrame, keys: list[str]) -> DataFrame:
     """``k, estimate, se, q`` under the fixed-effect model."""
-    return weighted_sums(studies, keys).select(*keys, "k", (F.col("swy") / F.col("sw")).alias("estimate"), F.sqrt(1 / F.col("sw")).alias("se"), scatter().alias("q"))
+    return weighted_sums(studies, keys).select(*keys, "k", centre().alias("estimate"), F.sqrt(1 / F.col("sw")).alias("se"), scatter().alias("q"))
 
 
 def between_variance(studies: DataFrame, keys: list[str]) -> DataFrame:
@@ -49,12 +63,13 @@ def paule_mandel_variance(studies: DataFrame, keys: list[str], rounds: int = 40,
     Newton rounds from 0, each one aggregation; Q falls and is convex in tau2, so the
     rounds rise to the root. One row a key is all that is kept between rounds.
     """
+    studies = materialise(centred(studies, keys).select(*keys, "y", "v", "pivot", "d"))
     held = materialise(between_variance(studies, keys).select(*keys, "k", "q", F.lit(0.0).alias("tau2")))
     for _ in range(rounds):
         w = 1 / (F.col("v") + F.col("tau2"))
         with_mean = studies.join(held, keys)
-        mean = weighted_sums(with_mean, keys, w).select(*keys, (F.col("swy") / F.col("sw")).alias("m"))
-        off = (F.col("y") - F.col("m")) ** 2
+        mean = weighted_sums(with_mean, keys, w).select(*keys, (F.col("swd") / F.col("sw")).alias("m"))
+        off = (F.col("d") - F.col("m")) ** 2
         step = with_mean.join(mean, keys).groupBy(*keys).agg(F.sum(w * off).alias("qt"), F.sum(w * w * off).alias("slope"))
         rise = F.when((F.col("k") > 1) & (F.col("qt") > F.col("k") - 1), F.coalesce(F.try_divide(F.col("qt") - (F.col("k") - 1), F.col("slope")), F.lit(0.0))).otherwise(0.0)
         after = materialise(held.join(step, keys).select(*keys, "k", "q", (F.col("tau2") + rise).alias("tau2"), rise.alias("rise")))
@@ -80,7 +95,7 @@ def pool_random(studies: DataFrame, keys: list[str], variance: DataFrame | None
         "q",
         i2.alias("i2"),
         "tau2",
-        (F.col("swy") / F.col("sw")).alias("estimate"),
+        centre().alias("estimate"),
         F.sqrt(1 / F.col("sw")).alias("se"),
         F.sqrt(F.try_divide(scatter(), (F.col("k") - 1) * F.col("sw"))).alias("se_hk"),
     )
@@ -99,19 +114,30 @@ def prediction_interval(studies: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def cumulative(studies: DataFrame, keys: list[str]) -> DataFrame:
-    """The fixed-effect estimate after each study in order of publication, within each key."""
-    upto = Window.partitionBy(*keys).orderBy("pub", "grp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """The fixed-effect estimate after each study in order of publication, within each key.
+
+    Sums before a day come from one row a day, those within it from the day's studies, so
+    no task holds more than a series' days or one day's studies. Name the definition
+    epoch among the keys where a series has several: estimates never run across them.
+    """
     w = 1 / F.col("v")
-    sw = F.sum(w).over(upto)
-    return studies.select(*keys, "grp", "pub", F.count(F.lit(1)).over(upto).alias("k"), (F.sum(w * F.col("y")).over(upto) / sw).alias("estimate"), F.sqrt(1 / sw).alias("se"))
+    rows = centred(studies, keys).withColumn("w", w).withColumn("wd", w * F.col("d"))
+    days = rows.groupBy(*keys, "pub").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("w"), F.sum("wd").alias("wd"))
+    before = Window.partitionBy(*keys).orderBy("pub").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = days.select(*keys, "pub", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"before_{c}") for c in ("n", "w", "wd")])
+    own = Window.partitionBy(*keys, "pub").orderBy("grp").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = {c: F.col(f"before_{c}") + F.sum(c).over(own) for c in ("w", "wd")}
+    k = (F.col("before_n") + F.count(F.lit(1)).over(own)).cast("long")
+    return rows.join(earlier, [*keys, "pub"]).select(*keys, "grp", "pub", k.alias("k"), (F.col("pivot") + upto["wd"] / upto["w"]).alias("estimate"), F.sqrt(1 / upto["w"]).alias("se"))
 
 
 def leave_one_out(studies: DataFrame, keys: list[str]) -> DataFrame:
     """Each study with the fixed-effect estimate of all others of its key; null if alone."""
     w = 1 / F.col("v")
-    sums = weighted_sums(studies, keys).select(*keys, "sw", "swy", F.col("k").alias("of"))
+    sums = weighted_sums(studies, keys).select(*keys, "pivot", "sw", "swd", F.col("k").alias("of"))
     rest = F.when(F.col("of") > 1, F.col("sw") - w)
-    return studies.join(sums, keys).select(*studies.columns, F.try_divide(F.col("swy") - w * F.col("y"), rest).alias("reference"), F.sqrt(F.try_divide(F.lit(1.0), rest)).alias("reference_se"))
+    reference = F.col("pivot") + F.try_divide(F.col("swd") - w * (F.col("y") - F.col("pivot")), rest)
+    return studies.join(sums, keys).select(*studies.columns, reference.alias("reference"), F.sqrt(F.try_divide(F.lit(1.0), rest)).alias("reference_se"))
 
 
 def latest(studies: DataFrame, keys: list[str]) -> DataFrame:

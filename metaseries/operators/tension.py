@@ -27,53 +27,67 @@ def apart(y1: Column, s1: Column, y2: Column, s2: Column) -> Column:
 
 
 def pair_tensions(studies: DataFrame, keys: list[str], k: float) -> DataFrame:
-    """Unordered pairs of a series' studies: ``pairs, tensions, measurements``.
+    """Unordered pairs of a series' scorable studies: ``pairs, tensions, measurements, quantities``.
 
-    Each pair is tested once, in the join on the key; what leaves the join is only the
-    pairs in tension. Meant for curated series, of some hundred studies each.
+    A study is scorable with a value and a width over zero. Each pair is tested once, in
+    the join on the key; what leaves the join is only the pairs in tension. Meant for
+    curated series, of some hundred studies each. ``quantities`` counts the distinct keys
+    with a tension in the whole table, for the statement that pairs are not independent.
     """
-    number = studies.select(*keys, "grp", "technique", "y", "s")
+    number = studies.where("y is not null and s > 0").select(*keys, "grp", "technique", "y", "s")
     a = number.select(*keys, *[F.col(c).alias(f"{c}1") for c in ("grp", "technique", "y", "s")])
     b = number.select(*keys, *[F.col(c).alias(f"{c}2") for c in ("grp", "technique", "y", "s")])
     first = (F.col("grp1") < F.col("grp2")) | ((F.col("grp1") == F.col("grp2")) & (F.col("technique1") < F.col("technique2")))
     held = a.join(b, keys).where(first & (apart(F.col("y1"), F.col("s1"), F.col("y2"), F.col("s2")) >= k))
-    found = held.groupBy(*keys).agg(F.count(F.lit(1)).alias("tensions"))
     ends = held.select(*keys, F.explode(F.array(*[F.struct(F.col(f"grp{i}").alias("grp"), F.col(f"technique{i}").alias("technique")) for i in (1, 2)])).alias("m"))
-    named = ends.groupBy(*keys).agg(F.countDistinct("m").alias("measurements"))
+    # each tension gives two rows
+    found = ends.groupBy(*keys, "m").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(F.floor(F.sum("n") / 2).alias("tensions"), F.count(F.lit(1)).alias("measurements"))
     n = F.col("n")
-    total = studies.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(*keys, F.floor(n * (n - 1) / 2).cast("long").alias("pairs"))
+    total = number.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(*keys, F.floor(n * (n - 1) / 2).cast("long").alias("pairs"))
     none = F.lit(0).cast("long")
-    return total.join(found, keys, "left").join(named, keys, "left").select(*keys, "pairs", F.coalesce("tensions", none).alias("tensions"), F.coalesce("measurements", none).alias("measurements"))
+    rows = total.join(found, keys, "left").select(*keys, "pairs", F.coalesce("tensions", none).alias("tensions"), F.coalesce("measurements", none).alias("measurements"))
+    return rows.join(F.broadcast(rows.agg(F.count(F.when(F.col("tensions") > 0, 1)).alias("quantities"))))
 
 
 def split_tensions(studies: DataFrame, keys: list[str], split: str, least: int = 3) -> DataFrame:
-    """Pooled estimates of a series' parts, two by two: ``first, second, apart``; parts of ``least`` studies or more."""
+    """Pooled estimates of a series' parts, two by two: ``first, second, apart, least``; parts of ``least`` studies or more."""
     pooled = pool_random(studies, [*keys, split]).where(F.col("k") >= least)
     a = pooled.select(*keys, F.col(split).alias("first"), F.col("estimate").alias("y1"), F.col("se").alias("s1"))
     b = pooled.select(*keys, F.col(split).alias("second"), F.col("estimate").alias("y2"), F.col("se").alias("s2"))
-    return a.join(b, keys).where("first < second").select(*keys, "first", "second", apart(F.col("y1"), F.col("s1"), F.col("y2"), F.col("s2")).alias("apart"))
+    return a.join(b, keys).where("first < second").select(*keys, "first", "second", apart(F.col("y1"), F.col("s1"), F.col("y2"), F.col("s2")).alias("apart"), F.lit(least).alias("least"))
 
 
-def outcomes(tensions: DataFrame, studies: DataFrame, keys: list[str], k: float) -> DataFrame:
-    """Each tension with one of confirmed, refuted, explained, unresolved.
+def outcomes(tensions: DataFrame, scored: DataFrame, keys: list[str], corrections: DataFrame | None = None) -> DataFrame:
+    """Each of ``tensions`` with ``outcome`` and ``counts_as``.
 
-    The judge is the pool of all studies published later. It confirms if it agrees with
-    the study within ``k`` and not with the reference, refutes the other way round; if
-    it agrees with both the tension is explained by neither's widths - and counts as
-    ``explained``; without later studies, or agreeing with none, ``unresolved``.
+    ``scored`` are the deviations of all studies from the same reference, one value a
+    key; ``tensions`` are rows of it. A later study, published on a later day, speaks only
+    if it is admitted. It confirms if it lies on the tension's side of the reference and
+    outside the reference's interval, and refutes if it lies within that interval; the
+    first day on which one does so decides, and if both happen on that day, the tension
+    is refuted. ``corrections (keys, grp, technique, side)`` are published identified
+    errors, with ``side`` confirmed or refuted: such a tension is ``explained`` and
+    ``counts_as`` its side. Else it is ``unresolved``: no admitted later study, or none
+    that lies on that side or in the interval.
+
+    Days are summed up first, so a series' window runs over its days, not its studies.
     """
-    day = F.datediff("pub", F.lit("1970-01-01").cast("date"))
-    w = 1 / F.col("v")
-    after = Window.partitionBy(*keys).orderBy(day).rangeBetween(1, Window.unboundedFollowing)
-    judged = studies.select(*keys, "grp", "technique", F.sum(w).over(after).alias("lw"), F.sum(w * F.col("y")).over(after).alias("lwy"))
-    rows = tensions.join(judged, [*keys, "grp", "technique"], "left")
-    later, later_s = F.col("lwy") / F.col("lw"), F.sqrt(1 / F.col("lw"))
-    with_it = apart(F.col("y"), F.col("s"), later, later_s) < k
-    with_reference = apart(F.col("r"), F.col("r_half"), later, later_s) < k
-    outcome = (
-        F.when(F.col("lw").isNull(), "unresolved").when(with_it & with_reference, "explained").when(with_it, "confirmed").when(with_reference, "refuted").otherwise("unresolved")
-    )
-    return rows.withColumn("outcome", outcome).drop("lw", "lwy")
+    y, low, high = F.col("y"), F.col("r") - F.col("r_half"), F.col("r") + F.col("r_half")
+    says = {"above": y > high, "below": y < low, "within": (y >= low) & (y <= high)}
+    days = scored.groupBy(*keys, "pub").agg(*[F.max(F.when(F.col("admitted") & c, F.col("pub"))).alias(k) for k, c in says.items()])
+    after = Window.partitionBy(*keys).orderBy("pub").rowsBetween(1, Window.unboundedFollowing)
+    ahead = days.select(*keys, "pub", *[F.min(k).over(after).alias(f"next_{k}") for k in says])
+    rows = tensions.join(ahead, [*keys, "pub"])
+    with_it = F.when(F.col("z") > 0, F.col("next_above")).otherwise(F.col("next_below"))
+    decided = F.when(F.col("next_within").isNotNull() & (with_it.isNull() | (F.col("next_within") <= with_it)), "refuted").when(with_it.isNotNull(), "confirmed")
+    rows = rows.withColumn("counts_as", decided)
+    if corrections is not None:
+        rows = rows.join(corrections.select(*keys, "grp", "technique", "side"), [*keys, "grp", "technique"], "left")
+    else:
+        rows = rows.withColumn("side", F.lit(None).cast("string"))
+    explained = F.col("side").isNotNull()
+    outcome = F.when(explained, "explained").otherwise(F.coalesce("counts_as", F.lit("unresolved")))
+    return rows.withColumn("outcome", outcome).withColumn("counts_as", F.when(explained, F.col("side")).otherwise(F.col("counts_as"))).drop("side", *[f"next_{k}" for k in says])
 
 
 def wilson(hits: Column, n: Column, level: float = 0.95) -> tuple[Column, Column]:
@@ -85,33 +99,66 @@ def wilson(hits: Column, n: Column, level: float = 0.95) -> tuple[Column, Column
     return F.when(n > 0, middle - half), F.when(n > 0, middle + half)
 
 
-#: The members without which a probability must not be given.
-MEMBERS = ("k", "reference_kind", "scored", "tensions", "confirmed", "refuted", "explained", "unresolved", "resolved_share", "interval", "censoring")
+#: The members without which a probability must not be given: fixed names.
+MEMBERS = ("number", "interval", "count", "event_kind", "k", "reference", "admission_rule", "quantities", "disciplines", "period", "unresolved")
+OUTCOMES = ("confirmed", "refuted", "explained", "unresolved")
+
+
+def outcome_counts(judged: DataFrame, scored: DataFrame, by: list[str]) -> DataFrame:
+    """``scored, tensions``, a count of each outcome, and ``real`` and ``not_real``: those
+    confirmed and refuted with the explained ones on their side."""
+    n = judged.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("tensions"),
+        *[F.count(F.when(F.col("outcome") == o, 1)).alias(o) for o in OUTCOMES],
+        F.count(F.when(F.col("counts_as") == "confirmed", 1)).alias("real"),
+        F.count(F.when(F.col("counts_as") == "refuted", 1)).alias("not_real"),
+    )
+    every = scored.groupBy(*by).agg(F.count(F.lit(1)).alias("scored")).join(n, by, "left")
+    return every.select(*by, "scored", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("tensions", *OUTCOMES, "real", "not_real")])
 
 
-def probability(judged: DataFrame, scored: DataFrame, by: list[str], k: float, reference_kind: str) -> DataFrame:
+def probability(judged: DataFrame, scored: DataFrame, by: list[str], k: float, admission_rule: str, event_kind: str = "deviation tension", discipline: str = "technique") -> DataFrame:
     """One row a key with the struct ``probability`` of all ``MEMBERS``.
 
-    ``resolved_share`` is confirmed / (confirmed + refuted) with Wilson's interval;
-    ``censoring`` bounds it by taking all open tensions as refuted or as confirmed.
+    ``number`` is the share of tensions confirmed among those resolved, with its
+    ``censored`` bounds, taking all unresolved ones as refuted or as confirmed;
+    ``interval`` is Wilson's, ``count`` the resolved tensions that both rest on. The
+    rows of ``scored`` say ``reference_kind`` and ``vintage``; put ``reference_kind``
+    in ``by`` for all references side by side.
     """
-    names = ("confirmed", "refuted", "explained", "unresolved")
-    n = judged.groupBy(*by).agg(F.count(F.lit(1)).alias("tensions"), *[F.count(F.when(F.col("outcome") == o, 1)).alias(o) for o in names])
-    rows = scored.groupBy(*by).agg(F.count(F.lit(1)).alias("scored")).join(n, by, "left")
-    rows = rows.select(*by, "scored", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("tensions", *names)])
-    resolved = F.col("confirmed") + F.col("refuted")
-    low, high = wilson(F.col("confirmed"), resolved)
-    total = F.col("tensions")
-    return rows.select(
-        *by,
-        F.struct(
-            F.lit(float(k)).alias("k"),
-            F.lit(reference_kind).alias("reference_kind"),
-            "scored",
-            "tensions",
-            *names,
-            F.try_divide(F.col("confirmed"), resolved).alias("resolved_share"),
-            F.struct(low.alias("low"), high.alias("high")).alias("interval"),
-            F.struct(F.try_divide(F.col("confirmed"), total).alias("low"), F.try_divide(F.col("confirmed") + F.col("explained") + F.col("unresolved"), total).alias("high")).alias("censoring"),
-        ).alias("probability"),
+    about = scored.groupBy(*by).agg(
+        F.array_sort(F.collect_set("quantity")).alias("quantities"),
+        F.array_sort(F.collect_set(discipline)).alias("disciplines"),
+        F.struct(F.min("pub").alias("from"), F.max("pub").alias("to")).alias("period"),
+        F.struct(F.array_join(F.array_sort(F.collect_set("reference_kind")), ", ").alias("choice"), F.max("vintage").alias("vintage")).alias("reference"),
     )
+    resolved, total, open_ = F.col("real") + F.col("not_real"), F.col("tensions"), F.col("unresolved")
+    low, high = wilson(F.col("real"), resolved)
+    censored = F.struct(F.try_divide(F.col("real"), total).alias("low"), F.try_divide(F.col("real") + open_, total).alias("high"))
+    members = {
+        "number": F.struct(F.try_divide(F.col("real"), resolved).alias("resolved_only"), censored.alias("censored")),
+        "interval": F.struct(low.alias("low"), high.alias("high")),
+        "count": resolved,
+        "event_kind": F.lit(event_kind),
+        "k": F.lit(float(k)),
+        "reference": F.col("reference"),
+        "admission_rule": F.lit(admission_rule),
+        "quantities": F.col("quantities"),
+        "disciplines": F.col("disciplines"),
+        "period": F.col("period"),
+        "unresolved": F.struct(open_.alias("count"), F.try_divide(open_, total).alias("share")),
+    }
+    return outcome_counts(judged, scored, by).join(about, by).select(*by, F.struct(*[c.alias(m) for m, c in members.items()]).alias("probability"))
+
+
+def carries_probability(df: DataFrame) -> bool:
+    """Whether a column is a probability, or a part of one that would travel without the rest."""
+    kinds = [f.dataType for f in df.schema]
+    return any(set(MEMBERS) & {m.name for m in t} >= {"number"} for t in kinds if hasattr(t, "names"))
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write ``df`` as CSV; refused where it holds a probability, which no cell can carry with its conditions."""
+    if carries_probability(df):
+        raise ValueError("CSV can't carry a probability with its conditions; write JSON or Parquet, or the counts")
+    df.write.option("header", True).csv(path)

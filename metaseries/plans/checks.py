@@ -139,13 +139,15 @@ register(
 
 # comparison
 def _states(s, d) -> DataFrame:
-    o = table(s, d, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus", "o_totalprice")
-    new = o.where("key % 5 <> 0").withColumn("o_orderstatus", F.when(F.col("key") % 11 == 0, "W").otherwise(F.col("o_orderstatus")))
-    return compare.differences(o.where("key % 7 <> 0"), new, "key", ["o_orderstatus", "o_totalprice"])
+    """Two states of the orders: those in process are new in the second, cheap open ones are gone from it, urgent finished ones changed."""
+    o = table(s, d, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus", "o_totalprice", "o_orderpriority")
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")
+    new = o.where("o_orderstatus <> 'O' or o_totalprice >= 50000").withColumn("o_orderstatus", F.when(urgent, "W").otherwise(F.col("o_orderstatus")))
+    return compare.differences(o.where("o_orderstatus <> 'P'"), new, "key", ["o_orderstatus", "o_totalprice"])
 
 
-STATES = """WITH old AS (SELECT o_orderkey AS key, o_orderstatus AS st, o_totalprice AS p FROM orders WHERE o_orderkey % 7 <> 0),
-new AS (SELECT o_orderkey AS key, CASE WHEN o_orderkey % 11 = 0 THEN 'W' ELSE o_orderstatus END AS st, o_totalprice AS p FROM orders WHERE o_orderkey % 5 <> 0),
+STATES = """WITH old AS (SELECT o_orderkey AS key, o_orderstatus AS st, o_totalprice AS p FROM orders WHERE o_orderstatus <> 'P'),
+new AS (SELECT o_orderkey AS key, CASE WHEN o_orderpriority = '1-URGENT' AND o_orderstatus = 'F' THEN 'W' ELSE o_orderstatus END AS st, o_totalprice AS p FROM orders WHERE o_orderstatus <> 'O' OR o_totalprice >= 50000),
 d AS (
   SELECT coalesce(o.key, n.key) AS key, CASE WHEN o.key IS NULL THEN 'added' WHEN n.key IS NULL THEN 'removed' WHEN o.st IS DISTINCT FROM n.st OR o.p IS DISTINCT FROM n.p THEN 'changed' END AS change
   FROM old o FULL JOIN new n ON o.key = n.key
@@ -153,8 +155,8 @@ d AS (
 register("reading_full_outer_diff", _states, STATES + "SELECT key, change FROM d WHERE change IS NOT NULL")
 register(
     "version_bump",
-    lambda s, d: compare.version_bump(_states(s, d).where("change = 'added'")),
-    STATES + "SELECT CASE WHEN bool_or(change IN ('changed', 'removed')) THEN 'MAJOR' WHEN bool_or(change = 'added') THEN 'MINOR' ELSE 'PATCH' END AS bump FROM d WHERE change = 'added'",
+    lambda s, d: compare.version_bump(_states(s, d)),
+    STATES + "SELECT CASE WHEN bool_or(change IN ('changed', 'removed')) THEN 'MAJOR' WHEN bool_or(change = 'added') THEN 'MINOR' ELSE 'PATCH' END AS bump FROM d",
 )
 BLOCKS = [("click", 0, 199), ("click", 400, 799), ("view", 100, 650), ("error", 0, 20), ("error", 15, 500)]
 register(
@@ -169,6 +171,23 @@ register(
     lambda s, d: compare.reach(values(s, EDGES, "src string, dst string")),
     f"""WITH RECURSIVE e(src, dst) AS (VALUES {", ".join(map(str, EDGES))}), w AS (SELECT src, dst FROM e UNION SELECT w.src, e.dst FROM w JOIN e ON w.dst = e.src) SELECT src, dst FROM w""",
 )
+
+
+def nation_trade(s, d) -> DataFrame:
+    """An edge from each customer's nation to those that supplied the customer's dearest orders."""
+    o = table(s, d, "orders").where("o_totalprice >= 400000").join(table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    lines = o.join(table(s, d, "lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).join(table(s, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return lines.where("l_quantity >= 49").select(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst")).distinct()
+
+
+register(
+    "recursive_reach_nations",
+    lambda s, d: compare.reach(nation_trade(s, d)),
+    """WITH RECURSIVE e AS (
+  SELECT DISTINCT c_nationkey AS src, s_nationkey AS dst FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON o_orderkey = l_orderkey JOIN supplier ON l_suppkey = s_suppkey
+  WHERE o_totalprice >= 400000 AND l_quantity >= 49
+), w AS (SELECT src, dst FROM e UNION SELECT w.src, e.dst FROM w JOIN e ON w.dst = e.src) SELECT src, dst FROM w""",
+)
 register(
     "symmetric_difference",
     lambda s, d: compare.symmetric_difference(table(s, d, "orders").where("o_orderstatus = 'F'"), table(s, d, "orders").where("o_orderstatus = 'P'"), ["o_custkey"]),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from metaseries.functions.quantiles import normal_quantile, student_sql
 from metaseries.operators import deviation, diagnostics, pooling, tension
 from metaseries.sources import studies
-from metaseries.sources.tables import table
+from metaseries.sources.tables import materialise, table
 
 from .registry import register
 
@@ -28,20 +28,27 @@ def _sql(study: str, rest: str) -> str:
 
 
 SUMS = """sums AS (
-  SELECT quantity, count(y) AS k, sum(1 / v) AS sw, sum(y / v) AS swy, sum(y * y / v) AS swyy, sum(1 / (v * v)) AS sww FROM study GROUP BY quantity
+  SELECT quantity, count(y) AS k, min(y) AS y0, sum(1 / v) AS sw, sum(1 / (v * v)) AS sww FROM study GROUP BY quantity
+), means AS (
+  SELECT s.quantity, sum((y - y0) / v) / any_value(sw) AS off FROM study s JOIN sums t ON s.quantity = t.quantity GROUP BY s.quantity
 ), fixed AS (
-  SELECT quantity, k, sw, swy, swy / sw AS estimate, sqrt(1 / sw) AS se, greatest(0, swyy - swy * swy / sw) AS q, sw - sww / sw AS spare FROM sums
+  SELECT s.quantity, any_value(k) AS k, any_value(sw) AS sw, any_value(y0 + off) AS estimate, any_value(sqrt(1 / sw)) AS se,
+         sum((y - y0 - off) * (y - y0 - off) / v) AS q, any_value(sw - sww / sw) AS spare
+  FROM study s JOIN sums t ON s.quantity = t.quantity JOIN means m ON s.quantity = m.quantity GROUP BY s.quantity
 )"""
 RANDOM = (
     SUMS
     + """, tau AS (
   SELECT quantity, k, q, CASE WHEN k > 1 AND spare <> 0 THEN greatest(0, (q - (k - 1)) / spare) ELSE 0 END AS tau2 FROM fixed
-), rsums AS (
-  SELECT s.quantity, sum(1 / (v + tau2)) AS sw, sum(y / (v + tau2)) AS swy, sum(y * y / (v + tau2)) AS swyy FROM study s JOIN tau t ON s.quantity = t.quantity GROUP BY s.quantity
+), rmeans AS (
+  SELECT s.quantity, any_value(y0) AS y0, any_value(tau2) AS tau2, sum(1 / (v + tau2)) AS sw, sum((y - y0) / (v + tau2)) / sum(1 / (v + tau2)) AS off
+  FROM study s JOIN tau t ON s.quantity = t.quantity JOIN sums u ON s.quantity = u.quantity GROUP BY s.quantity
+), rscatter AS (
+  SELECT s.quantity, sum((y - y0 - off) * (y - y0 - off) / (v + tau2)) AS q FROM study s JOIN rmeans r ON s.quantity = r.quantity GROUP BY s.quantity
 ), random AS (
-  SELECT t.quantity, k, q, CASE WHEN q > 0 THEN greatest(0, (q - (k - 1)) / q) ELSE 0 END AS i2, tau2, swy / sw AS estimate, sqrt(1 / sw) AS se,
-         CASE WHEN k > 1 THEN sqrt(greatest(0, swyy - swy * swy / sw) / ((k - 1) * sw)) END AS se_hk
-  FROM tau t JOIN rsums r ON t.quantity = r.quantity
+  SELECT t.quantity, k, t.q, CASE WHEN t.q > 0 THEN greatest(0, (t.q - (k - 1)) / t.q) ELSE 0 END AS i2, t.tau2, y0 + off AS estimate, sqrt(1 / sw) AS se,
+         CASE WHEN k > 1 THEN sqrt(c.q / ((k - 1) * sw)) END AS se_hk
+  FROM tau t JOIN rmeans r ON t.quantity = r.quantity JOIN rscatter c ON t.quantity = c.quantity
 )"""
 )
 
@@ -56,6 +63,18 @@ register("pool_random_dl_events", lambda s, d: rounded(pooling.pool_random(studi
 register("pool_random_lineitem", lambda s, d: rounded(pooling.pool_random(studies.price_studies(s, d), Q), 3), _sql(studies.PRICES_SQL, RANDOM + _random.format(3)))
 
 
+def tight_studies(s, d) -> DataFrame:
+    """Event studies moved so far from zero that their widths are about a billionth of their values."""
+    return studies.event_studies(s, d).withColumn("y", F.col("y") + F.lit(1e10))
+
+
+register(
+    "pool_random_tight",
+    lambda s, d: rounded(pooling.pool_random(tight_studies(s, d), Q), 3),
+    _sql(studies.EVENTS_SQL.replace("study AS", "plain AS"), "study AS (SELECT * REPLACE (y + 1e10 AS y) FROM plain), " + RANDOM + _random.format(3)),
+)
+
+
 def pool_random_pm(s, d) -> DataFrame:
     series = studies.event_studies(s, d)
     return rounded(pooling.pool_random(series, Q, pooling.paule_mandel_variance(series, Q)), 5)
@@ -99,8 +118,8 @@ register(
     ),
 )
 LOO = """loo AS (
-  SELECT s.*, CASE WHEN k > 1 THEN (swy - y / v) / (sw - 1 / v) END AS reference, CASE WHEN k > 1 THEN sqrt(1 / (sw - 1 / v)) END AS reference_se
-  FROM study s JOIN sums t ON s.quantity = t.quantity
+  SELECT s.*, CASE WHEN k > 1 THEN y0 + (off * sw - (y - y0) / v) / (sw - 1 / v) END AS reference, CASE WHEN k > 1 THEN sqrt(1 / (sw - 1 / v)) END AS reference_se
+  FROM study s JOIN sums t ON s.quantity = t.quantity JOIN means m ON s.quantity = m.quantity
 )"""
 register(
     "leave_one_out_reference",
@@ -127,14 +146,33 @@ register(
     lambda s, d: rounded(diagnostics.egger_regression(studies.event_studies(s, d), Q), 5),
     _sql(
         studies.EVENTS_SQL,
-        """e AS (
-  SELECT quantity, count(*) AS k, sum(1 / s) AS sx, sum(y / s) AS sz, sum(1 / (s * s)) AS sxx, sum(y / (s * s)) AS sxz, sum(y * y / (s * s)) AS szz FROM study GROUP BY quantity
-), f AS (
-  SELECT *, sxx - sx * sx / k AS cxx, (sxz - sx * sz / k) / (sxx - sx * sx / k) AS slope FROM e
-), g AS (
-  SELECT *, (sz - slope * sx) / k AS intercept, greatest(0, (szz - sz * sz / k) - slope * (sxz - sx * sz / k)) AS rest FROM f
+        """a AS (
+  SELECT quantity, count(*) AS k, min(y) AS y0, avg(1 / s) AS mx FROM study GROUP BY quantity
+), b AS (
+  SELECT s.quantity, any_value(k) AS k, any_value(y0) AS y0, any_value(mx) AS mx, avg((y - y0) / s) AS mz FROM study s JOIN a ON s.quantity = a.quantity GROUP BY s.quantity
+), c AS (
+  SELECT s.quantity, any_value(k) AS k, any_value(y0) AS y0, any_value(mx) AS mx, any_value(mz) AS mz, sum((1 / s - mx) * (1 / s - mx)) AS cxx, sum((1 / s - mx) * ((y - y0) / s - mz)) AS cxz
+  FROM study s JOIN b ON s.quantity = b.quantity GROUP BY s.quantity
+), d AS (
+  SELECT s.quantity, any_value(k) AS k, any_value(y0) AS y0, any_value(mx) AS mx, any_value(mz) AS mz, any_value(cxx) AS cxx, any_value(cxz / cxx) AS slope,
+         sum(((y - y0) / s - mz - cxz / cxx * (1 / s - mx)) * ((y - y0) / s - mz - cxz / cxx * (1 / s - mx))) AS rest
+  FROM study s JOIN c ON s.quantity = c.quantity GROUP BY s.quantity
+), e AS (SELECT *, mz - slope * mx AS intercept FROM d)
+SELECT quantity, k, round(intercept, 5) AS intercept, round(y0 + slope, 5) AS slope, round(intercept / sqrt(rest / (k - 2) * (1 / k + mx * mx / cxx)), 5) AS t FROM e""",
+    ),
 )
-SELECT quantity, k, round(intercept, 5) AS intercept, round(slope, 5) AS slope, round(intercept / sqrt(rest / (k - 2) * (1 / k + sx * sx / (k * k * cxx))), 5) AS t FROM g""",
+
+
+register(
+    "forest_rows",
+    lambda s, d: rounded(diagnostics.forest_rows(studies.event_studies(s, d), Q), 8),
+    _sql(
+        studies.EVENTS_SQL,
+        RANDOM
+        + f""", line AS (
+  SELECT s.quantity, 'study' AS kind, CAST(pub AS VARCHAR) || ' ' || grp AS label, y, sqrt(v) AS w, se * se / v AS weight FROM study s JOIN fixed f ON s.quantity = f.quantity
+  UNION ALL SELECT quantity, 'fixed', NULL, estimate, se, NULL FROM fixed UNION ALL SELECT quantity, 'random', NULL, estimate, se, NULL FROM random
+) SELECT quantity, kind, label, round(y, 8) AS y, round(y - {normal_quantile(0.975)!r} * w, 8) AS lower, round(y + {normal_quantile(0.975)!r} * w, 8) AS upper, round(weight, 8) AS weight FROM line""",
     ),
 )
 
@@ -169,25 +207,27 @@ register(
     _sql(studies.PRICES_SQL, "x AS (SELECT quantity, technique, count(y) AS k, sum(y / v) / sum(1 / v) AS e FROM study GROUP BY quantity, technique) SELECT quantity, technique, k, round(e, 3) AS estimate FROM x"),
 )
 
+register("trim_and_fill_left", lambda s, d: rounded(diagnostics.trim_and_fill(studies.event_studies(s, d), Q, side="left"), 5))
+
 # deviations
 REFERENCES = (
     RANDOM
     + ", "
     + LOO
-    + """, newest AS (
-  SELECT quantity, grp, technique, pub, y AS r, s AS r_half FROM (SELECT *, row_number() OVER (PARTITION BY quantity ORDER BY pub DESC, grp DESC, n DESC) AS i FROM study) WHERE i = 1
+    + """, vintages AS (
+  SELECT quantity, max(pub) AS vintage FROM study GROUP BY quantity
 ), modern AS (
-  SELECT s.*, n.r, n.r_half FROM study s JOIN newest n ON s.quantity = n.quantity WHERE NOT (s.grp = n.grp AND s.pub = n.pub AND s.technique = n.technique)
+  SELECT s.*, f.estimate AS r, f.se AS r_half, vintage FROM study s JOIN fixed f ON s.quantity = f.quantity JOIN vintages g ON s.quantity = g.quantity
 ), later AS (
   SELECT * FROM (
-    SELECT s.*, sum(y / v) OVER w / sum(1 / v) OVER w AS r, sqrt(1 / sum(1 / v) OVER w) AS r_half FROM study s
-    WINDOW w AS (PARTITION BY quantity ORDER BY pub - DATE '1970-01-01' RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+    SELECT s.*, y0 + sum((y - y0) / v) OVER w / sum(1 / v) OVER w AS r, sqrt(1 / sum(1 / v) OVER w) AS r_half, max(pub) OVER w AS vintage FROM study s JOIN (SELECT quantity, y0 FROM sums) p ON s.quantity = p.quantity
+    WINDOW w AS (PARTITION BY s.quantity ORDER BY pub - DATE '1970-01-01' RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
   ) WHERE r IS NOT NULL
 ), referred AS (
-  SELECT quantity, grp, technique, n, y, v, s, pub, 'modern' AS reference_kind, r, r_half FROM modern
-  UNION ALL SELECT quantity, grp, technique, n, y, v, s, pub, 'later', r, r_half FROM later
-  UNION ALL SELECT quantity, grp, technique, n, y, v, s, pub, 'leave-one-out', reference, reference_se FROM loo WHERE reference IS NOT NULL
-  UNION ALL SELECT m.quantity, m.grp, m.technique, m.n, m.y, m.v, m.s, m.pub, 'resolved', m.r, m.r_half FROM modern m JOIN random x ON m.quantity = x.quantity WHERE x.i2 < 0.5
+  SELECT quantity, grp, technique, n, y, v, s, pub, 'modern' AS reference_kind, r, r_half, vintage FROM modern
+  UNION ALL SELECT quantity, grp, technique, n, y, v, s, pub, 'later', r, r_half, vintage FROM later
+  UNION ALL SELECT o.quantity, grp, technique, n, y, v, s, pub, 'leave-one-out', reference, reference_se, vintage FROM loo o JOIN vintages g ON o.quantity = g.quantity WHERE reference IS NOT NULL
+  UNION ALL SELECT m.quantity, m.grp, m.technique, m.n, m.y, m.v, m.s, m.pub, 'resolved', m.r, m.r_half, m.vintage FROM modern m JOIN random x ON m.quantity = x.quantity WHERE x.i2 < 0.5
 ), dev AS (
   SELECT *, (y - r) / s AS z, r_half / s AS ratio, coalesce(r_half / s <= CAST(1 AS DOUBLE) / 3, false) AS admitted FROM referred
 )"""
@@ -195,13 +235,13 @@ REFERENCES = (
 
 
 def _deviations(s, d) -> DataFrame:
-    return deviation.deviations(deviation.references(studies.event_studies(s, d), Q))
+    return deviation.deviations(deviation.references(materialise(studies.event_studies(s, d)), Q))
 
 
 register(
     "deviation_z",
-    lambda s, d: rounded(_deviations(s, d), 5).select("quantity", "grp", "reference_kind", "r", "r_half", "z", "ratio"),
-    _sql(studies.EVENTS_SQL, REFERENCES + " SELECT quantity, grp, reference_kind, round(r, 5) AS r, round(r_half, 5) AS r_half, round(z, 5) AS z, round(ratio, 5) AS ratio FROM dev"),
+    lambda s, d: rounded(_deviations(s, d), 5).select("quantity", "grp", "reference_kind", "vintage", "r", "r_half", "z", "ratio"),
+    _sql(studies.EVENTS_SQL, REFERENCES + " SELECT quantity, grp, reference_kind, vintage, round(r, 5) AS r, round(r_half, 5) AS r_half, round(z, 5) AS z, round(ratio, 5) AS ratio FROM dev"),
 )
 register(
     "admission_counts",
@@ -210,10 +250,10 @@ register(
 )
 register(
     "deviation_histogram",
-    lambda s, d: diagnostics.histogram(_deviations(s, d), ["reference_kind", "technique"]),
+    lambda s, d: diagnostics.histogram(_deviations(s, d).where("admitted"), ["reference_kind", "technique"]),
     _sql(
         studies.EVENTS_SQL,
-        REFERENCES + " SELECT reference_kind, technique, CAST(least(floor(abs(z) / 0.5), 10) AS BIGINT) AS bin, count(*) AS n FROM dev GROUP BY reference_kind, technique, CAST(least(floor(abs(z) / 0.5), 10) AS BIGINT)",
+        REFERENCES + " SELECT reference_kind, technique, CAST(least(floor(abs(z) / 0.5), 10) AS BIGINT) AS bin, count(*) AS n FROM dev WHERE admitted GROUP BY reference_kind, technique, CAST(least(floor(abs(z) / 0.5), 10) AS BIGINT)",
     ),
 )
 
@@ -286,12 +326,24 @@ SELECT l_returnflag, count(*) FILTER (s > 0) AS usable, count(*) FILTER (NOT s >
 # tensions
 K = 2.0
 _grid = ", ".join(f"({k!r})" for k in GRID)
+
+
+def tension_curve(s, d) -> DataFrame:
+    """Tensions of the admitted deviations at each k, and how many the admission rule leaves out."""
+    every = materialise(_deviations(s, d))
+    out = every.groupBy("reference_kind").agg(F.count(F.when(~F.col("admitted"), 1)).alias("excluded"))
+    return tension.curve(every.where("admitted"), ["reference_kind"], GRID).join(out, "reference_kind")
+
+
 register(
     "tension_curve_k",
-    lambda s, d: tension.curve(_deviations(s, d), ["reference_kind"], GRID),
+    tension_curve,
     _sql(
         studies.EVENTS_SQL,
-        REFERENCES + f", grid(k) AS (VALUES {_grid}) SELECT reference_kind, CAST(k AS DOUBLE) AS k, count(*) AS scored, CAST(count(*) FILTER (abs(z) >= k) AS BIGINT) AS tensions FROM dev CROSS JOIN grid GROUP BY reference_kind, k",
+        REFERENCES
+        + f""", grid(k) AS (VALUES {_grid}), kinds AS (SELECT reference_kind, count(*) FILTER (NOT admitted) AS excluded FROM dev GROUP BY reference_kind)
+SELECT d.reference_kind, CAST(k AS DOUBLE) AS k, count(*) AS scored, CAST(count(*) FILTER (abs(z) >= k) AS BIGINT) AS tensions, any_value(excluded) AS excluded
+FROM dev d JOIN kinds n ON d.reference_kind = n.reference_kind CROSS JOIN grid WHERE admitted GROUP BY d.reference_kind, k""",
     ),
 )
 register(
@@ -303,15 +355,21 @@ register(
   SELECT a.quantity, a.grp AS g1, b.grp AS g2, abs(a.y - b.y) / sqrt(a.s * a.s + b.s * b.s) >= {K} AS hit FROM study a JOIN study b ON a.quantity = b.quantity AND a.grp < b.grp
 ), m AS (
   SELECT quantity, count(DISTINCT g) AS measurements FROM (SELECT quantity, unnest([g1, g2]) AS g FROM p WHERE hit) GROUP BY quantity
-) SELECT p.quantity, count(*) AS pairs, count(*) FILTER (hit) AS tensions, coalesce(any_value(measurements), 0) AS measurements FROM p LEFT JOIN m ON p.quantity = m.quantity GROUP BY p.quantity""",
+) SELECT p.quantity, count(*) AS pairs, count(*) FILTER (hit) AS tensions, coalesce(any_value(measurements), 0) AS measurements, (SELECT count(*) FROM m) AS quantities FROM p LEFT JOIN m ON p.quantity = m.quantity GROUP BY p.quantity""",
     ),
 )
 SPLIT = """rs AS (
-  SELECT quantity, technique, count(y) AS k, sum(1 / v) AS sw, sum(y / v) AS swy, sum(y * y / v) AS swyy, sum(1 / (v * v)) AS sww FROM study GROUP BY quantity, technique
+  SELECT quantity, technique, count(y) AS k, min(y) AS y0, sum(1 / v) AS sw, sum(1 / (v * v)) AS sww FROM study GROUP BY quantity, technique
+), rm AS (
+  SELECT s.quantity, s.technique, sum((y - y0) / v) / any_value(sw) AS off FROM study s JOIN rs t ON s.quantity = t.quantity AND s.technique = t.technique GROUP BY s.quantity, s.technique
+), rq AS (
+  SELECT s.quantity, s.technique, sum((y - y0 - off) * (y - y0 - off) / v) AS q
+  FROM study s JOIN rs t ON s.quantity = t.quantity AND s.technique = t.technique JOIN rm m ON s.quantity = m.quantity AND s.technique = m.technique GROUP BY s.quantity, s.technique
 ), rt AS (
-  SELECT quantity, technique, k, CASE WHEN k > 1 AND sw - sww / sw <> 0 THEN greatest(0, (greatest(0, swyy - swy * swy / sw) - (k - 1)) / (sw - sww / sw)) ELSE 0 END AS tau2 FROM rs
+  SELECT t.quantity, t.technique, k, y0, CASE WHEN k > 1 AND sw - sww / sw <> 0 THEN greatest(0, (q - (k - 1)) / (sw - sww / sw)) ELSE 0 END AS tau2
+  FROM rs t JOIN rq ON t.quantity = rq.quantity AND t.technique = rq.technique
 ), rp AS (
-  SELECT s.quantity, s.technique, any_value(k) AS k, sum(y / (v + tau2)) / sum(1 / (v + tau2)) AS e, sqrt(1 / sum(1 / (v + tau2))) AS se
+  SELECT s.quantity, s.technique, any_value(k) AS k, any_value(y0) + sum((y - y0) / (v + tau2)) / sum(1 / (v + tau2)) AS e, sqrt(1 / sum(1 / (v + tau2))) AS se
   FROM study s JOIN rt t ON s.quantity = t.quantity AND s.technique = t.technique GROUP BY s.quantity, s.technique
 )"""
 register(
@@ -319,48 +377,89 @@ register(
     lambda s, d: rounded(tension.split_tensions(studies.price_studies(s, d), Q, "technique"), 4),
     _sql(
         studies.PRICES_SQL,
-        SPLIT + " SELECT a.quantity, a.technique AS first, b.technique AS second, round(abs(a.e - b.e) / sqrt(a.se * a.se + b.se * b.se), 4) AS apart"
+        SPLIT + " SELECT a.quantity, a.technique AS first, b.technique AS second, 3 AS least, round(abs(a.e - b.e) / sqrt(a.se * a.se + b.se * b.se), 4) AS apart"
         " FROM rp a JOIN rp b ON a.quantity = b.quantity AND a.technique < b.technique WHERE a.k >= 3 AND b.k >= 3",
     ),
 )
 
 
+def identified_errors(s, d) -> DataFrame:
+    """Stand-ins for published identified errors: users with an error event on the last day of all events.
+
+    Two errors or more on that day put a user's tensions on the refuted side, one on the confirmed.
+    """
+    rows = table(s, d, "events").withColumn("day", F.col("ts").cast("date"))
+    last = rows.agg(F.max("day").alias("day"))
+    errors = rows.where("event_type = 'error'").join(F.broadcast(last), "day").groupBy(F.col("user_id").alias("grp")).agg(F.when(F.count(F.lit(1)) >= 2, "refuted").otherwise("confirmed").alias("side"))
+    return studies.event_studies(s, d).select("quantity", "grp", "technique").join(errors, "grp")
+
+
 def _judged(s, d) -> tuple[DataFrame, DataFrame]:
-    series = studies.event_studies(s, d)
-    scored = deviation.deviations(deviation.references(series, Q)).where("reference_kind = 'modern'")
-    return tension.outcomes(scored.where(F.abs("z") >= K), series, Q, K), scored
+    """Tensions of admitted deviations from the accepted value with their outcomes; all that were scored."""
+    every = materialise(_deviations(s, d).where("reference_kind = 'modern'"))
+    admitted = every.where("admitted")
+    return tension.outcomes(admitted.where(F.abs("z") >= K), every, Q, identified_errors(s, d)), admitted
 
 
 OUTCOMES = (
     REFERENCES
-    + f""", scored AS (
+    + f""", every AS (
   SELECT * FROM dev WHERE reference_kind = 'modern'
-), ahead AS (
-  SELECT quantity, grp, technique, sum(1 / v) OVER w AS lw, sum(y / v) OVER w AS lwy FROM study
-  WINDOW w AS (PARTITION BY quantity ORDER BY pub - DATE '1970-01-01' RANGE BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)
+), scored AS (
+  SELECT * FROM every WHERE admitted
+), errors AS (
+  SELECT user_id, CASE WHEN count(*) >= 2 THEN 'refuted' ELSE 'confirmed' END AS side FROM events
+  WHERE event_type = 'error' AND CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY user_id
+), firsts AS (
+  SELECT t.quantity, t.grp, t.technique, t.z,
+         min(l.pub) FILTER (l.y >= l.r - l.r_half AND l.y <= l.r + l.r_half) AS agrees,
+         min(l.pub) FILTER (CASE WHEN t.z > 0 THEN l.y > l.r + l.r_half ELSE l.y < l.r - l.r_half END) AS sides
+  FROM scored t LEFT JOIN scored l ON t.quantity = l.quantity AND l.pub > t.pub WHERE abs(t.z) >= {K} GROUP BY t.quantity, t.grp, t.technique, t.z
 ), judged AS (
-  SELECT t.quantity, t.grp,
-         CASE WHEN lw IS NULL THEN 'unresolved'
-              WHEN abs(y - lwy / lw) / sqrt(s * s + 1 / lw) < {K} AND abs(r - lwy / lw) / sqrt(r_half * r_half + 1 / lw) < {K} THEN 'explained'
-              WHEN abs(y - lwy / lw) / sqrt(s * s + 1 / lw) < {K} THEN 'confirmed'
-              WHEN abs(r - lwy / lw) / sqrt(r_half * r_half + 1 / lw) < {K} THEN 'refuted' ELSE 'unresolved' END AS outcome
-  FROM scored t LEFT JOIN ahead a ON t.quantity = a.quantity AND t.grp = a.grp AND t.technique = a.technique WHERE abs(z) >= {K}
+  SELECT quantity, grp, CASE WHEN side IS NOT NULL THEN 'explained' WHEN agrees IS NULL AND sides IS NULL THEN 'unresolved' WHEN sides IS NULL OR agrees <= sides THEN 'refuted' ELSE 'confirmed' END AS outcome,
+         CASE WHEN side IS NOT NULL THEN side WHEN agrees IS NULL AND sides IS NULL THEN NULL WHEN sides IS NULL OR agrees <= sides THEN 'refuted' ELSE 'confirmed' END AS counts_as
+  FROM firsts LEFT JOIN errors ON grp = user_id
 )"""
 )
 register(
     "outcome_classes",
-    lambda s, d: _judged(s, d)[0].groupBy("quantity", "outcome").agg(F.count(F.lit(1)).alias("n")),
-    _sql(studies.EVENTS_SQL, OUTCOMES + " SELECT quantity, outcome, count(*) AS n FROM judged GROUP BY quantity, outcome"),
+    lambda s, d: _judged(s, d)[0].groupBy("quantity", "outcome", "counts_as").agg(F.count(F.lit(1)).alias("n")),
+    _sql(studies.EVENTS_SQL, OUTCOMES + " SELECT quantity, outcome, counts_as, count(*) AS n FROM judged GROUP BY quantity, outcome, counts_as"),
 )
 
+ADMISSION = "reference interval at most one third of the measurement's"
+
+
+def probability_structure(s, d) -> DataFrame:
+    """The probability under each of the four references, with all its members, as JSON."""
+    every = materialise(_deviations(s, d))
+    admitted = every.where("admitted")
+    series = [*Q, "reference_kind"]
+    # references of a kind that varies by study are judged by the accepted value's interval: one value a key
+    modern = every.where("reference_kind = 'modern'")
+    kinds = [r.reference_kind for r in every.select("reference_kind").distinct().collect()]  # four at most
+    judged = None
+    for kind in kinds:
+        own = admitted.where((F.col("reference_kind") == kind) & (F.abs("z") >= K))
+        out = tension.outcomes(own, modern, Q, identified_errors(s, d))
+        judged = out if judged is None else judged.unionByName(out)
+    found = tension.probability(judged, admitted, series, K, ADMISSION)
+    return found.select(*series, F.to_json("probability").alias("probability"))
+
+
+# the struct's numbers are compared with SQL by censoring_bounds
+register("probability_structure", probability_structure)
+
 
 def censoring_bounds(s, d) -> DataFrame:
     judged, scored = _judged(s, d)
-    p = tension.probability(judged, scored, Q, K, "modern")
+    judged, p = materialise(judged), F.col("probability")
+    n = tension.outcome_counts(judged, scored, Q)
+    found = tension.probability(judged, scored, Q, K, ADMISSION).join(n, Q)
     return rounded(
-        p.select(
-            "quantity", *[F.col(f"probability.{c}").alias(c) for c in ("scored", "tensions", "confirmed", "refuted", "explained", "unresolved", "resolved_share")],
-            F.col("probability.interval.low").alias("low"), F.col("probability.interval.high").alias("high"), F.col("probability.censoring.low").alias("censored_low"), F.col("probability.censoring.high").alias("censored_high"),
+        found.select(
+            "quantity", "scored", "tensions", "confirmed", "refuted", "explained", "unresolved", p["count"].alias("resolved"), p["number"]["resolved_only"].alias("resolved_share"), p["interval"]["low"].alias("low"),
+            p["interval"]["high"].alias("high"), p["number"]["censored"]["low"].alias("censored_low"), p["number"]["censored"]["high"].alias("censored_high"), p["unresolved"]["share"].alias("unresolved_share"),
         )
     )
 
@@ -374,14 +473,16 @@ register(
         OUTCOMES
         + f""", n AS (
   SELECT s.quantity, count(*) AS scored, count(outcome) AS tensions, count(*) FILTER (outcome = 'confirmed') AS confirmed, count(*) FILTER (outcome = 'refuted') AS refuted,
-         count(*) FILTER (outcome = 'explained') AS explained, count(*) FILTER (outcome = 'unresolved') AS unresolved
+         count(*) FILTER (outcome = 'explained') AS explained, count(*) FILTER (outcome = 'unresolved') AS unresolved,
+         count(*) FILTER (counts_as = 'confirmed') AS yes, count(*) FILTER (counts_as = 'refuted') AS no
   FROM scored s LEFT JOIN judged j ON s.quantity = j.quantity AND s.grp = j.grp GROUP BY s.quantity
-), m AS (SELECT *, confirmed + refuted AS m, CASE WHEN confirmed + refuted > 0 THEN CAST(confirmed AS DOUBLE) / (confirmed + refuted) END AS p FROM n)
-SELECT quantity, scored, tensions, confirmed, refuted, explained, unresolved, round(p, 6) AS resolved_share,
+), m AS (SELECT *, yes + no AS m, CASE WHEN yes + no > 0 THEN CAST(yes AS DOUBLE) / (yes + no) END AS p FROM n)
+SELECT quantity, scored, tensions, confirmed, refuted, explained, unresolved, m AS resolved, round(p, 6) AS resolved_share,
        CASE WHEN m > 0 THEN round((p + {_z * _z!r} / (2 * m)) / (1 + {_z * _z!r} / m) - {_z!r} * sqrt(p * (1 - p) / m + {_z * _z!r} / (4 * m * m)) / (1 + {_z * _z!r} / m), 6) END AS low,
        CASE WHEN m > 0 THEN round((p + {_z * _z!r} / (2 * m)) / (1 + {_z * _z!r} / m) + {_z!r} * sqrt(p * (1 - p) / m + {_z * _z!r} / (4 * m * m)) / (1 + {_z * _z!r} / m), 6) END AS high,
-       CASE WHEN tensions > 0 THEN round(CAST(confirmed AS DOUBLE) / tensions, 6) END AS censored_low,
-       CASE WHEN tensions > 0 THEN round(CAST(confirmed + explained + unresolved AS DOUBLE) / tensions, 6) END AS censored_high
+       CASE WHEN tensions > 0 THEN round(CAST(yes AS DOUBLE) / tensions, 6) END AS censored_low,
+       CASE WHEN tensions > 0 THEN round(CAST(yes + unresolved AS DOUBLE) / tensions, 6) END AS censored_high,
+       CASE WHEN tensions > 0 THEN round(CAST(unresolved AS DOUBLE) / tensions, 6) END AS unresolved_share
 FROM m""",
     ),
 )

@@ -2,6 +2,8 @@
 
 import math
 from collections import Counter
+from datetime import date
+from fractions import Fraction
 
 import duckdb
 import pytest
@@ -124,3 +126,96 @@ def test_reach_beyond_32_hops_and_in_circles(spark):
     found = compare.reach(spark.createDataFrame(chain + circle, "src long, dst long").coalesce(1)).collect()
     expected = {(i, j) for i in range(37) for j in range(i + 1, 37)} | {(i, j) for i in range(100, 103) for j in range(100, 103)}
     assert len(found) == len(expected) and {tuple(r) for r in found} == expected
+
+
+def test_tight_series_against_exact_fractions(spark):
+    """Widths of 1e-10 of the values and less, as of the best measured constants."""
+    values = [("g", i, y, s) for i, (y, s) in enumerate([(2.0023318414, 1.2e-9), (2.0023318406, 6e-10), (2.00233184122, 3.3e-10), (2.00233184110, 2.6e-10), (2.0023318420, 9e-10)])]
+    values += [("far", i, 1e12 + y, s) for i, (y, s) in enumerate([(0.5, 0.25), (1.75, 0.5), (0.125, 0.25), (3.0, 1.0)])]
+    table = spark.createDataFrame([(q, i, y, s * s, s) for q, i, y, s in values], "quantity string, grp long, y double, v double, s double")
+    found = {r.quantity: r for r in pooling.pool_random(table, ["quantity"]).collect()}
+    lines = {r.quantity: r for r in diagnostics.egger_regression(table, ["quantity"]).collect()}
+    root = {r.quantity: r.tau2 for r in pooling.paule_mandel_variance(table, ["quantity"]).collect()}
+    for q in ("g", "far"):
+        own = [(Fraction(y), Fraction(s * s), Fraction(s)) for name, _, y, s in values if name == q]
+        sw = sum(1 / v for _, v, _ in own)
+        mean = sum(y / v for y, v, _ in own) / sw
+        scatter = sum((y - mean) ** 2 / v for y, v, _ in own)
+        assert found[q].q == pytest.approx(float(scatter), rel=1e-6)
+        tau2 = max(Fraction(0), (scatter - len(own) + 1) / (sw - sum(1 / v**2 for _, v, _ in own) / sw))
+        assert found[q].tau2 == pytest.approx(float(tau2), rel=1e-6)
+        w = [1 / (v + tau2) for _, v, _ in own]
+        centre = sum(a * y for a, (y, _, _) in zip(w, own, strict=True)) / sum(w)
+        spread = sum(a * (y - centre) ** 2 for a, (y, _, _) in zip(w, own, strict=True))
+        assert found[q].se_hk == pytest.approx(math.sqrt(spread / ((len(own) - 1) * sum(w))), rel=1e-6)
+        x, z = [1 / s for _, _, s in own], [y / s for y, _, s in own]
+        mx, mz = sum(x) / len(own), sum(z) / len(own)
+        slope = sum((a - mx) * (b - mz) for a, b in zip(x, z, strict=True)) / sum((a - mx) ** 2 for a in x)
+        assert lines[q].intercept == pytest.approx(float(mz - slope * mx), rel=1e-5)
+        if root[q]:
+            w = [1 / (v + Fraction(root[q])) for _, v, _ in own]
+            centre = sum(a * y for a, (y, _, _) in zip(w, own, strict=True)) / sum(w)
+            assert float(sum(a * (y - centre) ** 2 for a, (y, _, _) in zip(w, own, strict=True))) == pytest.approx(len(own) - 1, rel=1e-6)
+
+
+def test_cumulative_keeps_to_its_epoch(spark):
+    rows = [("q", e, i, date(2000 + i // 2, 1, 1), float(i), 1.0) for i, e in enumerate(["old", "old", "new", "old", "new", "new"])]
+    table = spark.createDataFrame(rows, "quantity string, epoch string, grp long, pub date, y double, v double")
+    found = {(r.epoch, r.grp): (r.k, r.estimate) for r in pooling.cumulative(table, ["quantity", "epoch"]).collect()}
+    assert found == {("old", 0): (1, 0.0), ("old", 1): (2, 0.5), ("old", 3): (3, pytest.approx(4 / 3)), ("new", 2): (1, 2.0), ("new", 4): (2, 3.0), ("new", 5): (3, pytest.approx(11 / 3))}
+
+
+def test_left_trim_mirrors_right(spark):
+    rows = [("a", i, (i / 60) ** 0.5, 1.0) for i in range(60)]
+    left = spark.createDataFrame([(q, i, -y, v) for q, i, y, v in rows], "quantity string, grp long, y double, v double")
+    right = diagnostics.trim_and_fill(spark.createDataFrame(rows, left.schema), ["quantity"]).first()
+    found = diagnostics.trim_and_fill(left, ["quantity"], side="left").first()
+    assert (found.filled, found.estimate, found.adjusted) == (right.filled, pytest.approx(-right.estimate), pytest.approx(-right.adjusted))
+
+
+def judged(spark, rows, corrections=None):
+    """Outcome of each tension; the accepted value is 10 with half-width 1, tensions are |z| >= 2."""
+    table = spark.createDataFrame([("q", i, "t", date(2000 + year, 1, 1), float(y), float(s), float(s * s), 10.0, 1.0, date(2020, 1, 1), "modern") for i, (year, y, s) in enumerate(rows)],
+                                  "quantity string, grp long, technique string, pub date, y double, s double, v double, r double, r_half double, vintage date, reference_kind string")
+    scored = deviation.deviations(table).cache()
+    held = None if corrections is None else spark.createDataFrame([("q", i, "t", side) for i, side in corrections], "quantity string, grp long, technique string, side string")
+    tensions = scored.where("admitted and abs(z) >= 2")
+    return scored, tension.outcomes(tensions, scored, ["quantity"], held)
+
+
+def test_the_four_outcomes(spark):
+    cases = {
+        "a later admitted value on its side, outside the interval": ([(0, 20, 4), (1, 12, 4)], "confirmed"),
+        "one on the other side does not speak": ([(0, 20, 4), (1, 3, 3.4)], "unresolved"),
+        "one within the interval": ([(0, 20, 4), (1, 10.5, 4)], "refuted"),
+        "at the interval's end": ([(0, 20, 4), (1, 11, 4)], "refuted"),
+        "the first day decides": ([(0, 20, 4), (1, 12, 4), (2, 10, 4)], "confirmed"),
+        "both on one day": ([(0, 20, 4), (1, 12, 4), (1, 10, 4)], "refuted"),
+        "a later one that is not admitted": ([(0, 20, 4), (1, 12, 2.9)], "unresolved"),
+        "the same day is not later": ([(0, 20, 4), (0, 10, 4)], "unresolved"),
+        "an earlier one": ([(1, 20, 4), (0, 10, 4)], "unresolved"),
+        "below, and its side is below": ([(0, 0, 4), (1, 8, 4)], "confirmed"),
+        "nothing at all": ([(0, 20, 4)], "unresolved"),
+    }
+    for name, (rows, expected) in cases.items():
+        found = judged(spark, rows)[1].where("grp = 0").collect()
+        assert [(r.outcome, r.counts_as) for r in found] == [(expected, None if expected == "unresolved" else expected)], name
+    for side in ("confirmed", "refuted"):
+        found = judged(spark, [(0, 20, 4), (1, 12, 4)], [(0, side)])[1].where("grp = 0").first()
+        assert (found.outcome, found.counts_as) == ("explained", side)
+
+
+def test_probability_carries_its_conditions(spark, tmp_path):
+    rows = [(0, 20, 4), (1, 12, 4), (2, 30, 4), (3, 10.5, 4), (4, 25, 4), (5, 40, 4)]
+    scored, found = judged(spark, rows, [(4, "refuted")])
+    n = tension.outcome_counts(found, scored.where("admitted"), ["quantity"]).first()
+    assert (n.scored, n.tensions, n.confirmed, n.refuted, n.explained, n.unresolved, n.real, n.not_real) == (6, 4, 1, 1, 1, 1, 1, 2)
+    table = tension.probability(found, scored.where("admitted"), ["quantity"], 2.0, "a third")
+    p = table.first().probability
+    assert tuple(p.asDict()) == tension.MEMBERS and len(tension.MEMBERS) == 11
+    assert (p["count"], p.number.resolved_only, p.number.censored.low, p.number.censored.high) == (3, pytest.approx(1 / 3), 0.25, 0.5)
+    assert (p.unresolved["count"], p.unresolved.share, p.quantities, p.disciplines, p.reference.choice) == (1, 0.25, ["q"], ["t"], "modern")
+    assert (p.reference.vintage, p.period["from"], p.period.to, p.k) == (date(2020, 1, 1), date(2000, 1, 1), date(2005, 1, 1), 2.0)
+    with pytest.raises(ValueError, match="CSV"):
+        tension.write_csv(table, str(tmp_path / "p"))
+    tension.write_csv(tension.outcome_counts(found, scored, ["quantity"]), str(tmp_path / "n"))
