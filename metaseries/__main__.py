@@ -1,4 +1,4 @@
-"""Command line: validate, schema, build, freeze, compare, refusals."""
+"""Command line: validate, schema, build, reproduce, freeze, compare, refusals, meaning, analyse."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ import argparse
 import os
 import sys
 
-from metaseries.operators import artifact, validate
-from metaseries.sources import records, schemas
+from metaseries.operators import analysis, artifact, meaning, pooling, validate
+from metaseries.sources import records, schemas, vocabulary
 
 
 def _session():
@@ -16,12 +16,50 @@ def _session():
     return SparkSession.builder.appName("metaseries").getOrCreate()
 
 
+def _meaning(spark, root: str, own) -> int:
+    """What takes more than one record to see; a line for each."""
+    quantities, groups = vocabulary.quantities(spark, root).cache(), vocabulary.groups(spark, root).cache()
+    found = 0
+    lines = [
+        quantities.where("problem is not null").selectExpr("concat(path, ': ', problem) as line"),
+        groups.where("problem is not null").selectExpr("concat(path, ': ', problem) as line"),
+        meaning.unresolved(own, quantities, groups).selectExpr("concat(path, ': ', field, ': nothing is named ', value) as line"),
+        meaning.denominators(own, quantities).selectExpr("concat(path, ': measurement.denominator_quantity: ', problem) as line"),
+        meaning.unit_mismatch(own).selectExpr("concat(path, ': ', published, ' times ', factor, ' is not ', normalized) as line"),
+        meaning.not_negligible(own).selectExpr("concat(path, ': a factor uncertainty of ', factor, ' is not negligible beside ', smallest) as line"),
+        meaning.misplaced_conversion(own).selectExpr("concat(path, ': a unit-conversion component among the published ones') as line"),
+    ]
+    for kind in lines:
+        for row in kind.orderBy("line").toLocalIterator():
+            print(row.line)
+            found += 1
+    return int(found > 0)
+
+
+def _analyse(own, quantities, schema, provenance, options) -> int:
+    """Pooled estimates of each quantity and epoch, led by the stamp, what was left out and the confirmation breakdown."""
+    judged = analysis.judged(analysis.measurements(own), options).cache()
+    kept = judged.where("reason = 'kept'").count()
+    excluded = {r.reason: r.n for r in judged.where("reason <> 'kept'").groupBy("reason").count().withColumnRenamed("count", "n").collect()}  # few reasons
+    stamp = artifact.Artifact(own, artifact.stamp_of(provenance, "analyse", analysis.options_stamp(judged, options), "all", kept, excluded), schema).stamp
+    sys.stdout.write(artifact.plain_stamp(stamp))
+    for row in analysis.confirmation_breakdown(judged).orderBy("quantity").toLocalIterator():
+        print(f"{row.quantity}: {row.confirmed} confirmed, {row.unconfirmed} unconfirmed, {row.disputed} disputed left out")
+    series = analysis.studies(judged, quantities).cache()
+    for line in pooling.pool_random(series, ["quantity", "epoch"]).orderBy("quantity", "epoch").toJSON().toLocalIterator():
+        print(line)
+    return 0
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="metaseries", description=__doc__)
-    parser.add_argument("verb", choices=["validate", "schema", "build", "freeze", "compare", "refusals"])
+    parser.add_argument("verb", choices=["validate", "schema", "build", "reproduce", "freeze", "compare", "refusals", "meaning", "analyse"])
     parser.add_argument("--root", default=".", help="the folder that holds record/")
     parser.add_argument("--schemas", default=str(schemas.FOLDER))
     parser.add_argument("--out", default="build")
+    parser.add_argument("--selection", default="all", help="build: a SQL condition on path, fields and cells")
+    parser.add_argument("--confirmed-only", action="store_true", help="analyse: only records that a second reader confirmed")
+    parser.add_argument("--assume-coverage", help="analyse: a coverage such as k=1 where a source states none")
     args = parser.parse_args(argv)
     loaded = schemas.load(args.schemas)
     if args.verb == "schema":
@@ -47,18 +85,35 @@ def main(argv: list[str] | None = None) -> int:
     low = schemas.lowest(loaded)
     own = parsed.where(~validate.excluded(parsed.path, low.excluded_prefix))
     frozen = os.path.join(args.out, "readings")
+    left_out = {"excluded folder": count.skipped} if count.skipped else {}
     if args.verb == "build":
-        made = artifact.build(own, refusals, {"excluded folder": count.skipped} if count.skipped else {}, low, artifact.git_provenance(args.root))
+        made = artifact.build(own, refusals, left_out, low, artifact.git_provenance(args.root), selection=args.selection)
         print("\n".join(artifact.write_all(made, args.out)))
         return 0
+    if args.verb == "reproduce":
+
+        def rebuild(folder: str, stamp: dict) -> artifact.Provenance:
+            provenance = artifact.git_provenance(args.root)
+            artifact.write_all(artifact.build(own, refusals, left_out, low, provenance, stamp["command"], stamp["options"], stamp["selection"]), folder)
+            return provenance
+
+        differ = artifact.reproduce(args.out, rebuild)
+        print("\n".join(f"{n}: other bytes" for n in differ) or "the same bytes")
+        return int(bool(differ))
+    if args.verb == "meaning":
+        return _meaning(spark, args.root, own)
+    if args.verb == "analyse":
+        options = analysis.Options(args.confirmed_only, args.assume_coverage)
+        return _analyse(own, vocabulary.quantities(spark, args.root), low, artifact.git_provenance(args.root), options)
     current = artifact.readings(own, refusals)
     if args.verb == "freeze":
         current.write.mode("overwrite").json(frozen)
         return 0
-    changes = artifact.reading_changes(spark.read.schema("file string, reading string").json(frozen), current).collect()
-    for row in changes:
+    changed = 0
+    for row in artifact.reading_changes(spark.read.schema("file string, reading string").json(frozen), current).toLocalIterator():
         print(f"{row.file}: {row.change}")
-    return int(bool(changes))
+        changed += 1
+    return int(changed > 0)
 
 
 if __name__ == "__main__":

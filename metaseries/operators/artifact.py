@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import filecmp
 import json
 import os
 import subprocess
+import tempfile
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -25,6 +28,10 @@ class Provenance:
     tool_state: str = "unknown"
 
 
+#: Names of a build's files: fixed values.
+FILES = ("corpus.json", "corpus.jsonl", "corpus.csv", "corpus.csv.stamp.json")
+
+
 @dataclass(frozen=True)
 class Artifact:
     records: DataFrame
@@ -58,20 +65,24 @@ def digest(records: DataFrame) -> str:
     return fold.hexdigest()
 
 
+def stamp_of(p: Provenance, command: str, options: dict, selection: str, selected: int, excluded: dict[str, int], dirty_digest: Callable[[], str] | None = None) -> dict:
+    """What an output says about itself, in its fixed order."""
+    stamp = {"stamp_version": 1, "corpus_version": p.corpus_version, "corpus_revision": p.corpus_revision, "corpus_state": p.corpus_state}
+    if p.corpus_state == "dirty" and dirty_digest is not None:
+        stamp["corpus_dirty_digest"] = dirty_digest()
+    return stamp | {
+        "tool_version": p.tool_version, "tool_revision": p.tool_revision, "tool_state": p.tool_state, "command": command, "options": dict(sorted(options.items())),
+        "selection": selection, "selected_count": selected, "excluded": dict(sorted(excluded.items())),
+    }
+
+
 def build(parsed: DataFrame, refusals: DataFrame, excluded: dict[str, int], schema: Schema, provenance: Provenance, command: str = "build", options: dict | None = None, selection: str = "all") -> Artifact:
-    """The artifact of a corpus without refusals; ``selection`` is a SQL condition or ``all``."""
+    """The artifact of a corpus without refusals; ``selection`` is a SQL condition on ``path, fields, cells`` or ``all``."""
     first = refusals.limit(20).collect()
     if first:
         raise InvalidCorpus("\n".join(f"{r.file}: {r.field}: found {r.found}, expected {r.expected} [{r.site}]" for r in first))
     records = parsed.select("path", "fields") if selection == "all" else parsed.where(selection).select("path", "fields")
-    p = provenance
-    stamp = {"stamp_version": 1, "corpus_version": p.corpus_version, "corpus_revision": p.corpus_revision, "corpus_state": p.corpus_state}
-    if p.corpus_state == "dirty":
-        stamp["corpus_dirty_digest"] = digest(records)
-    stamp |= {
-        "tool_version": p.tool_version, "tool_revision": p.tool_revision, "tool_state": p.tool_state, "command": command, "options": dict(sorted((options or {}).items())),
-        "selection": selection, "selected_count": records.count(), "excluded": dict(sorted(excluded.items())),
-    }
+    stamp = stamp_of(provenance, command, options or {}, selection, records.count(), excluded, lambda: digest(records))
     return Artifact(records, stamp, schema)
 
 
@@ -115,7 +126,7 @@ def write_all(artifact: Artifact, folder: str) -> list[str]:
     """
     os.makedirs(folder, exist_ok=True)
     columns, dropped = artifact.schema.flat_columns(), artifact.schema.dropped_columns()
-    names = ["corpus.json", "corpus.jsonl", "corpus.csv"]
+    names = FILES[:3]
     parts = {n: open(os.path.join(folder, n + ".part"), "w", encoding="utf-8", newline="") for n in names}  # noqa: SIM115
     try:
         parts["corpus.json"].write('{\n  "stamp": ' + json.dumps(artifact.stamp, ensure_ascii=False, sort_keys=False) + ',\n  "records": [')
@@ -144,6 +155,28 @@ def _no_number(text: str) -> None:
     raise ValueError(f"{text} has no place in an artifact")
 
 
+def reproduce(folder: str, rebuild: Callable[[str, dict], Provenance]) -> list[str]:
+    """Build again what ``folder`` says it holds; the files that differ, none if all bytes are the same.
+
+    ``rebuild`` gets an empty folder and the stamp, fills the folder, and returns the
+    provenance it built from. A dirty stamp, or another revision, can't be reproduced.
+    """
+    with open(os.path.join(folder, "corpus.csv.stamp.json"), encoding="utf-8") as f:
+        stamp = json.load(f)["stamp"]
+    if stamp["corpus_state"] == "dirty" or stamp["tool_state"] == "dirty":
+        raise ValueError("a dirty build can't be reproduced")
+    with tempfile.TemporaryDirectory() as again:
+        made = rebuild(again, stamp)
+        if made.corpus_revision != stamp["corpus_revision"]:
+            raise ValueError(f"this is revision {made.corpus_revision}, the build is of {stamp['corpus_revision']}")
+        return [n for n in FILES if not filecmp.cmp(os.path.join(folder, n), os.path.join(again, n), shallow=False)]
+
+
+def plain_stamp(stamp: dict) -> str:
+    """The stamp as a block that a plain-text output begins with."""
+    return "\n".join(["-- stamp --", *stamp_lines(stamp), "-- end of stamp --"]) + "\n"
+
+
 def readings(parsed: DataFrame, refusals: DataFrame) -> DataFrame:
     """``file, reading``: of each record its canonical fields, or where refused the refusals' sites and fields."""
     refused = refusals.groupBy("file").agg(F.array_sort(F.collect_list(F.concat_ws(" at ", "site", F.when(F.col("field") != "", F.col("field"))))).alias("refusals"))

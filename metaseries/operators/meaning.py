@@ -38,6 +38,21 @@ def unresolved(parsed: DataFrame, vocabulary: DataFrame, groups: DataFrame) -> D
     return reduce(DataFrame.unionByName, out)
 
 
+def denominators(parsed: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``path, problem`` of records whose denominator does not fit their quantity's dimension.
+
+    A dimensionless quantity's record names the quantity it is relative to, or
+    ``definitional``; any other record names none.
+    """
+    own = vocabulary.select(F.col("id").alias("q"), "dimension")
+    named = vocabulary.select(F.col("id").alias("named"))
+    at = text_at("measurement.denominator_quantity")
+    rows = parsed.where("parse_error is null").withColumn("denominator", at).join(F.broadcast(own), text_at("measurement.quantity") == F.col("q")).join(F.broadcast(named), F.col("denominator") == F.col("named"), "left")
+    bare, given = F.col("dimension") == "dimensionless", F.col("denominator").isNotNull()
+    problem = F.when(bare & ~given, "missing").when(~bare & given, "refused").when(given & (F.col("denominator") != "definitional") & F.col("named").isNull(), "unresolved")
+    return rows.select("path", problem.alias("problem")).where("problem is not null")
+
+
 def unit_mismatch(parsed: DataFrame, relative: float = 1e-9) -> DataFrame:
     """Records whose normalized value is not the published one times the factor."""
     a, f, b = number_at("measurement.published.value"), number_at("measurement.conversion.factor"), number_at("measurement.normalized.value")
