@@ -77,7 +77,7 @@ def main(argv: list[str] | None = None) -> int:
     count = counts.first()
     if args.verb == "validate":
         found = 0
-        for r in refusals.toLocalIterator():
+        for r in validate.in_order(refusals).toLocalIterator():
             found += 1
             print(f"{r.file}: {r.field}: found {r.found}, expected {r.expected} [{r.site}]")
         print(f"{count.records} record(s), {count.skipped} skipped in {list(count.excluded)}, {found} refusal(s).")

@@ -78,7 +78,7 @@ def stamp_of(p: Provenance, command: str, options: dict, selection: str, selecte
 
 def build(parsed: DataFrame, refusals: DataFrame, excluded: dict[str, int], schema: Schema, provenance: Provenance, command: str = "build", options: dict | None = None, selection: str = "all") -> Artifact:
     """The artifact of a corpus without refusals; ``selection`` is a SQL condition on ``path, fields, cells`` or ``all``."""
-    first = refusals.limit(20).collect()
+    first = refusals.orderBy("file", "field", "site", "found").limit(20).collect()
     if first:
         raise InvalidCorpus("\n".join(f"{r.file}: {r.field}: found {r.found}, expected {r.expected} [{r.site}]" for r in first))
     records = parsed.select("path", "fields") if selection == "all" else parsed.where(selection).select("path", "fields")

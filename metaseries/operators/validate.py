@@ -147,18 +147,8 @@ def structure(records: DataFrame, schema: Schema) -> DataFrame:
         F.filter(refusing, lambda r: (r["container"] == b["at"]) & F.try_element_at(cells, _member(b["block"], r["name"])).isNotNull() & holds(r["c"], cells, b["block"])), lambda r: _member(b["block"], r["name"])
     )
     held = records.select("path", "cells").withColumn("blocks", blocks).withColumn("refused", F.flatten(F.transform("blocks", ruled_out)))
-    entries = held.select("path", "cells", "refused", F.explode("cells").alias("field", "cell")).where(~_under(F.col("field"), F.col("refused"), itself=False))
-    checked = entries.where(~F.array_contains("refused", F.col("field")))
     out = []
 
-    # undeclared keys of tables whose keys are declared, and tables in between that are none
-    parent = F.when(F.col("cell.parent") == "", F.lit("")).otherwise(F.try_element_at(cells, F.col("cell.parent"))["place"])
-    known = F.broadcast(spark.createDataFrame([(x,) for x in sorted({r.place for r in schema.rules()} | set(interiors))], "t string"))
-    unknown = checked.where((F.col("cell.key") != "") & parent.isin([*containers, *interiors])).join(known, F.col("cell.place") == F.col("t"), "left_anti")
-    out.append(_refusals(unknown, "unknown-field", F.col("field"), _describe(F.col("cell")), F.lit("a declared field")))
-    between = entries.where(F.col("cell.place").isin(interiors) & (F.col("cell.kind") != "table"))
-    out.append(_refusals(between, "wrong-type", F.col("field"), _describe(F.col("cell")), F.lit("a table")))
-
     # presence: the members of each block that is there
     here = held.select("path", "cells", "refused", F.explode("blocks").alias("b")).select("*", "b.block", "b.at").where(~_under(F.col("block"), F.col("refused"), itself=True))
     members = here.join(rules.where("container is not null and need <> 'optional'"), F.col("at") == F.col("container"))
@@ -178,13 +168,22 @@ def structure(records: DataFrame, schema: Schema) -> DataFrame:
     none = ~F.exists("block_needs", lambda n: F.try_element_at(cells, F.concat("block", F.lit("."), n)).isNotNull())
     out.append(_refusals(needy.where(none), "no-member-present", F.col("block"), F.lit("none of them"), F.concat(F.lit("at least one of "), F.array_join("block_needs", ", "))))
 
-    # values: the first thing wrong with each
-    typed = checked.join(rules, F.col("cell.place") == F.col("place"))
-    cell = F.col("cell")
+    # values: each cell once, with all that is wrong with it
+    entries = held.select("path", "cells", "refused", F.explode("cells").alias("field", "cell")).where(~_under(F.col("field"), F.col("refused"), itself=False))
+    typed = entries.join(rules, F.col("cell.place") == F.col("place"), "left")
+    cell, declared = F.col("cell"), F.col("place").isNotNull()
+    checked = ~F.array_contains("refused", F.col("field"))
+    problem = lambda site, field, found, expected: F.struct(F.lit(site).alias("site") if isinstance(site, str) else site.alias("site"), field.alias("field"), found.alias("found"), expected.alias("expected"))
+
+    # undeclared keys of tables whose keys are declared, and tables in between that are none
+    parent = F.when(cell["parent"] == "", F.lit("")).otherwise(F.try_element_at(cells, cell["parent"])["place"])
+    unknown = checked & ~declared & ~cell["place"].isin(interiors) & (cell["key"] != "") & parent.isin([*containers, *interiors])
+    between = cell["place"].isin(interiors) & (cell["kind"] != "table")
     expected_kind = F.create_map(*[F.lit(x) for pair in _expected.items() for x in pair])[F.get("kinds", F.lit(0))]
     bad = lambda site, expected: F.struct(F.lit(site).alias("site"), expected.alias("expected"))
     verdict = (
-        F.when(~F.col("checkable"), bad("wrong-type", F.concat(F.lit("a type that can be checked, not "), F.col("type"))))
+        F.when(~(checked & declared), None)
+        .when(~F.col("checkable"), bad("wrong-type", F.concat(F.lit("a type that can be checked, not "), F.col("type"))))
         .when(F.coalesce(F.array_contains("literals", cell["s"]), F.lit(False)), None)
         .when(F.col("kinds").isNotNull() & ~F.array_contains("kinds", cell["kind"]), bad("wrong-type", F.concat_ws(", for ", expected_kind, "type")))
         .when(F.col("pattern").isNotNull() & ~F.expr("cell.s RLIKE pattern"), bad("malformed-value", F.concat(F.lit("a text of the form "), F.col("pattern"))))
@@ -194,20 +193,28 @@ def structure(records: DataFrame, schema: Schema) -> DataFrame:
         .when(~F.isnan(cell["d"]) & (cell["d"] < F.col("minimum")), bad("below-minimum", F.concat(F.col("minimum").cast("string"), F.lit(" or more"))))
         .when(cell["n"] < F.col("min_length"), bad("list-too-short", F.concat_ws(" ", F.lit("at least"), F.col("min_length").cast("string"), F.lit("item(s)"))))
     )
-    judged = typed.select("path", "field", "cell", verdict.alias("r")).where("r is not null")
     found = F.when(cell["kind"] == "array", F.concat_ws(" ", cell["n"].cast("string"), F.lit("item(s)"))).otherwise(_describe(cell))
-    out.append(_refusals(judged, F.col("r.site"), F.col("field"), found, F.col("r.expected")))
-
     # repeated items, of lists other than of plain texts
-    listed = typed.where("distinct_items and cell.kind = 'array' and cell.n > 1")
-    items = F.transform(F.sequence(F.lit(0), F.col("cell.n") - 1), lambda i: F.try_element_at(cells, F.concat("field", F.lit("["), i.cast("string"), F.lit("]")))["repr"])
-    again = listed.withColumn("items", items).select("path", "field", "items", F.posexplode("items").alias("i", "item")).where(F.array_position("items", F.col("item")) <= F.col("i"))
-    out.append(_refusals(again, "duplicate-in-list", F.concat("field", F.lit("["), F.col("i").cast("string"), F.lit("]")), F.col("item"), F.lit("an item that the list does not have yet")))
+    at = lambda i: F.concat("field", F.lit("["), i.cast("string"), F.lit("]"))
+    items = F.transform(F.sequence(F.lit(0), cell["n"] - 1), lambda i: F.struct(i.alias("i"), F.try_element_at(cells, at(i))["repr"].alias("item")))
+    again = F.filter(items, lambda x: F.exists(items, lambda y: (y["i"] < x["i"]) & (y["item"] == x["item"])))
+    repeats = F.when(
+        checked & F.col("distinct_items") & (cell["kind"] == "array") & (cell["n"] > 1),
+        F.transform(again, lambda x: problem("duplicate-in-list", at(x["i"]), x["item"], F.lit("an item that the list does not have yet"))),
+    )
+    first = F.array(
+        F.when(unknown, problem("unknown-field", F.col("field"), _describe(cell), F.lit("a declared field"))),
+        F.when(between, problem("wrong-type", F.col("field"), _describe(cell), F.lit("a table"))),
+        F.when(F.col("verdict").isNotNull(), problem(F.col("verdict.site"), F.col("field"), found, F.col("verdict.expected"))),
+    )
+    wrong = typed.withColumn("verdict", verdict).select("path", F.concat(F.filter(first, F.isnotnull), F.coalesce(repeats, F.array())).alias("problems"))
+    each = wrong.where(F.size("problems") > 0).select("path", F.explode("problems").alias("r"))
+    out.append(_refusals(each, F.col("r.site"), F.col("r.field"), F.col("r.found"), F.col("r.expected")))
     return reduce(DataFrame.unionByName, out)
 
 
 def validate_records(parsed: DataFrame, schemas: dict[int, Schema]) -> DataFrame:
-    """Refusals of parsed records, in order: by file, field, site, what was found."""
+    """Refusals of parsed records; ``in_order`` sorts them for reading."""
     versions = ", ".join(map(str, schemas))
     broken = parsed.where("parse_error is not null").select(F.lit("record-does-not-parse").alias("site"), F.col("path").alias("file"), F.lit("").alias("field"), F.col("parse_error").alias("found"), F.lit("TOML").alias("expected"))
     good = parsed.where("parse_error is null").withColumn("v", F.try_element_at("cells", F.lit("schema_version")))
@@ -215,10 +222,11 @@ def validate_records(parsed: DataFrame, schemas: dict[int, Schema]) -> DataFrame
     known = F.coalesce(version.isin(list(schemas)), F.lit(False))
     unread = _refusals(good.where(~known), "schema-version", F.lit("schema_version"), F.coalesce(_describe(F.col("v")), F.lit("nothing")), F.lit(f"a loaded version: {versions}"))
     out = [broken, unread, *(structure(good.where(F.coalesce(version == n, F.lit(False))), schema) for n, schema in schemas.items())]
-    return in_order(reduce(DataFrame.unionByName, out))
+    return reduce(DataFrame.unionByName, out).select(*REFUSAL)
 
 
 def in_order(refusals: DataFrame) -> DataFrame:
+    """By file, field, site and what was found."""
     return refusals.select(*REFUSAL).orderBy("file", "field", "site", "found", "expected")
 
 
@@ -236,4 +244,4 @@ def validate_tree(files: DataFrame, parsed: DataFrame, schemas: dict[int, Schema
     counts = files.agg(
         F.count_if(~away & placed).alias("records"), F.count_if(away).alias("skipped"), F.array_sort(F.collect_set(F.when(away, parent_folder(F.col("path"))))).alias("excluded")
     )
-    return in_order(validate_records(own, schemas).unionByName(wrong)), counts
+    return validate_records(own, schemas).unionByName(wrong), counts

@@ -8,6 +8,7 @@ quoted key never looks like a path.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import tomllib
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 from datetime import date, datetime, time
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ def listing(root: str, below: str = "record") -> list[str]:
 def read_tree(spark: SparkSession, root: str, below: str = "record") -> DataFrame:
     """``path, text`` of each file of a tree on storage that all executors see; text null where it is no UTF-8."""
     paths = listing(root, below)
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths) // 500 + 1, 512)))
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths) // 1000 + 1, 4096)))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -108,25 +110,30 @@ def shred(record: dict) -> dict[str, dict]:
     return cells
 
 
+_cell = pa.struct([pa.field(n, t) for n, t in (("place", pa.string()), ("parent", pa.string()), ("key", pa.string()), ("kind", pa.string()), ("s", pa.string()), ("d", pa.float64()), ("l", pa.int64()), ("n", pa.int32()), ("repr", pa.string()))])
+
+
+def parsed_record(text: bytes | None) -> tuple[str | None, str | None, dict[str, dict]]:
+    """Error, canonical JSON and cells of a record's text."""
+    try:
+        if text is None:
+            raise ValueError("no text")
+        record = tomllib.loads(text.decode("utf-8"))
+        return None, canonical(record), shred(record)
+    except (tomllib.TOMLDecodeError, UnicodeDecodeError, ValueError, RecursionError) as e:
+        return str(e) or type(e).__name__, None, {}
+
+
 def parse_records(files: DataFrame) -> DataFrame:
     """``path, parse_error, fields, cells`` of ``files (path, text)``; ``fields`` is canonical JSON."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            errors, fields, cells = [], [], []
-            for text in batch["text"]:
-                try:
-                    if text is None:
-                        raise ValueError("no text")
-                    record = tomllib.loads(bytes(text).decode("utf-8"))
-                    shredded = shred(record)
-                    errors.append(None)
-                    fields.append(canonical(record))
-                    cells.append(shredded)
-                except (tomllib.TOMLDecodeError, UnicodeDecodeError, ValueError, RecursionError) as e:
-                    errors.append(str(e) or type(e).__name__)
-                    fields.append(None)
-                    cells.append({})
-            yield pd.DataFrame({"path": batch["path"], "parse_error": errors, "fields": fields, "cells": cells})
-
-    return files.select("path", F.col("text").cast("binary").alias("text")).mapInPandas(run, PARSED)
+            errors, fields, cells = zip(*map(parsed_record, batch.column(1).to_pylist()), strict=True) if batch.num_rows else ([], [], [])
+            every = [c for own in cells for c in own.values()]
+            ends = pa.array([0, *itertools.accumulate(map(len, cells))], pa.int32())
+            columns = [pa.array([c[f.name] for c in every], f.type) for f in _cell]
+            held = pa.MapArray.from_arrays(ends, pa.array([k for own in cells for k in own], pa.string()), pa.StructArray.from_arrays(columns, fields=list(_cell)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(errors, pa.string()), pa.array(fields, pa.string()), held], names=["path", "parse_error", "fields", "cells"])
+
+    return files.select("path", F.col("text").cast("binary").alias("text")).mapInArrow(run, PARSED)

@@ -348,3 +348,23 @@ def test_the_schema_is_checked(tmp_path):
 
 def test_shortest_numbers():
     assert [schemas.shortest(x) for x in (1.0, 1.5, 1e21, 1e20, 1.5e-7, 0.0001, 1e-05)] == ["1", "1.5", "1e+21", "100000000000000000000", "1.5e-07", "0.0001", "1e-05"]
+
+
+def test_the_command_line(spark, tmp_path, capsys):
+    from metaseries.__main__ import main
+
+    bad = PATH.replace("01.toml", "02.toml")
+    root = written(tmp_path / "corpus", {PATH: text({}), "vocabulary/tenor-bell-pitch.toml": toml(ENTRY), "group/north-workshop.toml": 'id = "north-workshop"\nname = "N"\naliases = []\n'})
+    out = str(tmp_path / "build")
+    run = lambda verb, *more: (main([verb, "--root", root, "--out", out, *more]), capsys.readouterr().out)
+    assert run("validate") == (0, "1 record(s), 0 skipped in [], 0 refusal(s).\n")
+    assert run("meaning") == (0, "")
+    code, said = run("analyse", "--assume-coverage", "k=1")
+    assert code == 0 and said.startswith("-- stamp --\n") and "assumed_coverage=k=1" in said
+    assert "tenor-bell-pitch: 1 confirmed, 0 unconfirmed, 0 disputed left out" in said and json.loads(said.splitlines()[-1])["estimate"] == pytest.approx(434.5)
+    assert run("build")[0] == 0 and run("freeze") == (0, "") and run("compare") == (0, "")
+    written(tmp_path / "corpus", {bad: text({"group/id": "nobody", "blinding": "no"})})
+    assert run("validate") == (1, f"{bad}: blinding: found a text no, expected one of blinded, not-blinded, not-stated [value-outside-set]\n2 record(s), 0 skipped in [], 1 refusal(s).\n")
+    assert run("meaning") == (1, f"{bad}: group.id: nothing is named nobody\n")
+    assert run("compare") == (1, f"{bad}: added\n")
+    assert "is required" in run("schema")[1] and "value-outside-set" in run("refusals")[1]
