@@ -7,6 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from metaseries.sources.tables import working_folder
+
 
 def windowed_means(events: DataFrame, width: str = "1 day", late: str = "2 days") -> DataFrame:
     """Count, mean and standard error of each event type's values in each window.
@@ -24,18 +26,21 @@ def windowed_means(events: DataFrame, width: str = "1 day", late: str = "2 days"
 
 
 def run_available(spark: SparkSession, folder: str, name: str = "events.parquet", checkpoint: str | None = None) -> DataFrame:
-    """Run the stream over what ``folder`` holds now, and return the last complete result.
+    """Run the stream over what ``folder`` holds now, and return the last state of each window.
 
-    The result and the stream's checkpoint are written under the folder that
-    spark.checkpoint.dir names, so a restart takes up where the stream stopped.
+    Windows that changed are written by each micro-batch, in a folder of its own that a
+    repeated batch overwrites, and the latest of a window counts; so windows behind the
+    watermark leave the stream's state, which stays bounded. Results and checkpoint are
+    in the working folder, so a restart takes up where the stream stopped.
     """
-    base = checkpoint or f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    base = checkpoint or f"{working_folder(spark)}/stream-{uuid.uuid4().hex}"
     schema = spark.read.parquet(f"{folder}/{name}").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", name).parquet(folder)
 
-    def keep(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/result")
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/result/batch={number}")
 
-    running = windowed_means(stream).writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
+    running = windowed_means(stream).writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     running.awaitTermination()
-    return spark.read.parquet(f"{base}/result")
+    last = F.max(F.struct("batch", "n", "mean", "se")).alias("last")
+    return spark.read.parquet(f"{base}/result").groupBy("start", "event_type").agg(last).select("start", "event_type", "last.n", "last.mean", "last.se")
