@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import mix, stash, windows, without
+from .shared import mix, remembered, stash, text_mark, tidy, windows, without_rows
 
 WIDTH = 6
 #: Literal words that a window needs to be hashed as a template.
@@ -54,7 +54,7 @@ _marks = mix(np.arange(1, 4, dtype=np.uint64) * np.uint64(0x51ED270B))
 class WordKinds(dict):
     """Number of each word seen, up to a fixed number of words; by number its hash and traits."""
 
-    limit = 200_000
+    limit = 100_000
 
     def __init__(self):
         super().__init__()
@@ -71,13 +71,17 @@ class WordKinds(dict):
         self[word] = len(self.hash) - 1
         return self[word]
 
+    def forget(self) -> None:
+        self.clear()
+        self.__init__()
+
     def fresh(self) -> None:
         if len(self) >= self.limit:
-            self.clear()
-            self.__init__()
+            self.forget()
 
 
 _kinds = WordKinds()
+remembered(_kinds.forget)
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,11 +183,11 @@ def _item_rows(benchmark: DataFrame, id_col: str, text_col: str, width: int) ->
 
     kind = benchmark.schema[id_col].dataType.simpleString()
     texts = benchmark.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return texts.mapInArrow(run, f"id {kind}, hash long, pos int, width int, exact boolean, total int, covers array<int>, slots array<string>")
+    return texts.mapInArrow(tidy(run), f"id {kind}, hash long, pos int, width int, exact boolean, total int, covers array<int>, slots array<string>")
 
 
 def _document_rows(docs: DataFrame, id_col: str, text_col: str, template_widths: list[int], verbatim_widths: list[int], keep) -> DataFrame:
-    """``id, hash, pos, width, slots`` of the documents' windows that ``keep`` lets pass."""
+    """``id, mark, hash, pos, width, slots`` of the documents' windows that ``keep`` lets pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -209,13 +213,15 @@ def _document_rows(docs: DataFrame, id_col: str, text_col: str, template_widths:
                         pos.append(int(heads[t]))
                         width.append(w)
                         slots.append(_slots(slot, heads, codes, t, w))
+            row = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(hashes, pa.int64()), *(pa.array(x, pa.int32()) for x in (pos, width)), pa.array(slots, pa.list_(pa.string()))],
-                names=["id", "hash", "pos", "width", "slots"],
+                [batch.column(0).take(row), batch.column(2).take(row), pa.array(hashes, pa.int64()), *(pa.array(x, pa.int32()) for x in (pos, width)), pa.array(slots, pa.list_(pa.string()))],
+                names=["id", "mark", "hash", "pos", "width", "slots"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, hash long, pos int, width int, slots array<string>")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"), text_mark(F.col(text_col)).alias("mark"))
+    return texts.mapInArrow(tidy(run), f"id {kind}, mark long, hash long, pos int, width int, slots array<string>")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -224,8 +230,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: f
     Columns ``doc_id, item_id, matched_windows, item_windows, coverage, verbatim`` of
     the best alignment; ``verbatim`` is false for a re-parameterised item. Items with
     under ``LEAST_WORDS`` words, and null or empty texts, match nothing; items shorter
-    than ``width`` are one window. Repeated rows count once.
+    than ``width`` are one window. Repeated rows count once. Rows that share an id are
+    judged by their own texts, and the best of them is told; so are rows without id. Texts
+    of any length are read whole; empty tables give no rows.
     """
+    names = ("matched_windows", "item_windows", "coverage", "verbatim")
+    best = F.max(F.struct(*names)).alias("best")
+    found = found_items(docs, benchmark, width, coverage, id_col, text_col, item_col, item_text_col)
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", *(f"best.{n}" for n in names))
+
+
+def found_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: float = COVERAGE, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """What ``leaks`` gives, for each text of an id apart: with ``mark``, the text's ``text_mark``."""
     items = stash(_item_rows(benchmark, item_col, item_text_col, width).dropDuplicates(["id", "hash", "pos"]))
     bits = np.zeros(BITMAP_BITS, dtype=bool)
     widths = sorted((r.width, r.exact) for r in items.select("width", "exact").distinct().collect())  # at most ``width`` of each kind
@@ -248,8 +264,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: f
     shift, length = F.col("d.pos") - F.col("b.pos"), F.greatest(F.lit(LEAST_RANGE), F.col("b.total"))
     spans = F.array(*(F.struct(F.lit(i).alias("by"), F.floor(x).cast("long").alias("at")) for i, x in enumerate((shift, shift / length, shift / length + 0.5))))
     aligned = (
-        met.select(F.col("d.id").alias("doc_id"), F.col("b.id").alias("item_id"), F.explode(spans).alias("span"), "b.covers", "b.exact", F.col("b.total").alias("item_windows"), pairs.alias("pairs"))
-        .groupBy("doc_id", "item_id", "span", "item_windows")
+        met.select(F.col("d.id").alias("doc_id"), "d.mark", F.col("b.id").alias("item_id"), F.explode(spans).alias("span"), "b.covers", "b.exact", F.col("b.total").alias("item_windows"), pairs.alias("pairs"))
+        .groupBy("doc_id", "mark", "item_id", "span", "item_windows")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_set("covers")))).alias("matched_windows"),
             F.size(F.array_distinct(F.flatten(F.collect_set(F.when(F.col("exact"), F.col("covers")))))).alias("exact_windows"),
@@ -264,15 +280,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, coverage: f
     best = F.max(F.struct("matched_windows", "item_windows", "coverage", verbatim.alias("verbatim")))
     return (
         aligned.where(F.col("coverage") >= coverage)
-        .groupBy("doc_id", "item_id")
+        .groupBy("doc_id", "mark", "item_id")
         .agg(best.alias("best"))
-        .select("doc_id", "item_id", "best.matched_windows", "best.item_windows", "best.coverage", "best.verbatim")
+        .select("doc_id", "mark", "item_id", "best.matched_windows", "best.item_windows", "best.coverage", "best.verbatim")
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents in which a benchmark item is found; all columns stay."""
-    return without(docs, leaks(docs, benchmark, id_col=id_col, text_col=text_col).select("doc_id"), id_col)
+    """``docs`` without the rows in whose text a benchmark item is found; all columns stay.
+
+    Of rows that repeat an id, or have none, only those with an item in their own text go.
+    """
+    return without_rows(docs, found_items(docs, benchmark, id_col=id_col, text_col=text_col).select("doc_id", "mark"), id_col, text_col)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

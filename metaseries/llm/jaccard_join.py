@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .components import components
-from .shared import mix, row_count_at_most, slices, stash, windows, without, word_hashes, words
+from .shared import mix, private, row_count_at_most, stash, tidy, windows, without, word_hashes, words
 
 SHINGLE, PERCENT = 4, 85
 #: Least 64-bit words of the fine sketch that turns pairs down; over 1023 shingles it doubles with the set.
@@ -125,7 +125,7 @@ def sketches(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
     """``doc_id, n, mark1, mark2, keys, parts, bits`` of each whole text; equal sets have equal marks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in batches:
             n, marks1, marks2, keys, parts, bits = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, width)
@@ -144,7 +144,7 @@ def sketches(docs: DataFrame, width: int, percent: int, id_col: str, text_col: s
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return texts.mapInArrow(run, f"doc_id {kind}, n long, mark1 long, mark2 long, keys array<long>, parts array<int>, bits array<long>")
+    return texts.mapInArrow(tidy(run), f"doc_id {kind}, n long, mark1 long, mark2 long, keys array<long>, parts array<int>, bits array<long>")
 
 
 def hot_keys(table: DataFrame, share: int = 4, often: int = 3, most: int = HOT_KEYS) -> np.ndarray:
@@ -171,7 +171,7 @@ def filed_under(table: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = held.value
-        for batch in slices(batches):
+        for batch in batches:
             keys = np.asarray(batch.column(2).flatten())
             ends = np.cumsum([0, *batch.column(2).value_lengths().to_pylist()])
             is_hot = known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys if len(known) else np.zeros(len(keys), dtype=bool)
@@ -183,7 +183,7 @@ def filed_under(table: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(np.concatenate(found) if found else np.empty(0, np.int64))], names=["doc_id", "key"])
 
     kind = table.schema["doc_id"].dataType.simpleString()
-    return table.select("doc_id", "n", "keys", "parts").mapInArrow(run, f"doc_id {kind}, key long")
+    return table.select("doc_id", "n", "keys", "parts").mapInArrow(tidy(run), f"doc_id {kind}, key long")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -191,14 +191,14 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_col
     texts = _only(docs, pairs, id_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in batches:
             sets = [shingle_set(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
             held = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), held], names=["id", "shingles"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    sets = stash(texts.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, shingles array<long>"))
+    sets = stash(texts.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(tidy(run), f"id {kind}, shingles array<long>"))
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -332,9 +332,10 @@ def _turned_down(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
 
 def _only(rows: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
     """The rows whose id is an end of a pair; up to BROADCAST_IDS ids are broadcast, more are shuffled."""
-    ids = stash(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
+    end = private("end")
+    ids = stash(pairs.select(F.explode(F.array("a", "b")).alias(end)).distinct())
     few = F.broadcast(ids) if row_count_at_most(ids, BROADCAST_IDS) else ids
-    return rows.join(few, F.col(id_col) == F.col("_id"), "left_semi")
+    return rows.join(few, F.col(id_col) == F.col(end), "left_semi")
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -344,10 +345,11 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "
     """
     found = near_duplicates(docs, width, percent, id_col, text_col)
     kept = without(docs, found.where(F.col("doc_id") != F.col("component_id")).select("doc_id"), id_col)
-    repeated = stash(docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(F.col(id_col).alias("_again")))
+    n, name = private("n"), private("again")
+    repeated = stash(docs.groupBy(id_col).agg(F.count(F.lit(1)).alias(n)).where(F.col(n) > 1).select(F.col(id_col).alias(name)))
     if repeated.isEmpty():
         return kept
-    again = F.col(id_col).eqNullSafe(F.col("_again"))
+    again = F.col(id_col).eqNullSafe(F.col(name))
     return kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").dropDuplicates([id_col, text_col]))
 
 

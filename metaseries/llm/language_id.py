@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .shared import id_remainder, letters_in
+from .shared import id_remainder, letters_in, tidy
 
 #: The bound of the sample: documents of a language, and the longest that is taken, in bytes.
 SAMPLE_DOCS, SAMPLE_BYTES = 400, 16_384
@@ -133,7 +133,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, lang_best string, score double, margin double, lang string"
+        tidy(run), f"doc_id {kind}, lang_best string, score double, margin double, lang string"
     )
 
 

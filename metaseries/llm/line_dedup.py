@@ -12,13 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import row_count_at_most, stash
+from .shared import private, row_count_at_most, stash
 
 #: A line on more than this share of a host's pages is boilerplate.
 RATIO = 0.05
 #: On so many pages of the host at least, so that small hosts keep their lines.
 LEAST_PAGES = 5
-#: Boilerplate lists are broadcast up to this many hosts with up to LIST_BYTES each on average.
+#: Boilerplate lines up to this number are broadcast.
 BROADCAST_ROWS = 100_000
 
 
@@ -54,13 +54,14 @@ def dedup_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text
     stay. ``count_col`` must not be a column of ``docs``.
     """
     found = boilerplate(docs, host_col, text_col, ratio, least_pages)
-    lists = stash(found.groupBy("host").agg(F.collect_set("line_hash").alias("_cut")).withColumnRenamed("host", "_host"))
-    if row_count_at_most(lists.select(F.explode("_cut")), BROADCAST_ROWS):
+    lines, host = private("lines"), private("host")
+    lists = stash(found.groupBy("host").agg(F.collect_set("line_hash").alias(lines)).withColumnRenamed("host", host))
+    if row_count_at_most(lists.select(F.explode(lines)), BROADCAST_ROWS):
         lists = F.broadcast(lists)
-    joined = docs.join(lists, F.col(host_col).cast("string").eqNullSafe(F.col("_host")), "left")
+    joined = docs.join(lists, F.col(host_col).cast("string").eqNullSafe(F.col(host)), "left")
     parts = F.split(F.col(text_col), "\n")
-    kept = F.filter(parts, lambda x: ~F.array_contains(F.col("_cut"), F.xxhash64(F.trim(x))))
-    cut = F.col("_cut").isNotNull() & F.col(text_col).isNotNull()
+    kept = F.filter(parts, lambda x: ~F.array_contains(F.col(lines), F.xxhash64(F.trim(x))))
+    cut = F.col(lines).isNotNull() & F.col(text_col).isNotNull()
     return joined.select(
         *[F.when(cut, F.array_join(kept, "\n")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns],
         F.when(cut, F.size(parts) - F.size(kept)).otherwise(F.lit(0)).alias(count_col),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, LongType, StructField, StructType
 
-from .shared import slices, stash
+from .shared import private, stash, tidy
 from .tokens import END_ID, TokenCache
 
 WINDOW = 1024
@@ -86,7 +86,7 @@ def token_pieces(docs: DataFrame, size: int = WINDOW, tokenizer: str | None = No
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = TokenCache.of(tokenizer)
-        for batch in slices(batches):
+        for batch in batches:
             row, start, length, total, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 held = cache.encode(text or "") + END_ID.to_bytes(4, "little")
@@ -109,7 +109,7 @@ def token_pieces(docs: DataFrame, size: int = WINDOW, tokenizer: str | None = No
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, doc_tokens long, ids_crc32 long" + ", ids binary" * with_ids
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidy(run), schema)
 
 
 def pack(pieces: DataFrame, size: int = WINDOW, per_bucket: int = PER_BUCKET) -> DataFrame:
@@ -120,17 +120,17 @@ def pack(pieces: DataFrame, size: int = WINDOW, per_bucket: int = PER_BUCKET) ->
     1 <= length <= ``size``. A bucket is sorted by length, then the other columns;
     wholly equal rows are interchangeable. An empty table gives no rows.
     """
-    buckets = max(1, round(pieces.count() / per_bucket))
+    buckets, bucket = max(1, round(pieces.count() / per_bucket)), private("bucket")
     order = [("length", "descending"), *((f.name, "ascending") for f in pieces.schema if f.name != "length" and isinstance(f.dataType, AtomicType))]
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.drop_columns(["bucket"]).sort_by(order)
+        table = table.drop_columns([bucket]).sort_by(order)
         window, offset = best_fit_decreasing(table.column("length").to_numpy(), size)
         return table.append_column("sequence_id", pa.array(window * buckets + key[0].as_py())).append_column("offset", pa.array(offset))
 
     result = StructType([*pieces.schema.fields, StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)))
-    return dealt.groupBy("bucket").applyInArrow(run, result)
+    dealt = pieces.withColumn(bucket, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)))
+    return dealt.groupBy(bucket).applyInArrow(run, result)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

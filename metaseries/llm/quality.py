@@ -11,15 +11,15 @@ computed once.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import id_remainder, slices, stash
+from .shared import forget_all, id_remainder, private, row_count_at_most, slices, tidy
 
 FEATURES = (
     "log_words",
@@ -40,6 +40,8 @@ TO_POOLED, TO_DIAGONAL = 0.2, 0.05
 #: Least variance of a statistic, so that constant ones do no harm.
 LEAST = 1e-3
 THRESHOLD = 0.7
+#: Labels up to this number are broadcast.
+BROADCAST_LABELS = 1_000_000
 
 _upper = re.compile(rb"[A-Z]|\xc3[\x80-\x9e]")
 _marks = bytes(i for i in range(33, 127) if not chr(i).isalnum() and chr(i) not in ".,")
@@ -86,16 +88,19 @@ def statistics(text: bytes | None) -> list[float]:
     ]
 
 
-def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, x``: the statistics of each whole text, one row per document."""
+def document_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str | None = None) -> DataFrame:
+    """``doc_id, x[, keep]``: the statistics of each whole text, one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            x = [statistics(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "x"])
+        for batch in batches:
+            x = pa.array([statistics(t.as_py()) for t in batch.column(1)], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), x, *batch.columns[2:]], names=names)
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"doc_id {kind}, x array<double>")
+    kept = [keep] if keep else []
+    names = ["doc_id", "x", *kept]
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in kept)
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *kept)
+    return texts.mapInArrow(tidy(run), f"doc_id {docs.schema[id_col].dataType.simpleString()}, x array<double>{kinds}")
 
 
 @dataclass(frozen=True)
@@ -112,17 +117,30 @@ class Discriminant:
         return 1 / (1 + np.exp(np.clip(part[0] - part[1], -500, 500)))
 
 
-def fit(statistics_of: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", to_pooled: float = TO_POOLED, to_diagonal: float = TO_DIAGONAL) -> Discriminant:
-    """Fit from all labelled rows; only two rows of sums reach the driver.
+def labelled_statistics(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", bound: int = BROADCAST_LABELS) -> DataFrame:
+    """``doc_id, x, label`` of each document with each of its labels.
 
-    Labels other than 0 and 1, and null labels, are passed over; repeated labels
-    count as often as they occur. A class without rows takes the pooled form.
+    Labels other than 0 and 1 are passed over. Up to ``bound`` labels are broadcast, and
+    only their texts are read through; of more, the statistics of all texts are shuffled
+    to the labels, never the texts.
+    """
+    label, own = private("label"), private("id")
+    picked = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias(own), F.col(label_col).alias(label))
+    if row_count_at_most(picked, bound):
+        texts = docs.select(id_col, text_col).join(F.broadcast(picked), F.col(id_col) == F.col(own)).drop(own)
+        return document_statistics(texts, id_col, text_col, label).withColumnRenamed(label, "label")
+    return document_statistics(docs, id_col, text_col).join(picked, F.col("doc_id") == F.col(own)).select("doc_id", "x", F.col(label).alias("label"))
+
+
+def fit(labelled: DataFrame, to_pooled: float = TO_POOLED, to_diagonal: float = TO_DIAGONAL) -> Discriminant:
+    """Fit from all rows of ``labelled (x, label)``; only two rows of sums reach the driver.
+
+    Repeated labels count as often as they occur. A class without rows takes the pooled form.
     """
     p = len(FEATURES)
-    both = statistics_of.join(labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("label")).where("label in (0, 1)"), "doc_id")
     sums = [F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(p)]
     products = [F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"q{i}_{j}") for i in range(p) for j in range(i, p)]
-    rows = {r.label: r for r in both.groupBy("label").agg(F.count(F.lit(1)).alias("n"), *sums, *products).collect()}
+    rows = {r.label: r for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"), *sums, *products).collect()}
     return solve({c: _moments(rows.get(c), p) for c in (0, 1)}, to_pooled, to_diagonal)
 
 
@@ -154,20 +172,25 @@ def solve(moments: dict[int, tuple[int, np.ndarray, np.ndarray]], to_pooled: flo
     return Discriminant(tuple(means), tuple(whiten), tuple(level))
 
 
-def score(statistics_of: DataFrame, model: Discriminant, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, score, predicted`` of each row of ``document_statistics``.
+def probability(model: Discriminant) -> Callable[[Column], Column]:
+    """A function of a column of texts: the probability of label 1 of each, where it stands."""
 
-    ``score`` is the probability of label 1; ``predicted`` is 1 from ``threshold`` on.
-    """
+    @F.arrow_udf("double")
+    def scored(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for held in texts:
+                parts = slices([pa.RecordBatch.from_arrays([held], names=["text"])])
+                found = [model.score(np.array([statistics(t.as_py()) for t in part.column(0)])) for part in parts]
+                yield pa.array(np.concatenate(found) if found else np.empty(0))
+        finally:
+            forget_all()
+
+    return lambda text: scored(text.cast("binary"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = np.asarray(batch.column(1).flatten()).reshape(batch.num_rows, len(FEATURES))
-            s = model.score(x)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "score", "predicted"])
 
-    kind = statistics_of.schema["doc_id"].dataType.simpleString()
-    return statistics_of.select("doc_id", "x").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", train: str | None = None) -> Discriminant:
+    """The model from all ``labels`` of ``docs``; ``train`` is a condition on the ids that are learnt from."""
+    return fit(labelled_statistics(docs.where(train) if train else docs, labels, id_col, text_col, label_col))
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -177,13 +200,24 @@ def held_out(doc_id: str = "doc_id"):
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", train: str | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, score, predicted`` of every document, learnt from ``labels``.
 
-    ``train`` names a boolean SQL condition on ``doc_id`` that the label rows learnt
-    from must meet. Null and empty texts are scored like any other (all statistics
-    0). An empty table gives no rows; only the id and text columns are read.
+    ``train`` names a boolean SQL condition on the id that the label rows learnt from
+    must meet. Each row is scored by its own text, so rows that repeat an id, or have
+    none, are scored each. Null and empty texts are scored like any other (all
+    statistics 0). An empty table gives no rows; only the id and text columns are read.
+    """
+    score = probability(learn(docs, labels, id_col, text_col, label_col, train))
+    found = docs.select(F.col(id_col).alias("doc_id"), score(F.col(text_col)).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", train: str | None = None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` with a score of ``threshold`` or more, all columns kept.
+
+    Rows are judged by their own text where they lie, so nothing is joined back: of rows
+    that repeat an id only the poor ones go, and rows without id are judged like others.
     """
-    x = stash(document_statistics(docs, id_col, text_col))
-    learnt = x.where(train) if train else x
-    return score(x, fit(learnt, labels, id_col, label_col), threshold)
+    score = probability(learn(docs, labels, id_col, text_col, label_col, train))
+    return docs.where(score(F.col(text_col)) >= threshold)
 
 
 TRAIN = "coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 4, 0) <> 2"

@@ -15,6 +15,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from .shared import remembered
+
 if array("I").itemsize != 4 or sys.byteorder != "little":
     raise RuntimeError("ids are kept as little-endian 32-bit values")
 
@@ -38,7 +40,7 @@ def _visible() -> dict[int, str]:
 class _Held(dict):
     """Results of a function, up to a fixed number of them."""
 
-    limit = 100_000
+    limit = 20_000
 
     def __init__(self, of):
         super().__init__()
@@ -57,7 +59,7 @@ class TokenCache(dict):
     A key is the word without the space; up to ``limit`` words are remembered.
     """
 
-    limit = 350_000
+    limit = 150_000
     _held: dict[str, TokenCache] = {}
 
     def __init__(self, path: str):
@@ -74,8 +76,14 @@ class TokenCache(dict):
         path = path or default_path()
         if path not in cls._held:
             cls._held[path] = cls(path)
+            remembered(cls._held[path].forget)
         return cls._held[path]
 
+    def forget(self) -> None:
+        self.clear()
+        self.marks.clear()
+        self.bare.clear()
+
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
