@@ -12,34 +12,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metaseries.llm import decontaminate, jaccard_join, line_dedup, packing, quality
-from metaseries.llm.shared import stash, without
+from metaseries.llm.shared import private, stash
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a quality score of 0.7 or more; learnt from labels outside the held-out fold."""
-    scored = quality.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), train=quality.TRAIN)
-    return without(docs, scored.where("predicted = 0").select("doc_id"), "doc_id")
+    """Documents with a quality score of 0.7 or more; learnt from labels outside the held-out fold.
+
+    Each row is judged by its own text; a null or empty one is scored like any other, and
+    repeated ids and null ids need no care. An empty table stays empty.
+    """
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), train=quality.TRAIN)
 
 
 def cut_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without their source's boilerplate lines; ``n_chars`` follows. All documents stay."""
-    cut = line_dedup.dedup_lines(docs, count_col="_lines_cut")
-    n_chars = F.when(F.col("_lines_cut") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return cut.withColumn("n_chars", n_chars).drop("_lines_cut")
+    """Texts without their source's boilerplate lines; ``n_chars`` follows. All documents stay.
+
+    Null texts stay null, texts of nothing but boilerplate become empty; rows without
+    source form a source of their own.
+    """
+    count = private("cut")
+    cut = line_dedup.dedup_lines(docs, count_col=count)
+    n_chars = F.when(F.col(count) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return cut.withColumn("n_chars", n_chars).drop(count)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, of the smallest id, of each group linked at 0.8 on five-word shingles."""
+    """One document, of the smallest id, of each group linked at 0.8 on five-word shingles.
+
+    Null and empty texts link with nothing and stay, as do rows without id; of rows that
+    repeat a kept id with the same text one stays.
+    """
     return jaccard_join.keep_one(docs, width=5, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found.
+
+    Each row is judged by its own text, also where ids repeat or are null; null and
+    empty texts hold no item.
+    """
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 1024 tokens."""
+    """Pieces of the documents in sequences of at most 1024 tokens.
+
+    A null or empty text is an end id alone; repeated rows are packed each.
+    """
     return packing.pack(stash(packing.token_pieces(docs)))
 
 
