@@ -1,185 +1,334 @@
-"""A small causal self-attention model in numpy: forward, backward, training, scoring."""
+"""A small causal self-attention model over subword ids in numpy: forward, backward, scoring.
+
+The output is a two-level softmax over all ids (Grave et al. 2017): the most frequent
+ids are classes of their own, the others lie in clusters, and both levels depend on the
+context. Ids that no training text has share a class, evenly.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
+from functools import cached_property
+
 import numpy as np
 
 #: Positions of a context window, and how far the next window starts behind it.
 CONTEXT, STRIDE = 32, 24
 WIDTH = 16
-CLASSES = 96
-#: Windows scored at once.
-BATCH = 96
+#: Ids that are classes of their own, and ids of a cluster.
+SINGLES, CLUSTER = 48, 128
+#: Windows of a training batch, and windows scored at once.
+BATCH, SCORED = 256, 256
+#: Ids are below this; the last one ends a text.
+IDS = 1 << 16
+END = IDS - 1
+
+DENSE = ("place", "qkv", "out", "up", "down", "head", "bias")
+ROWS = ("embed", "tail", "tail_bias")
+NAMES = (*DENSE, *ROWS)
+_least, _most = np.float32(-60), np.float32(60)
+
+
+@dataclass(frozen=True)
+class Vocabulary:
+    """Which place of the output stands for each id.
+
+    ``seen`` are the ids of the training texts, the more frequent first. ``row`` is an
+    id's place among them (the place after the last for all others), ``of`` its class,
+    ``within`` its place in its cluster (-1: none). The last class is that of unseen ids.
+    """
+
+    seen: np.ndarray
+    count: np.ndarray
+    row: np.ndarray
+    of: np.ndarray
+    within: np.ndarray
+
+    @classmethod
+    def from_counts(cls, count: dict[int, int], singles: int = SINGLES, cluster: int = CLUSTER) -> Vocabulary:
+        seen = np.array(sorted(count, key=lambda i: (-count[i], i)), dtype=np.int64)
+        row = np.full(IDS, len(seen), dtype=np.int32)
+        row[seen] = np.arange(len(seen))
+        clusters = max(0, -(-(len(seen) - singles) // cluster))
+        of = np.where(row < singles, row, singles + (row - singles) // cluster)
+        alone = min(len(seen), singles)
+        of = np.where(row == len(seen), alone + clusters, of).astype(np.int32)
+        within = np.where((row >= singles) & (row < len(seen)), (row - singles) % cluster, -1).astype(np.int32)
+        return cls(seen, np.array([count[int(i)] for i in seen], dtype=float), row, of, within)
 
-NAMES = ("embed", "place", "query", "key", "value", "out", "up", "down", "head", "bias")
-_masked = np.float32(-1e9)
+    @cached_property
+    def classes(self) -> int:
+        return int(self.of.max()) + 1
 
+    @cached_property
+    def alone(self) -> int:
+        """Classes of one id."""
+        return int((self.within[self.seen] < 0).sum())
 
-def shapes(classes: int = CLASSES, width: int = WIDTH) -> dict[str, tuple[int, ...]]:
-    d = width
-    return dict(zip(NAMES, [(classes, d), (CONTEXT, d), (d, d), (d, d), (d, d), (d, d), (d, 2 * d), (2 * d, d), (d, classes), (classes,)], strict=True))
+    @cached_property
+    def cluster(self) -> int:
+        return int(self.within.max()) + 1
 
+    @cached_property
+    def unseen_log(self) -> float:
+        """The log probability of an id among those that were not seen."""
+        return -float(np.log(max(1, IDS - len(self.seen))))
 
-def initial(frequency: np.ndarray, width: int = WIDTH, seed: int = 7) -> dict[str, np.ndarray]:
-    """Small random weights; the bias starts at the classes' own log frequency."""
-    rng = np.random.default_rng(seed)
-    p = {k: (rng.standard_normal(s) * (0.5 if k in ("embed",) else 0.1 if k == "place" else s[0] ** -0.5)).astype(np.float32) for k, s in shapes(len(frequency), width).items()}
-    p["out"] *= np.float32(0.3)
-    p["down"] *= np.float32(0.3)
-    p["head"] *= np.float32(0.3)
-    p["bias"] = np.log(frequency / frequency.sum()).astype(np.float32)
+
+def initial(vocabulary: Vocabulary, width: int = WIDTH, seed: int = 7) -> dict[str, np.ndarray]:
+    """Small random weights; the output starts at the ids' own frequencies."""
+    rng, d = np.random.default_rng(seed), width
+    v, k, clusters = len(vocabulary.seen), vocabulary.classes, vocabulary.classes - 1 - vocabulary.alone
+    draw = lambda scale, *shape: (rng.standard_normal(shape) * scale).astype(np.float32)
+    p = {
+        "embed": draw(0.5, v + 1, d), "place": draw(0.1, CONTEXT, d), "qkv": draw(d**-0.5, d, 3 * d), "out": draw(0.3 * d**-0.5, d, d),
+        "up": draw(d**-0.5, d, 2 * d), "down": draw(0.3 * (2 * d) ** -0.5, 2 * d, d), "head": draw(0.3 * d**-0.5, d, k), "tail": draw(0.3 * d**-0.5, clusters, vocabulary.cluster, d),
+    }
+    p["qkv"][:, :d] *= np.float32(d**-0.5)
+    mass = np.bincount(vocabulary.of[vocabulary.seen], vocabulary.count, k) + 1
+    p["bias"] = np.log(mass / mass.sum()).astype(np.float32)
+    p["tail_bias"] = np.full((clusters, vocabulary.cluster), -np.inf, dtype=np.float32)
+    in_tail = vocabulary.seen[vocabulary.alone :]
+    at = vocabulary.of[in_tail] - vocabulary.alone, vocabulary.within[in_tail]
+    p["tail_bias"][at] = np.log(vocabulary.count[vocabulary.alone :])
+    p["tail_bias"] -= np.log(np.exp(p["tail_bias"]).sum(axis=1, keepdims=True)) if clusters else np.float32(0)
     return p
 
 
-def _forward(p: dict[str, np.ndarray], x: np.ndarray) -> dict[str, np.ndarray]:
-    n = x.shape[1]
-    h = p["embed"][x] + p["place"][:n]
-    q, k, v = h @ p["query"], h @ p["key"], h @ p["value"]
-    s = q @ k.transpose(0, 2, 1)
-    s *= np.float32(p["query"].shape[0] ** -0.5)
-    s += np.triu(np.full((n, n), _masked, dtype=np.float32), 1)
-    s -= s.max(axis=2, keepdims=True)
-    np.exp(s, out=s)
-    s /= s.sum(axis=2, keepdims=True)
-    o = s @ v
-    r = h + o @ p["out"]
-    g = np.maximum(r @ p["up"], 0)
-    y = r + g @ p["down"]
-    return {"h": h, "q": q, "k": k, "v": v, "a": s, "o": o, "r": r, "g": g, "y": y}
+_causal = np.tril(np.ones((CONTEXT, CONTEXT), dtype=np.float32))
 
 
-class Scorer:
-    """The forward pass with everything that does not depend on the text computed once.
+def _attended(p: dict[str, np.ndarray], qkv: np.ndarray, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Attention weights and what they gather, from position ``first`` of each window on."""
+    n, d = qkv.shape[1], qkv.shape[2] // 3
+    a = qkv[:, first:, :d] @ qkv[:, :, d : 2 * d].transpose(0, 2, 1)
+    np.clip(a, _least, _most, out=a)
+    np.exp(a, out=a)
+    a *= _causal[first:n, :n].astype(a.dtype, copy=False)
+    a /= a.sum(axis=2, keepdims=True)
+    return a, a @ qkv[:, :, 2 * d :]
 
-    Powers are taken without first taking off the largest exponent, which trained
-    weights keep small; a batch whose sums overflow nevertheless is computed again by
-    the plain pass.
+
+def _powers(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``z`` turned into its rows' powers, their sums, and what was taken off each exponent first.
+
+    Trained weights keep exponents small, so nothing is taken off unless a sum leaves
+    the range of the numbers.
     """
+    with np.errstate(over="ignore"):
+        e = np.exp(z)
+        total = e.sum(axis=1)
+    if np.isfinite(total).all() and (total > 0).all():
+        return e, total, np.zeros(len(z), dtype=z.dtype)
+    top = z.max(axis=1)
+    e = np.exp(z - top[:, None])
+    return e, e.sum(axis=1), top
 
-    def __init__(self, p: dict[str, np.ndarray]):
-        d = p["query"].shape[0]
-        self.p = p
-        weights = np.concatenate([p["query"] * np.float32(d**-0.5), p["key"], p["value"]], axis=1)
-        self.of_class, self.of_place = p["embed"] @ weights, p["place"] @ weights
+
+def _with_one(y: np.ndarray) -> np.ndarray:
+    """A column of ones beside ``y``, for what is added in any case."""
+    out = np.ones((len(y), y.shape[1] + 1), dtype=y.dtype)
+    out[:, :-1] = y
+    return out
+
+
+def _grouped(tail: np.ndarray) -> list[tuple[int, slice]]:
+    """Runs of equal values in a sorted array."""
+    if not len(tail):
+        return []
+    starts = np.flatnonzero(np.concatenate([[True], tail[1:] != tail[:-1]]))
+    return [(int(tail[s]), slice(int(s), int(e))) for s, e in zip(starts, [*starts[1:], len(tail)], strict=True)]
+
+
+class Scorer:
+    """The forward pass with everything that does not depend on the text computed once."""
+
+    def __init__(self, p: dict[str, np.ndarray], vocabulary: Vocabulary):
+        self.p, self.v = p, vocabulary
+        self.of_id, self.of_place = p["embed"] @ p["qkv"], p["place"] @ p["qkv"]
         self.head = np.concatenate([p["head"], p["bias"][None]])
-        self.causal = np.tril(np.ones((CONTEXT, CONTEXT), dtype=np.float32))
+        self.tail = np.concatenate([p["tail"].transpose(0, 2, 1), p["tail_bias"][:, None]], axis=1)
 
     def log_probabilities(self, x: np.ndarray, target: np.ndarray, first: int) -> np.ndarray:
-        """Natural log probability of ``target`` from position ``first`` of each window on."""
-        p, (b, n), d = self.p, x.shape, self.p["query"].shape[0]
-        qkv = self.of_class[x] + self.of_place[:n]
-        with np.errstate(over="ignore", invalid="ignore"):
-            a = qkv[:, first:, :d] @ qkv[:, :, d : 2 * d].transpose(0, 2, 1)
-            np.exp(a, out=a)
-            a *= self.causal[first:n, :n]
-            values = np.ones((b, n, d + 1), dtype=np.float32)
-            values[:, :, :d] = qkv[:, :, 2 * d :]
-            o = (a @ values).reshape(-1, d + 1)
-            r = (p["embed"][x[:, first:]] + p["place"][first:n]).reshape(-1, d) + (o[:, :d] / o[:, d:]) @ p["out"]
-            y = np.ones((len(r), d + 1), dtype=np.float32)
-            y[:, :d] = r + np.maximum(r @ p["up"], 0) @ p["down"]
-            z = y @ self.head
-            hit = z[np.arange(len(z)), target[:, first:].ravel()]
-            np.exp(z, out=z)
-            out = hit - np.log(z.sum(axis=1))
-        if not np.isfinite(out).all():
-            return plain_log_probabilities(p, x, target, first)
+        """Natural log probability of the ids ``target`` from position ``first`` of each window on."""
+        p, v, (b, n) = self.p, self.v, x.shape
+        row = v.row[x]
+        _, o = _attended(p, self.of_id[row] + self.of_place[:n], first)
+        d = o.shape[2]
+        y = (p["embed"][row[:, first:]] + p["place"][first:n] + o @ p["out"]).reshape(-1, d)
+        y += np.maximum(y @ p["up"], 0) @ p["down"]
+        ids = target[:, first:].ravel()
+        of, within = v.of[ids], v.within[ids]
+        y = _with_one(y)
+        z = y @ self.head
+        _, total, top = _powers(z)
+        out = z[np.arange(len(z)), of] - np.log(total) - top
+        out[of == v.classes - 1] += v.unseen_log
+        tail = np.flatnonzero(within >= 0)
+        tail = tail[np.argsort(of[tail], kind="stable")]
+        for c, at in _grouped(of[tail]):
+            own = tail[at]
+            z = y[own] @ self.tail[c - v.alone]
+            _, total, top = _powers(z)
+            out[own] += z[np.arange(len(own)), within[own]] - np.log(total) - top
         return out.reshape(b, n - first)
 
 
-def plain_log_probabilities(p: dict[str, np.ndarray], x: np.ndarray, target: np.ndarray, first: int) -> np.ndarray:
-    """What ``Scorer`` computes, step by step."""
-    z = _forward(p, x)["y"][:, first:] @ p["head"] + p["bias"]
-    z -= z.max(axis=2, keepdims=True)
-    hit = np.take_along_axis(z, target[:, first:, None], axis=2)[..., 0]
-    return hit - np.log(np.exp(z).sum(axis=2))
-
-
-def gradients(p: dict[str, np.ndarray], x: np.ndarray, target: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-    """Mean loss over the valid positions, and its gradient by each weight."""
-    f = _forward(p, x)
-    h, q, k, v, a, o, r, g, y = (f[i] for i in ("h", "q", "k", "v", "a", "o", "r", "g", "y"))
-    z = y @ p["head"] + p["bias"]
-    z -= z.max(axis=2, keepdims=True)
-    e = np.exp(z)
-    total = e.sum(axis=2, keepdims=True)
+def gradients(p: dict[str, np.ndarray], v: Vocabulary, x: np.ndarray, target: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, object]]:
+    """Mean loss over the valid positions and its gradients; those of ``ROWS`` as (rows, values)."""
+    (b, n), d = x.shape, p["qkv"].shape[0]
+    kind = p["qkv"].dtype
     count = max(1, int(valid.sum()))
-    loss = -float((np.take_along_axis(z, target[..., None], axis=2)[..., 0] - np.log(total[..., 0]))[valid].sum()) / count
-    dz = e / total
-    np.put_along_axis(dz, target[..., None], np.take_along_axis(dz, target[..., None], axis=2) - 1, axis=2)
-    dz *= (valid / np.float32(count))[..., None]
+    row = v.row[x]
+    h = p["embed"][row] + p["place"][:n]
+    qkv = h @ p["qkv"]
+    a, o = _attended(p, qkv)
     flat = lambda t: t.reshape(-1, t.shape[-1])
-    dy = dz @ p["head"].T
-    dg = (dy @ p["down"].T) * (g > 0)
+    r = flat(h) + flat(o) @ p["out"]
+    g = r @ p["up"]
+    np.maximum(g, 0, out=g)
+    y = r + g @ p["down"]
+    ids, weight = target.ravel(), valid.ravel() / kind.type(count)
+    of, within = v.of[ids], v.within[ids]
+    y1, head = _with_one(y), np.concatenate([p["head"], p["bias"][None]])
+    z = y1 @ head
+    every = np.arange(len(z))
+    hit = z[every, of]
+    z, total, top = _powers(z)
+    loss = -float(((hit - np.log(total) - top) * weight).sum())
+    z *= (weight / total)[:, None]
+    z[every, of] -= weight
+    dy = z @ p["head"].T
+    dhead = y1.T @ z
+    grad: dict[str, object] = {"head": dhead[:-1], "bias": dhead[-1]}
+    tail = np.flatnonzero((within >= 0) & (weight > 0))
+    tail = tail[np.argsort(of[tail], kind="stable")]
+    clusters, steps = [], []
+    for c, at in _grouped(of[tail]):
+        own = tail[at]
+        c -= v.alone
+        part, w = y1[own], weight[own]
+        t = part[:, :-1] @ p["tail"][c].T
+        t += p["tail_bias"][c]
+        own_hit = t[every[: len(own)], within[own]]
+        t, total, top = _powers(t)
+        loss -= float(((own_hit - np.log(total) - top) * w).sum())
+        t *= (w / total)[:, None]
+        t[every[: len(own)], within[own]] -= w
+        dy[own] += t @ p["tail"][c]
+        clusters.append(c)
+        steps.append(t.T @ part)
+    grad["tail"] = grad["tail_bias"] = None
+    if clusters:
+        found = np.stack(steps)
+        grad["tail"], grad["tail_bias"] = (np.array(clusters), found[:, :, :-1]), (np.array(clusters), found[:, :, -1])
+    dg = dy @ p["down"].T
+    dg *= g > 0
     dr = dy + dg @ p["up"].T
-    do = dr @ p["out"].T
-    da = do @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ do
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(p["query"].shape[0] ** -0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    dh = dr + dq @ p["query"].T + dk @ p["key"].T + dv @ p["value"].T
-    embed = (x.ravel()[:, None] == np.arange(len(p["embed"]))).astype(np.float32).T @ flat(dh)
+    do = (dr @ p["out"].T).reshape(b, n, d)
+    da = do @ qkv[:, :, 2 * d :].transpose(0, 2, 1)
+    dqkv = np.empty_like(qkv)
+    dqkv[:, :, 2 * d :] = a.transpose(0, 2, 1) @ do
+    da -= (do * o).sum(axis=2, keepdims=True)
+    da *= a
+    dqkv[:, :, :d] = da @ qkv[:, :, d : 2 * d]
+    dqkv[:, :, d : 2 * d] = da.transpose(0, 2, 1) @ qkv[:, :, :d]
+    dh = dr + flat(dqkv) @ p["qkv"].T
+    order = np.argsort(row.ravel().astype(np.uint16), kind="stable")
+    rows = _grouped_starts(row.ravel()[order])
+    grad["embed"] = (row.ravel()[order][rows], np.add.reduceat(dh[order], rows, axis=0))
     place = np.zeros_like(p["place"])
-    place[: x.shape[1]] = dh.sum(axis=0)
-    return loss, {
-        "embed": embed, "place": place, "query": flat(h).T @ flat(dq), "key": flat(h).T @ flat(dk), "value": flat(h).T @ flat(dv),
-        "out": flat(o).T @ flat(dr), "up": flat(r).T @ flat(dg), "down": flat(g).T @ flat(dy), "head": flat(y).T @ flat(dz), "bias": flat(dz).sum(axis=0),
-    }
+    place[:n] = dh.reshape(b, n, d).sum(axis=0)
+    grad |= {"place": place, "qkv": flat(h).T @ flat(dqkv), "out": flat(o).T @ dr, "up": r.T @ dg, "down": g.T @ dy}
+    return loss, grad
+
+
+def _grouped_starts(values: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
 
 
-def train(p: dict[str, np.ndarray], batches, rate: float) -> tuple[dict[str, np.ndarray], float]:
-    """Adam over ``batches`` of (x, target, valid); the weights after it and the mean loss."""
+def train(p: dict[str, np.ndarray], v: Vocabulary, batches: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float) -> tuple[dict[str, np.ndarray], float]:
+    """Adam over ``batches`` of (x, target, valid), for rows of ids only where they occur; weights and mean loss after it."""
     p = {k: w.copy() for k, w in p.items()}
     m = {k: np.zeros_like(w) for k, w in p.items()}
     s = {k: np.zeros_like(w) for k, w in p.items()}
     losses = []
     for step, (x, target, valid) in enumerate(batches, 1):
-        loss, grad = gradients(p, x, target, valid)
+        loss, grad = gradients(p, v, x, target, valid)
         losses.append(loss)
-        for k, w in p.items():
-            m[k] = 0.9 * m[k] + 0.1 * grad[k]
-            s[k] = 0.99 * s[k] + 0.01 * grad[k] ** 2
-            w -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        up, down = p["qkv"].dtype.type(rate / (1 - 0.9**step)), p["qkv"].dtype.type(1 / (1 - 0.99**step))
+        for k in NAMES:
+            if grad[k] is None:
+                continue
+            at, g = grad[k] if k in ROWS else (slice(None), grad[k])
+            mk = m[k][at] * np.float32(0.9) + g * np.float32(0.1)
+            sk = s[k][at] * np.float32(0.99) + g * g * np.float32(0.01)
+            m[k][at], s[k][at] = mk, sk
+            p[k][at] -= up * mk / (np.sqrt(sk * down) + np.float32(1e-8))
     return p, float(np.mean(losses)) if losses else 0.0
 
 
-def window_starts(n: int) -> range:
-    """Starts of the windows over ``n`` positions."""
-    return range(0, max(1, n - CONTEXT + STRIDE), STRIDE) if n > CONTEXT else range(1)
+def training_windows(texts: list[np.ndarray]) -> np.ndarray:
+    """Windows that cover all positions of all texts, one after the other: a row has the
+    id before its first position, then its ids; -1 beyond the text."""
+    if not texts:
+        return np.empty((0, CONTEXT + 1), dtype=np.int32)
+    ids = np.concatenate([[END], *texts]).astype(np.int32)
+    length = np.array(list(map(len, texts)), dtype=np.int64)
+    count = -(-length // CONTEXT)
+    starts = np.cumsum(length) - length  # of each text in ids, one to the left
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    at = (np.repeat(starts, count) + nth * CONTEXT)[:, None] + np.arange(CONTEXT + 1)
+    ends = np.repeat(starts + length, count)[:, None]
+    found = ids[np.minimum(at, len(ids) - 1)]
+    found[at > ends] = -1
+    found[nth == 0, 0] = END
+    return found
 
 
-def sums(scorer: Scorer, texts: list[np.ndarray], end: int, level: np.ndarray) -> np.ndarray:
-    """For each text's classes (its end among them), the sum over its positions of the
-    model's log probability of the class less ``level`` of the class.
+def batch(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, targets and valid positions of training windows."""
+    valid = rows[:, 1:] >= 0
+    rows = np.where(rows < 0, END, rows)
+    return rows[:, :-1], rows[:, 1:], valid
 
-    Windows overlap: each but the first only scores what lies beyond the window before
-    it, so each position is scored once, with at least CONTEXT - STRIDE before it.
+
+def scored_windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``rows, first, place`` of overlapping windows over the texts.
+
+    Rows are like training windows, but a text's next one starts ``STRIDE`` on. ``first``
+    is the first position that a window scores: 0 in a text's first window, else the
+    first beyond the window before; so each position is scored once. ``place`` is the
+    window's first position in all texts together.
     """
-    inputs, targets, firsts, owner = [], [], [], []
-    for i, c in enumerate(texts):
-        x = np.concatenate([[end], c[:-1]])
-        for start in window_starts(len(c)):
-            inputs.append(x[start : start + CONTEXT])
-            targets.append(c[start : start + CONTEXT])
-            firsts.append(start > 0)
-            owner.append(i)
-    out = np.zeros(len(texts))
-    order = np.argsort(firsts, kind="stable")
-    later = np.array(firsts, dtype=bool)[order]
-    for is_later in (False, True):
-        group = order[later == is_later]
-        first = CONTEXT - STRIDE if is_later else 0
-        for at in range(0, len(group), BATCH):
-            own = group[at : at + BATCH]
-            longest = max(len(inputs[i]) for i in own)
-            x, t = np.full((len(own), longest), end, dtype=np.int64), np.full((len(own), longest), -1, dtype=np.int64)
-            for row, i in enumerate(own):
-                x[row, : len(inputs[i])] = inputs[i]
-                t[row, : len(targets[i])] = targets[i]
-            valid = t[:, first:] >= 0
-            t[t < 0] = end
-            got = scorer.log_probabilities(x, t, first) - level[t[:, first:]]
-            np.add.at(out, [owner[i] for i in own], np.where(valid, got, 0).sum(axis=1, dtype=float))
+    if not texts:
+        return np.empty((0, CONTEXT + 1), dtype=np.int32), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    ids = np.concatenate([[END], *texts]).astype(np.int32)
+    length = np.array(list(map(len, texts)), dtype=np.int64)
+    count = 1 + np.maximum(0, -(-(length - CONTEXT) // STRIDE))
+    owner = np.repeat(np.arange(len(texts)), count)
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    place = (np.cumsum(length) - length)[owner] + nth * STRIDE
+    at = place[:, None] + np.arange(CONTEXT + 1)
+    found = ids[np.minimum(at, len(ids) - 1)]
+    found[at > np.cumsum(length)[owner][:, None]] = -1
+    found[nth == 0, 0] = END
+    return found, np.where(nth > 0, CONTEXT - STRIDE, 0), place
+
+
+def position_logs(scorer: Scorer, texts: list[np.ndarray]) -> np.ndarray:
+    """The natural log probability of each id of the texts (ends among them), one text after the other."""
+    rows, firsts, place = scored_windows(texts)
+    out = np.zeros(sum(map(len, texts)))
+    for first in (0, CONTEXT - STRIDE):
+        group = np.flatnonzero(firsts == first)
+        for at in range(0, len(group), SCORED):
+            own = group[at : at + SCORED]
+            x, target, valid = batch(rows[own])
+            valid = valid[:, first:]
+            to = place[own][:, None] + np.arange(first, CONTEXT)
+            out[to[valid]] = scorer.log_probabilities(x, target, first)[valid]
     return out
 
 
@@ -187,10 +336,10 @@ def flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in NAMES])
 
 
-def unflat(weights: np.ndarray, classes: int, width: int = WIDTH) -> dict[str, np.ndarray]:
+def unflat(weights: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for k, s in shapes(classes, width).items():
-        n = int(np.prod(s))
-        out[k] = weights[at : at + n].reshape(s).astype(np.float32)
+    for k in NAMES:
+        n = like[k].size
+        out[k] = weights[at : at + n].reshape(like[k].shape).astype(np.float32)
         at += n
     return out

@@ -1,114 +1,165 @@
 """Language-model scores of whole texts.
 
-A text's tokens are its lower-cased words and one end. A token's probability is that
-of its class given what came before, times that of the token within its class. The
-class is the token's leading subword id (the longest that it begins with); a causal self-attention model over the
-sequence of these ids gives its probability. Within a class, tokens follow their
-counts in the training texts.
-
-Counts are aggregated over all words of all training texts. The most frequent words
-- a fixed number at most - are broadcast, so most tokens are counted where they lie;
-only rarer ones are shuffled to join their counts. The model starts on the driver from
-windows of some texts of any length; then each task goes on training it on all positions
-of all its training texts, and the weights of all tasks are averaged, each by the
-positions that it saw.
+A text is its lower-cased words, each led by a space, as subword ids of a public
+tokenizer, and one end. A causal self-attention model predicts every id, all pieces of
+a word, from the ids before it; overlapping windows score each id once. A word's
+probability is the mean of the model's, the product of its ids', and that of its count
+alone: words that were never met are the model's, names and long words that were met
+are known as wholes. ``attention_score`` leaves out the counts, ``base_score`` the model.
+
+Texts are read once: their ids are stashed, with the counts of words and ids of each
+task. The model is trained on all positions of all training texts, in rounds: a
+document's hash says in which round and which bucket of about ``BUCKET`` positions it is
+learnt. All buckets of a round are trained from the same weights, wherever they lie, and
+then averaged by their positions. As buckets hold their documents in the order of their
+hashes, the model does not depend on how the input is split.
+
+The most frequent words' counts - a fixed number of them at most - are broadcast, so
+most words are counted where they lie; only rarer ones are shuffled to join their counts.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import attention
-from .shared import id_remainder, slices, stash, words
+from .attention import END, Vocabulary
+from .shared import id_remainder, mix, stash, tidy, words
 from .tokens import TokenCache
 
 #: Words whose counts are broadcast, at most.
 HEAD_WORDS = 1 << 18
-#: Texts that the model starts from, at most, and windows of each.
-SAMPLE_DOCS, SAMPLE_WINDOWS = 1500, 16
-START_STEPS, START_BATCH, TASK_BATCH = 300, 96, 48
-START_RATE, TASK_RATE = 6e-3, 1e-3
-#: Subword ids are below this; the last one stands for the end.
-SUBWORDS = 1 << 16
-END_LEAD = SUBWORDS - 1
-#: Bytes of a word that its leading subword may cover.
-LONGEST_LEAD = 8
-END_HASH = int(np.uint64(xxhash.xxh3_64_intdigest(b"\x00end")).view(np.int64))
+#: Positions of a bucket, about.
+BUCKET = 1 << 21
+#: The first round's positions, about, and its least share; the second round has a quarter of the rest.
+FIRST, FIRST_SHARE = 1 << 23, 1 / 16
+RATES = (6e-3, 3e-3, 1.5e-3)
+#: Batches that a bucket of the first round is trained for, at least, by going over it again.
+LEAST_BATCHES = 200
+#: Windows that are put in another order and trained on together.
+MIXED = 64 * attention.BATCH
+#: Parts that a round's share of the documents is counted in.
+PARTS = 1 << 16
+DOCUMENT, WORD, PIECE = 0, 1, 2
+LN10 = float(np.log(10))
 
 
 class Lexicon(dict):
-    """Number of each word seen, up to a fixed number of words; by number its hash and leading subword id."""
+    """Number of each word seen since the last ``take``; by number its subword ids and count."""
 
-    limit = 300_000
-    _held: dict = {}
+    limit = 100_000
 
-    def __init__(self, tokenizer: str | None):
+    def __init__(self, cache: TokenCache):
         super().__init__()
-        self.cache = TokenCache.of(tokenizer)
-        self.vocabulary = self.cache.tokenizer.get_vocab()
-        self.space = self.cache.visible[32]
-        self.hash: list[int] = []
-        self.lead: list[int] = []
-
-    @classmethod
-    def of(cls, tokenizer: str | None) -> Lexicon:
-        if tokenizer not in cls._held:
-            cls._held[tokenizer] = cls(tokenizer)
-        return cls._held[tokenizer]
+        self.cache, self.pieces = cache, []
+        self.count = np.zeros(0, dtype=np.int64)
 
     def __missing__(self, word: bytes) -> int:
-        self.hash.append(xxhash.xxh3_64_intdigest(word))
-        # the longest vocabulary entry that the word, led by a space, begins with
-        start = word[:LONGEST_LEAD]
-        shown = self.space + (start.decode() if start.isascii() and start.isalnum() else start.decode("latin-1").translate(self.cache.visible))
-        for n in range(len(shown), 0, -1):
-            found = self.vocabulary.get(shown[:n])
-            if found is not None:
-                break
-        self.lead.append(found)
-        self[word] = len(self.hash) - 1
-        return self[word]
-
-    def fresh(self) -> None:
-        if len(self) >= self.limit:
-            self.clear()
-            self.hash, self.lead = [], []
-
-
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-
-
-def token_counts(docs: DataFrame, text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
-    """``hash, lead, c``: the count of each token of all whole texts, ends included."""
+        code = self[word] = len(self.pieces)
+        self.pieces.append(self.cache[word.decode("utf-8", "replace")])
+        return code
+
+    def texts(self, found: list[list[bytes]], learnt: list[bool]) -> list[np.ndarray]:
+        """Each text's ids and its end; words of ``learnt`` texts are counted."""
+        codes = [np.array(list(map(self.__getitem__, text)), dtype=np.int64) for text in found]
+        flat = np.frombuffer(b"".join(self.pieces), dtype="<u4").astype("<u2")
+        size = np.fromiter(map(len, self.pieces), dtype=np.int64, count=len(self.pieces)) // 4
+        first = np.cumsum(size) - size
+        self.count = np.concatenate([self.count, np.zeros(len(size) - len(self.count), dtype=np.int64)])
+        out = []
+        for text, counts in zip(codes, learnt, strict=True):
+            n = size[text]
+            at = np.arange(n.sum()) + np.repeat(first[text] - (np.cumsum(n) - n), n)
+            out.append(np.append(flat[at], np.uint16(END)))
+            if counts:
+                np.add.at(self.count, text, 1)
+        return out
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash and count of the words counted, and the count of each id; all words are forgotten."""
+        flat = np.frombuffer(b"".join(self.pieces), dtype="<u4").astype(np.int64)
+        size = np.fromiter(map(len, self.pieces), dtype=np.int64, count=len(self.pieces)) // 4
+        hashes = word_hashes(flat, np.cumsum(size) - size)
+        pieces = np.bincount(flat, np.repeat(self.count, size), attention.IDS).astype(np.int64)
+        known = self.count > 0
+        out = hashes[known], self.count[known], pieces
+        self.clear()
+        self.pieces, self.count = [], np.zeros(0, dtype=np.int64)
+        return out
+
+
+_of_id = mix(np.arange(attention.IDS, dtype=np.uint64) + np.uint64(1 << 20))
+_of_place = mix(np.arange(64, dtype=np.uint64)) | np.uint64(1)
+
+
+def word_hashes(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The hash of each word, a run of ids from one start to the next."""
+    if not len(starts):
+        return np.empty(0, dtype=np.int64)
+    place = np.arange(len(ids)) - np.repeat(starts, np.diff(np.append(starts, len(ids))))
+    factor = _of_place[place & 63]
+    far = np.flatnonzero(place > 63)
+    factor[far] = mix(place[far].astype(np.uint64)) | np.uint64(1)
+    factor *= _of_id[ids]
+    return mix(np.add.reduceat(factor, starts)).view(np.int64)
+
+
+END_HASH = int(word_hashes(np.array([END]), np.array([0]))[0])
+
+
+def word_leads(tokenizer: str | None) -> np.ndarray:
+    """Whether an id begins a word: only a word's first id has the space; the end is a word."""
+    cache = TokenCache.of(tokenizer)
+    out = np.zeros(attention.IDS, dtype=bool)
+    out[[i for piece, i in cache.tokenizer.get_vocab().items() if piece.startswith(cache.space)]] = True
+    out[END] = True
+    return out
+
+
+def tokenised(docs: DataFrame, train: str, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
+    """Rows of three kinds: ``DOCUMENT`` with ``doc_id, mark, train, ids`` of each text,
+    and ``WORD`` and ``PIECE`` with ``key, c`` of a task's training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon.of(tokenizer)
-        for batch in batches:
-            lexicon.fresh()
-            seen: Counter = Counter()
-            for text in batch.column(0).to_pylist():
-                seen.update(words(text or b""))
-            codes = [lexicon[w] for w in seen]
-            h = np.array([lexicon.hash[c] for c in codes], dtype=np.uint64).view(np.int64)
-            lead = [lexicon.lead[c] for c in codes]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(h, END_HASH)), pa.array([*lead, END_LEAD], pa.int32()), pa.array([*seen.values(), batch.num_rows], pa.int64())], names=["hash", "lead", "c"]
-            )
+        lexicon, ends, kind = Lexicon(TokenCache.of(tokenizer)), 0, None
+
+        def counted(ends: int) -> pa.RecordBatch:
+            keys, c, pieces = lexicon.take()
+            pieces[END] += ends
+            seen = np.flatnonzero(pieces)
+            keys, c = np.concatenate([keys, [END_HASH] if ends else [], seen]).astype(np.int64), np.concatenate([c, [ends] if ends else [], pieces[seen]]).astype(np.int64)
+            kinds = np.full(len(keys), PIECE, dtype=np.int32)
+            kinds[: len(keys) - len(seen)] = WORD
+            none = [pa.nulls(len(keys), t) for t in (kind, pa.int64(), pa.bool_(), pa.binary())]
+            return pa.RecordBatch.from_arrays([pa.array(kinds), *none, pa.array(keys), pa.array(c)], names=names)
 
-    found = docs.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "hash long, lead int, c long")
-    return found.groupBy("hash").agg(F.min("lead").alias("lead"), F.sum("c").alias("c"))
+        for batch in batches:
+            kind = batch.column(0).type
+            learnt = batch.column(2).to_pylist()
+            texts = lexicon.texts([words(t or b"") for t in batch.column(3).to_pylist()], learnt)
+            ends += sum(map(bool, learnt))
+            n = batch.num_rows
+            held = pa.array([t.tobytes() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, DOCUMENT, dtype=np.int32)), *batch.columns[:3], held, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
+            if len(lexicon) >= lexicon.limit:
+                yield counted(ends)
+                ends = 0
+        if kind is not None:
+            yield counted(ends)
+
+    names = ["kind", "doc_id", "mark", "train", "ids", "key", "c"]
+    text = F.col(text_col).cast("binary")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("mark"), F.coalesce(F.expr(train), F.lit(False)).alias("train"), text.alias("text"))
+    return rows.mapInArrow(tidy(run), f"kind int, doc_id {docs.schema[id_col].dataType.simpleString()}, mark long, train boolean, ids binary, key long, c long")
 
 
 def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> tuple[np.ndarray, np.ndarray, int]:
-    """Hashes in order and counts of the most frequent tokens, ``most`` at most, and the
+    """Hashes in order and counts of the most frequent words, ``most`` at most, and the
     least count among them. The cut is taken from a histogram, so nothing is sorted."""
     level = F.floor(F.log2(F.col("c").cast("double")) * 8).cast("int")
     rows = counts.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("least")).collect()  # some hundred rows
@@ -120,188 +171,166 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> tuple[np.ndarray, n
         least = r.least
     if least is None:
         return np.empty(0, np.int64), np.empty(0, np.int64), 1 << 62
-    head = counts.where(F.col("c") >= least).select("hash", "c").toPandas().sort_values("hash")
-    return head["hash"].to_numpy(), head["c"].to_numpy(), least
+    head = counts.where(F.col("c") >= least).select("key", "c").toPandas().sort_values("key")
+    return head["key"].to_numpy(), head["c"].to_numpy(), least
 
 
-def class_table(by_lead: dict[int, tuple[int, int]], classes: int = attention.CLASSES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class of each subword id; of each class its tokens' count, and its mass.
+def rounds_of(positions: int) -> list[tuple[int, int, int]]:
+    """First and last part (not included) and buckets of each round over so many positions."""
+    first = max(FIRST_SHARE, min(1.0, FIRST / max(1, positions)))
+    cuts = sorted({0, round(first * PARTS), round((first + (1 - first) / 4) * PARTS), PARTS})
+    return [(a, b, max(1, round(positions * (b - a) / PARTS / BUCKET))) for a, b in zip(cuts, cuts[1:], strict=False)]
 
-    The most frequent leading ids are classes of their own; the others share one, and
-    the end has the last one. A class's mass is the sum of its tokens' counts, each
-    plus one, and one for all its unknown tokens together.
+
+def bucket_batches(texts: Iterator[np.ndarray], seed: int, least: int) -> Iterator[np.ndarray]:
+    """The windows of a bucket's texts in batches, mixed within runs of ``MIXED`` windows.
+
+    A bucket of under ``least`` batches is gone over again until there are as many.
     """
-    often = sorted((i for i in by_lead if i != END_LEAD), key=lambda i: (-by_lead[i][0], i))[: classes - 2]
-    of = np.full(SUBWORDS, classes - 2, dtype=np.int64)
-    of[often] = np.arange(len(often))
-    of[END_LEAD] = classes - 1
-    count, mass = np.ones(classes), np.ones(classes)
-    for lead, (c, v) in by_lead.items():
-        count[of[lead]] += c
-        mass[of[lead]] += c + v
-    return of, count, mass
-
-
-def _class_sequences(texts: list[bytes | None], lexicon: Lexicon, of: np.ndarray) -> list[np.ndarray]:
-    """Classes of each text's words and its end."""
-    codes = [np.array(list(map(lexicon.__getitem__, words(text or b""))), dtype=np.int64) for text in texts]
-    table = of[np.array(lexicon.lead, dtype=np.int64)]
-    return [np.append(table[c], of[END_LEAD]) for c in codes]
-
-
-def text_windows(c: np.ndarray, end: int) -> np.ndarray:
-    """Consecutive windows that cover all positions of a text: a row has the class before
-    its first position, then its classes; -1 beyond the text."""
-    n = attention.CONTEXT
-    count = -(-len(c) // n)
-    shown = np.full(count * n + 1, -1, dtype=np.int32)
-    shown[0], shown[1 : len(c) + 1] = end, c
-    return shown[np.arange(count)[:, None] * n + np.arange(n + 1)]
-
-
-def _batch(rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, targets and valid positions of windows."""
-    valid = rows[:, 1:] >= 0
-    rows = np.where(rows < 0, end, rows).astype(np.int64)
-    return rows[:, :-1], rows[:, 1:], valid
-
-
-def _start_windows(train: DataFrame, of: np.ndarray, texts: float, id_col: str, text_col: str, tokenizer: str | None) -> np.ndarray:
-    """Windows, at hashed places, of the texts that the model starts from."""
-    end, width = int(of[END_LEAD]), attention.CONTEXT + 1
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon.of(tokenizer)
-        for part in slices(parts):
-            lexicon.fresh()
-            marks, rows = part.column(0).to_pylist(), []
-            for mark_, c in zip(marks, _class_sequences(part.column(1).to_pylist(), lexicon, of), strict=True):
-                found = text_windows(c, end)
-                picked = np.random.default_rng(mark_ & 0x7FFFFFFF).permutation(len(found))[:SAMPLE_WINDOWS]
-                rows.append(found[picked].ravel())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["mark", "windows"])
-
-    # about four times the sample passes this cut; the limit then makes its bound exact
-    passed = min(1 << 30, int((4 * SAMPLE_DOCS / max(1.0, texts)) * (1 << 30)))
-    marked = train.select(F.xxhash64(F.col(id_col)).alias("mark"), F.col(text_col).cast("binary").alias("text")).where(F.pmod("mark", F.lit(1 << 30)) <= passed)
-    rows = marked.mapInArrow(run, "mark long, windows array<int>").orderBy("mark").limit(SAMPLE_DOCS).collect()  # SAMPLE_WINDOWS windows a row at most
-    return np.array([x for r in rows for x in r.windows], dtype=np.int32).reshape(-1, width)
-
-
-def fit(train: DataFrame, of: np.ndarray, frequency: np.ndarray, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> dict[str, np.ndarray]:
-    """The model's weights: started on some windows, then trained on all positions and averaged over all tasks."""
-    end = len(frequency) - 1
-    start = attention.initial(frequency)
-    held = _start_windows(train, of, float(frequency[end]), id_col, text_col, tokenizer)
-    if len(held):
-        rng = np.random.default_rng(11)
-        start, _ = attention.train(start, (_batch(held[rng.integers(0, len(held), START_BATCH)], end) for _ in range(START_STEPS)), START_RATE)
-    begun = train.sparkSession.sparkContext.broadcast((attention.flat(start), of))
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, class_of = begun.value
-        lexicon, n = Lexicon.of(tokenizer), 0
-
-        def batches():
-            nonlocal n
-            rng, left = np.random.default_rng(13), np.empty((0, attention.CONTEXT + 1), dtype=np.int32)
-            for part in slices(parts):
-                lexicon.fresh()
-                left = np.concatenate([left, *(text_windows(c, end) for c in _class_sequences(part.column(0).to_pylist(), lexicon, class_of))])
-                n += int((left[:, 1:] >= 0).sum())
-                left = left[rng.permutation(len(left))]  # a long text's windows are not one batch
-                full = len(left) - len(left) % TASK_BATCH
-                for at in range(0, full, TASK_BATCH):
-                    yield _batch(left[at : at + TASK_BATCH], end)
-                left = left[full:]
-                n -= int((left[:, 1:] >= 0).sum())
-            if len(left):
-                n += int((left[:, 1:] >= 0).sum())
-                yield _batch(left, end)
-
-        after, _ = attention.train(attention.unflat(weights, end + 1), batches(), TASK_RATE)
-        if n:
-            w = attention.flat(after)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array(w.astype(float) * n), pa.array(np.full(len(w), n, dtype=np.int64))], names=["i", "w", "n"])
-
-    texts = train.select(F.col(text_col).cast("binary").alias("text"))
-    mean = texts.mapInArrow(run, "i int, w double, n long").groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas().sort_values("i")  # one row a weight
-    if len(mean):
-        start = attention.unflat(mean["w"].to_numpy(), end + 1)
-    return start
-
-
-def score(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, head: int = HEAD_WORDS, classes: int = attention.CLASSES) -> DataFrame:
-    """One row per document: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``.
-
-    ``base_score`` is the log10 probability under counts alone, (c + 1) / (N + V + 1);
-    ``score`` that under the model. Null and empty texts are an end alone. Without
-    training texts all counts are 0 and the model keeps its start. Repeated rows are
-    scored each; an empty table gives no rows; only id and text are read.
+    rng, left, made, again = np.random.default_rng(seed), [], 0, []
+
+    def mixed(rows: np.ndarray) -> Iterator[np.ndarray]:
+        rows = rows[rng.permutation(len(rows))]
+        for at in range(0, len(rows), attention.BATCH):
+            yield rows[at : at + attention.BATCH]
+
+    held, waiting = 0, []
+
+    def cut() -> np.ndarray:
+        rows = np.concatenate([*left, attention.training_windows(waiting)])
+        left.clear()
+        waiting.clear()
+        return rows
+
+    for text in texts:
+        waiting.append(text)
+        held += -(-len(text) // attention.CONTEXT)
+        if held >= MIXED:
+            every = cut()
+            for at in range(0, held - MIXED + 1, MIXED):
+                for out in mixed(every[at : at + MIXED]):
+                    yield out
+                    made += 1
+                if made < least:
+                    again.append(every[at : at + MIXED])
+            left.append(every[held - held % MIXED :])
+            held %= MIXED
+    rest = cut()
+    again.append(rest)
+    while True:
+        for out in mixed(rest):
+            yield out
+            made += 1
+        if made >= least or not made:
+            return
+        rest = np.concatenate(again)
+
+
+def fit(texts: DataFrame, vocabulary: Vocabulary, positions: int) -> dict[str, np.ndarray]:
+    """The model's weights, trained in rounds on all of ``texts (mark, ids)``."""
+    weights = attention.initial(vocabulary)
+    context = texts.sparkSession.sparkContext
+    part = F.pmod(F.col("mark"), F.lit(PARTS)).cast("int")
+    for number, (low, high, buckets) in enumerate(rounds_of(positions)):
+        begun = context.broadcast((weights, vocabulary))
+        rate, least = RATES[number], LEAST_BATCHES if number == 0 else 0
+
+        def run(batches: Iterator[pa.RecordBatch], begun=begun, rate=rate, least=least) -> Iterator[pa.RecordBatch]:
+            start, words_of = begun.value
+            rows = ((b, np.frombuffer(ids, dtype="<u2")) for batch in batches for b, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+            total, n, ahead = None, 0, next(rows, None)
+            while ahead is not None:
+                bucket, own = ahead[0], 0
+
+                def texts_of(bucket=bucket) -> Iterator[np.ndarray]:
+                    nonlocal ahead, own
+                    while ahead is not None and ahead[0] == bucket:
+                        own += len(ahead[1])
+                        yield ahead[1]
+                        ahead = next(rows, None)
+
+                after, _ = attention.train(start, words_of, map(attention.batch, bucket_batches(texts_of(), bucket, least)), rate)
+                total, n = (0 if total is None else total) + attention.flat(after).astype(float) * own, n + own
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), n, dtype=np.int64))], names=["i", "w", "n"])
+
+        # a bucket's documents stand together, in the order of their hashes
+        bucket = F.pmod(F.shiftrightunsigned("mark", 16), F.lit(buckets)).cast("int")
+        dealt = texts.where((part >= low) & (part < high)).select(bucket.alias("bucket"), "ids", "mark")
+        dealt = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "mark").select("bucket", "ids")
+        found = stash(dealt.mapInArrow(tidy(run), "i int, w double, n long"))
+        mean = found.groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas().sort_values("i")  # one row a weight
+        if len(mean):
+            weights = attention.unflat(mean["w"].to_numpy(), weights)
+        begun.destroy()
+    return weights
+
+
+def score(docs: DataFrame, train: str = "true", id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, head: int = HEAD_WORDS) -> DataFrame:
+    """One row per document: ``doc_id, n_tokens, n_known, train_tokens, base_score, score, attention_score``.
+
+    ``train`` is a SQL condition on the rows that are learnt from. ``base_score`` is the
+    log10 probability of the words under counts alone, (c + 1) / (N + V + 1);
+    ``attention_score`` that of all subword ids under the attention model; ``score`` that
+    of the words under both, each with half the weight. Null and empty texts are an end alone.
+    Without training texts all counts are 0 and ids are equally likely. Repeated rows
+    are scored each; an empty table gives no rows; only id and text are read.
     """
-    counts = stash(token_counts(train, text_col, tokenizer))
-    by_lead = {r.lead: (r.c, r.v) for r in counts.groupBy("lead").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()}  # one row a subword id
-    total, distinct = sum(c for c, _ in by_lead.values()), sum(v for _, v in by_lead.values())
-    of, frequency, mass = class_table(by_lead, classes)
-    model = fit(train, of, frequency, id_col, text_col, tokenizer)
+    table = stash(tokenised(docs, train, id_col, text_col, tokenizer))
+    every = table.where(F.col("kind") == DOCUMENT)
+    counts = stash(table.where(F.col("kind") == WORD).groupBy("key").agg(F.sum("c").alias("c")))
+    sums = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
+    total, distinct = int(sums.n), int(sums.v)
+    pieces = {r.key: r.c for r in table.where(F.col("kind") == PIECE).groupBy("key").agg(F.sum("c").alias("c")).collect()}  # one row a subword id
+    vocabulary = Vocabulary.from_counts(pieces)
+    model = fit(every.where("train").select("mark", "ids"), vocabulary, sum(pieces.values()))
     head_hash, head_count, least = head_words(counts, head)
-    held = docs.sparkSession.sparkContext.broadcast((attention.flat(model), of, np.log(mass), head_hash, head_count))
-    end = classes - 1
+    held = docs.sparkSession.sparkContext.broadcast((model, vocabulary, head_hash, head_count))
+    size = float(total + distinct + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, class_of, level, hashes, count = held.value
-        scorer, level = attention.Scorer(attention.unflat(weights, end + 1)), level.astype(np.float32)
-        lexicon = Lexicon.of(tokenizer)
-        logs = np.log10(count + 1.0)
-
-        def lookup(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Log10 of the count plus one of frequent words, 0 for others; whether frequent."""
-            if not len(hashes):
-                return np.zeros(len(h)), np.zeros(len(h), dtype=bool)
-            at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            hit = hashes[at] == h
-            return np.where(hit, logs[at], 0.0), hit
-
+        weights, words_of, hashes, count = held.value
+        scorer, leads, hashes, count = attention.Scorer(weights, words_of), word_leads(tokenizer), np.append(hashes, 1 << 62), np.append(count, 0)
         for batch in batches:
-            lexicon.fresh()
-            texts = [list(map(lexicon.__getitem__, words(t or b""))) for t in batch.column(1).to_pylist()]
-            table_hash = np.array(lexicon.hash, dtype=np.uint64).view(np.int64)
-            table_class = class_of[np.array(lexicon.lead, dtype=np.int64)]
-            table_log, table_hit = lookup(table_hash)
-            end_log, end_hit = (x[0] for x in lookup(np.array([END_HASH])))
-            sequences, known_log, known, rest = [], [], [], []
-            for codes in texts:
-                codes = np.array(codes, dtype=np.int64)
-                sequences.append(np.append(table_class[codes], end))
-                hit = table_hit[codes]
-                known_log.append(float(table_log[codes].sum()) + float(end_log))
-                known.append(int(hit.sum()) + int(end_hit))
-                rest.append(table_hash[codes[~hit]] if end_hit else np.append(table_hash[codes[~hit]], END_HASH))
-            lifted = np.concatenate([attention.sums(scorer, sequences[i : i + 64], end, level) for i in range(0, len(sequences), 64)] or [np.empty(0)]) / np.log(10)
-            ends = np.cumsum([0, *map(len, rest)], dtype=np.int32)
-            rare = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rest) if rest else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sequences], pa.int64()), pa.array(known, pa.int64()), pa.array(known_log, pa.float64()), pa.array(lifted), rare],
-                names=["doc_id", "n_tokens", "known", "logs", "lifted", "rare"],
-            )
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    scored = _texts(docs, id_col, text_col).mapInArrow(run, f"doc_id {kind}, n_tokens long, known long, logs double, lifted double, rare array<long>")
+            texts = [np.frombuffer(t, dtype="<u2") for t in batch.column(1).to_pylist()]
+            ids = np.concatenate(texts).astype(np.int64)
+            starts = np.flatnonzero(leads[ids])
+            found = word_hashes(ids, starts)
+            at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+            hit = hashes[at] == found
+            logs = np.log((np.where(hit, count[at], 0) + 1.0) / size)
+            # rounded, so that a rare word's part is taken back exactly when its count is known
+            model_logs = np.add.reduceat(attention.position_logs(scorer, texts), starts).astype(np.float32).astype(float)
+            # of each text, its words' place in ``starts``; the end is a word, so none is without
+            first = np.searchsorted(starts, np.cumsum([0, *map(len, texts)]))
+            sums = [np.add.reduceat(x, first[:-1]) for x in (logs / LN10, np.logaddexp(logs, model_logs) / LN10, model_logs / LN10)]
+            ends = pa.array(np.concatenate([[0], np.cumsum(~hit)])[first], pa.int32())
+            rare = [pa.ListArray.from_arrays(ends, pa.array(x[~hit])) for x in (found, model_logs / LN10)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(np.add.reduceat(hit.astype(np.int64), first[:-1])), *map(pa.array, sums), *rare], names=names)
+
+    names = ["doc_id", "n_tokens", "known", "logs", "both", "attention_score", "rare", "rare_logs"]
+    kind = every.schema["doc_id"].dataType.simpleString()
+    scored = every.select("doc_id", "ids").mapInArrow(
+        tidy(run), f"doc_id {kind}, n_tokens long, known long, logs double, both double, attention_score double, rare array<long>, rare_logs array<double>"
+    )
     scored = stash(scored.withColumn("row", F.monotonically_increasing_id()))
-    # rare tokens that were never trained on add nothing, so an inner join is enough
-    rare = scored.select("row", F.explode("rare").alias("hash")).join(counts.where(F.col("c") < least).select("hash", "c"), "hash")
-    more = rare.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("more_logs"), F.count(F.lit(1)).alias("more_known"))
-    logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
+    # a rare word stands as never met, with a count of 0; those that were met are put right
+    rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_logs")).alias("r")).select("row", F.col("r.rare").alias("key"), F.pow(F.lit(10.0), "r.rare_logs").alias("p"))
+    met = rare.join(counts.where(F.col("c") < least), "key")
+    gain = F.log10(F.col("p") + (F.col("c") + 1) / F.lit(size)) - F.log10(F.col("p") + 1 / F.lit(size))
+    more = met.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("more_logs"), F.count(F.lit(1)).alias("more_known"), F.sum(gain).alias("more_both"))
+    none = F.lit(0.0)
     return (
-        scored.drop("rare")
+        scored.drop("rare", "rare_logs")
         .join(more, "row", "left")
         .select(
             "doc_id",
             "n_tokens",
             (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
             F.lit(total).cast("long").alias("train_tokens"),
-            (logs - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1)))).alias("base_score"),
-            (logs + F.col("lifted")).alias("score"),
+            (F.col("logs") + F.coalesce("more_logs", none)).alias("base_score"),
+            (F.col("both") + F.coalesce("more_both", none) + F.col("n_tokens") * float(np.log10(0.5))).alias("score"),
+            "attention_score",
         )
     )
 
@@ -310,7 +339,9 @@ def held_out(doc_id: str = "doc_id"):
     return id_remainder(F.col(doc_id), 7) == 2
 
 
+TRAIN = "coalesce(crc32(cast(cast(doc_id AS string) AS binary)) % 7, 0) <> 2"
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """Log10 probability of every document; learnt from the folds that are not held out."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return score(docs, docs.where(~held_out())).withColumn("held_out", held_out())
+    return score(spark.read.parquet(f"{sf_dir}/documents.parquet"), TRAIN).withColumn("held_out", held_out())
