@@ -20,8 +20,8 @@ from pyspark.sql import Window
 
 from .shared import id_remainder, letters_in, tidy
 
-#: The bound of the sample: documents of a language, and the longest that is taken, in bytes.
-SAMPLE_DOCS, SAMPLE_BYTES = 400, 16_384
+#: The bound of the sample: documents of a language, passages of each, and characters of a passage.
+SAMPLE_DOCS, PASSAGES, PASSAGE_CHARS = 400, 4, 1024
 DICTIONARY_BYTES = 98_304
 PIECE_BYTES = 1024
 LEVEL = 6
@@ -39,24 +39,32 @@ def plain(text: bytes) -> bytes:
     return b" ".join(text.translate(_plain).split())
 
 
-def dictionary(texts: Iterable[bytes], size: int = DICTIONARY_BYTES) -> bytes:
-    """Short passages of all texts in turn, so that no text fills the dictionary alone."""
-    step = 512
-    texts = [plain(t) for t in texts]
-    out, filled = [], 0
-    for start in range(0, max(map(len, texts), default=0), step):
-        for t in texts:
-            if start < len(t) and filled < size:
-                out.append(t[start : start + step])
-                filled += len(out[-1])
+def dictionary(texts: Iterable[list[bytes]], size: int = DICTIONARY_BYTES) -> bytes:
+    """A first passage of each text, then a second one and so on, each of an even share of ``size``.
+
+    Texts come as lists of passages. A passage that is already there is passed over, so
+    what many texts share stands in the dictionary once.
+    """
+    texts = [[plain(p) for p in passages] for passages in texts]
+    share = max(128, size // max(1, len(texts)))
+    out, filled, seen = [], 0, {b""}
+    for turn in range(max(map(len, texts), default=0)):
+        for passages in texts:
+            part = passages[turn][:share] if turn < len(passages) else b""
+            if part not in seen and filled < size:
+                seen.add(part)
+                out.append(part)
+                filled += len(part) + 1
     return b" ".join(out)[:size]
 
 
-def fit_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_DOCS, longest: int = SAMPLE_BYTES) -> dict[str, bytes]:
-    """A dictionary for each language, from at most ``per_language`` whole texts of it.
+def fit_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_DOCS) -> dict[str, bytes]:
+    """A dictionary for each language, from passages of at most ``per_language`` texts of it.
 
-    The sample is fixed by a hash of the id, so it is the same at each run. The
-    ranking is cut to the sample in each task before anything is shuffled.
+    Texts of any length are in the sample, and its passages stand anywhere in them. Sample
+    and places are fixed by hashes of the id, so they are the same at each run. The
+    ranking is cut to the sample in each task before anything is shuffled. Null and empty
+    texts are passed over; rows that repeat an id are texts of their own.
     """
     # one row a language; the more frequent language wins a tie
     often = {r[0]: r[1] for r in docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col)).count().collect()}
@@ -65,19 +73,20 @@ def fit_dictionaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     order = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30))
     # about four times the sample passes this cut; the ranking then makes its bound exact
     shares = F.create_map(*[F.lit(x) for lang, n in often.items() for x in (lang, int(min(1.0, 4 * per_language / n) * (1 << 30)))])
+    room = F.greatest(F.lit(1), F.length("text") - PASSAGE_CHARS + 1)
+    passage = lambda i: F.substring(F.col("text"), F.pmod(F.xxhash64(F.col("id"), F.lit(i)), room).cast("int") + 1, F.lit(PASSAGE_CHARS)).cast("binary")
     pick = Window.partitionBy("lang").orderBy("order", "id")
     sample = (
-        docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("text"), order.alias("order"))
+        docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), order.alias("order"))
         .where(F.col("order") <= shares[F.col("lang")])
         .where("text is not null and length(text) > 0")
-        .where(F.length("text") <= longest)
         .withColumn("rank", F.row_number().over(pick))
         .where(F.col("rank") <= per_language)
-        .select("lang", "rank", "text")
+        .select("lang", "rank", F.array(*[passage(i) for i in range(PASSAGES)]).alias("passages"))
     )
     by_lang: dict[str, list] = {}
     for row in sample.collect():
-        by_lang.setdefault(row.lang, []).append((row.rank, bytes(row.text)))
+        by_lang.setdefault(row.lang, []).append((row.rank, [bytes(p) for p in row.passages]))
     found = {lang: dictionary([t for _, t in sorted(rows)]) for lang, rows in by_lang.items()}
     return {lang: found[lang] for lang in sorted(found, key=lambda x: (-often[x], x)) if found[lang]}
 
@@ -116,7 +125,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
     ``lang_best`` is the language of the smallest encoding (of equal ones, the most
     frequent), or ``und`` where the text is null, empty or has no letter; ``lang`` is
     the same but ``und`` where the margin is under ``min_margin``. Without any
-    dictionary all is ``und``. Only the id and the text are read.
+    dictionary all is ``und``. Long texts are compressed whole, piece by piece; rows that
+    repeat an id are predicted each. Only the id and the text are read.
     """
     langs, contents = list(dictionaries), tuple(dictionaries.values())
 
