@@ -4,19 +4,18 @@ Texts are reduced to SHA-256 digests once. A Misra-Gries style sketch
 (``approx_top_k``) names the digests that may be frequent; their exact counts are
 verified by a pre-aggregated pass, and the verified winners - at most ``tracked``
 rows, whatever the input - are broadcast, so that rows of hot digests are decided
-where they lie. All other digests are rare by the sketch's guarantee, and take an
-ordinary shuffle. Everything is DataFrame operations.
+where they lie. All other digests take an ordinary shuffle, pre-aggregated; they have
+few rows, but nothing depends on that. Everything is DataFrame operations.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .shared import ascii_lower, stash
 
-#: Digests that the sketch tracks; a digest with more than about rows / tracked rows is found.
+#: Digests that the sketch tracks; the most frequent quarter of them are candidates.
 TRACKED = 4096
 
 
@@ -54,10 +53,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("digest", "best", "group_size")
     )
     hot = rows.join(F.broadcast(winners), "digest")
-    same = Window.partitionBy("digest")
-    rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti").select(
-        "*", best.over(same).alias("best"), F.count(F.lit(1)).over(same).alias("group_size")
-    )
+    rest = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    # summed up where they lie first; the join back can be split where a digest is large
+    groups = rest.groupBy("digest").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    rest = rest.join(groups, "digest")
     columns = ["doc_id", "row", "digest", "best", "group_size"]
     return (
         hot.select(columns)
