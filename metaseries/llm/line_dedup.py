@@ -12,14 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import private, row_count_at_most, stash
+from .shared import private, stash, text_mark
 
 #: A line on more than this share of a host's pages is boilerplate.
 RATIO = 0.05
 #: On so many pages of the host at least, so that small hosts keep their lines.
 LEAST_PAGES = 5
-#: Boilerplate lines up to this number are broadcast.
-BROADCAST_ROWS = 100_000
+#: Boilerplate lines up to this number, and up to that number of a host, are broadcast.
+BROADCAST_ROWS, HOST_ROWS = 100_000, 2_000
 
 
 def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
@@ -54,13 +54,21 @@ def dedup_lines(docs: DataFrame, host_col: str = "source", text_col: str = "text
     stay. ``count_col`` must not be a column of ``docs``.
     """
     found = boilerplate(docs, host_col, text_col, ratio, least_pages)
-    lines, host = private("lines"), private("host")
-    lists = stash(found.groupBy("host").agg(F.collect_set("line_hash").alias(lines)).withColumnRenamed("host", host))
-    if row_count_at_most(lists.select(F.explode(lines)), BROADCAST_ROWS):
-        lists = F.broadcast(lists)
-    joined = docs.join(lists, F.col(host_col).cast("string").eqNullSafe(F.col(host)), "left")
-    parts = F.split(F.col(text_col), "\n")
-    kept = F.filter(parts, lambda x: ~F.array_contains(F.col(lines), F.xxhash64(F.trim(x))))
+    found = stash(found)
+    lines, host, mark = private("lines"), private("host"), private("mark")
+    sizes = found.groupBy("host").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    own_host, parts = F.col(host_col).cast("string"), F.split(F.col(text_col), "\n")
+    if sizes[0] <= BROADCAST_ROWS and sizes[1] <= HOST_ROWS:
+        lists = found.groupBy("host").agg(F.collect_set("line_hash").alias(lines)).withColumnRenamed("host", host)
+        joined = docs.join(F.broadcast(lists), own_host.eqNullSafe(F.col(host)), "left")
+        kept = F.filter(parts, lambda x: ~F.array_contains(F.col(lines), F.xxhash64(F.trim(x))))
+    else:
+        # a text's lines meet the list by host and line, and only the places to cut come back
+        spread = docs.select(own_host.alias(host), text_mark(F.col(text_col)).alias(mark), F.posexplode(F.transform(parts, lambda x: F.xxhash64(F.trim(x)))).alias("at", "line"))
+        hits = spread.join(found.select("host", "line_hash"), F.col(host).eqNullSafe(F.col("host")) & (F.col("line") == F.col("line_hash")))
+        places = hits.groupBy(host, mark).agg(F.collect_set("at").alias(lines))
+        joined = docs.join(places, own_host.eqNullSafe(F.col(host)) & (text_mark(F.col(text_col)) == F.col(mark)), "left")
+        kept = F.filter(parts, lambda x, i: ~F.array_contains(F.col(lines), i))
     cut = F.col(lines).isNotNull() & F.col(text_col).isNotNull()
     return joined.select(
         *[F.when(cut, F.array_join(kept, "\n")).otherwise(F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns],
@@ -75,25 +83,22 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 SQL = f"""
-WITH lines AS (
-  SELECT doc_id, source, trim(l, ' ') AS line, pos
-  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)
+WITH pages AS (
+  SELECT row_number() OVER () AS page, doc_id, source, text FROM documents
+), lines AS (
+  SELECT page, source, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM pages
 ), hosts AS (
   SELECT source, count(*) AS host_pages FROM documents GROUP BY source
 ), cut AS (
-  SELECT l.source, l.line FROM (SELECT source, line, count(DISTINCT doc_id) AS pages FROM lines WHERE line <> '' GROUP BY source, line) l
+  SELECT l.source, l.line FROM (SELECT source, trim(raw, ' ') AS line, count(DISTINCT page) AS pages FROM lines WHERE trim(raw, ' ') <> '' GROUP BY ALL) l
   JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
   WHERE pages >= {LEAST_PAGES} AND pages > host_pages * {RATIO}
 ), marked AS (
-  SELECT l.doc_id, l.pos, l2.l AS raw, c.line IS NOT NULL AS gone
-  FROM lines l
-  JOIN (SELECT doc_id, unnest(string_split(text, chr(10))) AS l, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents) l2
-    ON l.doc_id = l2.doc_id AND l.pos = l2.pos
-  LEFT JOIN cut c ON l.source IS NOT DISTINCT FROM c.source AND l.line = c.line
+  SELECT page, pos, raw, c.line IS NOT NULL AS gone FROM lines l LEFT JOIN cut c ON l.source IS NOT DISTINCT FROM c.source AND trim(raw, ' ') = c.line
 )
-SELECT d.doc_id, d.source, CAST(coalesce(m.dropped, 0) AS INTEGER) AS lines_dropped,
-       CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(m.text, '') END AS text
-FROM documents d LEFT JOIN (
-  SELECT doc_id, count(*) FILTER (gone) AS dropped, string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone) AS text FROM marked GROUP BY doc_id
-) m ON d.doc_id = m.doc_id
+SELECT p.doc_id, p.source, CAST(coalesce(m.dropped, 0) AS INTEGER) AS lines_dropped,
+       CASE WHEN p.text IS NULL THEN NULL ELSE coalesce(m.text, '') END AS text
+FROM pages p LEFT JOIN (
+  SELECT page, count(*) FILTER (gone) AS dropped, string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT gone) AS text FROM marked GROUP BY page
+) m ON p.page = m.page
 """
