@@ -207,3 +207,17 @@ def refuse_mixed_epochs(series: DataFrame, keys: list[str]) -> DataFrame:
         if mixed:
             raise ValueError(f"{mixed[0].asDict()} has values of several definition epochs; name epoch among the keys")
     return series
+
+
+def correction_kinds(parsed: DataFrame) -> DataFrame:
+    """``kind, corrections, records``: how many corrections of each kind there are, and in how many records."""
+    found = F.filter(F.map_values("cells"), lambda c: c["place"] == "correction[].kind")
+    each = parsed.select("path", F.explode(F.transform(found, lambda c: c["s"])).alias("kind"))
+    return each.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("n")).groupBy("kind").agg(F.sum("n").alias("corrections"), F.count(F.lit(1)).alias("records"))
+
+
+def shares(judged_records: DataFrame, by: str) -> DataFrame:
+    """Of the kept records of each quantity, how many have each value of ``by``, and their share."""
+    kept = judged_records.where("reason = 'kept'").groupBy("quantity", by).agg(F.count(F.lit(1)).alias("n"))
+    total = kept.groupBy("quantity").agg(F.sum("n").alias("of"))
+    return kept.join(total, "quantity").select("quantity", by, "n", (F.col("n") / F.col("of")).alias("share"))

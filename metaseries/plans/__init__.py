@@ -1,3 +1,3 @@
 """Registered queries and the SQL that checks them."""
 
-from . import checks, series  # noqa: F401
+from . import checks, records, series  # noqa: F401

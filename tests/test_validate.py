@@ -368,3 +368,13 @@ def test_the_command_line(spark, tmp_path, capsys):
     assert run("meaning") == (1, f"{bad}: group.id: nothing is named nobody\n")
     assert run("compare") == (1, f"{bad}: added\n")
     assert "is required" in run("schema")[1] and "value-outside-set" in run("refusals")[1]
+
+
+def test_corrections_and_shares(spark):
+    entry = {"date": "1950-01-02", "kind": "transcription", "field": "blinding", "was": "blinded", "now": "not-stated", "reason": "r", "reported_in": "x"}
+    kinds = {"a": [], "b": ["transcription", "transcription"], "c": ["transcription", "metadata"]}
+    rows = [(k, text({"correction": [entry | {"kind": x} for x in own], "group/id": k, "blinding": "blinded" if k == "a" else "not-stated"}).encode()) for k, own in kinds.items()]
+    parsed = records.parse_records(spark.createDataFrame(rows, "path string, text binary"))
+    assert {tuple(r) for r in analysis.correction_kinds(parsed).collect()} == {("transcription", 3, 2), ("metadata", 1, 1)}
+    found = analysis.shares(analysis.judged(analysis.measurements(parsed)), "blinding").collect()
+    assert {(r.blinding, r.n, round(r.share, 3)) for r in found} == {("blinded", 1, 0.333), ("not-stated", 2, 0.667)}
