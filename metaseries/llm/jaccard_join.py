@@ -20,9 +20,15 @@ A band is a factor of two in size. A set that may link with larger ones of the n
 band is filed there too, so no pair is lost between bands.
 
 Equal sets are one class and filed once. Under each word the members are compared
-with its first member only; components of these links come first, and then just
-those pairs that meet in a word but are still in different components. So a group of
-near copies costs its size, not its square, and no link between components is lost.
+with its first member only (a hot word's are dealt over several firsts); components of
+these links come first, and then just those pairs that meet in a word but are still in
+different components. So a group of near copies costs its size, not its square, and no
+link between components is lost.
+
+Where many sets of different components are filed under one word - they share a passage
+but are too different to link - pairs would grow with the square of their number. Such
+sets are joined on their shingles themselves, the rarer first: sets that link share one
+of their first ones, and those before it count against the pair (see ``_by_shingles``).
 """
 
 from __future__ import annotations
@@ -43,8 +49,10 @@ SHINGLE, PERCENT = 4, 85
 FINE_WORDS = 16
 #: Ids up to this number may be broadcast to pick the texts to verify.
 BROADCAST_IDS = 1_000_000
-#: Members of a key up to which it is joined with itself; and of a block of larger ones.
-FEW, BLOCK = 24, 512
+#: Members of a key up to which it is joined with itself.
+FEW = 24
+#: Parts that a hot key's members are dealt over, each with a first of its own.
+HOT_PARTS = 64
 #: Hot words that are passed over, at most.
 HOT_KEYS = 500_000
 
@@ -166,7 +174,7 @@ def hot_keys(table: DataFrame, share: int = 4, often: int = 3, most: int = HOT_K
 
 
 def filed_under(table: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
-    """``doc_id, key`` of the keys that each set is filed under."""
+    """``doc_id, key, part`` of the keys that each set is filed under; only hot keys have several parts."""
     held = table.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,25 +188,22 @@ def filed_under(table: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
                 for i, (n, parts) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3).to_pylist(), strict=True))
             ]
             row = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(np.concatenate(found) if found else np.empty(0, np.int64))], names=["doc_id", "key"])
+            filed = np.concatenate(found) if found else np.empty(0, np.int64)
+            # a set's part is told by its own first key, so it is the same at each run
+            part = np.repeat(np.array([int(keys[ends[i]]) % HOT_PARTS for i in range(len(found))], dtype=np.int64), [len(f) for f in found])
+            if len(known):
+                part[known[np.minimum(np.searchsorted(known, filed), len(known) - 1)] != filed] = 0
+            else:
+                part[:] = 0
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(filed), pa.array(part.astype(np.int32))], names=["doc_id", "key", "part"])
 
     kind = table.schema["doc_id"].dataType.simpleString()
-    return table.select("doc_id", "n", "keys", "parts").mapInArrow(tidy(run), f"doc_id {kind}, key long")
+    return table.select("doc_id", "n", "keys", "parts").mapInArrow(tidy(run), f"doc_id {kind}, key long, part int")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Those of ``pairs (a, b)`` whose shingle sets are similar enough, by the sets themselves."""
-    texts = _only(docs, pairs, id_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
-            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
-            held = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), held], names=["id", "shingles"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    sets = stash(texts.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(tidy(run), f"id {kind}, shingles array<long>"))
+    sets = stash(shingle_sets(_only(docs, pairs, id_col), width, id_col, text_col))
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -212,6 +217,20 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_col
     )
 
 
+def shingle_sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, shingles`` of each whole text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            held = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), held], names=["id", "shingles"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(tidy(run), f"id {kind}, shingles array<long>")
+
+
 def _near(percent: int) -> Column:
     """Whether a pair (n1, bits1), (n2, bits2) can link, by sizes and fine sketches."""
     sizes = F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
@@ -243,9 +262,13 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     copies = table.where("n > 0").select("doc_id", *same).join(classes, same).where(F.col("doc_id") != F.col("rep")).select("doc_id")
     copies = copies.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
     filed = filed_under(without(table.where("n > 0 and doc_id is not null"), copies, "doc_id"), hot_keys(table), percent)
-    by_key = Window.partitionBy("key").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # under each key, every member but the first, with the first
-    met = stash(filed.withColumn("first", F.first("doc_id").over(by_key)).where("doc_id <> first"))
+    # under each key and part, every member but the first, with the first; then the parts' firsts with the key's
+    first = lambda *by: F.first("doc_id").over(Window.partitionBy(*by).orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = stash(filed.withColumn("first", first("key", "part")).where("doc_id <> first or part > 0"))
+    heads = met.where("doc_id = first").select("doc_id", "key", "part")
+    zeros = met.where("part = 0").select(F.col("first").alias("doc_id"), "key", "part").distinct()
+    between = heads.unionByName(zeros).withColumn("first", first("key")).where("doc_id <> first")
+    met = stash(met.where("doc_id <> first").unionByName(between).select("doc_id", "key", "first"))
 
     about = table.select("doc_id", "n", "bits")
     stars = met.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
@@ -268,58 +291,71 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
         keys = apart.select("key").distinct()
         # all members of these keys
         members = held.select("key", "doc_id", "component").unionByName(held.select("key", F.col("first").alias("doc_id"), F.col("of_first").alias("component"))).distinct().join(keys, "key", "left_semi")
-        pairs = _across(stash(members), about, percent)
+        members = stash(members)
+        counted = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("count")), "key")
         done = met.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
+        pairs = _across(counted.where(F.col("count") <= FEW), about, percent)
         more = stash(verified(stash(pairs.join(done, ["a", "b"], "left_anti")), docs, width, percent, id_col, text_col))
-        every = components(links.unionByName(more)) if not more.isEmpty() else joined
+        links = links.unionByName(more)
+        crowd = stash(counted.where(F.col("count") > FEW).select("doc_id").distinct())
+        if not crowd.isEmpty():
+            links = links.unionByName(_by_shingles(crowd, links, docs, about, width, percent, id_col, text_col))
+        every = components(links)
     named = classes.join(every.withColumnRenamed("id", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component"))
     return table.select("doc_id", *same).join(named, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def _across(members: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     """Pairs of members (key, doc_id, component) of one key that are in different
-    components and that sizes and fine sketches let pass.
+    components and that sizes and fine sketches let pass; for keys of few members."""
+    side = lambda k: members.select("key", F.col("doc_id").alias(f"i{k}"), F.col("component").alias(f"c{k}"))
+    joined = side(1).join(side(2), "key").where("c1 <> c2 and i1 < i2").select(F.col("i1").alias("a"), F.col("i2").alias("b")).distinct()
+    return _turned_down(joined, about, percent)
 
-    Keys of few members are joined with themselves. Larger ones are cut into blocks, and
-    each two blocks of a key are compared in memory, so only what passes leaves the task.
+
+def _by_shingles(crowd: DataFrame, links: DataFrame, docs: DataFrame, about: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """Links between the sets of ``crowd (doc_id)`` that are in different components of ``links``.
+
+    Shingles are put in one order, those that fewer sets have first (Chaudhuri, Ganti and
+    Kaushik 2006; Xiao et al. 2008). Take the first shingle that two sets share: what
+    either has before it is not in the other, so both numbers together are at most the
+    symmetric difference, and with it bounded. So a set is filed under its first shingles
+    only, and under one of them it can link only if it has few enough before. Members
+    that are left are compared with the one that has the fewest before, then those still
+    in other components than that one with the members of other components than theirs.
     """
-    same_key = Window.partitionBy("key")
-    counted = members.withColumn("count", F.count(F.lit(1)).over(same_key)).withColumn("at", F.row_number().over(same_key.orderBy("doc_id")) - 1)
-    counted = stash(counted)
-    few = counted.where(F.col("count") <= FEW)
-    side = lambda k: few.select("key", F.col("doc_id").alias(f"i{k}"), F.col("component").alias(f"c{k}"))
-    joined = side(1).join(side(2), "key").where("c1 <> c2 and i1 < i2").select(F.col("i1").alias("a"), F.col("i2").alias("b")).distinct()
-    passed = _turned_down(joined, about, percent)
-    many = counted.where(F.col("count") > FEW)
-    if many.isEmpty():
-        return passed
-    last = F.floor((F.col("count") - 1) / BLOCK)
-    own = F.floor(F.col("at") / BLOCK)
-    blocks = many.select("key", "doc_id", "component", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("other"))
-    blocks = blocks.select("key", "doc_id", "component", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
-    # an own block is not repeated where it meets itself, as own = other there only once
-    fine = _only(about, many.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b")), "doc_id")
-    kind = members.schema["doc_id"].dataType.simpleString()
-
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        first = table.column("own").to_numpy() == key[1].as_py()
-        ids, component, n = (table.column(c).to_numpy() for c in ("doc_id", "component", "n"))
-        bits = [np.asarray(b, dtype=np.int64) for b in table.column("bits").to_pylist()]
-        width = min(map(len, bits))
-        folded = np.array([b if len(b) == width else np.bitwise_xor.reduce(b.reshape(-1, width)) for b in bits]).view(np.uint64)
-        low = np.flatnonzero(first)
-        high = low if key[1].as_py() == key[2].as_py() else np.flatnonzero(~first)
-        a, b = [], []
-        for i in low.tolist():
-            apart = np.bitwise_count(folded[high] ^ folded[i]).sum(axis=1, dtype=np.int64)
-            near = (apart * (100 + percent) <= (n[high] + n[i]) * (100 - percent)) & (np.minimum(n[high], n[i]) * 100 >= np.maximum(n[high], n[i]) * percent) & (component[high] != component[i])
-            for j in high[near].tolist():
-                a.append(min(ids[i], ids[j]))
-                b.append(max(ids[i], ids[j]))
-        return pa.table({"a": pa.array(a, table.schema.field("doc_id").type), "b": pa.array(b, table.schema.field("doc_id").type)})
-
-    found = blocks.join(fine, "doc_id").groupBy("key", "low", "high").applyInArrow(run, f"a {kind}, b {kind}")
-    return passed.unionByName(found).distinct()
+    ends = crowd.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
+    sets = stash(shingle_sets(_only(docs, ends, id_col), width, id_col, text_col).dropDuplicates(["id"]))
+    rows = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    often = stash(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    # of a set, its shingles in the order; those of one set alone come first
+    order = F.array_sort(F.collect_list(F.struct(F.coalesce("c", F.lit(1)).alias("c"), "shingle")))
+    ordered = rows.join(often, "shingle", "left").groupBy("id", "n").agg(order.alias("order"))
+    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
+    placed = ordered.select("id", "n", F.posexplode(F.slice("order", F.lit(1), length)).alias("u", "x")).where("x.c > 1").select("id", "n", "u", F.col("x.shingle").alias("shingle"))
+    placed = stash(placed)
+    fewest = placed.groupBy("shingle").agg(F.min(F.struct("u", "id")).alias("first"))
+    apart = F.floor((100 - percent) * (F.col("n") + F.floor(F.col("n") * 100 / percent)) / (100 + percent))
+    left = placed.join(fewest, "shingle").where((F.col("id") == F.col("first.id")) | (F.col("u") + F.col("first.u") <= apart))
+    left = stash(left.select("shingle", "id", "n", "u", F.col("first.id").alias("first")))
+
+    def found(pairs: DataFrame) -> DataFrame:
+        return stash(verified(stash(_turned_down(pairs.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct(), about, percent)), docs, width, percent, id_col, text_col))
+
+    def labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+        of = stash(components(links)).select("id", "component")
+        first = of.select(F.col("id").alias("first"), F.col("component").alias("of_first"))
+        return rows.join(of, "id", "left").join(first, "first", "left").withColumn("component", F.coalesce("component", "id")).withColumn("of_first", F.coalesce("of_first", "first"))
+
+    stars = found(labelled(left, links).where("component <> of_first").select(F.col("id").alias("i"), F.col("first").alias("j")))
+    now = stash(labelled(left, links.unionByName(stars)).join(_only(about, ends, "doc_id").select(F.col("doc_id").alias("id"), "bits"), "id"))
+    side = lambda d, k: d.select(*[F.col(c).alias(f"{c}{k}") for c in ("shingle", "id", "n", "u", "bits", "component")])
+    # what lies behind the shared shingle differs by its length at least
+    apart = F.col("u1") + F.col("u2") + F.abs(F.col("n1") - F.col("u1") - F.col("n2") + F.col("u2"))
+    near = F.when(apart * (100 + percent) <= (F.col("n1") + F.col("n2")) * (100 - percent), _near(percent)).otherwise(False)
+    # all of it is part of the join, so that only pairs that pass leave it
+    pairs = side(now.where("component <> of_first"), 1).join(side(now, 2), (F.col("shingle1") == F.col("shingle2")) & (F.col("component1") != F.col("component2")) & near)
+    return stars.unionByName(found(pairs.select(F.col("id1").alias("i"), F.col("id2").alias("j"))))
 
 
 def _turned_down(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
