@@ -20,6 +20,7 @@ most words are counted where they lie; only rarer ones are shuffled to join thei
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,24 +62,28 @@ class Lexicon(dict):
 
     def __missing__(self, word: bytes) -> int:
         code = self[word] = len(self.pieces)
-        self.pieces.append(self.cache[word.decode("utf-8", "replace")])
+        text = word.decode("utf-8", "replace")
+        self.pieces.append(self.cache.after_space(text) if text.isalpha() else self.cache[text])
         return code
 
     def texts(self, found: list[list[bytes]], learnt: list[bool]) -> list[np.ndarray]:
         """Each text's ids and its end; words of ``learnt`` texts are counted."""
-        codes = [np.array(list(map(self.__getitem__, text)), dtype=np.int64) for text in found]
+        codes = np.array(list(map(self.__getitem__, itertools.chain.from_iterable(found))), dtype=np.int64)
         flat = np.frombuffer(b"".join(self.pieces), dtype="<u4").astype("<u2")
         size = np.fromiter(map(len, self.pieces), dtype=np.int64, count=len(self.pieces)) // 4
-        first = np.cumsum(size) - size
-        self.count = np.concatenate([self.count, np.zeros(len(size) - len(self.count), dtype=np.int64)])
-        out = []
-        for text, counts in zip(codes, learnt, strict=True):
-            n = size[text]
-            at = np.arange(n.sum()) + np.repeat(first[text] - (np.cumsum(n) - n), n)
-            out.append(np.append(flat[at], np.uint16(END)))
-            if counts:
-                np.add.at(self.count, text, 1)
-        return out
+        first, length = np.cumsum(size) - size, np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        owner = np.repeat(np.arange(len(found)), length)
+        seen = np.bincount(codes[np.array(learnt, dtype=bool)[owner]], minlength=len(size))
+        seen[: len(self.count)] += self.count
+        self.count = seen
+        n = size[codes]
+        before = np.cumsum(n) - n  # ids before each word
+        # ids of all texts, with room for an end behind each text
+        out = np.full(int(n.sum()) + len(found), END, dtype="<u2")
+        within = np.arange(int(n.sum())) - np.repeat(before, n)
+        out[within + np.repeat(before + owner, n)] = flat[within + np.repeat(first[codes], n)]
+        ends = np.cumsum(np.bincount(owner, n, len(found)).astype(np.int64) + 1)
+        return np.split(out, ends[:-1]) if len(found) else []
 
     def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash and count of the words counted, and the count of each id; all words are forgotten."""
