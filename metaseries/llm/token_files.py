@@ -19,58 +19,76 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .shared import shared_folder
-from .tokens import TokenCache
+from .shared import shared_folder, stash, tidy
+from .tokens import SPECIAL, TokenCache
 
 #: The end-of-document id: the vocabulary's own, which no text gives.
 END_OF_DOCUMENT = 50256
 BLOCK_TOKENS = 1 << 19
+#: Texts in a file, so that files stay far below the 2 GB of one row.
+RECORDS_A_FILE = 50_000
 
 
-def write_token_files(docs: DataFrame, path: str, end: int = END_OF_DOCUMENT, tokenizer: str | None = None, text_col: str = "text") -> None:
-    """Write each text's ids and the end id, in the order of ``docs``: a file a task.
+def write_token_files(docs: DataFrame, path: str, end: int = END_OF_DOCUMENT, tokenizer: str | None = None, text_col: str = "text", folders: tuple[str, ...] = (), order: tuple[str, ...] = ()) -> None:
+    """Write each text's ids and the end id, a file a task and ``RECORDS_A_FILE`` texts.
 
-    A null or empty text is an end alone. Ids must be below 65536, and no text may
-    hold the end id: a special token's name in a text is written as ordinary text's
-    ids where the vocabulary has such, else refused.
+    With ``folders`` the files lie in a folder for each value of these columns, and the
+    texts of a file are in the order of the columns ``order``; else in that of ``docs``.
+
+    A null or empty text is an end alone. A special token's name in a text is written as
+    ordinary text's ids. A text that still gives the end id, or ids of 65536 or more,
+    is refused: the job fails.
     """
+    carried = [*folders, *order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = TokenCache.of(tokenizer)
         for batch in batches:
-            held = []
-            for text in batch.column(0).to_pylist():
-                ids = np.frombuffer(cache.encode(text or ""), dtype="<u4")
-                if len(ids) and (ids.max() >= 1 << 16 or (ids == end).any()):
-                    ids = np.concatenate([ids[:0], *(np.frombuffer(cache.whole(part), dtype="<u4") for part in _parts(text))])
-                held.append(ids.astype("<u2").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary())], names=["value"])
+            held = [two_byte_ids(text or "", cache, end) for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(held, pa.binary()), *batch.columns[1:]], names=["value", *carried])
 
     ends = end.to_bytes(2, "little").decode("latin-1")
-    docs.select(F.col(text_col)).mapInArrow(run, "value binary").select(F.col("value").cast("string")).write.option("encoding", "ISO-8859-1").option("lineSep", ends).text(path)
+    texts = docs.select(F.col(text_col), *carried)
+    kinds = "".join(f", {c} {texts.schema[c].dataType.simpleString()}" for c in carried)
+    written = texts.mapInArrow(tidy(run), f"value binary{kinds}")
+    if carried:
+        written = written.sortWithinPartitions(*carried)
+    writer = written.select(F.col("value").cast("string"), *folders).write.option("encoding", "ISO-8859-1").option("lineSep", ends).option("maxRecordsPerFile", RECORDS_A_FILE)
+    (writer.partitionBy(*folders) if folders else writer).text(path)
+
+
+def two_byte_ids(text: str, cache: TokenCache, end: int) -> bytes:
+    """A text's ids in two bytes each; an error where they can't stand in a token file."""
+    for encoded in (lambda: cache.encode(text), lambda: b"".join(map(cache.whole, _parts(text)))):
+        ids = np.frombuffer(encoded(), dtype="<u4")
+        if not len(ids) or (ids.max() < 1 << 16 and not (ids == end).any()):
+            return ids.astype("<u2").tobytes()
+    raise ValueError(f"a text gives the end id {end} or an id of 65536 or more")
 
 
 def _parts(text: str) -> list[str]:
     """A text cut inside the special token's name, so that it is ordinary text."""
-    name = "<|endoftext|>"
-    first, *rest = text.split(name)
+    first, *rest = text.split(SPECIAL)
     out = [first]
     for r in rest:
-        out += [name[:2], name[2:] + r]
+        out += [SPECIAL[:2], SPECIAL[2:] + r]
     return [p for p in out if p]
 
 
 def read_blocks(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """``file, block, bytes`` of the token files under ``path``.
+    """``file, block, bytes`` of the token files under ``path``; ``file`` is the path below it.
 
-    Each file is one task's input, as written by one task, so its size is that task's.
+    Spark's reader gives a file as one row, so a file may have 2 GB at most; those of
+    ``write_token_files`` are bounded by ``RECORDS_A_FILE``.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
     width = 2 * block_tokens
-    blocks = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("length") / width).cast("int") - 1))
-    return files.where("length > 0").select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("content"), F.explode(blocks).alias("block")).select(
-        "file", "block", F.substring("content", F.col("block") * width + 1, F.lit(width)).alias("bytes")
-    )
+    starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.col("length") / width).cast("int") - 1))
+    # the blocks are cut before they are spread out, so that no row of theirs holds a whole file
+    blocks = F.transform(starts, lambda b: F.substring("content", b * width + 1, F.lit(width)))
+    depth = len(path.rstrip("/").split("/")) if "://" not in path else len(path.split("://", 1)[1].rstrip("/").split("/"))
+    below = F.split(F.regexp_replace("path", "^[a-z0-9]+:(//)?", ""), "/")
+    return files.where("length > 0").select(F.array_join(F.slice(below, F.lit(depth + 1), F.size(below)), "/").alias("file"), F.posexplode(blocks).alias("block", "bytes"))
 
 
 def count_tokens(blocks: DataFrame, end: int = END_OF_DOCUMENT) -> DataFrame:
@@ -118,15 +136,21 @@ def count_tokens(blocks: DataFrame, end: int = END_OF_DOCUMENT) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     """Token counts of all documents, read back from flat token files of them.
 
-    A file holds a task's documents in the order of their rows, so the row numbers of
-    the same reading give each count its doc_id again.
+    A token file holds texts of one piece of a Parquet file, in the order of its rows.
+    As the pieces of a file follow each other, a document's number among all of them is
+    its row number in the Parquet file, whichever way the file was split to be read. A
+    document without count is an error.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    place = {"source": F.xxhash64("_metadata.file_path"), "start": F.col("_metadata.file_block_start"), "row": F.col("_metadata.row_index")}
     path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
-    write_token_files(docs, path)
-    counted = count_tokens(read_blocks(spark, path)).select(
-        F.regexp_extract("file", r"^part-(\d+)", 1).cast("int").alias("task"), "document", "first_token", "n_tokens"
-    )
-    row = F.monotonically_increasing_id()
-    names = docs.select("doc_id", row.alias("row")).select("doc_id", F.shiftright("row", 33).cast("int").alias("task"), F.col("row").bitwiseAND((1 << 33) - 1).alias("document"))
-    return names.join(counted, ["task", "document"]).select("doc_id", F.col("task").alias("file"), "document", "first_token", "n_tokens")
+    write_token_files(docs.select("text", *[c.alias(k) for k, c in place.items()]), path, folders=("source", "start"), order=("row",))
+    part = lambda k: F.regexp_extract("file", f"(?:^|/){k}=(-?[0-9]+)/", 1).cast("long").alias(k)
+    counted = stash(count_tokens(read_blocks(spark, path)).select("file", part("source"), part("start"), "document", "first_token", "n_tokens"))
+    # few rows: one a file
+    before = Window.partitionBy("source").orderBy("start", "file").rowsBetween(Window.unboundedPreceding, -1)
+    files = counted.groupBy("source", "start", "file").agg(F.count(F.lit(1)).alias("n")).select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    found = counted.join(files, "file").select("source", (F.col("base") + F.col("document")).alias("row"), "file", "document", "first_token", "n_tokens")
+    names = docs.select("doc_id", place["source"].alias("source"), place["row"].alias("row"))
+    n = F.when(F.col("n_tokens").isNull(), F.raise_error(F.lit("a document is not in the token files")).cast("long")).otherwise(F.col("n_tokens"))
+    return names.join(found, ["source", "row"], "left").select("doc_id", "file", "document", "first_token", n.alias("n_tokens"))
