@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, packing, quality, token_files, url_rules
+from . import decontaminate, exact_dedup, fill_middle, jaccard_join, language_id, line_dedup, lm_score, packing, quality, token_files, url_rules
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +30,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": quality.query,
         "op9_lm_scores": lm_score.query,
         "op10_url_filters": op10,
+        "op11_fill_in_middle": fill_middle.query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": exact_dedup.SQL, "op6_line_dedup": line_dedup.SQL, "op10_url_filters": url_rules.SQL}
+    return {"op3_exact_dedup": exact_dedup.SQL, "op6_line_dedup": line_dedup.SQL, "op10_url_filters": url_rules.SQL, "op11_fill_in_middle": fill_middle.SQL}
