@@ -33,7 +33,7 @@ of their first ones, and those before it count against the pair (see ``_by_shing
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -174,7 +174,7 @@ def hot_keys(table: DataFrame, share: int = 4, often: int = 3, most: int = HOT_K
 
 
 def filed_under(table: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
-    """``doc_id, key, part`` of the keys that each set is filed under; only hot keys have several parts."""
+    """``doc_id, key, part`` of the keys that each set is filed under; hot keys have several parts, others part 0."""
     held = table.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +190,7 @@ def filed_under(table: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
             row = np.repeat(np.arange(len(found)), [len(f) for f in found])
             filed = np.concatenate(found) if found else np.empty(0, np.int64)
             # a set's part is told by its own first key, so it is the same at each run
-            part = np.repeat(np.array([int(keys[ends[i]]) % HOT_PARTS for i in range(len(found))], dtype=np.int64), [len(f) for f in found])
+            part = np.repeat(np.array([1 + int(keys[ends[i]]) % HOT_PARTS for i in range(len(found))], dtype=np.int64), [len(f) for f in found])
             if len(known):
                 part[known[np.minimum(np.searchsorted(known, filed), len(known) - 1)] != filed] = 0
             else:
@@ -203,7 +203,7 @@ def filed_under(table: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Those of ``pairs (a, b)`` whose shingle sets are similar enough, by the sets themselves."""
-    sets = stash(shingle_sets(_only(docs, pairs, id_col), width, id_col, text_col))
+    sets = stash(shingle_sets(only(docs, pairs, id_col), width, id_col, text_col))
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -262,17 +262,27 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     copies = table.where("n > 0").select("doc_id", *same).join(classes, same).where(F.col("doc_id") != F.col("rep")).select("doc_id")
     copies = copies.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
     filed = filed_under(without(table.where("n > 0 and doc_id is not null"), copies, "doc_id"), hot_keys(table), percent)
-    # under each key and part, every member but the first, with the first; then the parts' firsts with the key's
+    about = table.select("doc_id", "n", "bits")
+    every = linked_groups(filed, docs, lambda pairs: _turned_down(pairs, about, percent), lambda crowd: about, width, percent, id_col, text_col)
+    named = classes.join(every.withColumnRenamed("id", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component"))
+    return table.select("doc_id", *same).join(named, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+
+
+def linked_groups(filed: DataFrame, docs: DataFrame, likely: Callable[[DataFrame], DataFrame], about: Callable[[DataFrame], DataFrame], width: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, component`` of the documents that link, given the keys that each is filed under.
+
+    Documents link only if they meet in ``filed (doc_id, key, part)``; part is 0 but for
+    hot keys. ``likely`` turns pairs ``(a, b)`` down that can't link; ``about`` gives
+    ``doc_id, n, bits`` of a crowd's documents. All that is left is verified.
+    """
+    # under each key and part, every member but the first, with the first; then a hot key's parts' firsts with the key's
     first = lambda *by: F.first("doc_id").over(Window.partitionBy(*by).orderBy("doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     met = stash(filed.withColumn("first", first("key", "part")).where("doc_id <> first or part > 0"))
-    heads = met.where("doc_id = first").select("doc_id", "key", "part")
-    zeros = met.where("part = 0").select(F.col("first").alias("doc_id"), "key", "part").distinct()
-    between = heads.unionByName(zeros).withColumn("first", first("key")).where("doc_id <> first")
+    between = met.where("doc_id = first").withColumn("first", first("key")).where("doc_id <> first")
     met = stash(met.where("doc_id <> first").unionByName(between).select("doc_id", "key", "first"))
 
-    about = table.select("doc_id", "n", "bits")
     stars = met.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = stash(verified(stash(_turned_down(stars, about, percent)), docs, width, percent, id_col, text_col))
+    links = stash(verified(stash(likely(stars)), docs, width, percent, id_col, text_col))
     joined = components(links)
 
     # what meets under a key but is in another component than the key's first member
@@ -294,23 +304,21 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
         members = stash(members)
         counted = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("count")), "key")
         done = met.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-        pairs = _across(counted.where(F.col("count") <= FEW), about, percent)
-        more = stash(verified(stash(pairs.join(done, ["a", "b"], "left_anti")), docs, width, percent, id_col, text_col))
+        pairs = _across(counted.where(F.col("count") <= FEW))
+        more = stash(verified(stash(likely(pairs.join(done, ["a", "b"], "left_anti"))), docs, width, percent, id_col, text_col))
         links = links.unionByName(more)
         crowd = stash(counted.where(F.col("count") > FEW).select("doc_id").distinct())
         if not crowd.isEmpty():
-            links = links.unionByName(_by_shingles(crowd, links, docs, about, width, percent, id_col, text_col))
+            links = links.unionByName(_by_shingles(crowd, links, docs, about(crowd), width, percent, id_col, text_col))
         every = components(links)
-    named = classes.join(every.withColumnRenamed("id", "rep"), "rep", "left").select(*same, F.coalesce("component", "rep").alias("component"))
-    return table.select("doc_id", *same).join(named, same, "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    return every
 
 
-def _across(members: DataFrame, about: DataFrame, percent: int) -> DataFrame:
+def _across(members: DataFrame) -> DataFrame:
     """Pairs of members (key, doc_id, component) of one key that are in different
-    components and that sizes and fine sketches let pass; for keys of few members."""
+    components; for keys of few members."""
     side = lambda k: members.select("key", F.col("doc_id").alias(f"i{k}"), F.col("component").alias(f"c{k}"))
-    joined = side(1).join(side(2), "key").where("c1 <> c2 and i1 < i2").select(F.col("i1").alias("a"), F.col("i2").alias("b")).distinct()
-    return _turned_down(joined, about, percent)
+    return side(1).join(side(2), "key").where("c1 <> c2 and i1 < i2").select(F.col("i1").alias("a"), F.col("i2").alias("b")).distinct()
 
 
 def _by_shingles(crowd: DataFrame, links: DataFrame, docs: DataFrame, about: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -325,7 +333,7 @@ def _by_shingles(crowd: DataFrame, links: DataFrame, docs: DataFrame, about: Dat
     in other components than that one with the members of other components than theirs.
     """
     ends = crowd.select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"))
-    sets = stash(shingle_sets(_only(docs, ends, id_col), width, id_col, text_col).dropDuplicates(["id"]))
+    sets = stash(shingle_sets(only(docs, ends, id_col), width, id_col, text_col).dropDuplicates(["id"]))
     rows = sets.select("id", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     often = stash(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
     # of a set, its shingles in the order; those of one set alone come first
@@ -348,7 +356,7 @@ def _by_shingles(crowd: DataFrame, links: DataFrame, docs: DataFrame, about: Dat
         return rows.join(of, "id", "left").join(first, "first", "left").withColumn("component", F.coalesce("component", "id")).withColumn("of_first", F.coalesce("of_first", "first"))
 
     stars = found(labelled(left, links).where("component <> of_first").select(F.col("id").alias("i"), F.col("first").alias("j")))
-    now = stash(labelled(left, links.unionByName(stars)).join(_only(about, ends, "doc_id").select(F.col("doc_id").alias("id"), "bits"), "id"))
+    now = stash(labelled(left, links.unionByName(stars)).join(only(about, ends, "doc_id").select(F.col("doc_id").alias("id"), "bits"), "id"))
     side = lambda d, k: d.select(*[F.col(c).alias(f"{c}{k}") for c in ("shingle", "id", "n", "u", "bits", "component")])
     # what lies behind the shared shingle differs by its length at least
     apart = F.col("u1") + F.col("u2") + F.abs(F.col("n1") - F.col("u1") - F.col("n2") + F.col("u2"))
@@ -361,12 +369,12 @@ def _by_shingles(crowd: DataFrame, links: DataFrame, docs: DataFrame, about: Dat
 def _turned_down(pairs: DataFrame, about: DataFrame, percent: int) -> DataFrame:
     """``pairs (a, b)`` without those that sizes or fine sketches rule out."""
     pairs = stash(pairs)
-    about = _only(about, pairs, "doc_id")
+    about = only(about, pairs, "doc_id")
     side = lambda k, c: about.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
     return pairs.join(side(1, "a"), "a").join(side(2, "b"), "b").where(_near(percent)).select("a", "b").distinct()
 
 
-def _only(rows: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
+def only(rows: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
     """The rows whose id is an end of a pair; up to BROADCAST_IDS ids are broadcast, more are shuffled."""
     end = private("end")
     ids = stash(pairs.select(F.explode(F.array("a", "b")).alias(end)).distinct())
