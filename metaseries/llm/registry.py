@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, fill_middle, hyper_minhash, jaccard_join, language_id, line_dedup, lm_score, packing, quality, token_files, url_rules
+from . import decontaminate, exact_dedup, fill_middle, hyper_minhash, jaccard_join, language_id, line_dedup, lm_score, packing, quality, token_files, turn_repair, url_rules
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_lm_scores": lm_score.query,
         "op10_url_filters": op10,
         "op11_fill_in_middle": fill_middle.query,
+        "op12_turn_repair": turn_repair.query,
         "op13_hyper_minhash": hyper_minhash.query,
     }
 
