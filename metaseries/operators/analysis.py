@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 
 from metaseries.functions.quantiles import normal_quantile
 
+from metaseries.sources.accepted import first_day, last_day
+from metaseries.sources.tables import materialise
+
 from .deviation import accounting, with_reason
 from .meaning import number_at, text_at
 
@@ -34,7 +37,7 @@ class Options:
     confirmed_only: bool = False
     #: A coverage such as ``k=1`` to assume where a source states none.
     assumed_coverage: str | None = None
-    #: How shared systematics are treated: only ``independent`` is known.
+    #: How systematics that name a correlation group are treated: ``independent`` or ``shared``.
     correlation: str = "independent"
 
 
@@ -59,11 +62,6 @@ def multipliers(coverages: DataFrame) -> DataFrame:
     return coverages.toDF("coverage").where("coverage is not null").distinct().mapInPandas(run, "coverage string, multiplier double")
 
 
-def day_of(partial: Column) -> Column:
-    """The first day of a date that may be a year or a month."""
-    return F.to_date(F.concat(partial, F.substring(F.lit("-01-01"), F.length(partial) - 3, 10)), "yyyy-MM-dd")
-
-
 def _parts(block: str, names: tuple[str, ...]) -> Column:
     """The uncertainty components of a block, as an array of structs of ``names``."""
     cells = F.col("cells")
@@ -84,7 +82,8 @@ def measurements(parsed: DataFrame) -> DataFrame:
     return parsed.where("parse_error is null").select(
         "path",
         *[text_at(field).alias(name) for name, field in texts.items()],
-        day_of(text_at("publication.date")).alias("pub"),
+        first_day(text_at("publication.date")).alias("pub"),
+        last_day(text_at("publication.date")).alias("pub_end"),
         number_at(f"{NORMALIZED}.value").alias("y"),
         F.try_element_at("cells", F.lit(f"{PUBLISHED}.limit")).isNotNull().alias("is_limit"),
         _parts(NORMALIZED, names).alias("components"),
@@ -108,7 +107,9 @@ def judged(records: DataFrame, options: Options = Options()) -> DataFrame:  # no
     """``measurements`` with widths and a ``reason`` each: one of ``REASONS``, or ``kept``.
 
     Of what is left of a group's values of one quantity and epoch, the last published
-    stays (of one day, the last path); the others are repeats.
+    stays (by the last day on which it may have come out, then the first, then the path);
+    the others are repeats. A repeat whose date leaves open which came last is
+    ``order_open``.
     """
     known = multipliers(records.select(F.explode("components.coverage")))
     if options.assumed_coverage is not None:
@@ -118,13 +119,12 @@ def judged(records: DataFrame, options: Options = Options()) -> DataFrame:  # no
     by_name = known.agg(F.map_from_entries(F.collect_list(F.struct("coverage", "multiplier"))).alias("multipliers"))
     over = lambda c, side: c[side] / F.try_element_at("multipliers", c["coverage"])
     rows = records.join(F.broadcast(by_name)).withColumn(
-        "widths", F.transform("components", lambda c: F.struct(c["component"].alias("component"), c["label"].alias("label"), over(c, "plus").alias("plus"), over(c, "minus").alias("minus")))
+        "widths",
+        F.transform("components", lambda c: F.struct(c["component"].alias("component"), c["label"].alias("label"), c["correlation_group"].alias("correlation_group"), over(c, "plus").alias("plus"), over(c, "minus").alias("minus"))),
     )
     rows = rows.withColumn("plus", _combined("plus")).withColumn("minus", _combined("minus"))
     named = F.col("components.component")
     rows = rows.withColumn("width_source", F.when(F.array_contains(named, "total"), "total").otherwise("quadrature")).withColumn("systematic_quoted", F.array_contains(named, "systematic"))
-    later = records.select(F.explode("supersedes").alias("was")).distinct()
-    rows = rows.join(later, F.col("path") == F.col("was"), "left")
     unread = F.exists("components", lambda c: F.try_element_at("multipliers", c["coverage"]).isNull() & (c["coverage"] == "unstated"))
     other = F.exists("components", lambda c: F.try_element_at("multipliers", c["coverage"]).isNull())
     conditions = {
@@ -140,21 +140,48 @@ def judged(records: DataFrame, options: Options = Options()) -> DataFrame:  # no
         "coverage-other": other,
         "zero-width": F.exists("components", lambda c: (c["plus"] == 0) | (c["minus"] == 0)),
         "no-width": F.isnull("plus") | F.isnull("minus") | F.isnan("plus") | F.isnan("minus") | (F.size("components") == 0) | (F.col("plus") <= 0) | (F.col("minus") <= 0),
-        "superseded": F.col("lineage_by").isNotNull() | F.col("was").isNotNull(),
     }
-    rows = with_reason(rows, [(name, conditions[name]) for name in REASONS if name in conditions])
+    rows = materialise(with_reason(rows, [(name, conditions[name]) for name in REASONS if name in conditions]).drop("multipliers"))
+    replaced = superseded(rows).withColumnRenamed("path", "was")
+    rows = rows.join(replaced, F.col("path") == F.col("was"), "left")
+    rows = rows.withColumn("reason", F.when((F.col("reason") == "kept") & F.col("was").isNotNull(), "superseded").otherwise(F.col("reason"))).drop("was")
     series = ["quantity", "epoch", "grp"]
-    last = rows.where("reason = 'kept'").groupBy(*series).agg(F.max(F.struct("pub", "path"))["path"].alias("last"))
+    last = rows.where("reason = 'kept'").groupBy(*series).agg(F.max(F.struct("pub_end", "pub", "path")).alias("last"))
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"l.{c}")) for c in series]
     rows = rows.alias("r").join(last.alias("l"), same[0] & same[1] & same[2], "left").select("r.*", "l.last")
-    return rows.withColumn("reason", F.when((F.col("reason") == "kept") & (F.col("path") != F.col("last")), "group-repeat").otherwise(F.col("reason"))).drop("last", "was", "multipliers")
+    repeat = (F.col("reason") == "kept") & (F.col("path") != F.col("last.path"))
+    # dates of which one holds part of the other don't say which came last
+    unsure = repeat & (F.col("pub_end") >= F.col("last.pub"))
+    rows = rows.withColumn("order_open", F.coalesce(unsure, F.lit(False)))
+    return rows.withColumn("reason", F.when(repeat, "group-repeat").otherwise(F.col("reason"))).drop("last")
+
+
+def superseded(rows: DataFrame) -> DataFrame:
+    """``path`` of the records that a usable one replaces, at any distance.
+
+    ``rows`` have ``path, reason, supersedes, lineage_by``; usable is what is ``kept``.
+    A record that may not be used itself replaces nothing of its own accord, but what a
+    usable one replaces is replaced with all that it had replaced. Each round goes one
+    record on, over the links alone, and ends when none is new.
+    """
+    links = rows.select("path", F.explode("supersedes").alias("was")).unionByName(rows.where("lineage_by is not null").select(F.col("lineage_by").alias("path"), F.col("path").alias("was")))
+    links = materialise(links.distinct())
+    usable = rows.where("reason = 'kept'").select("path")
+    every = new = materialise(links.join(usable, "path", "left_semi").select(F.col("was").alias("path")).distinct())
+    while not new.isEmpty():
+        after = links.join(new, "path", "left_semi").select(F.col("was").alias("path")).distinct()
+        new = materialise(after.join(every, "path", "left_anti"))
+        every = every.unionByName(new)
+    return every
 
 
 def studies(judged_records: DataFrame, vocabulary: DataFrame | None = None) -> DataFrame:
     """The kept records as a series: ``quantity, epoch, grp, technique, family, y, plus, minus, s, v, pub, ...``.
 
     ``s`` is the mean of both sides. ``family`` is that of the technique in
-    ``vocabulary``, else the technique itself.
+    ``vocabulary``, else the technique itself. ``correlation_group`` is the one that the
+    record's components name and ``shared`` their width; several groups in one record
+    are an error where they are to be used, so ``several_groups`` says so.
     """
     rows = judged_records.where("reason = 'kept'").withColumn("s", (F.col("plus") + F.col("minus")) / 2)
     if vocabulary is not None:
@@ -163,9 +190,12 @@ def studies(judged_records: DataFrame, vocabulary: DataFrame | None = None) -> D
     else:
         family = F.col("technique")
     correlated = F.exists("components", lambda c: c["correlation_group"].isNotNull())
+    named = F.filter("widths", lambda c: c["correlation_group"].isNotNull())
+    groups = F.array_distinct(F.transform(named, lambda c: c["correlation_group"]))
+    shared = F.sqrt(F.aggregate(named, F.lit(0.0), lambda a, c: a + F.pow((c["plus"] + c["minus"]) / 2, F.lit(2))))
     return rows.select(
-        "quantity", "epoch", "grp", "technique", family.alias("family"), "path", "y", "plus", "minus", "s", (F.col("s") * F.col("s")).alias("v"), "pub", "blinding", "systematic_quoted", "width_source",
-        correlated.alias("names_correlation"), "confirmation",
+        "quantity", "epoch", "grp", "technique", family.alias("family"), "path", "y", "plus", "minus", "s", (F.col("s") * F.col("s")).alias("v"), "pub", "pub_end", "blinding", "systematic_quoted", "width_source",
+        correlated.alias("names_correlation"), F.try_element_at(groups, F.lit(1)).alias("correlation_group"), shared.alias("shared"), (F.size(groups) > 1).alias("several_groups"), "confirmation",
     )
 
 
@@ -193,10 +223,11 @@ def options_stamp(judged_records: DataFrame, options: Options) -> dict:
         F.count_if(F.col("reason") == "not-confirmed").alias("removed"),
         F.count_if((F.col("reason") == "kept") & F.exists("components", lambda c: c["coverage"] == "unstated")).alias("assumed"),
         F.count_if((F.col("reason") == "kept") & F.exists("components", lambda c: c["correlation_group"].isNotNull())).alias("correlated"),
+        F.count_if("order_open").alias("open"),
     ).first()
     return {
         "confirmed_only": options.confirmed_only, "confirmed_only_removed": n.removed, "assumed_coverage": options.assumed_coverage or "none", "assumed_coverage_records": n.assumed,
-        "correlation": options.correlation, "correlation_groups_taken_as_independent": n.correlated,
+        "correlation": options.correlation, f"correlation_groups_taken_as_{options.correlation}": n.correlated, "group_repeats_of_open_order": n.open,
     }
 
 
@@ -204,7 +235,7 @@ def refuse_mixed_epochs(series: DataFrame, keys: list[str]) -> DataFrame:
     """``series``, unless ``keys`` would pool a quantity across definition epochs: then an error."""
     if "epoch" not in keys:
         mixed = series.groupBy(*keys).agg(F.count_distinct("epoch").alias("n")).where("n > 1").limit(1).collect()
-        if mixed:
+        if mixed:  # one row
             raise ValueError(f"{mixed[0].asDict()} has values of several definition epochs; name epoch among the keys")
     return series
 

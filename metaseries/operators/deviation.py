@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from .pooling import centred, leave_one_out, pool_fixed, pool_random
+from metaseries.sources.accepted import NOW, at_vintage
+
+from .ordered import asof
+from .pooling import centred, leave_one_out, pool_fixed, with_span
 
 #: Of a reference's half-width to a measurement's, the largest ratio admitted.
 ADMITTED = 1 / 3
@@ -32,26 +36,50 @@ def accepted_values(studies: DataFrame, keys: list[str]) -> DataFrame:
     return pool_fixed(studies, keys).join(last, keys).select(*keys, F.col("estimate").alias("r"), F.col("se").alias("r_half"), "vintage")
 
 
-def references(studies: DataFrame, keys: list[str], accepted: DataFrame | None = None, resolved_below: float = 0.5) -> DataFrame:
+#: A pin-down settles a quantity where its width is at most this share of every width in the series before it.
+FAR_BELOW = 1 / 10
+
+
+def references(studies: DataFrame, keys: list[str], accepted: DataFrame | None = None, vintage: date | None = None, model: str = "random") -> DataFrame:
     """Each study with its reference value under four kinds: ``reference_kind, r, r_half, vintage``.
 
-    ``modern``: the key's accepted value, from ``accepted`` or else ``accepted_values``;
-    ``later``: the pool of all studies published on later days; ``leave-one-out``: the
-    pool of all others; ``resolved``: ``modern``, for keys whose I2 is under
-    ``resolved_below``. The vintage is the last day that a value takes in.
+    ``modern``: the value of ``accepted`` (``keys, value, half_width, valid_from,
+    pins_down``) that held on the day ``vintage``, by default the last; where no table is
+    given, ``accepted_values``. ``later``: the pool of all studies that came out after
+    it for sure. ``leave-one-out``: the pool of all others, by ``model``. ``resolved``:
+    the first accepted value up to the vintage that is declared to pin the quantity down
+    and is far narrower (``FAR_BELOW``) than every study before it; only for those
+    studies. The vintage is the last day that a value takes in.
     """
-    modern = studies.join(accepted_values(studies, keys) if accepted is None else accepted, keys)
-    w = 1 / F.col("v")
-    days = centred(studies, keys).groupBy(*keys, "pivot", "pub").agg(F.sum(w).alias("w"), F.sum(w * F.col("d")).alias("wd"))
-    after = Window.partitionBy(*keys).orderBy("pub").rowsBetween(1, Window.unboundedFollowing)
-    ahead = days.select(*keys, "pub", "pivot", F.sum("w").over(after).alias("w"), F.sum("wd").over(after).alias("wd"), F.max("pub").over(after).alias("vintage"))
-    later = studies.join(ahead.where("w is not null"), [*keys, "pub"]).withColumn("r", F.col("pivot") + F.col("wd") / F.col("w")).withColumn("r_half", F.sqrt(1 / F.col("w")))
-    last = studies.groupBy(*keys).agg(F.max("pub").alias("vintage"))
-    others = leave_one_out(studies, keys).join(last, keys).withColumnRenamed("reference", "r").withColumnRenamed("reference_se", "r_half").where("r is not null")
-    settled = pool_random(studies, keys).where(F.col("i2") < resolved_below).select(*keys)
+    studies = with_span(studies)
     columns = studies.columns
     kind = lambda d, name: d.select(*columns, F.lit(name).alias("reference_kind"), "r", "r_half", "vintage")
-    return kind(modern, "modern").unionByName(kind(later, "later")).unionByName(kind(others, "leave-one-out")).unionByName(kind(modern.join(settled, keys, "left_semi"), "resolved"))
+    day = vintage or NOW
+    if accepted is None:
+        modern = studies.join(accepted_values(studies, keys), keys)
+    else:
+        series = studies.select(*keys).distinct().withColumn("day", F.lit(day))
+        modern = studies.join(at_vintage(accepted, series, keys, "day").where("r is not null").drop("day"), keys)
+    w = 1 / F.col("v")
+    rows = centred(studies, keys)
+    sums = {"w": ("sum", w), "wd": ("sum", w * F.col("d")), "vintage": ("max", F.col("pub_end"))}
+    asked = rows.select(*columns, "pivot", F.col("pub_end").alias("day"))
+    ahead = asof(rows.withColumn("day", F.col("pub")), asked, keys, "day", sums, "after").where("w is not null")
+    later = ahead.withColumn("r", F.col("pivot") + F.col("wd") / F.col("w")).withColumn("r_half", F.sqrt(1 / F.col("w")))
+    last = studies.groupBy(*keys).agg(F.max("pub_end").alias("vintage"))
+    others = leave_one_out(studies, keys, model).join(last, keys).withColumnRenamed("reference", "r").withColumnRenamed("reference_se", "r_half").where("r is not null")
+    found = kind(modern, "modern").unionByName(kind(later, "later")).unionByName(kind(others, "leave-one-out"))
+    return found if accepted is None else found.unionByName(kind(resolved(studies, keys, accepted, day), "resolved"))
+
+
+def resolved(studies: DataFrame, keys: list[str], accepted: DataFrame, day: date) -> DataFrame:
+    """The studies that came out before a value that pinned their quantity down, with it: ``r, r_half, vintage``."""
+    declared = accepted.where(F.col("pins_down") & (F.col("valid_from") <= F.lit(day))).select(*keys, F.col("valid_from").alias("day"), "value", "half_width")
+    before = asof(studies.withColumn("day", F.col("pub_end")), declared, keys, "day", {"narrowest": ("min", F.col("s"))}, "before")
+    far = before.where(F.col("half_width") <= F.lit(FAR_BELOW) * F.col("narrowest"))
+    first = far.groupBy(*keys).agg(F.min(F.struct("day", "half_width", "value")).alias("p"))
+    rows = studies.join(first, keys).where(F.col("pub_end") < F.col("p.day"))
+    return rows.select(*studies.columns, F.col("p.value").alias("r"), F.col("p.half_width").alias("r_half"), F.col("p.day").alias("vintage"))
 
 
 def deviations(referred: DataFrame, plus: str = "s", minus: str = "s", admitted: float = ADMITTED) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from metaseries.functions.quantiles import normal_quantile
 from metaseries.sources.tables import materialise
 
+from .ordered import ranked
 from .pooling import centre, centred, pool_fixed, pool_random, weighted_sums
 
 
@@ -37,44 +37,43 @@ def egger_regression(studies: DataFrame, keys: list[str]) -> DataFrame:
     return fitted.select(*keys, "k", intercept.alias("intercept"), (F.col("pivot") + F.col("slope")).alias("slope"), F.try_divide(intercept, error).alias("t"))
 
 
-def trim_and_fill(studies: DataFrame, keys: list[str], rounds: int | None = None, side: str = "right") -> DataFrame:
+def trim_and_fill(studies: DataFrame, keys: list[str], side: str = "right") -> DataFrame:
     """Duval and Tweedie's L0: ``k, filled, estimate, adjusted``; studies in excess on the right are trimmed, or on the ``left``.
 
     Each round centres on the studies without the ``filled`` largest values, ranks the
     distances from there, and takes the number of unmatched studies on the right from
     the ranks. The filled mirror images then enter the pool. Rounds go on until no key's
-    ``filled`` changes, or stop after ``rounds``; a key whose rounds come back to an
-    earlier number keeps going round, which is an error.
+    ``filled`` changes; a key whose rounds come back to an earlier number keeps going
+    round, which is an error. Ranks are carried over ranges, so no task holds a key.
     """
     if side == "left":
-        mirrored = trim_and_fill(studies.withColumn("y", -F.col("y")), keys, rounds)
+        mirrored = trim_and_fill(studies.withColumn("y", -F.col("y")), keys)
         return mirrored.select(*keys, "k", (-F.col("estimate")).alias("estimate"), (-F.col("adjusted")).alias("adjusted"), "filled")
-    by_value = Window.partitionBy(*keys).orderBy("y", "grp")
-    k = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    ranked = materialise(studies.select(*keys, "grp", "y", "v", F.row_number().over(by_value).alias("place"), k.alias("k")))
-    state, done, seen = None, 0, set()
-    while rounds is None or done < rounds:
-        kept = ranked if state is None else ranked.join(state.select(*keys, "filled"), keys).where(F.col("place") <= F.col("k") - F.col("filled"))
+    series = studies.select(*keys, "grp", "y", "v")
+    sizes = series.groupBy(*keys).agg(F.count(F.lit(1)).alias("k"))
+    placed = materialise(ranked(series.join(sizes, keys), keys, [F.col("y").asc(), F.col("grp").asc()], "place"))
+    state, seen = None, set()
+    while True:
+        kept = placed if state is None else placed.join(state.select(*keys, "filled"), keys).where(F.col("place") <= F.col("k") - F.col("filled"))
         centre = pool_fixed(kept.select(*keys, "y", "v"), keys).select(*keys, F.col("estimate").alias("c"))
-        off = Window.partitionBy(*keys).orderBy(F.abs(F.col("y") - F.col("c")), "grp")
-        ranks = ranked.join(centre, keys).withColumn("r", F.row_number().over(off))
+        ranks = ranked(placed.join(centre, keys).withColumn("off", F.abs(F.col("y") - F.col("c"))), keys, [F.col("off").asc(), F.col("grp").asc()], "r")
         n = F.col("k")
         l0 = (4 * F.col("right") - n * (n + 1)) / (2 * n - 1)
         summed = ranks.groupBy(*keys, "k", "c").agg(F.sum(F.when(F.col("y") > F.col("c"), F.col("r")).otherwise(0)).alias("right"))
         before, state = state, materialise(summed.select(*keys, "k", "c", F.greatest(F.lit(0), F.least(n - 2, F.floor(l0 + 0.5))).cast("long").alias("filled")))
-        done += 1
-        if rounds is None and before is not None:
-            was = before.select(*keys, F.col("filled").alias("was"))
-            if state.join(was, keys).where("filled <> was").isEmpty():
-                break
-            # one hash of all keys' numbers: met again only if the rounds go in a circle
-            mark = state.agg(F.sum(F.xxhash64(*keys, "filled").cast("decimal(38,0)"))).first()[0]
-            if mark in seen:
-                raise ValueError("trim and fill does not settle")
-            seen.add(mark)
-    mirrored = ranked.drop("k").join(state, keys).where(F.col("place") > F.col("k") - F.col("filled")).select(*keys, (2 * F.col("c") - F.col("y")).alias("y"), "v")
-    adjusted = pool_fixed(ranked.select(*keys, "y", "v").unionByName(mirrored), keys).select(*keys, F.col("estimate").alias("adjusted"))
-    plain = pool_fixed(ranked, keys).select(*keys, "k", "estimate")
+        if before is None:
+            continue
+        was = before.select(*keys, F.col("filled").alias("was"))
+        if state.join(was, keys).where("filled <> was").isEmpty():
+            break
+        # one hash of all keys' numbers: met again only if the rounds go in a circle
+        mark = state.agg(F.sum(F.xxhash64(*keys, "filled").cast("decimal(38,0)"))).first()[0]
+        if mark in seen:
+            raise ValueError("trim and fill does not settle")
+        seen.add(mark)
+    mirrored = placed.drop("k").join(state, keys).where(F.col("place") > F.col("k") - F.col("filled")).select(*keys, (2 * F.col("c") - F.col("y")).alias("y"), "v")
+    adjusted = pool_fixed(placed.select(*keys, "y", "v").unionByName(mirrored), keys).select(*keys, F.col("estimate").alias("adjusted"))
+    plain = pool_fixed(placed, keys).select(*keys, "k", "estimate")
     return plain.join(adjusted, keys).join(state.select(*keys, "filled"), keys)
 
 

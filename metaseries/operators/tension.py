@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from metaseries.functions.quantiles import normal_quantile
+from metaseries.sources.tables import materialise
 
-from .pooling import pool_random
+from .ordered import asof, blocks_between, blocks_of, ranked
+from .pooling import centred, pool_random, unordered, with_span
 
 
 def curve(deviations: DataFrame, by: list[str], grid: list[float]) -> DataFrame:
@@ -29,24 +30,45 @@ def apart(y1: Column, s1: Column, y2: Column, s2: Column) -> Column:
 def pair_tensions(studies: DataFrame, keys: list[str], k: float) -> DataFrame:
     """Unordered pairs of a series' scorable studies: ``pairs, tensions, measurements, quantities``.
 
-    A study is scorable with a value and a width over zero. Each pair is tested once, in
-    the join on the key; what leaves the join is only the pairs in tension. Meant for
-    curated series, of some hundred studies each. ``quantities`` counts the distinct keys
-    with a tension in the whole table, for the statement that pairs are not independent.
+    A study is scorable with a value and a width over zero. Studies are put in bands by
+    width. Between two bands, values further apart than the widest of both ask for are in
+    tension for sure and are just counted, by running counts over the values; those
+    closer than the narrowest ask for are not. Only pairs between these bounds are
+    compared, and with bands that narrow as one over the root of the series, rows grow as
+    its power of 1.5. ``quantities`` counts the distinct keys with a tension in the whole
+    table, for the statement that pairs are not independent.
     """
-    number = studies.where("y is not null and s > 0").select(*keys, "grp", "technique", "y", "s")
-    a = number.select(*keys, *[F.col(c).alias(f"{c}1") for c in ("grp", "technique", "y", "s")])
-    b = number.select(*keys, *[F.col(c).alias(f"{c}2") for c in ("grp", "technique", "y", "s")])
-    first = (F.col("grp1") < F.col("grp2")) | ((F.col("grp1") == F.col("grp2")) & (F.col("technique1") < F.col("technique2")))
-    held = a.join(b, keys).where(first & (apart(F.col("y1"), F.col("s1"), F.col("y2"), F.col("s2")) >= k))
-    ends = held.select(*keys, F.explode(F.array(*[F.struct(F.col(f"grp{i}").alias("grp"), F.col(f"technique{i}").alias("technique")) for i in (1, 2)])).alias("m"))
-    # each tension gives two rows
-    found = ends.groupBy(*keys, "m").agg(F.count(F.lit(1)).alias("n")).groupBy(*keys).agg(F.floor(F.sum("n") / 2).alias("tensions"), F.count(F.lit(1)).alias("measurements"))
-    n = F.col("n")
-    total = number.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).select(*keys, F.floor(n * (n - 1) / 2).cast("long").alias("pairs"))
-    none = F.lit(0).cast("long")
-    rows = total.join(found, keys, "left").select(*keys, "pairs", F.coalesce("tensions", none).alias("tensions"), F.coalesce("measurements", none).alias("measurements"))
-    return rows.join(F.broadcast(rows.agg(F.count(F.when(F.col("tensions") > 0, 1)).alias("quantities"))))
+    number = centred(studies.where("y is not null and s > 0"), keys).withColumn("_id", F.monotonically_increasing_id())
+    sizes = number.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("step", F.least(F.lit(0.25), 2 / F.sqrt("n")))
+    rows = materialise(number.join(sizes, keys).select(*keys, "_id", "y", "s", "d", "step", F.floor(F.log("s") / F.col("step")).alias("band")))
+    bands = materialise(rows.groupBy(*keys, F.col("band").alias("other")).agg(F.min("d").alias("lowest")))
+
+    def far(upper: int) -> Column:
+        """The distance that the bounds of both bands ask for, a little less or more for rounding."""
+        edge = lambda band: F.exp((F.col(band) + upper) * F.col("step"))
+        return F.lit(k * (1 + (2 * upper - 1) * 1e-9)) * F.sqrt(edge("band") * edge("band") + edge("other") * edge("other"))
+
+    met = rows.join(bands, keys).withColumn("near", far(0)).withColumn("sure", far(1))
+    # pairs in tension for sure are counted from their lower value up
+    asked = met.select(*keys, "_id", "other", (F.col("d") + F.col("sure")).alias("at"))
+    counted = asof(rows.select(*keys, F.col("band").alias("other"), F.col("d").alias("at")), asked, [*keys, "other"], "at", {"n": ("sum", F.lit(1).cast("long"))}, "from").where("n is not null")
+    above = materialise(counted.groupBy(*keys, "_id").agg(F.sum("n").alias("n")))
+    below = met.where(F.col("lowest") + F.col("sure") <= F.col("d")).select(*keys, "_id")
+
+    # the others lie in cells as wide as the bounds are apart
+    cell = lambda at: F.floor(at / (F.col("sure") - F.col("near"))).cast("long")
+    low = met.select(*keys, "_id", "y", "s", "d", "near", "sure", "band", "other", F.explode(F.sequence(cell(F.col("d") + F.col("near")), cell(F.col("d") + F.col("sure")))).alias("cell"))
+    high = met.select(*keys, F.col("_id").alias("_id2"), F.col("y").alias("y2"), F.col("s").alias("s2"), F.col("d").alias("d2"), F.col("band").alias("other"), F.col("other").alias("band"), cell(F.col("d")).alias("cell"))
+    between = low.join(high, [*keys, "band", "other", "cell"]).where((F.col("d2") >= F.col("d") + F.col("near")) & (F.col("d2") < F.col("d") + F.col("sure")))
+    hits = materialise(between.where(apart(F.col("y"), F.col("s"), F.col("y2"), F.col("s2")) >= k).select(*keys, "_id", "_id2"))
+
+    ends = above.select(*keys, "_id").unionByName(below).unionByName(hits.select(*keys, F.explode(F.array("_id", "_id2")).alias("_id"))).distinct()
+    measurements = ends.groupBy(*keys).agg(F.count(F.lit(1)).alias("measurements"))
+    tensions = above.select(*keys, "n").unionByName(hits.select(*keys, F.lit(1).cast("long").alias("n"))).groupBy(*keys).agg(F.sum("n").alias("tensions"))
+    n, none = F.col("n"), F.lit(0).cast("long")
+    total = sizes.select(*keys, F.floor(n * (n - 1) / 2).cast("long").alias("pairs")).join(tensions, keys, "left").join(measurements, keys, "left")
+    found = total.select(*keys, "pairs", F.coalesce("tensions", none).alias("tensions"), F.coalesce("measurements", none).alias("measurements"))
+    return found.join(F.broadcast(found.agg(F.count(F.when(F.col("tensions") > 0, 1)).alias("quantities"))))
 
 
 def split_tensions(studies: DataFrame, keys: list[str], split: str, least: int = 3) -> DataFrame:
@@ -57,37 +79,80 @@ def split_tensions(studies: DataFrame, keys: list[str], split: str, least: int =
     return a.join(b, keys).where("first < second").select(*keys, "first", "second", apart(F.col("y1"), F.col("s1"), F.col("y2"), F.col("s2")).alias("apart"), F.lit(least).alias("least"))
 
 
-def outcomes(tensions: DataFrame, scored: DataFrame, keys: list[str], corrections: DataFrame | None = None) -> DataFrame:
+def outcomes(tensions: DataFrame, scored: DataFrame, keys: list[str], corrections: DataFrame | None = None, one_value: bool = False) -> DataFrame:
     """Each of ``tensions`` with ``outcome`` and ``counts_as``.
 
-    ``scored`` are the deviations of all studies from the same reference, one value a
-    key; ``tensions`` are rows of it. A later study, published on a later day, speaks only
-    if it is admitted. It confirms if it lies on the tension's side of the reference and
-    outside the reference's interval, and refutes if it lies within that interval; the
-    first day on which one does so decides, and if both happen on that day, the tension
-    is refuted. ``corrections (keys, grp, technique, side)`` are published identified
-    errors, with ``side`` confirmed or refuted: such a tension is ``explained`` and
-    ``counts_as`` its side. Else it is ``unresolved``: no admitted later study, or none
-    that lies on that side or in the interval.
-
-    Days are summed up first, so a series' window runs over its days, not its studies.
+    ``scored`` are the deviations of all studies under the same kind of reference;
+    ``tensions`` are rows of it, each judged by the value it was against, its own ``r``
+    and ``r_half``. A later study speaks only if it is admitted and came out after the
+    tension for sure: its ``pub`` lies behind the tension's ``pub_end`` (``pub`` where
+    there is none). It confirms if it lies on the tension's side of the reference and
+    outside the reference's interval, and refutes if it lies within that interval. The
+    first to do so decides: the tension is confirmed if a confirming study came out
+    before every refuting one for sure, else refuted. ``corrections (keys, grp,
+    technique, side)`` are published identified errors, with ``side`` confirmed or
+    refuted: such a tension is ``explained`` and ``counts_as`` its side. Else it is
+    ``unresolved``: no admitted later study, or none on that side or in the interval.
+
+    Where studies have ``pub_end``, ``unordered`` counts the admitted studies that may
+    have come out on either side of the tension, and so do not speak. ``one_value`` says
+    that all studies of a key have one reference value, which saves a search.
     """
-    y, low, high = F.col("y"), F.col("r") - F.col("r_half"), F.col("r") + F.col("r_half")
-    says = {"above": y > high, "below": y < low, "within": (y >= low) & (y <= high)}
-    days = scored.groupBy(*keys, "pub").agg(*[F.max(F.when(F.col("admitted") & c, F.col("pub"))).alias(k) for k, c in says.items()])
-    after = Window.partitionBy(*keys).orderBy("pub").rowsBetween(1, Window.unboundedFollowing)
-    ahead = days.select(*keys, "pub", *[F.min(k).over(after).alias(f"next_{k}") for k in says])
-    rows = tensions.join(ahead, [*keys, "pub"])
-    with_it = F.when(F.col("z") > 0, F.col("next_above")).otherwise(F.col("next_below"))
-    decided = F.when(F.col("next_within").isNotNull() & (with_it.isNull() | (F.col("next_within") <= with_it)), "refuted").when(with_it.isNotNull(), "confirmed")
-    rows = rows.withColumn("counts_as", decided)
+    dated = "pub_end" in scored.columns
+    tensions, scored = with_span(tensions), with_span(scored)
+    speakers = scored.where("admitted")
+    if one_value:
+        y, low, high = F.col("y"), F.col("r") - F.col("r_half"), F.col("r") + F.col("r_half")
+        says = speakers.select(*keys, F.col("pub").alias("day"), "pub", "pub_end", (y > high).alias("above"), (y < low).alias("below"))
+        first = lambda when, c: ("min", F.when(when, F.col(c)))
+        within = ~F.col("above") & ~F.col("below")
+        measures = {"next_above": first(F.col("above"), "pub_end"), "next_below": first(F.col("below"), "pub_end"), "next_within": first(within, "pub")}
+        rows = asof(says, tensions.withColumn("day", F.col("pub_end")), keys, "day", measures, "after").drop("day")
+        rows = rows.withColumn("next_with", F.when(F.col("z") > 0, F.col("next_above")).otherwise(F.col("next_below"))).drop("next_above", "next_below")
+    else:
+        rows = _first_to_speak(tensions, speakers, keys)
+    within, with_it = F.col("next_within"), F.col("next_with")
+    decided = F.when(with_it.isNotNull() & (within.isNull() | (with_it < within)), "confirmed").when(within.isNotNull(), "refuted")
+    rows = rows.withColumn("counts_as", decided).drop("next_within", "next_with")
+    if dated:
+        rows = rows.join(unordered(speakers, keys).distinct(), [*keys, "grp", "pub", "pub_end"], "left")
+    else:
+        rows = rows.drop("pub_end")
     if corrections is not None:
         rows = rows.join(corrections.select(*keys, "grp", "technique", "side"), [*keys, "grp", "technique"], "left")
     else:
         rows = rows.withColumn("side", F.lit(None).cast("string"))
     explained = F.col("side").isNotNull()
     outcome = F.when(explained, "explained").otherwise(F.coalesce("counts_as", F.lit("unresolved")))
-    return rows.withColumn("outcome", outcome).withColumn("counts_as", F.when(explained, F.col("side")).otherwise(F.col("counts_as"))).drop("side", *[f"next_{k}" for k in says])
+    return rows.withColumn("outcome", outcome).withColumn("counts_as", F.when(explained, F.col("side")).otherwise(F.col("counts_as"))).drop("side")
+
+
+def _first_to_speak(tensions: DataFrame, speakers: DataFrame, keys: list[str]) -> DataFrame:
+    """``tensions`` with ``next_with``, when one on its side was out for sure, and ``next_within``, when the first in its interval may have been.
+
+    Speakers are ranked by value; a tension's side and interval are ranges of ranks, and
+    each range is made up of a few dyadic blocks, each of which is asked for its first
+    day after the tension's. So no tension meets all speakers of its key.
+    """
+    placed = materialise(ranked(speakers.select(*keys, "y", "pub", "pub_end"), keys, [F.col("y").asc(), F.col("pub").asc(), F.col("pub_end").asc()], "place"))
+    most = placed.agg(F.max("place")).first()[0] or 0
+    levels = most.bit_length() + 1
+    own = materialise(tensions.withColumn("_id", F.monotonically_increasing_id()))
+    one = {"n": ("sum", F.lit(1).cast("long"))}
+    none = F.lit(0).cast("long")
+    ends = own.select("_id", *keys, "pub_end", (F.col("z") > 0).alias("up"), (F.col("r") - F.col("r_half")).alias("low"), (F.col("r") + F.col("r_half")).alias("high"))
+    ends = asof(placed.withColumn("low", F.col("y")), ends, keys, "low", one, "before").withColumnRenamed("n", "under")
+    ends = asof(placed.withColumn("high", F.col("y")), ends, keys, "high", one, "upto").withColumnRenamed("n", "upto")
+    ends = ends.join(placed.groupBy(*keys).agg(F.max("place").alias("all")), keys, "left")
+    under, upto, every = (F.coalesce(c, none) for c in ("under", "upto", "all"))
+    start, end = F.when(F.col("up"), upto).otherwise(none), F.when(F.col("up"), every).otherwise(under)
+    ranges = F.array(F.struct(F.lit("with").alias("what"), start.alias("start"), end.alias("end")), F.struct(F.lit("within").alias("what"), under.alias("start"), upto.alias("end")))
+    asked = ends.select("_id", *keys, F.col("pub_end").alias("day"), F.explode(ranges).alias("of"))
+    asked = asked.select("_id", *keys, "day", "of.what", F.explode(blocks_between(F.col("of.start"), F.col("of.end"), levels)).alias("at")).select("_id", *keys, "day", "what", "at.level", "at.block")
+    filed = placed.select(*keys, F.col("pub").alias("day"), "pub_end", F.explode(blocks_of(F.col("place") - 1, levels)).alias("at")).select(*keys, "day", "pub_end", "at.level", "at.block")
+    found = asof(filed, asked, [*keys, "level", "block"], "day", {"next_pub": ("min", F.col("day")), "next_end": ("min", F.col("pub_end"))}, "after")
+    first = found.groupBy("_id").agg(F.min(F.when(F.col("what") == "with", F.col("next_end"))).alias("next_with"), F.min(F.when(F.col("what") == "within", F.col("next_pub"))).alias("next_within"))
+    return own.join(first, "_id", "left").drop("_id")
 
 
 def wilson(hits: Column, n: Column, level: float = 0.95) -> tuple[Column, Column]:
