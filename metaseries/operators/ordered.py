@@ -29,8 +29,10 @@ def running(rows: DataFrame, keys: list[str], order: list[Column], measures: dic
 
     A measure is a name with its kind (sum, min or max) and a column. Rows of equal
     order are taken in any order, so make it total where that shows. Null keys are a key.
+    A measure with the name of a column of ``rows`` takes its place.
     """
     given, part = rows.columns, "_part"
+    kept = [c for c in given if c not in measures]
     columns = {f"_m{i}": c for i, (_, c) in enumerate(measures.values())}
     kinds = [kind for kind, _ in measures.values()]
     placed = rows.select(*given, *[c.alias(n) for n, c in columns.items()]).repartitionByRange(*[F.col(k) for k in keys], *order)
@@ -43,7 +45,7 @@ def running(rows: DataFrame, keys: list[str], order: list[Column], measures: dic
         same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
     own = Window.partitionBy(*keys, part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     held = placed.select("*", *[KINDS[kind](n).over(own).alias(f"_o{n}") for kind, n in zip(kinds, columns, strict=True)])
-    return held.join(carried, same).select(*given, *[_both(kind, F.col(f"_c{n}"), F.col(f"_o{n}")).alias(name) for name, kind, n in zip(measures, kinds, columns, strict=True)])
+    return held.join(carried, same).select(*kept, *[_both(kind, F.col(f"_c{n}"), F.col(f"_o{n}")).alias(name) for name, kind, n in zip(measures, kinds, columns, strict=True)])
 
 
 def ranked(rows: DataFrame, keys: list[str], order: list[Column], name: str = "rank") -> DataFrame:
