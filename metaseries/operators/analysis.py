@@ -161,13 +161,14 @@ def superseded(rows: DataFrame) -> DataFrame:
 
     ``rows`` have ``path, reason, supersedes, lineage_by``; usable is what is ``kept``.
     A record that may not be used itself replaces nothing of its own accord, but what a
-    usable one replaces is replaced with all that it had replaced. Each round goes one
-    record on, over the links alone, and ends when none is new.
+    usable one replaces is replaced with all that it had replaced. A record that names
+    a replacement outside the corpus counts as replaced, on its own word. Each round
+    goes one record on, over the links alone, and ends when none is new.
     """
     links = rows.select("path", F.explode("supersedes").alias("was")).unionByName(rows.where("lineage_by is not null").select(F.col("lineage_by").alias("path"), F.col("path").alias("was")))
     links = materialise(links.distinct())
-    usable = rows.where("reason = 'kept'").select("path")
-    every = new = materialise(links.join(usable, "path", "left_semi").select(F.col("was").alias("path")).distinct())
+    unusable = rows.where("reason <> 'kept'").select("path")
+    every = new = materialise(links.join(unusable, "path", "left_anti").select(F.col("was").alias("path")).distinct())
     while not new.isEmpty():
         after = links.join(new, "path", "left_semi").select(F.col("was").alias("path")).distinct()
         new = materialise(after.join(every, "path", "left_anti"))
