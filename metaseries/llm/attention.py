@@ -19,7 +19,9 @@ WIDTH = 16
 #: Ids that are classes of their own, and ids of a cluster.
 SINGLES, CLUSTER = 48, 128
 #: Windows of a training batch, and windows scored at once.
-BATCH, SCORED = 256, 256
+BATCH, SCORED = 64, 256
+#: What a rate falls to, as a share of itself.
+LEAST_RATE = 0.02
 #: Ids are below this; the last one ends a text.
 IDS = 1 << 16
 END = IDS - 1
@@ -248,8 +250,11 @@ def _grouped_starts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
 
 
-def train(p: dict[str, np.ndarray], v: Vocabulary, batches: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float) -> tuple[dict[str, np.ndarray], float]:
-    """Adam over ``batches`` of (x, target, valid), for rows of ids only where they occur; weights and mean loss after it."""
+def train(p: dict[str, np.ndarray], v: Vocabulary, batches: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]], rate: float, steps: int = 0) -> tuple[dict[str, np.ndarray], float]:
+    """Adam over ``batches`` of (x, target, valid), for rows of ids only where they occur; weights and mean loss after it.
+
+    The rate falls evenly over ``steps`` batches to ``LEAST_RATE`` of itself and stays there.
+    """
     p = {k: w.copy() for k, w in p.items()}
     m = {k: np.zeros_like(w) for k, w in p.items()}
     s = {k: np.zeros_like(w) for k, w in p.items()}
@@ -257,7 +262,8 @@ def train(p: dict[str, np.ndarray], v: Vocabulary, batches: Iterable[tuple[np.nd
     for step, (x, target, valid) in enumerate(batches, 1):
         loss, grad = gradients(p, v, x, target, valid)
         losses.append(loss)
-        up, down = p["qkv"].dtype.type(rate / (1 - 0.9**step)), p["qkv"].dtype.type(1 / (1 - 0.99**step))
+        now = rate * max(LEAST_RATE, 1 - (step - 1) / steps) if steps else rate
+        up, down = p["qkv"].dtype.type(now / (1 - 0.9**step)), p["qkv"].dtype.type(1 / (1 - 0.99**step))
         for k in NAMES:
             if grad[k] is None:
                 continue

@@ -2,16 +2,15 @@
 
 A text is its lower-cased words, each led by a space, as subword ids of a public
 tokenizer, and one end. A causal self-attention model predicts every id, all pieces of
-a word, from the ids before it; overlapping windows score each id once. A word's
-probability is the mean of the model's, the product of its ids', and that of its count
-alone: words that were never met are the model's, names and long words that were met
-are known as wholes. ``attention_score`` leaves out the counts, ``base_score`` the model.
+a word, from the ids before it; overlapping windows score each id once. ``score`` is the model's log probability of the
+text; ``base_score`` is that of its words by their counts alone.
 
 Texts are read once: their ids are stashed, with the counts of words and ids of each
 task. The model is trained on all positions of all training texts, in rounds: a
 document's hash says in which round and which bucket of about ``BUCKET`` positions it is
-learnt. All buckets of a round are trained from the same weights, wherever they lie, and
-then averaged by their positions. As buckets hold their documents in the order of their
+learnt. All buckets of a round are trained from the same weights, wherever they lie, each
+with a rate that falls to almost nothing, and then averaged by their positions; a task
+hands out one sum of weights, however many buckets it learnt. As buckets hold their documents in the order of their
 hashes, the model does not depend on how the input is split.
 
 The most frequent words' counts - a fixed number of them at most - are broadcast, so
@@ -38,12 +37,14 @@ HEAD_WORDS = 1 << 18
 #: Positions of a bucket, about.
 BUCKET = 1 << 21
 #: The first round's positions, about, and its least share; the second round has a quarter of the rest.
-FIRST, FIRST_SHARE = 1 << 23, 1 / 16
-RATES = (6e-3, 3e-3, 1.5e-3)
+FIRST, FIRST_SHARE = 1 << 21, 1 / 16
+RATES = (3e-2, 2e-2, 1.5e-2)
 #: Batches that a bucket of the first round is trained for, at least, by going over it again.
-LEAST_BATCHES = 200
+LEAST_BATCHES = 1600
 #: Windows that are put in another order and trained on together.
-MIXED = 64 * attention.BATCH
+MIXED = 1 << 14
+#: Tasks of a round for each slot, at most.
+TASKS = 4
 #: Parts that a round's share of the documents is counted in.
 PARTS = 1 << 16
 DOCUMENT, WORD, PIECE = 0, 1, 2
@@ -192,7 +193,7 @@ def bucket_batches(texts: Iterator[np.ndarray], seed: int, least: int) -> Iterat
 
     A bucket of under ``least`` batches is gone over again until there are as many.
     """
-    rng, left, made, again = np.random.default_rng(seed), [], 0, []
+    rng, left, made, again, over = np.random.default_rng(seed), [], 0, [], False
 
     def mixed(rows: np.ndarray) -> Iterator[np.ndarray]:
         rows = rows[rng.permutation(len(rows))]
@@ -226,9 +227,11 @@ def bucket_batches(texts: Iterator[np.ndarray], seed: int, least: int) -> Iterat
         for out in mixed(rest):
             yield out
             made += 1
+            if over and made >= least:
+                return
         if made >= least or not made:
             return
-        rest = np.concatenate(again)
+        rest, over = np.concatenate(again), True
 
 
 def fit(texts: DataFrame, vocabulary: Vocabulary, positions: int) -> dict[str, np.ndarray]:
@@ -239,8 +242,9 @@ def fit(texts: DataFrame, vocabulary: Vocabulary, positions: int) -> dict[str, n
     for number, (low, high, buckets) in enumerate(rounds_of(positions)):
         begun = context.broadcast((weights, vocabulary))
         rate, least = RATES[number], LEAST_BATCHES if number == 0 else 0
+        steps = max(least, round(positions * (high - low) / PARTS / buckets / (attention.BATCH * attention.CONTEXT)), 1)
 
-        def run(batches: Iterator[pa.RecordBatch], begun=begun, rate=rate, least=least) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], begun=begun, rate=rate, least=least, steps=steps) -> Iterator[pa.RecordBatch]:
             start, words_of = begun.value
             rows = ((b, np.frombuffer(ids, dtype="<u2")) for batch in batches for b, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             total, n, ahead = None, 0, next(rows, None)
@@ -254,7 +258,7 @@ def fit(texts: DataFrame, vocabulary: Vocabulary, positions: int) -> dict[str, n
                         yield ahead[1]
                         ahead = next(rows, None)
 
-                after, _ = attention.train(start, words_of, map(attention.batch, bucket_batches(texts_of(), bucket, least)), rate)
+                after, _ = attention.train(start, words_of, map(attention.batch, bucket_batches(texts_of(), bucket, least)), rate, steps)
                 total, n = (0 if total is None else total) + attention.flat(after).astype(float) * own, n + own
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), n, dtype=np.int64))], names=["i", "w", "n"])
@@ -262,7 +266,7 @@ def fit(texts: DataFrame, vocabulary: Vocabulary, positions: int) -> dict[str, n
         # a bucket's documents stand together, in the order of their hashes
         bucket = F.pmod(F.shiftrightunsigned("mark", 16), F.lit(buckets)).cast("int")
         dealt = texts.where((part >= low) & (part < high)).select(bucket.alias("bucket"), "ids", "mark")
-        dealt = dealt.repartition(buckets, "bucket").sortWithinPartitions("bucket", "mark").select("bucket", "ids")
+        dealt = dealt.repartition(min(buckets, TASKS * context.defaultParallelism), "bucket").sortWithinPartitions("bucket", "mark").select("bucket", "ids")
         found = stash(dealt.mapInArrow(tidy(run), "i int, w double, n long"))
         mean = found.groupBy("i").agg((F.sum("w") / F.sum("n")).alias("w")).toPandas().sort_values("i")  # one row a weight
         if len(mean):
@@ -272,12 +276,11 @@ def fit(texts: DataFrame, vocabulary: Vocabulary, positions: int) -> dict[str, n
 
 
 def score(docs: DataFrame, train: str = "true", id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, head: int = HEAD_WORDS) -> DataFrame:
-    """One row per document: ``doc_id, n_tokens, n_known, train_tokens, base_score, score, attention_score``.
+    """One row per document: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``.
 
     ``train`` is a SQL condition on the rows that are learnt from. ``base_score`` is the
     log10 probability of the words under counts alone, (c + 1) / (N + V + 1);
-    ``attention_score`` that of all subword ids under the attention model; ``score`` that
-    of the words under both, each with half the weight. Null and empty texts are an end alone.
+    ``score`` that of all its subword ids under the attention model. Null and empty texts are an end alone.
     Without training texts all counts are 0 and ids are equally likely. Repeated rows
     are scored each; an empty table gives no rows; only id and text are read.
     """
@@ -304,38 +307,32 @@ def score(docs: DataFrame, train: str = "true", id_col: str = "doc_id", text_col
             at = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
             hit = hashes[at] == found
             logs = np.log((np.where(hit, count[at], 0) + 1.0) / size)
-            # rounded, so that a rare word's part is taken back exactly when its count is known
-            model_logs = np.add.reduceat(attention.position_logs(scorer, texts), starts).astype(np.float32).astype(float)
             # of each text, its words' place in ``starts``; the end is a word, so none is without
             first = np.searchsorted(starts, np.cumsum([0, *map(len, texts)]))
-            sums = [np.add.reduceat(x, first[:-1]) for x in (logs / LN10, np.logaddexp(logs, model_logs) / LN10, model_logs / LN10)]
+            ahead = np.cumsum([0, *map(len, texts[:-1])])
+            sums = [np.add.reduceat(logs, first[:-1]) / LN10, np.add.reduceat(attention.position_logs(scorer, texts), ahead) / LN10]
             ends = pa.array(np.concatenate([[0], np.cumsum(~hit)])[first], pa.int32())
-            rare = [pa.ListArray.from_arrays(ends, pa.array(x[~hit])) for x in (found, model_logs / LN10)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(np.add.reduceat(hit.astype(np.int64), first[:-1])), *map(pa.array, sums), *rare], names=names)
+            rare = pa.ListArray.from_arrays(ends, pa.array(found[~hit]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(first)), pa.array(np.add.reduceat(hit.astype(np.int64), first[:-1])), *map(pa.array, sums), rare], names=names)
 
-    names = ["doc_id", "n_tokens", "known", "logs", "both", "attention_score", "rare", "rare_logs"]
+    names = ["doc_id", "n_tokens", "known", "logs", "score", "rare"]
     kind = every.schema["doc_id"].dataType.simpleString()
-    scored = every.select("doc_id", "ids").mapInArrow(
-        tidy(run), f"doc_id {kind}, n_tokens long, known long, logs double, both double, attention_score double, rare array<long>, rare_logs array<double>"
-    )
+    scored = every.select("doc_id", "ids").mapInArrow(tidy(run), f"doc_id {kind}, n_tokens long, known long, logs double, score double, rare array<long>")
     scored = stash(scored.withColumn("row", F.monotonically_increasing_id()))
     # a rare word stands as never met, with a count of 0; those that were met are put right
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "rare_logs")).alias("r")).select("row", F.col("r.rare").alias("key"), F.pow(F.lit(10.0), "r.rare_logs").alias("p"))
+    rare = scored.select("row", F.explode("rare").alias("key"))
     met = rare.join(counts.where(F.col("c") < least), "key")
-    gain = F.log10(F.col("p") + (F.col("c") + 1) / F.lit(size)) - F.log10(F.col("p") + 1 / F.lit(size))
-    more = met.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("more_logs"), F.count(F.lit(1)).alias("more_known"), F.sum(gain).alias("more_both"))
-    none = F.lit(0.0)
+    more = met.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1.0)).alias("more_logs"), F.count(F.lit(1)).alias("more_known"))
     return (
-        scored.drop("rare", "rare_logs")
+        scored.drop("rare")
         .join(more, "row", "left")
         .select(
             "doc_id",
             "n_tokens",
             (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
             F.lit(total).cast("long").alias("train_tokens"),
-            (F.col("logs") + F.coalesce("more_logs", none)).alias("base_score"),
-            (F.col("both") + F.coalesce("more_both", none) + F.col("n_tokens") * float(np.log10(0.5))).alias("score"),
-            "attention_score",
+            (F.col("logs") + F.coalesce("more_logs", F.lit(0.0))).alias("base_score"),
+            "score",
         )
     )
 

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from metaseries.llm import attention, decontaminate, exact_dedup, jaccard_join, language_id, line_dedup, lm_score, packing, quality, token_files, tokens, url_rules
 from metaseries.llm.shared import windows
@@ -601,10 +602,30 @@ def test_scores_against_counts(spark, docs):
         r = rows[i]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(i), len(own), sum(c[w] > 0 for w in own), total)
         assert r.base_score == pytest.approx(base, abs=1e-6)
-        # each word has the mean of two probabilities
-        assert max(r.base_score, r.attention_score) - len(own) * math.log10(2) <= r.score + 1e-6
-    out = [r for r in rows.values() if r.held_out]
-    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+
+
+def test_model_beats_counts_on_both_folds(spark):
+    sums = lm_score.query(spark, "/root/testdata/sf0.1").groupBy("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).collect()
+    assert len(sums) == 2 and all(r.score > r.base for r in sums)
+
+
+def test_scores_step_by_step(spark, docs, monkeypatch):
+    """Scores of whole texts, position by position, from the weights that were trained."""
+    fit, held = lm_score.fit, {}
+
+    def keep(texts, vocabulary, positions):
+        held["v"], held["p"] = vocabulary, fit(texts, vocabulary, positions)
+        return held["p"]
+
+    monkeypatch.setattr(lm_score, "fit", keep)
+    monkeypatch.setattr(lm_score, "LEAST_BATCHES", 30)
+    few = docs.where("doc_id < 30")
+    texts = {d.doc_id: words(d.text) for d in few.collect()}
+    rows = lm_score.score(few, "doc_id % 3 <> 0").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        ids = lm_score.Lexicon(tokens.TokenCache.of(None)).texts([[w.encode() for w in texts[r.doc_id]]], [False])[0].tolist()
+        assert r.score == pytest.approx(plain_log10(held["p"], held["v"], ids, attention.CONTEXT, attention.STRIDE), rel=1e-5)
 
 
 def plain_log10(p, v, ids, context, stride):
