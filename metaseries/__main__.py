@@ -1,4 +1,4 @@
-"""Command line: validate, schema, build, reproduce, freeze, compare, refusals, meaning, analyse."""
+"""Command line: validate, schema, build, reproduce, freeze, compare, refusals, meaning, analyse, gate."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ import os
 import sys
 
 from metaseries.operators import analysis, artifact, meaning, pooling, validate
+from metaseries.operators import gate as checks
+from metaseries.plans import legs
 from metaseries.sources import records, schemas, vocabulary
 
 
@@ -37,29 +39,49 @@ def _meaning(spark, root: str, own) -> int:
 
 
 def _analyse(own, quantities, schema, provenance, options) -> int:
-    """Pooled estimates of each quantity and epoch, led by the stamp, what was left out and the confirmation breakdown."""
+    """Pooled estimates of each quantity and epoch, led by the confirmation breakdown and ended by the stamp with what was left out."""
     judged = analysis.judged(analysis.measurements(own), options).cache()
     kept = judged.where("reason = 'kept'").count()
     excluded = {r.reason: r.n for r in judged.where("reason <> 'kept'").groupBy("reason").count().withColumnRenamed("count", "n").collect()}  # few reasons
     stamp = artifact.Artifact(own, artifact.stamp_of(provenance, "analyse", analysis.options_stamp(judged, options), "all", kept, excluded), schema).stamp
-    sys.stdout.write(artifact.plain_stamp(stamp))
     for row in analysis.confirmation_breakdown(judged).orderBy("quantity").toLocalIterator():
         print(f"{row.quantity}: {row.confirmed} confirmed, {row.unconfirmed} unconfirmed, {row.disputed} disputed left out")
     series = analysis.studies(judged, quantities).cache()
     for line in pooling.pool_random(series, ["quantity", "epoch"]).orderBy("quantity", "epoch").toJSON().toLocalIterator():
         print(line)
+    sys.stdout.write(artifact.plain_stamp(stamp))
     return 0
 
 
+def _gate(spark, loaded, args) -> int:
+    """A line for each leg, with its problems below."""
+    inputs = legs.Inputs(args.profile, args.sites, tuple(args.surface), args.floor, args.imports, args.module)
+    every = legs.legs(spark, args.root, loaded, inputs, os.path.relpath(args.out, args.root) if os.path.isabs(args.out) else args.out)
+    outcomes = checks.run(checks.select(every, args.leg))
+    for o in outcomes:
+        print(f"{o.state:<8}{o.name}" + (f": {o.examined} examined" if o.state == "passed" else ""))
+        for problem in o.problems:
+            print("        " + problem)
+    print(checks.tally(outcomes))
+    return int(any(o.state == "failed" for o in outcomes))
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="metaseries", description=__doc__)
-    parser.add_argument("verb", choices=["validate", "schema", "build", "reproduce", "freeze", "compare", "refusals", "meaning", "analyse"])
+    parser.add_argument("verb", choices=["validate", "schema", "build", "reproduce", "freeze", "compare", "refusals", "meaning", "analyse", "gate"])
     parser.add_argument("--root", default=".", help="the folder that holds record/")
     parser.add_argument("--schemas", default=str(schemas.FOLDER))
     parser.add_argument("--out", default="build")
     parser.add_argument("--selection", default="all", help="build: a SQL condition on path, fields and cells")
     parser.add_argument("--confirmed-only", action="store_true", help="analyse: only records that a second reader confirmed")
     parser.add_argument("--assume-coverage", help="analyse: a coverage such as k=1 where a source states none")
+    parser.add_argument("--leg", action="append", default=[], help="gate: only the leg of this name; may be repeated")
+    parser.add_argument("--profile", help="gate: a coverage profile")
+    parser.add_argument("--sites", help="gate: a listing of refusal sites, JSON lines of file, line and site")
+    parser.add_argument("--surface", action="append", default=[], help="gate: a package whose coverage is judged; may be repeated")
+    parser.add_argument("--floor", type=float, default=85.0, help="gate: the least percentage of statements")
+    parser.add_argument("--imports", help="gate: a listing of packages and their imports, JSON lines")
+    parser.add_argument("--module", help="gate: the module whose packages must not reach the network")
     args = parser.parse_args(argv)
     loaded = schemas.load(args.schemas)
     if args.verb == "schema":
@@ -70,6 +92,8 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{site:<28}{text}")
         return 0
     spark = _session()
+    if args.verb == "gate":
+        return _gate(spark, loaded, args)
     files = records.read_tree(spark, args.root).cache()
     parsed = records.parse_records(files).cache()
     refusals, counts = validate.validate_tree(files, parsed, loaded)

@@ -173,8 +173,8 @@ def reproduce(folder: str, rebuild: Callable[[str, dict], Provenance]) -> list[s
 
 
 def plain_stamp(stamp: dict) -> str:
-    """The stamp as a block that a plain-text output begins with."""
-    return "\n".join(["-- stamp --", *stamp_lines(stamp), "-- end of stamp --"]) + "\n"
+    """The stamp as a block that a plain-text output ends with."""
+    return "\n".join(["-- stamp --", *stamp_lines(stamp)]) + "\n"
 
 
 def readings(parsed: DataFrame, refusals: DataFrame) -> DataFrame:

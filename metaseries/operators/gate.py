@@ -21,9 +21,11 @@ class Leg:
     """A check: ``run`` gives its problems, a row each with the text ``problem``, and how many things it looked at."""
 
     name: str
-    run: Callable[[], tuple[DataFrame, int]]
+    run: Callable[[], tuple[DataFrame, int]] | None = None
     #: Whether it fails where there is nothing to look at.
     needs_some: bool = True
+    #: What it lacks, where it can't be run.
+    owed: str = ""
 
 
 @dataclass(frozen=True)
@@ -44,11 +46,20 @@ def select(legs: Iterable[Leg], names: Iterable[str]) -> list[Leg]:
 
 
 def run(legs: Iterable[Leg], shown: int = 20) -> list[Outcome]:
-    """Each leg's outcome: passed, failed, or not run, as one before it failed. ``shown`` problems at most are kept."""
-    out, stopped = [], False
+    """Each leg's outcome: passed, failed, or not run, as one before it failed or as something is owed.
+
+    ``shown`` problems at most are kept. No legs at all, or one with neither or both of a
+    check and something owed, is an error before any runs.
+    """
+    out, stopped, legs = [], False, list(legs)
+    if not legs:
+        raise ValueError("there is no leg to run")
+    for leg in legs:
+        if (leg.run is None) == (not leg.owed):
+            raise ValueError(f"leg {leg.name} must have either a check or what it lacks")
     for leg in legs:
-        if stopped:
-            out.append(Outcome(leg.name, "not run"))
+        if stopped or leg.run is None:
+            out.append(Outcome(leg.name, "not run", problems=(leg.owed,) if leg.owed else ()))
             continue
         try:
             problems, examined = leg.run()
@@ -111,6 +122,35 @@ def below_floor(profile: DataFrame, surface: list[str], floor: float) -> tuple[D
     return low.unionByName(absent), total.first()["all"]
 
 
+def unlisted_refusers(sites: DataFrame, surface: list[str]) -> DataFrame:
+    """Packages that hold a refusal site ``(file, line, site)`` but are not on the ``surface`` whose coverage is judged."""
+    package = F.regexp_extract("file", "^(.*)/[^/]*$", 1)
+    return sites.where(~package.isin(surface)).select(F.concat(package, F.lit(" can refuse, but is not on the surface")).alias("problem")).distinct()
+
+
+def tracked_outputs(tracked: DataFrame, outputs: list[str]) -> tuple[DataFrame, int]:
+    """Tracked files ``(path)`` that a build writes; each is a problem, as a build is never part of its own revision."""
+    return tracked.select(F.concat("path", F.lit(" is what a build writes, but it is tracked")).alias("problem")), len(outputs)
+
+
+def network_imports(edges: DataFrame, module: str, permitted: str, network: list[str]) -> tuple[DataFrame, int]:
+    """Packages of ``module`` that reach one of ``network`` by imports of any length.
+
+    ``permitted`` with its own packages, and whatever these reach, may. Test listings
+    (``.test``) don't count. A graph without a package of the module is an error.
+    """
+    below = lambda c, root: (c == root) | c.startswith(root + "/")
+    pairs = reach(edges)
+    names = edges.select(F.col("src").alias("name")).unionByName(edges.select(F.col("dst").alias("name"))).where("name is not null").distinct()
+    own = names.where(below(F.col("name"), module) & ~F.col("name").endswith(".test"))
+    examined = own.count()
+    if not examined:
+        raise ValueError(f"no package of {module} is in the import graph")
+    allowed = names.where(below(F.col("name"), permitted)).unionByName(pairs.where(below(F.col("src"), permitted)).select(F.col("dst").alias("name"))).distinct()
+    hits = pairs.where(F.col("dst").isin(network)).join(own.join(allowed, "name", "left_anti"), F.col("src") == F.col("name"), "left_semi")
+    return hits.select(F.concat("src", F.lit(" reaches "), "dst").alias("problem")), examined
+
+
 def network_reach(edges: DataFrame, package: str, allowed: DataFrame) -> tuple[DataFrame, int]:
     """Packages ``(name)`` that ``package`` reaches by imports but that are not ``allowed``."""
     found = reach(edges).where(F.col("src") == package).select(F.col("dst").alias("name")).distinct()

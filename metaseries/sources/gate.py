@@ -1,15 +1,22 @@
-"""What the repository's own checks read: coverage profiles, tags, headings, imports, TOML files."""
+"""What the repository's own checks read: coverage profiles, refusal sites, tags, the index, headings, imports, TOML files."""
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import subprocess
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .records import listing
 
+#: Each release stream's heading in the changelog with the prefix of its tags, and where coming changes stand.
+STREAMS = {"# The tool": "v", "# The corpus": "corpus-v"}
+UNRELEASED = "## Unreleased"
+
 _line = r"^(.+):(\d+)\.\d+,(\d+)\.\d+ (\d+) (\d+)$"
 
 
@@ -42,14 +49,37 @@ def released_versions(tags: DataFrame, prefix: str) -> DataFrame:
     return tags.where(F.col("tag").startswith(prefix)).select(version.alias("version")).where(F.col("version").rlike(r"^[0-9]+\.[0-9]+\.[0-9]+$")).distinct()
 
 
-def changelog_versions(spark: SparkSession, path: str, heading: str) -> DataFrame:
-    """``version`` of each entry (``### 1.2.3``) in the section under ``## heading``, up to the next section."""
-    text = F.concat(F.lit("\n"), F.regexp_replace("value", "\r\n", "\n"), F.lit("\n## "))
-    after = F.element_at(F.split(text, rf"\n## +\Q{heading}\E *\n", 2), 2)
-    section = F.split(F.concat(F.lit("\n"), after), r"\n## ", 2)[0]
-    rows = spark.read.text(path, wholetext=True).where(F.size(F.split(text, rf"\n## +\Q{heading}\E *\n", 2)) == 2)
-    found = F.regexp_extract_all(section, F.lit(r"\n### +\[?v?([0-9]+\.[0-9]+\.[0-9]+)"), F.lit(1))
-    return rows.select(F.explode(found).alias("version")).distinct()
+def changelog_versions(spark: SparkSession, path: str, heading: str, streams: Iterable[str] = STREAMS) -> DataFrame:
+    """``version`` of each entry (``## 1.2.3``) of the release stream under the line ``heading``, up to the next stream's.
+
+    A changelog that can't be read, lacks the stream, or whose stream has no section for
+    what is not released yet is an error: there would be nowhere to write a change down.
+    """
+    with open(path, encoding="utf-8", newline=None) as f:
+        lines = f.read().split("\n")
+    if heading not in lines:
+        raise ValueError(f"{path} has no heading {heading!r}")
+    own = lines[lines.index(heading) + 1 :]
+    own = list(itertools.takewhile(lambda line: line not in streams or line == heading, own))
+    if not any(line.startswith(UNRELEASED) for line in own):
+        raise ValueError(f"{path} has no {UNRELEASED!r} under {heading!r}")
+    found = {m[1] for m in map(re.compile(r"## ([0-9]+\.[0-9]+\.[0-9]+)\b").match, own) if m}
+    return spark.createDataFrame([(v,) for v in sorted(found)], "version string")
+
+
+def tracked(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """``path`` of each file at or below ``paths`` that is in the repository's index; an index that can't be read is an error."""
+    run = subprocess.run(["git", "-C", root, "ls-files", "-z", "--", *paths], capture_output=True, text=True, check=False)
+    if run.returncode:
+        raise ValueError("the index can't be read: " + run.stderr.strip())
+    return spark.createDataFrame([(p,) for p in run.stdout.split("\0") if p], "path string")
+
+
+def refusal_sites(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line, site`` of a listing of the places that can refuse, one JSON object a line; a line without one of them is an error."""
+    rows = spark.read.schema("file string, line int, site string").json(path)
+    whole = F.col("file").isNotNull() & F.col("line").isNotNull() & F.col("site").isNotNull()
+    return rows.select(F.when(whole, F.col("file")).otherwise(F.raise_error(F.lit("a refusal site without file, line or name"))).alias("file"), "line", "site")
 
 
 def import_edges(spark: SparkSession, path: str) -> DataFrame:
@@ -58,10 +88,10 @@ def import_edges(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("ImportPath").alias("src"), F.explode("Imports").alias("dst")).distinct()
 
 
-def toml_inventory(spark: SparkSession, root: str, left_out: str = "record") -> DataFrame:
-    """``path, text`` of all TOML files of a tree, in any case of the ending, but those in the folder ``left_out``."""
-    found = [p for p in listing(root, ".") if p.lower().endswith(".toml")]
-    found = [p for p in (os.path.normpath(p).replace(os.sep, "/") for p in found) if not p.startswith((f"{left_out}/", ".git/"))]
+def toml_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """``path, text`` of all TOML files of a tree, in any case of the ending, records among them, but those in folders that begin with a dot."""
+    found = [os.path.normpath(p).replace(os.sep, "/") for p in listing(root, ".") if p.lower().endswith(".toml")]
+    found = [p for p in found if not any(part.startswith(".") for part in p.split("/")[:-1])]
     files = spark.createDataFrame([(p,) for p in found], "path string").repartition(max(1, min(len(found) // 1000 + 1, 4096)))
 
     def read(batches):
