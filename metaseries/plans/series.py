@@ -380,14 +380,21 @@ register(
 )
 
 
+#: A value this close to its group's mean, for the size of both, is at the mean; what a mean's sum leaves to rounding is far less.
+AT_MEAN = 1e-9
+
+
 def side_selection(s, d) -> DataFrame:
-    """Deviations where upper and lower half-widths differ: the spread above and below each group's mean."""
+    """Deviations where upper and lower half-widths differ: the spread above and below each group's mean.
+
+    Values at the mean are on neither side.
+    """
     rows = table(s, d, "events")
     means = rows.groupBy(F.col("event_type").alias("quantity"), F.col("user_id").alias("grp")).agg(F.avg("value").alias("y"))
     e = rows.join(means, (F.col("event_type") == F.col("quantity")) & (F.col("user_id") == F.col("grp")))
-    off = F.col("value") - F.col("y")
+    off, least = F.col("value") - F.col("y"), F.lit(AT_MEAN) * (F.abs("value") + F.abs("y"))
     wide = lambda side: F.sqrt(F.avg(F.when(side, off * off)))
-    sides = e.groupBy("quantity", "grp", "y").agg(wide(off > 0).alias("plus"), wide(off < 0).alias("minus"), F.count(F.lit(1)).alias("n")).where("n >= 5 and plus > 0 and minus > 0")
+    sides = e.groupBy("quantity", "grp", "y").agg(wide(off > least).alias("plus"), wide(off < -least).alias("minus"), F.count(F.lit(1)).alias("n")).where("n >= 5 and plus > 0 and minus > 0")
     centre = rows.groupBy(F.col("event_type").alias("quantity")).agg(F.avg("value").alias("r"))
     return rounded(sides.join(centre, "quantity").select("quantity", "grp", deviation.deviation(F.col("y"), F.col("r"), F.col("plus"), F.col("minus")).alias("z")), 5)
 
@@ -395,13 +402,13 @@ def side_selection(s, d) -> DataFrame:
 register(
     "side_selection",
     side_selection,
-    """WITH means AS (SELECT event_type, user_id, avg(value) AS y FROM events GROUP BY ALL),
+    f"""WITH means AS (SELECT event_type, user_id, avg(value) AS y FROM events GROUP BY ALL),
 sides AS (
-  SELECT e.event_type AS quantity, e.user_id AS grp, y, sqrt(avg(CASE WHEN value > y THEN (value - y) * (value - y) END)) AS plus,
-         sqrt(avg(CASE WHEN value < y THEN (value - y) * (value - y) END)) AS minus, count(*) AS n
+  SELECT e.event_type AS quantity, e.user_id AS grp, y, sqrt(avg(CASE WHEN value - y > {AT_MEAN!r} * (abs(value) + abs(y)) THEN (value - y) * (value - y) END)) AS plus,
+         sqrt(avg(CASE WHEN value - y < -{AT_MEAN!r} * (abs(value) + abs(y)) THEN (value - y) * (value - y) END)) AS minus, count(*) AS n
   FROM events e JOIN means m ON e.event_type = m.event_type AND e.user_id = m.user_id GROUP BY e.event_type, e.user_id, y
 ), centre AS (SELECT event_type AS quantity, avg(value) AS r FROM events GROUP BY event_type)
-SELECT s.quantity, grp, round((y - r) / CASE WHEN y < r THEN plus WHEN y > r THEN minus ELSE greatest(plus, minus) END, 5) AS z
+SELECT s.quantity, grp, round((y - r) / CASE WHEN y < r THEN plus WHEN y > r THEN minus ELSE greatest(plus, minus) END, 5) + 0.0 AS z
 FROM sides s JOIN centre c ON s.quantity = c.quantity WHERE n >= 5 AND plus > 0 AND minus > 0""",
 )
 

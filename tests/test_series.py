@@ -219,3 +219,28 @@ def test_probability_carries_its_conditions(spark, tmp_path):
     with pytest.raises(ValueError, match="CSV"):
         tension.write_csv(table, str(tmp_path / "p"))
     tension.write_csv(tension.outcome_counts(found, scored, ["quantity"]), str(tmp_path / "n"))
+
+
+def test_side_selection_does_not_hang_on_the_order_of_a_sum(spark, tmp_path):
+    """A value at its group's mean is on neither side, however the mean was rounded."""
+    import pandas as pd
+
+    exact, high = (0.2, 0.2, 0.1, 0.3, 0.2), (0.2, 0.2, 0.2, 0.3, 0.1)
+    assert sum_in_order(exact) / 5 == 0.2 < sum_in_order(high) / 5
+    groups = {1: exact, 2: high, 3: (0.01, 0.02, 0.03, 0.05, 0.06)}
+    rows = [("q", user, x) for user, own in groups.items() for x in own]
+    pd.DataFrame(rows, columns=["event_type", "user_id", "value"]).to_parquet(tmp_path / "events.parquet")
+    found = {r.grp: r.z for r in registry.queries()["side_selection"](spark, str(tmp_path)).collect()}
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    expected = {grp: z for _, grp, z in db.sql(registry.oracle_sql()["side_selection"]).fetchall()}
+    mean = sum(x for _, _, x in rows) / len(rows)
+    assert found[1] == found[2] == pytest.approx((0.2 - mean) / 0.1, abs=1e-5)
+    assert found == expected
+
+
+def sum_in_order(values):
+    total = 0.0
+    for x in values:
+        total += x
+    return total
