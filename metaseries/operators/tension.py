@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from metaseries.functions.quantiles import normal_quantile
 from metaseries.sources.tables import materialise
 
 from .ordered import asof, blocks_between, blocks_of, ranked
-from .pooling import centred, pool_random, unordered, with_span
+from .pooling import pool_random, unordered, with_span
 
 
 def curve(deviations: DataFrame, by: list[str], grid: list[float]) -> DataFrame:
@@ -27,50 +29,138 @@ def apart(y1: Column, s1: Column, y2: Column, s2: Column) -> Column:
     return F.try_divide(F.abs(y1 - y2), F.sqrt(s1 * s1 + s2 * s2))
 
 
+#: Studies of a series go into at most this many strips of width, each cut into as many blocks of values.
+STRIPS = 8
+#: Blocks hold this many studies at least, unless the series has fewer.
+LEAST_BLOCK = 2048
+#: Below this size two sets of studies are compared one by one.
+LEAF = 192
+#: What the bounds of blocks leave for rounding.
+SLACK = 1e-9
+
+
 def pair_tensions(studies: DataFrame, keys: list[str], k: float) -> DataFrame:
     """Unordered pairs of a series' scorable studies: ``pairs, tensions, measurements, quantities``.
 
-    A study is scorable with a value and a width over zero. Studies are put in bands by
-    width. Between two bands, values further apart than the widest of both ask for are in
-    tension for sure and are just counted, by running counts over the values; those
-    closer than the narrowest ask for are not. Only pairs between these bounds are
-    compared, and with bands that narrow as one over the root of the series, rows grow as
-    its power of 1.5. ``quantities`` counts the distinct keys with a tension in the whole
-    table, for the statement that pairs are not independent.
+    A study is scorable with a value and a width over zero. Studies are ranked by width
+    and, within strips of it, by value into blocks of equal size. Two blocks whose bounds
+    put all their pairs in tension, or none, are settled as a whole; the others meet in
+    one task each, which goes on in the same way with halves of both blocks and compares
+    the last few studies one by one. A series has at most 64 blocks, so each row is
+    sent to at most 65 tasks however long it is, and a task holds two blocks. ``quantities``
+    counts the distinct keys with a tension in the whole table, for the statement that
+    pairs are not independent.
     """
-    number = centred(studies.where("y is not null and s > 0"), keys).withColumn("_id", F.monotonically_increasing_id())
-    sizes = number.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).withColumn("step", F.least(F.lit(0.25), 2 / F.sqrt("n")))
-    rows = materialise(number.join(sizes, keys).select(*keys, "_id", "y", "s", "d", "step", F.floor(F.log("s") / F.col("step")).alias("band")))
-    bands = materialise(rows.groupBy(*keys, F.col("band").alias("other")).agg(F.min("d").alias("lowest")))
-
-    def far(upper: int) -> Column:
-        """The distance that the bounds of both bands ask for, a little less or more for rounding."""
-        edge = lambda band: F.exp((F.col(band) + upper) * F.col("step"))
-        return F.lit(k * (1 + (2 * upper - 1) * 1e-9)) * F.sqrt(edge("band") * edge("band") + edge("other") * edge("other"))
-
-    met = rows.join(bands, keys).withColumn("near", far(0)).withColumn("sure", far(1))
-    # pairs in tension for sure are counted from their lower value up
-    asked = met.select(*keys, "_id", "other", (F.col("d") + F.col("sure")).alias("at"))
-    counted = asof(rows.select(*keys, F.col("band").alias("other"), F.col("d").alias("at")), asked, [*keys, "other"], "at", {"n": ("sum", F.lit(1).cast("long"))}, "from").where("n is not null")
-    above = materialise(counted.groupBy(*keys, "_id").agg(F.sum("n").alias("n")))
-    below = met.where(F.col("lowest") + F.col("sure") <= F.col("d")).select(*keys, "_id")
-
-    # the others lie in cells as wide as the bounds are apart
-    cell = lambda at: F.floor(at / (F.col("sure") - F.col("near"))).cast("long")
-    low = met.select(*keys, "_id", "y", "s", "d", "near", "sure", "band", "other", F.explode(F.sequence(cell(F.col("d") + F.col("near")), cell(F.col("d") + F.col("sure")))).alias("cell"))
-    high = met.select(*keys, F.col("_id").alias("_id2"), F.col("y").alias("y2"), F.col("s").alias("s2"), F.col("d").alias("d2"), F.col("band").alias("other"), F.col("other").alias("band"), cell(F.col("d")).alias("cell"))
-    between = low.join(high, [*keys, "band", "other", "cell"]).where((F.col("d2") >= F.col("d") + F.col("near")) & (F.col("d2") < F.col("d") + F.col("sure")))
-    hits = materialise(between.where(apart(F.col("y"), F.col("s"), F.col("y2"), F.col("s2")) >= k).select(*keys, "_id", "_id2"))
-
-    ends = above.select(*keys, "_id").unionByName(below).unionByName(hits.select(*keys, F.explode(F.array("_id", "_id2")).alias("_id"))).distinct()
+    number = studies.where("y is not null and s > 0").select(*keys, F.col("y").cast("double"), F.col("s").cast("double")).withColumn("_id", F.monotonically_increasing_id())
+    number = materialise(number)
+    sizes = number.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    strips = F.least(F.lit(STRIPS), F.ceil(F.sqrt(F.col("n") / LEAST_BLOCK))).cast("long")
+    share = lambda rank, n: F.floor((F.col(rank) - 1) * strips / n).cast("long")
+    of = materialise(sizes.select(*keys, "n", strips.alias("strips")))
+    strips = F.col("strips")
+    striped = ranked(number, keys, [F.col("s").asc(), F.col("_id").asc()]).join(F.broadcast(of), keys).withColumn("strip", share("rank", F.col("n"))).drop("rank", "n")
+    striped = materialise(striped)
+    held = striped.groupBy(*keys, "strip").agg(F.count(F.lit(1)).alias("n"))
+    placed = ranked(striped, [*keys, "strip"], [F.col("y").asc(), F.col("_id").asc()]).join(F.broadcast(held), [*keys, "strip"])
+    placed = materialise(placed.select(*keys, "_id", "y", "s", (F.col("strip") * STRIPS + share("rank", F.col("n"))).alias("block")))
+
+    # a few rows a key
+    bounds = materialise(placed.groupBy(*keys, "block").agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{c}_{name}") for c in "ys" for f, name in ((F.min, "low"), (F.max, "high"))]))
+    a, b = (bounds.select(*keys, *[F.col(c).alias(f"{side}_{c}") for c in bounds.columns if c not in keys]) for side in "ab")
+    least = F.greatest(F.lit(0.0), F.col("b_y_low") - F.col("a_y_high"), F.col("a_y_low") - F.col("b_y_high"))
+    most = F.greatest(F.col("b_y_high") - F.col("a_y_low"), F.col("a_y_high") - F.col("b_y_low"))
+    width = lambda end: k * F.sqrt(F.col(f"a_s_{end}") * F.col(f"a_s_{end}") + F.col(f"b_s_{end}") * F.col(f"b_s_{end}"))
+    met = a.join(b, keys).where("a_block <= b_block and (a_block < b_block or a_n > 1)").withColumn("sure", least >= width("high") * (1 + SLACK)).withColumn("never", most < width("low") * (1 - SLACK))
+    met = materialise(met.where("not never").withColumn("pair", F.monotonically_increasing_id()))
+    sure = met.where("sure")
+    whole = materialise(sure.select(*keys, F.explode(F.array("a_block", "b_block")).alias("block")).distinct())
+    known = whole.withColumn("known", F.lit(True))
+    open_ = met.where("not sure").select(*keys, "pair", F.explode(F.array(F.struct(F.col("a_block").alias("block"), F.lit(0).alias("side")), F.struct(F.col("b_block").alias("block"), F.lit(1).alias("side")))).alias("at"))
+    open_ = open_.select(*keys, "pair", "at.block", "at.side").join(known, [*keys, "block"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
+    asked = placed.join(F.broadcast(open_), [*keys, "block"]).select("pair", "side", "known", "block", "_id", "y", "s")
+    hits = asked.groupBy("pair").applyInArrow(lambda group: _compared(group, k), "pair long, n long, ids array<long>")
+    # one row a pair of blocks; ids of blocks that are measured as a whole are left out
+    hits = materialise(hits).join(F.broadcast(met.select("pair", *keys)), "pair")
+
+    ends = placed.join(F.broadcast(whole), [*keys, "block"]).select(*keys, "_id").unionByName(hits.select(*keys, F.explode("ids").alias("_id"))).distinct()
     measurements = ends.groupBy(*keys).agg(F.count(F.lit(1)).alias("measurements"))
-    tensions = above.select(*keys, "n").unionByName(hits.select(*keys, F.lit(1).cast("long").alias("n"))).groupBy(*keys).agg(F.sum("n").alias("tensions"))
+    tensions = sure.select(*keys, (F.col("a_n") * F.col("b_n")).alias("n")).unionByName(hits.select(*keys, "n")).groupBy(*keys).agg(F.sum("n").alias("tensions"))
     n, none = F.col("n"), F.lit(0).cast("long")
-    total = sizes.select(*keys, F.floor(n * (n - 1) / 2).cast("long").alias("pairs")).join(tensions, keys, "left").join(measurements, keys, "left")
+    total = of.select(*keys, F.floor(n * (n - 1) / 2).cast("long").alias("pairs")).join(tensions, keys, "left").join(measurements, keys, "left")
     found = total.select(*keys, "pairs", F.coalesce("tensions", none).alias("tensions"), F.coalesce("measurements", none).alias("measurements"))
     return found.join(F.broadcast(found.agg(F.count(F.when(F.col("tensions") > 0, 1)).alias("quantities"))))
 
 
+def _halves(y: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """An order of studies in which each half of each half lies close together, by value or width, and the levels' first places."""
+    order, levels = np.arange(len(y)), [np.array([0, len(y)])]
+    while np.diff(levels[-1]).max() > LEAF:
+        cuts, own = levels[-1], []
+        for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+            part, middle = order[start:end], (start + end) // 2
+            by = y if np.ptp(y[part]) >= np.ptp(s[part]) else s
+            order[start:end] = part[np.argpartition(by[part], middle - start)]
+            own += [start, middle]
+        levels.append(np.array([*own, len(y)]))
+    return order, levels
+
+
+def _compared(group: pa.Table, k: float) -> pa.Table:
+    """Of the studies of two blocks (or of one with itself): how many pairs are in tension, and the ids of those that have one."""
+    side, y, s, ids = (group.column(c).to_numpy() for c in ("side", "y", "s", "_id"))
+    known = group.column("known").to_numpy(zero_copy_only=False)
+    itself = len(set(group.column("block").to_numpy().tolist())) == 1
+    halves = []
+    for of in (side == 0, side == 1):
+        own_y, own_s = y[of], s[of]
+        # as the same studies may stand on both sides, both are put in order of their ids
+        by_id = np.argsort(ids[of])
+        order, levels = _halves(own_y[by_id], own_s[by_id])
+        order = by_id[order]
+        own_y, own_s = own_y[order], own_s[order]
+        bounds = [[f.reduceat(c, cut[:-1]) for c in (own_y, own_s) for f in (np.minimum, np.maximum)] for cut in levels]
+        halves.append((own_y, own_s, ids[of][order], levels, bounds, bool(known[of].all())))
+    (ya, sa, ida, la, ba, known_a), (yb, sb, idb, lb, bb, known_b) = halves
+    hit = [np.zeros(len(ya) + 1, np.int64), np.zeros(len(yb) + 1, np.int64)]
+    pairs, total = (np.zeros(1, np.int64), np.zeros(1, np.int64)), 0
+    for level in range(max(len(la), len(lb))):
+        at_a, at_b = min(level, len(la) - 1), min(level, len(lb) - 1)
+        i, j = pairs
+        if level:
+            # a level that is not the last one has halves; a shorter side stays as it is
+            i = (2 * i[:, None] + [0, 1, 0, 1]) if at_a == level else np.repeat(i[:, None], 2, 1)
+            j = (2 * j[:, None] + ([0, 0, 1, 1] if at_a == level else [0, 1])) if at_b == level else np.repeat(j[:, None], i.shape[1], 1)
+            if at_b != level:
+                i, j = i[:, :2], j[:, :2]
+            i, j = i.ravel(), j.ravel()
+        (ay0, ay1, as0, as1), (by0, by1, bs0, bs1) = [[c[i] for c in ba[at_a]], [c[j] for c in bb[at_b]]]
+        nearest = np.maximum(0, np.maximum(by0 - ay1, ay0 - by1))
+        farthest = np.maximum(by1 - ay0, ay1 - by0)
+        sure = nearest >= k * np.sqrt(as1 * as1 + bs1 * bs1) * (1 + SLACK)
+        left = ~sure & (farthest >= k * np.sqrt(as0 * as0 + bs0 * bs0) * (1 - SLACK))
+        ca, cb = la[at_a], lb[at_b]
+        total += int((np.diff(ca)[i[sure]] * np.diff(cb)[j[sure]]).sum())
+        for found, cut, which in ((hit[0], ca, i[sure]), (hit[1], cb, j[sure])):
+            np.add.at(found, cut[which], 1)
+            np.add.at(found, cut[which + 1], -1)
+        pairs = i[left], j[left]
+    rows = [np.zeros(len(ya), bool), np.zeros(len(yb), bool)]
+    for i, j in zip(*pairs, strict=True):
+        own, other = slice(la[-1][i], la[-1][i + 1]), slice(lb[-1][j], lb[-1][j + 1])
+        sq = (sa[own] * sa[own])[:, None] + (sb[other] * sb[other])[None, :]
+        apart_ = np.abs(ya[own][:, None] - yb[other][None, :]) / np.sqrt(sq) >= k
+        total += int(np.count_nonzero(apart_))
+        if not known_a:
+            rows[0][own] |= apart_.any(1)
+        if not known_b:
+            rows[1][other] |= apart_.any(0)
+    # a block with itself has each pair twice, and no study is apart from itself
+    total = total // 2 if itself else total
+    named = [of[(np.cumsum(found)[:-1] > 0) | more] for of, found, more, known_ in ((ida, hit[0], rows[0], known_a), (idb, hit[1], rows[1], known_b)) if not known_]
+    named = np.unique(np.concatenate(named)) if named else np.zeros(0, np.int64)
+    return pa.table({"pair": group.column("pair").slice(0, 1).cast(pa.int64()), "n": pa.array([total], pa.int64()), "ids": pa.array([named], pa.list_(pa.int64()))})
+
+
 def split_tensions(studies: DataFrame, keys: list[str], split: str, least: int = 3) -> DataFrame:
     """Pooled estimates of a series' parts, two by two: ``first, second, apart, least``; parts of ``least`` studies or more."""
     pooled = pool_random(studies, [*keys, split]).where(F.col("k") >= least)

@@ -244,3 +244,23 @@ def sum_in_order(values):
     for x in values:
         total += x
     return total
+
+
+def shuffled_rows(spark):
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    return sum(s.shuffleWriteRecords() for s in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(stages))
+
+
+def test_pair_tensions_of_a_long_series_move_few_rows(spark):
+    """Counts by brute force, ties at the bound and equal studies among them; a study goes to no more tasks than there are blocks."""
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    y, s = draw.normal(0, 2, 6000).round(1), draw.choice([3.0, 4.0, 0.5, 1.25, 0.013], 6000) * np.where(draw.random(6000) < 0.5, 1, draw.random(6000) + 0.01)
+    table = spark.createDataFrame([("q", i, float(a), float(b)) for i, (a, b) in enumerate(zip(y, s, strict=True))] + [("one", 1, 0.0, 1.0)], "quantity string, grp long, y double, s double")
+    hit = np.abs(y[:, None] - y[None, :]) / np.sqrt(s[:, None] ** 2 + s[None, :] ** 2) >= 2.0
+    before = shuffled_rows(spark)
+    found = {r.quantity: (r.pairs, r.tensions, r.measurements, r.quantities) for r in tension.pair_tensions(table, ["quantity"], 2.0).collect()}
+    assert found == {"q": (6000 * 5999 // 2, int(hit.sum()) // 2, int(hit.any(1).sum()), 1), "one": (0, 0, 0, 1)}
+    assert shuffled_rows(spark) - before < 30 * 6000
