@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from metaseries.sources.schemas import Schema, describe_condition, printed
+from metaseries.sources.tables import materialise
 
 from .rules import date_precision, whole
 
@@ -214,7 +215,11 @@ def structure(records: DataFrame, schema: Schema) -> DataFrame:
 
 
 def validate_records(parsed: DataFrame, schemas: dict[int, Schema]) -> DataFrame:
-    """Refusals of parsed records; ``in_order`` sorts them for reading."""
+    """Refusals of parsed records; ``in_order`` sorts them for reading.
+
+    The records are written once, as several checks read them.
+    """
+    parsed = materialise(parsed.select("path", "parse_error", "cells"))
     versions = ", ".join(map(str, schemas))
     broken = parsed.where("parse_error is not null").select(F.lit("record-does-not-parse").alias("site"), F.col("path").alias("file"), F.lit("").alias("field"), F.col("parse_error").alias("found"), F.lit("TOML").alias("expected"))
     good = parsed.where("parse_error is null").withColumn("v", F.try_element_at("cells", F.lit("schema_version")))

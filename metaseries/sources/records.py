@@ -25,6 +25,8 @@ from .schemas import printed
 CELL = "struct<place string, parent string, key string, kind string, s string, d double, l bigint, n int, repr string>"
 PARSED = f"path string, parse_error string, fields string, cells map<string,{CELL}>"
 INT64 = 1 << 63
+#: Records that a task holds as cells at a time; a batch of Arrow's may have 10,000.
+AT_ONCE = 200
 
 
 def listing(root: str, below: str = "record") -> list[str]:
@@ -128,8 +130,8 @@ def parse_records(files: DataFrame) -> DataFrame:
     """``path, parse_error, fields, cells`` of ``files (path, text)``; ``fields`` is canonical JSON."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            errors, fields, cells = zip(*map(parsed_record, batch.column(1).to_pylist()), strict=True) if batch.num_rows else ([], [], [])
+        for batch in (whole.slice(at, AT_ONCE) for whole in batches for at in range(0, whole.num_rows, AT_ONCE)):
+            errors, fields, cells = zip(*map(parsed_record, batch.column(1).to_pylist()), strict=True)
             every = [c for own in cells for c in own.values()]
             ends = pa.array([0, *itertools.accumulate(map(len, cells))], pa.int32())
             columns = [pa.array([c[f.name] for c in every], f.type) for f in _cell]
