@@ -35,8 +35,9 @@ def running(rows: DataFrame, keys: list[str], order: list[Column], measures: dic
     kept = [c for c in given if c not in measures]
     columns = {f"_m{i}": c for i, (_, c) in enumerate(measures.values())}
     kinds = [kind for kind, _ in measures.values()]
-    placed = rows.select(*given, *[c.alias(n) for n, c in columns.items()]).repartitionByRange(*[F.col(k) for k in keys], *order)
-    placed = materialise(placed.withColumn(part, F.spark_partition_id()))
+    placed = materialise(rows.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn(part, F.spark_partition_id()))
+    # measures are made where rows are read again, so that they are neither shuffled nor written
+    placed = placed.select(*given, part, *[c.alias(n) for n, c in columns.items()])
     ranges = placed.groupBy(*keys, part).agg(*[KINDS[kind](n).alias(n) for kind, n in zip(kinds, columns, strict=True)])
     ahead = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     carried = ranges.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(part).alias("_p"), *[KINDS[kind](n).over(ahead).alias(f"_c{n}") for kind, n in zip(kinds, columns, strict=True)])

@@ -172,8 +172,10 @@ def cumulative(studies: DataFrame, keys: list[str], model: str = "random") -> Da
         node, off = _off_node()
         placed = upto.withColumn("tau2", _spread(*[F.col(c) for c in ("k", "sw", "swd", "swdd", "sww")])).join(least, keys).withColumn("node", node).withColumn("off", off)
         placed = materialise(placed.select(*own, "k", "pivot", "least", "v", "d", "tau2", F.col("node").alias("its"), "off"))
-        nodes = placed.select(*keys, F.col("its").alias("node")).distinct()
-        sums = running(placed.join(nodes, keys), [*keys, "node"], order, {name: ("sum", c) for name, c in _moments().items()}).where("node = its")
+        # a node takes the studies up to the last one that asks for it
+        turn = F.struct("pub_end", "pub", "grp")
+        nodes = placed.groupBy(*keys, F.col("its").alias("node")).agg(F.max(turn).alias("last"))
+        sums = running(placed.join(nodes, keys).where(turn <= F.col("last")).drop("last"), [*keys, "node"], order, {name: ("sum", c) for name, c in _moments().items()}).where("node = its")
         found = sums.select(*own, "k", "tau2", (F.col("pivot") + _at_off("b") / _at_off("a")).alias("estimate"), F.sqrt(1 / _at_off("a")).alias("se"))
     return found.join(unordered(studies, keys).distinct(), own).drop("pub_end")
 

@@ -264,3 +264,16 @@ def test_pair_tensions_of_a_long_series_move_few_rows(spark):
     found = {r.quantity: (r.pairs, r.tensions, r.measurements, r.quantities) for r in tension.pair_tensions(table, ["quantity"], 2.0).collect()}
     assert found == {"q": (6000 * 5999 // 2, int(hit.sum()) // 2, int(hit.any(1).sum()), 1), "one": (0, 0, 0, 1)}
     assert shuffled_rows(spark) - before < 30 * 6000
+
+
+def test_cumulative_nodes_end_with_their_last_question(spark):
+    """Each tau2's sums take the studies up to the last one that asks for them, not the whole series once a tau2."""
+    rows = [("q", i, date(2000, 1, 1 + i % 28), float(i % 7) * (1 + 50 * (i < 40)), 1.0 + i % 3) for i in range(4000)]
+    table = spark.createDataFrame(rows, "quantity string, grp long, pub date, y double, v double")
+    before = shuffled_rows(spark)
+    last = max(pooling.cumulative(table, ["quantity"]).collect(), key=lambda r: r.k)
+    moved = shuffled_rows(spark) - before
+    whole = pooling.pool_random(table, ["quantity"]).first()
+    assert (last.k, last.tau2, last.estimate, last.se) == (4000, pytest.approx(whole.tau2), pytest.approx(whole.estimate), pytest.approx(whole.se))
+    print("moved", moved)
+    assert moved < 20 * 4000
