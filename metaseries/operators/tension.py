@@ -240,6 +240,8 @@ def _first_to_speak(tensions: DataFrame, speakers: DataFrame, keys: list[str]) -
     asked = ends.select("_id", *keys, F.col("pub_end").alias("day"), F.explode(ranges).alias("of"))
     asked = asked.select("_id", *keys, "day", "of.what", F.explode(blocks_between(F.col("of.start"), F.col("of.end"), levels)).alias("at")).select("_id", *keys, "day", "what", "at.level", "at.block")
     filed = placed.select(*keys, F.col("pub").alias("day"), "pub_end", F.explode(blocks_of(F.col("place") - 1, levels)).alias("at")).select(*keys, "day", "pub_end", "at.level", "at.block")
+    # of a block's speakers of one day, the one out first is enough: large blocks have a row a day
+    filed = filed.groupBy(*keys, "level", "block", "day").agg(F.min("pub_end").alias("pub_end"))
     found = asof(filed, asked, [*keys, "level", "block"], "day", {"next_pub": ("min", F.col("day")), "next_end": ("min", F.col("pub_end"))}, "after")
     first = found.groupBy("_id").agg(F.min(F.when(F.col("what") == "with", F.col("next_end"))).alias("next_with"), F.min(F.when(F.col("what") == "within", F.col("next_pub"))).alias("next_within"))
     return own.join(first, "_id", "left").drop("_id")
