@@ -17,9 +17,13 @@ import numpy as np
 CONTEXT, STRIDE = 32, 24
 WIDTH = 16
 #: Ids that are classes of their own, and ids of a cluster.
-SINGLES, CLUSTER = 48, 128
-#: Windows of a training batch, and windows scored at once.
-BATCH, SCORED = 64, 256
+SINGLES, CLUSTER = 32, 128
+#: Ids of a cluster of the more frequent ids, and how many ids count as such.
+NARROW, FREQUENT = 32, 512
+#: Windows of a training batch; windows whose inner states are found at once, and such lots whose ids are scored together.
+BATCH, SCORED, LOTS = 64, 128, 16
+#: Positions whose classes are weighed at once.
+BLOCK = 2048
 #: What a rate falls to, as a share of itself.
 LEAST_RATE = 0.02
 #: Ids are below this; the last one ends a text.
@@ -29,7 +33,6 @@ END = IDS - 1
 DENSE = ("place", "qkv", "out", "up", "down", "head", "bias")
 ROWS = ("embed", "tail", "tail_bias")
 NAMES = (*DENSE, *ROWS)
-_least, _most = np.float32(-60), np.float32(60)
 
 
 @dataclass(frozen=True)
@@ -52,11 +55,15 @@ class Vocabulary:
         seen = np.array(sorted(count, key=lambda i: (-count[i], i)), dtype=np.int64)
         row = np.full(IDS, len(seen), dtype=np.int32)
         row[seen] = np.arange(len(seen))
-        clusters = max(0, -(-(len(seen) - singles) // cluster))
-        of = np.where(row < singles, row, singles + (row - singles) // cluster)
+        narrow = np.arange(singles, max(FREQUENT, singles), min(NARROW, cluster))
+        wide = np.arange(narrow[-1] + min(NARROW, cluster) if len(narrow) else singles, max(len(seen), singles), cluster)
+        starts = np.concatenate([narrow, wide])
+        starts = starts[starts < len(seen)]  # of each cluster
+        nth = np.searchsorted(starts, row, "right") - 1
         alone = min(len(seen), singles)
-        of = np.where(row == len(seen), alone + clusters, of).astype(np.int32)
-        within = np.where((row >= singles) & (row < len(seen)), (row - singles) % cluster, -1).astype(np.int32)
+        of = np.where(row < alone, row, alone + nth)
+        of = np.where(row == len(seen), alone + len(starts), of).astype(np.int32)
+        within = np.where((nth >= 0) & (row < len(seen)), row - np.append(starts, 0)[nth], -1).astype(np.int32)
         return cls(seen, np.array([count[int(i)] for i in seen], dtype=float), row, of, within)
 
     @cached_property
@@ -72,6 +79,15 @@ class Vocabulary:
     def cluster(self) -> int:
         return int(self.within.max()) + 1
 
+    @cached_property
+    def groups(self) -> list[tuple[int, int, int]]:
+        """Runs of clusters, of narrow ones and of others: first, last (not included), width."""
+        in_tail = self.seen[self.alone :]
+        widths = np.bincount(self.of[in_tail] - self.alone)
+        narrow = int(np.argmax(np.append(widths, NARROW + 1) > NARROW))
+        runs = ((0, narrow), (narrow, len(widths)))
+        return [(a, b, int(widths[a:b].max())) for a, b in runs if a < b]
+
     @cached_property
     def unseen_log(self) -> float:
         """The log probability of an id among those that were not seen."""
@@ -101,31 +117,47 @@ def initial(vocabulary: Vocabulary, width: int = WIDTH, seed: int = 7) -> dict[s
 _causal = np.tril(np.ones((CONTEXT, CONTEXT), dtype=np.float32))
 
 
-def _attended(p: dict[str, np.ndarray], qkv: np.ndarray, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Attention weights and what they gather, from position ``first`` of each window on."""
-    n, d = qkv.shape[1], qkv.shape[2] // 3
-    a = qkv[:, first:, :d] @ qkv[:, :, d : 2 * d].transpose(0, 2, 1)
-    np.clip(a, _least, _most, out=a)
-    np.exp(a, out=a)
-    a *= _causal[first:n, :n].astype(a.dtype, copy=False)
-    a /= a.sum(axis=2, keepdims=True)
-    return a, a @ qkv[:, :, 2 * d :]
-
+def _ordinary(total: np.ndarray) -> bool:
+    """Whether sums of powers are such that neither they nor what is divided by them leave the range of the numbers."""
+    return not total.size or bool(total.min() > 1e-15 and total.max() < 1e15)
 
-def _powers(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``z`` turned into its rows' powers, their sums, and what was taken off each exponent first.
 
-    Trained weights keep exponents small, so nothing is taken off unless a sum leaves
-    the range of the numbers.
+def _attended(qkv: np.ndarray, first: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """From position ``first`` of each window on: powers of the scores, what they gather
+    (over their sums), and the sums; and the values with a column of ones."""
+    n, d = qkv.shape[1], qkv.shape[2] // 3
+    values = np.ones((len(qkv), n, d + 1), dtype=qkv.dtype)
+    values[:, :, :d] = qkv[:, :, 2 * d :]
+    z = qkv[:, first:, :d] @ qkv[:, :, d : 2 * d].transpose(0, 2, 1)
+    causal = _causal[first:n, :n].astype(z.dtype, copy=False)
+    with np.errstate(over="ignore", invalid="ignore"):
+        a = np.exp(z)
+        a *= causal
+        found = a @ values
+    total = found[:, :, d:]
+    if not _ordinary(total):
+        z = np.where(causal > 0, z, -np.inf)
+        a = np.exp(z - z.max(axis=2, keepdims=True))
+        found = a @ values
+        total = found[:, :, d:]
+    return a, found[:, :, :d] / total, total, values
+
+
+def _powers(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray | float]:
+    """The powers of ``z``, their sums by row, and what was taken off each exponent first.
+
+    Trained weights keep exponents small, so nothing is taken off unless a sum is out of
+    the ordinary.
     """
-    with np.errstate(over="ignore"):
+    one = np.ones(z.shape[1], dtype=z.dtype)
+    with np.errstate(over="ignore", invalid="ignore"):
         e = np.exp(z)
-        total = e.sum(axis=1)
-    if np.isfinite(total).all() and (total > 0).all():
-        return e, total, np.zeros(len(z), dtype=z.dtype)
+        total = e @ one
+    if _ordinary(total):
+        return e, total, 0.0
     top = z.max(axis=1)
     e = np.exp(z - top[:, None])
-    return e, e.sum(axis=1), top
+    return e, e @ one, top
 
 
 def _with_one(y: np.ndarray) -> np.ndarray:
@@ -135,12 +167,18 @@ def _with_one(y: np.ndarray) -> np.ndarray:
     return out
 
 
-def _grouped(tail: np.ndarray) -> list[tuple[int, slice]]:
-    """Runs of equal values in a sorted array."""
-    if not len(tail):
-        return []
-    starts = np.flatnonzero(np.concatenate([[True], tail[1:] != tail[:-1]]))
-    return [(int(tail[s]), slice(int(s), int(e))) for s, e in zip(starts, [*starts[1:], len(tail)], strict=True)]
+def _tails(v: Vocabulary, of: np.ndarray, within: np.ndarray, wanted: np.ndarray):
+    """Of the places of ids in clusters among ``wanted``, by group of clusters: the places
+    by cluster, width, and runs ``(cluster, from, to)`` of each cluster among them."""
+    at = np.flatnonzero((within >= 0) & wanted)
+    cluster = (of[at] - v.alone).astype(np.uint16)
+    order = np.argsort(cluster, kind="stable")
+    at, cluster = at[order], cluster[order]
+    for low, high, width in v.groups:
+        ends = np.searchsorted(cluster, np.arange(low, high + 1)).tolist()
+        runs = [(c, s - ends[0], e - ends[0]) for c, s, e in zip(range(low, high), ends, ends[1:], strict=False) if e > s]
+        if runs:
+            yield at[ends[0] : ends[-1]], width, runs
 
 
 class Scorer:
@@ -152,97 +190,133 @@ class Scorer:
         self.head = np.concatenate([p["head"], p["bias"][None]])
         self.tail = np.concatenate([p["tail"].transpose(0, 2, 1), p["tail_bias"][:, None]], axis=1)
 
-    def log_probabilities(self, x: np.ndarray, target: np.ndarray, first: int) -> np.ndarray:
-        """Natural log probability of the ids ``target`` from position ``first`` of each window on."""
-        p, v, (b, n) = self.p, self.v, x.shape
-        row = v.row[x]
-        _, o = _attended(p, self.of_id[row] + self.of_place[:n], first)
-        d = o.shape[2]
-        y = (p["embed"][row[:, first:]] + p["place"][first:n] + o @ p["out"]).reshape(-1, d)
-        y += np.maximum(y @ p["up"], 0) @ p["down"]
-        ids = target[:, first:].ravel()
+    def hidden(self, x: np.ndarray, first: int) -> np.ndarray:
+        """The inner state, and a one, from position ``first`` of each window on; a row a position."""
+        p, row = self.p, self.v.row[x]
+        n = x.shape[1]
+        qkv = self.of_id.take(row, axis=0)
+        qkv += self.of_place[:n]
+        _, o, _, _ = _attended(qkv, first)
+        y = p["embed"].take(row[:, first:], axis=0)
+        y += p["place"][first:n]
+        y = y.reshape(-1, y.shape[2])
+        y += o.reshape(y.shape) @ p["out"]
+        g = y @ p["up"]
+        np.maximum(g, 0, out=g)
+        y += g @ p["down"]
+        return _with_one(y)
+
+    def logs(self, y: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Natural log probability of each of ``ids`` at the inner state beside it."""
+        v = self.v
         of, within = v.of[ids], v.within[ids]
-        y = _with_one(y)
-        z = y @ self.head
-        _, total, top = _powers(z)
-        out = z[np.arange(len(z)), of] - np.log(total) - top
-        out[of == v.classes - 1] += v.unseen_log
-        tail = np.flatnonzero(within >= 0)
-        tail = tail[np.argsort(of[tail], kind="stable")]
-        for c, at in _grouped(of[tail]):
-            own = tail[at]
-            z = y[own] @ self.tail[c - v.alone]
+        out = np.empty(len(ids), dtype=y.dtype)
+        for at in range(0, len(ids), BLOCK):
+            z = y[at : at + BLOCK] @ self.head
+            hit = z[np.arange(len(z)), of[at : at + BLOCK]]
             _, total, top = _powers(z)
-            out[own] += z[np.arange(len(own)), within[own]] - np.log(total) - top
-        return out.reshape(b, n - first)
+            out[at : at + BLOCK] = hit - np.log(total) - top
+        out[of == v.classes - 1] += v.unseen_log
+        for own, width, runs in _tails(v, of, within, True):
+            own_y, place = y[own], within[own]
+            for c, s, e in runs:
+                tail = self.tail[c][:, :width]
+                for at in range(s, e, BLOCK):
+                    to = min(at + BLOCK, e)
+                    z = own_y[at:to] @ tail
+                    hit = z[np.arange(to - at), place[at:to]]
+                    _, total, top = _powers(z)
+                    out[own[at:to]] += hit - np.log(total) - top
+        return out
+
+    def log_probabilities(self, x: np.ndarray, target: np.ndarray, first: int) -> np.ndarray:
+        """Natural log probability of the ids ``target`` from position ``first`` of each window on."""
+        return self.logs(self.hidden(x, first), target[:, first:].ravel()).reshape(len(x), -1)
 
 
 def gradients(p: dict[str, np.ndarray], v: Vocabulary, x: np.ndarray, target: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, object]]:
-    """Mean loss over the valid positions and its gradients; those of ``ROWS`` as (rows, values)."""
+    """Mean loss over the valid positions and its gradients; those of ``ROWS`` as (rows, values).
+
+    Rows of powers are not divided by their sums: the vectors that they are multiplied with are.
+    """
     (b, n), d = x.shape, p["qkv"].shape[0]
     kind = p["qkv"].dtype
     count = max(1, int(valid.sum()))
-    row = v.row[x]
-    h = p["embed"][row] + p["place"][:n]
+    row = v.row[x].ravel()
+    windows = lambda t: t.reshape(b, n, -1)
+    h = p["embed"].take(row, axis=0)
+    windows(h)[:] += p["place"][:n]
     qkv = h @ p["qkv"]
-    a, o = _attended(p, qkv)
-    flat = lambda t: t.reshape(-1, t.shape[-1])
-    r = flat(h) + flat(o) @ p["out"]
+    a, o, total, values = _attended(windows(qkv))
+    r = o.reshape(h.shape) @ p["out"]
+    r += h
     g = r @ p["up"]
     np.maximum(g, 0, out=g)
-    y = r + g @ p["down"]
+    y = g @ p["down"]
+    y += r
+    y1 = _with_one(y)
     ids, weight = target.ravel(), valid.ravel() / kind.type(count)
     of, within = v.of[ids], v.within[ids]
-    y1, head = _with_one(y), np.concatenate([p["head"], p["bias"][None]])
-    z = y1 @ head
-    every = np.arange(len(z))
-    hit = z[every, of]
-    z, total, top = _powers(z)
-    loss = -float(((hit - np.log(total) - top) * weight).sum())
-    z *= (weight / total)[:, None]
-    z[every, of] -= weight
+
+    def softened(z: np.ndarray, place: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """Loss of the outputs ``z``; its gradient by ``z``, over a factor for each row; and the factors."""
+        at = np.arange(len(z)) * z.shape[1] + place
+        hit = z.ravel()[at]
+        e, total, top = _powers(z)
+        e.ravel()[at] -= total
+        return -float(((hit - np.log(total) - top) * w).sum()), e, (w / total)[:, None]
+
+    loss, z, share = softened(y1 @ np.concatenate([p["head"], p["bias"][None]]), of, weight)
     dy = z @ p["head"].T
-    dhead = y1.T @ z
-    grad: dict[str, object] = {"head": dhead[:-1], "bias": dhead[-1]}
-    tail = np.flatnonzero((within >= 0) & (weight > 0))
-    tail = tail[np.argsort(of[tail], kind="stable")]
+    dy *= share
+    dhead = (z.T @ (y1 * share)).T
+    grad: dict[str, object] = {"head": dhead[:-1], "bias": dhead[-1], "tail": None, "tail_bias": None}
     clusters, steps = [], []
-    for c, at in _grouped(of[tail]):
-        own = tail[at]
-        c -= v.alone
-        part, w = y1[own], weight[own]
-        t = part[:, :-1] @ p["tail"][c].T
-        t += p["tail_bias"][c]
-        own_hit = t[every[: len(own)], within[own]]
-        t, total, top = _powers(t)
-        loss -= float(((own_hit - np.log(total) - top) * w).sum())
-        t *= (w / total)[:, None]
-        t[every[: len(own)], within[own]] -= w
-        dy[own] += t @ p["tail"][c]
-        clusters.append(c)
-        steps.append(t.T @ part)
-    grad["tail"] = grad["tail_bias"] = None
+    for own, width, runs in _tails(v, of, within, weight > 0):
+        part = y1[own]
+        t = np.empty((len(own), width), dtype=kind)
+        for c, s, e in runs:
+            np.dot(part[s:e, :d], p["tail"][c, :width].T, out=t[s:e])
+            t[s:e] += p["tail_bias"][c, :width]
+        more, t, share = softened(t, within[own], weight[own])
+        loss += more
+        part *= share
+        back = np.empty((len(own), d), dtype=kind)
+        found = np.zeros((len(runs), v.cluster, d + 1), dtype=kind)
+        for i, (c, s, e) in enumerate(runs):
+            np.dot(t[s:e], p["tail"][c, :width], out=back[s:e])
+            np.dot(t[s:e].T, part[s:e], out=found[i, :width])
+        back *= share
+        dy[own] += back
+        clusters += [c for c, _, _ in runs]
+        steps.append(found)
     if clusters:
-        found = np.stack(steps)
+        found = np.concatenate(steps)
         grad["tail"], grad["tail_bias"] = (np.array(clusters), found[:, :, :-1]), (np.array(clusters), found[:, :, -1])
     dg = dy @ p["down"].T
     dg *= g > 0
-    dr = dy + dg @ p["up"].T
-    do = (dr @ p["out"].T).reshape(b, n, d)
-    da = do @ qkv[:, :, 2 * d :].transpose(0, 2, 1)
-    dqkv = np.empty_like(qkv)
-    dqkv[:, :, 2 * d :] = a.transpose(0, 2, 1) @ do
-    da -= (do * o).sum(axis=2, keepdims=True)
+    dr = dg @ p["up"].T
+    dr += dy
+    # the last column takes each row's mean off its scores' gradients
+    do = np.empty_like(values)
+    np.divide(windows(dr @ p["out"].T), total, out=do[:, :, :d])
+    np.negative(np.vecdot(do[:, :, :d], o), out=do[:, :, d])
+    da = do @ values.transpose(0, 2, 1)
     da *= a
-    dqkv[:, :, :d] = da @ qkv[:, :, d : 2 * d]
-    dqkv[:, :, d : 2 * d] = da.transpose(0, 2, 1) @ qkv[:, :, :d]
-    dh = dr + flat(dqkv) @ p["qkv"].T
-    order = np.argsort(row.ravel().astype(np.uint16), kind="stable")
-    rows = _grouped_starts(row.ravel()[order])
-    grad["embed"] = (row.ravel()[order][rows], np.add.reduceat(dh[order], rows, axis=0))
+    dqkv = np.empty((b, n, 3 * d), dtype=kind)
+    dqkv[:, :, 2 * d :] = a.transpose(0, 2, 1) @ do[:, :, :d]
+    dqkv[:, :, :d] = da @ windows(qkv)[:, :, d : 2 * d]
+    dqkv[:, :, d : 2 * d] = da.transpose(0, 2, 1) @ windows(qkv)[:, :, :d]
+    dqkv = dqkv.reshape(b * n, 3 * d)
+    dh = dqkv @ p["qkv"].T
+    dh += dr
+    order = np.argsort(row.astype(np.uint16), kind="stable")
+    sorted_rows = row[order]
+    starts = _grouped_starts(sorted_rows)
+    grad["embed"] = (sorted_rows[starts], np.add.reduceat(dh[order], starts, axis=0))
     place = np.zeros_like(p["place"])
-    place[:n] = dh.reshape(b, n, d).sum(axis=0)
-    grad |= {"place": place, "qkv": flat(h).T @ flat(dqkv), "out": flat(o).T @ dr, "up": r.T @ dg, "down": g.T @ dy}
+    place[:n] = windows(dh).sum(axis=0)
+    grad |= {"place": place, "qkv": h.T @ dqkv, "out": o.reshape(h.shape).T @ dr, "up": r.T @ dg, "down": g.T @ dy}
     return loss, grad
 
 
@@ -256,22 +330,39 @@ def train(p: dict[str, np.ndarray], v: Vocabulary, batches: Iterable[tuple[np.nd
     The rate falls evenly over ``steps`` batches to ``LEAST_RATE`` of itself and stays there.
     """
     p = {k: w.copy() for k, w in p.items()}
-    m = {k: np.zeros_like(w) for k, w in p.items()}
-    s = {k: np.zeros_like(w) for k, w in p.items()}
+    # the dense weights lie in one array
+    ends = np.cumsum([0, *(p[k].size for k in DENSE)])
+    dense = np.concatenate([p[k].ravel() for k in DENSE])
+    p |= {k: dense[a:b].reshape(p[k].shape) for k, a, b in zip(DENSE, ends, ends[1:], strict=False)}
+    held = {"": dense} | {k: p[k] for k in ROWS}
+    m = {k: np.zeros_like(w) for k, w in held.items()}
+    s = {k: np.zeros_like(w) for k, w in held.items()}
     losses = []
     for step, (x, target, valid) in enumerate(batches, 1):
         loss, grad = gradients(p, v, x, target, valid)
         losses.append(loss)
         now = rate * max(LEAST_RATE, 1 - (step - 1) / steps) if steps else rate
-        up, down = p["qkv"].dtype.type(now / (1 - 0.9**step)), p["qkv"].dtype.type(1 / (1 - 0.99**step))
-        for k in NAMES:
+        up, down = dense.dtype.type(now / (1 - 0.9**step)), dense.dtype.type(1 / (1 - 0.99**step))
+        grad[""] = slice(None), np.concatenate([grad[k].ravel() for k in DENSE])
+        for k, w in held.items():
             if grad[k] is None:
                 continue
-            at, g = grad[k] if k in ROWS else (slice(None), grad[k])
-            mk = m[k][at] * np.float32(0.9) + g * np.float32(0.1)
-            sk = s[k][at] * np.float32(0.99) + g * g * np.float32(0.01)
+            at, g = grad[k]
+            if k and len(at) == len(w):
+                at = slice(None)  # all rows, in order
+            mk = m[k][at] * np.float32(0.9)
+            mk += g * np.float32(0.1)
+            sk = s[k][at] * np.float32(0.99)
+            g = g * g
+            g *= np.float32(0.01)
+            sk += g
             m[k][at], s[k][at] = mk, sk
-            p[k][at] -= up * mk / (np.sqrt(sk * down) + np.float32(1e-8))
+            sk *= down
+            np.sqrt(sk, out=sk)
+            sk += np.float32(1e-8)
+            mk *= up
+            mk /= sk
+            w[at] -= mk
     return p, float(np.mean(losses)) if losses else 0.0
 
 
@@ -329,12 +420,16 @@ def position_logs(scorer: Scorer, texts: list[np.ndarray]) -> np.ndarray:
     out = np.zeros(sum(map(len, texts)))
     for first in (0, CONTEXT - STRIDE):
         group = np.flatnonzero(firsts == first)
-        for at in range(0, len(group), SCORED):
-            own = group[at : at + SCORED]
+        for at in range(0, len(group), SCORED * LOTS):
+            own = group[at : at + SCORED * LOTS]
             x, target, valid = batch(rows[own])
             valid = valid[:, first:]
             to = place[own][:, None] + np.arange(first, CONTEXT)
-            out[to[valid]] = scorer.log_probabilities(x, target, first)[valid]
+            y = np.concatenate([scorer.hidden(x[i : i + SCORED], first) for i in range(0, len(x), SCORED)])
+            if valid.all():
+                out[to.ravel()] = scorer.logs(y, target[:, first:].ravel())
+            else:
+                out[to[valid]] = scorer.logs(y[valid.ravel()], target[:, first:][valid])
     return out
 
 

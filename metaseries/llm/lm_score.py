@@ -20,16 +20,18 @@ most words are counted where they lie; only rarer ones are shuffled to join thei
 from __future__ import annotations
 
 import itertools
+import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import attention
 from .attention import END, Vocabulary
-from .shared import id_remainder, mix, stash, tidy, words
+from .shared import id_remainder, mix, stash, tidy
 from .tokens import TokenCache
 
 #: Words whose counts are broadcast, at most.
@@ -39,6 +41,8 @@ BUCKET = 1 << 21
 #: The first round's positions, about, and its least share; the second round has a quarter of the rest.
 FIRST, FIRST_SHARE = 1 << 21, 1 / 16
 RATES = (3e-2, 2e-2, 1.5e-2)
+#: Windows of a batch in each round.
+BATCHES = (attention.BATCH, 2 * attention.BATCH, 2 * attention.BATCH)
 #: Batches that a bucket of the first round is trained for, at least, by going over it again.
 LEAST_BATCHES = 1600
 #: Windows that are put in another order and trained on together.
@@ -54,48 +58,77 @@ LN10 = float(np.log(10))
 class Lexicon(dict):
     """Number of each word seen since the last ``take``; by number its subword ids and count."""
 
-    limit = 100_000
+    limit = 300_000
 
     def __init__(self, cache: TokenCache):
         super().__init__()
-        self.cache, self.pieces = cache, []
-        self.count = np.zeros(0, dtype=np.int64)
+        self.cache = cache
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with no words."""
+        self.clear()
+        self.pieces: list[bytes] = []
+        self.flat, self.size, self.count = np.zeros(0, dtype="<u2"), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
     def __missing__(self, word: bytes) -> int:
-        code = self[word] = len(self.pieces)
+        code = self[word] = len(self)
         text = word.decode("utf-8", "replace")
-        self.pieces.append(self.cache.after_space(text) if text.isalpha() else self.cache[text])
+        if text.isalpha():
+            own = self.cache.after_space(text)
+        elif (stem := text.rstrip(string.punctuation)).isalpha() and (known := self.get(stem.encode())) is not None:
+            own = self.pieces[known] + self.cache.marks[text[len(stem) :]]
+        else:
+            own = self.cache[text]
+        self.pieces.append(own)
         return code
 
     def texts(self, found: list[list[bytes]], learnt: list[bool]) -> list[np.ndarray]:
-        """Each text's ids and its end; words of ``learnt`` texts are counted."""
-        codes = np.array(list(map(self.__getitem__, itertools.chain.from_iterable(found))), dtype=np.int64)
-        flat = np.frombuffer(b"".join(self.pieces), dtype="<u4").astype("<u2")
-        size = np.fromiter(map(len, self.pieces), dtype=np.int64, count=len(self.pieces)) // 4
-        first, length = np.cumsum(size) - size, np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        owner = np.repeat(np.arange(len(found)), length)
-        seen = np.bincount(codes[np.array(learnt, dtype=bool)[owner]], minlength=len(size))
+        """Each text's ids and its end, from its words; words of ``learnt`` texts are counted."""
+        codes = np.fromiter(map(self.__getitem__, itertools.chain.from_iterable(found)), dtype=np.int64)
+        return self._joined(codes, np.fromiter(map(len, found), dtype=np.int64, count=len(found)), np.array(learnt, dtype=bool))
+
+    def whole(self, texts: pa.Array, learnt: np.ndarray) -> list[np.ndarray]:
+        """``texts`` of whole texts (binary, none null): words between ASCII white space, A to Z lower-cased."""
+        if not len(texts):
+            return []
+        texts = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)
+        found = pc.ascii_split_whitespace(pc.ascii_lower(texts))  # bytes as they are, also where they are no UTF-8
+        each = found.flatten().dictionary_encode()
+        # white space at a text's start or end leaves an empty word
+        known = np.array([self[w] if w else -1 for w in each.dictionary.cast(pa.binary()).to_pylist()], dtype=np.int64)
+        codes = known[each.indices.to_numpy()] if len(each) else known
+        owner = np.repeat(np.arange(len(texts)), pc.list_value_length(found).to_numpy(zero_copy_only=False))
+        real = codes >= 0
+        return self._joined(codes[real], np.bincount(owner[real], minlength=len(texts)), learnt)
+
+    def _joined(self, codes: np.ndarray, length: np.ndarray, learnt: np.ndarray) -> list[np.ndarray]:
+        """The ids of texts of so many words each."""
+        if new := self.pieces[len(self.size) :]:
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(new), dtype="<u4").astype("<u2")])
+            self.size = np.concatenate([self.size, np.fromiter(map(len, new), dtype=np.int64, count=len(new)) // 4])
+        first = np.cumsum(self.size) - self.size
+        owner = np.repeat(np.arange(len(length)), length)
+        seen = np.bincount(codes[learnt[owner]], minlength=len(self.size))
         seen[: len(self.count)] += self.count
         self.count = seen
-        n = size[codes]
+        n = self.size[codes]
         before = np.cumsum(n) - n  # ids before each word
         # ids of all texts, with room for an end behind each text
-        out = np.full(int(n.sum()) + len(found), END, dtype="<u2")
-        within = np.arange(int(n.sum())) - np.repeat(before, n)
-        out[within + np.repeat(before + owner, n)] = flat[within + np.repeat(first[codes], n)]
-        ends = np.cumsum(np.bincount(owner, n, len(found)).astype(np.int64) + 1)
-        return np.split(out, ends[:-1]) if len(found) else []
+        out = np.full(int(n.sum()) + len(length), END, dtype="<u2")
+        at = np.arange(int(n.sum()))
+        out[at + np.repeat(owner, n)] = self.flat[at + np.repeat(first[codes] - before, n)]
+        ends = np.cumsum(np.bincount(owner, n, len(length)).astype(np.int64) + 1)
+        return np.split(out, ends[:-1]) if len(length) else []
 
     def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash and count of the words counted, and the count of each id; all words are forgotten."""
-        flat = np.frombuffer(b"".join(self.pieces), dtype="<u4").astype(np.int64)
-        size = np.fromiter(map(len, self.pieces), dtype=np.int64, count=len(self.pieces)) // 4
+        flat, size = self.flat.astype(np.int64), self.size
         hashes = word_hashes(flat, np.cumsum(size) - size)
         pieces = np.bincount(flat, np.repeat(self.count, size), attention.IDS).astype(np.int64)
         known = self.count > 0
         out = hashes[known], self.count[known], pieces
-        self.clear()
-        self.pieces, self.count = [], np.zeros(0, dtype=np.int64)
+        self.forget()
         return out
 
 
@@ -146,9 +179,9 @@ def tokenised(docs: DataFrame, train: str, id_col: str = "doc_id", text_col: str
 
         for batch in batches:
             kind = batch.column(0).type
-            learnt = batch.column(2).to_pylist()
-            texts = lexicon.texts([words(t or b"") for t in batch.column(3).to_pylist()], learnt)
-            ends += sum(map(bool, learnt))
+            learnt = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            texts = lexicon.whole(pc.fill_null(batch.column(3), b""), learnt)
+            ends += int(learnt.sum())
             n = batch.num_rows
             held = pa.array([t.tobytes() for t in texts], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(np.full(n, DOCUMENT, dtype=np.int32)), *batch.columns[:3], held, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=names)
@@ -188,7 +221,7 @@ def rounds_of(positions: int) -> list[tuple[int, int, int]]:
     return [(a, b, max(1, round(positions * (b - a) / PARTS / BUCKET))) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def bucket_batches(texts: Iterator[np.ndarray], seed: int, least: int) -> Iterator[np.ndarray]:
+def bucket_batches(texts: Iterator[np.ndarray], seed: int, least: int, size: int = attention.BATCH) -> Iterator[np.ndarray]:
     """The windows of a bucket's texts in batches, mixed within runs of ``MIXED`` windows.
 
     A bucket of under ``least`` batches is gone over again until there are as many.
@@ -197,8 +230,8 @@ def bucket_batches(texts: Iterator[np.ndarray], seed: int, least: int) -> Iterat
 
     def mixed(rows: np.ndarray) -> Iterator[np.ndarray]:
         rows = rows[rng.permutation(len(rows))]
-        for at in range(0, len(rows), attention.BATCH):
-            yield rows[at : at + attention.BATCH]
+        for at in range(0, len(rows), size):
+            yield rows[at : at + size]
 
     held, waiting = 0, []
 
@@ -241,10 +274,10 @@ def fit(texts: DataFrame, vocabulary: Vocabulary, positions: int) -> dict[str, n
     part = F.pmod(F.col("mark"), F.lit(PARTS)).cast("int")
     for number, (low, high, buckets) in enumerate(rounds_of(positions)):
         begun = context.broadcast((weights, vocabulary))
-        rate, least = RATES[number], LEAST_BATCHES if number == 0 else 0
-        steps = max(least, round(positions * (high - low) / PARTS / buckets / (attention.BATCH * attention.CONTEXT)), 1)
+        rate, size, least = RATES[number], BATCHES[number], LEAST_BATCHES if number == 0 else 0
+        steps = max(least, round(positions * (high - low) / PARTS / buckets / (size * attention.CONTEXT)), 1)
 
-        def run(batches: Iterator[pa.RecordBatch], begun=begun, rate=rate, least=least, steps=steps) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], begun=begun, rate=rate, size=size, least=least, steps=steps) -> Iterator[pa.RecordBatch]:
             start, words_of = begun.value
             rows = ((b, np.frombuffer(ids, dtype="<u2")) for batch in batches for b, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             total, n, ahead = None, 0, next(rows, None)
@@ -258,7 +291,7 @@ def fit(texts: DataFrame, vocabulary: Vocabulary, positions: int) -> dict[str, n
                         yield ahead[1]
                         ahead = next(rows, None)
 
-                after, _ = attention.train(start, words_of, map(attention.batch, bucket_batches(texts_of(), bucket, least)), rate, steps)
+                after, _ = attention.train(start, words_of, map(attention.batch, bucket_batches(texts_of(), bucket, least, size)), rate, steps)
                 total, n = (0 if total is None else total) + attention.flat(after).astype(float) * own, n + own
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total), pa.array(np.full(len(total), n, dtype=np.int64))], names=["i", "w", "n"])

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -720,6 +721,46 @@ def test_lexicon_gives_the_tokenizer_s_ids_and_all_counts():
     assert set(keys.tolist()) <= set(found.tolist()) and lm_score.END_HASH in found
 
 
+def test_whole_texts_become_the_ids_of_their_words():
+    """Arrow's words are those of ``bytes.split``, whatever the bytes; a word is encoded once for all texts until its lexicon is taken."""
+    cache, rng = tokens.TokenCache.of(), random.Random(3)
+    parts = [b" ", b"\t", b"\n", b"\x0b", b"\r", b"\x1c", b"\x85", b"\xc2\xa0", b"\xff", b"\xc3\x84", b"A", b"z", b"Z", b".", b"!", b"1"]
+    texts = [b"", b" ", *(b"".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(2000))]
+    learnt = np.arange(len(texts)) % 2 == 0
+    one, other = lm_score.Lexicon(cache), lm_score.Lexicon(cache)
+    found = one.whole(pa.array([b"away", *texts], pa.binary())[1:], learnt)
+    expected = other.texts([t.lower().split() for t in texts], learnt.tolist())
+    assert all(np.array_equal(a, b) for a, b in zip(found, expected, strict=True))
+    assert sorted(one.take()[1].tolist()) == sorted(other.take()[1].tolist())
+    assert lm_score.Lexicon(cache).whole(pa.array([], pa.binary()), np.zeros(0, dtype=bool)) == []
+
+
+def test_frequent_ids_lie_in_narrow_clusters():
+    """Each seen id has a place of its own; those of the frequent ids have few neighbours, which is what a position costs."""
+    for n in (0, 1, 31, 32, 33, 500, 511, 512, 513, 900, 3000):
+        v = attention.Vocabulary.from_counts({i: 5000 - i for i in range(n)})
+        places = set(zip(v.of[v.seen].tolist(), v.within[v.seen].tolist(), strict=True))
+        assert len(places) == n and v.classes == (int(v.of[v.seen].max()) + 2 if n else 1)
+        tail = v.seen[v.within[v.seen] >= 0]
+        widths = dict(zip(*np.unique(v.of[tail], return_counts=True), strict=True))
+        assert all(widths[v.of[i]] <= attention.NARROW for i in tail if i < attention.FREQUENT)
+        assert sum(high - low for low, high, _ in v.groups) == len(widths)
+
+
+def test_large_scores_keep_their_weights_finite():
+    """Scores beyond the range of powers are brought down by row, in a batch of their own or beside others."""
+    rng = np.random.default_rng(8)
+    v, p = small_model(rng, ids=12, singles=6, cluster=4)
+    p["qkv"] *= np.float32(30)
+    text = np.append(rng.integers(0, 12, 60), attention.END)
+    found = attention.position_logs(attention.Scorer(p, v), [text])
+    assert np.isfinite(found).all()
+    exact = attention.position_logs(attention.Scorer({k: w.astype(float) for k, w in p.items()}, v), [text])
+    assert found == pytest.approx(exact, rel=1e-3, abs=1e-3)
+    loss, grad = attention.gradients(p, v, *attention.batch(attention.training_windows([text])))
+    assert np.isfinite(loss) and all(np.isfinite(grad[k][1] if k in attention.ROWS else grad[k]).all() for k in attention.NAMES if grad[k] is not None)
+
+
 def test_long_texts_are_learnt_whole(spark):
     """Texts of over 16,384 bytes, whose order only the positions after the first third show."""
     rng = random.Random(5)
