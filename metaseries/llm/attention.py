@@ -168,17 +168,17 @@ def _with_one(y: np.ndarray) -> np.ndarray:
 
 
 def _tails(v: Vocabulary, of: np.ndarray, within: np.ndarray, wanted: np.ndarray):
-    """Of the places of ids in clusters among ``wanted``, by group of clusters: the places
-    by cluster, width, and runs ``(cluster, from, to)`` of each cluster among them."""
+    """Of the places of ids in clusters among ``wanted``, by group of clusters: its number, the places
+    by cluster, and runs ``(cluster, from, to)`` of each cluster among them."""
     at = np.flatnonzero((within >= 0) & wanted)
     cluster = (of[at] - v.alone).astype(np.uint16)
     order = np.argsort(cluster, kind="stable")
     at, cluster = at[order], cluster[order]
-    for low, high, width in v.groups:
+    for group, (low, high, _) in enumerate(v.groups):
         ends = np.searchsorted(cluster, np.arange(low, high + 1)).tolist()
         runs = [(c, s - ends[0], e - ends[0]) for c, s, e in zip(range(low, high), ends, ends[1:], strict=False) if e > s]
         if runs:
-            yield at[ends[0] : ends[-1]], width, runs
+            yield group, at[ends[0] : ends[-1]], runs
 
 
 class Scorer:
@@ -217,8 +217,8 @@ class Scorer:
             _, total, top = _powers(z)
             out[at : at + BLOCK] = hit - np.log(total) - top
         out[of == v.classes - 1] += v.unseen_log
-        for own, width, runs in _tails(v, of, within, True):
-            own_y, place = y[own], within[own]
+        for group, own, runs in _tails(v, of, within, True):
+            own_y, place, width = y[own], within[own], v.groups[group][2]
             for c, s, e in runs:
                 tail = self.tail[c][:, :width]
                 for at in range(s, e, BLOCK):
@@ -234,8 +234,24 @@ class Scorer:
         return self.logs(self.hidden(x, first), target[:, first:].ravel()).reshape(len(x), -1)
 
 
+def _in_groups(p: dict[str, np.ndarray], v: Vocabulary) -> list[np.ndarray]:
+    """The clusters' weights by group, as wide as its clusters are; an id's bias stands behind its weights."""
+    return [np.concatenate([p["tail"][a:b, :width], p["tail_bias"][a:b, :width, None]], axis=2) for a, b, width in v.groups]
+
+
 def gradients(p: dict[str, np.ndarray], v: Vocabulary, x: np.ndarray, target: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, object]]:
-    """Mean loss over the valid positions and its gradients; those of ``ROWS`` as (rows, values).
+    """Mean loss over the valid positions and its gradients; those of ``ROWS`` as (rows, values)."""
+    loss, grad, tails = _gradients(p, _in_groups(p, v), v, x, target, valid)
+    grad |= {"tail": None, "tail_bias": None}
+    if tails:
+        at = np.concatenate([rows + v.groups[group][0] for group, (rows, _) in tails.items()])
+        found = np.concatenate([np.pad(g, ((0, 0), (0, v.cluster - g.shape[1]), (0, 0))) for _, g in tails.values()])
+        grad |= {"tail": (at, found[:, :, :-1]), "tail_bias": (at, found[:, :, -1])}
+    return loss, grad
+
+
+def _gradients(p: dict[str, np.ndarray], groups: list[np.ndarray], v: Vocabulary, x: np.ndarray, target: np.ndarray, valid: np.ndarray) -> tuple[float, dict[str, object], dict]:
+    """Mean loss and its gradients, and by group those of ``groups`` as (clusters in it, values).
 
     Rows of powers are not divided by their sums: the vectors that they are multiplied with are.
     """
@@ -270,29 +286,22 @@ def gradients(p: dict[str, np.ndarray], v: Vocabulary, x: np.ndarray, target: np
     dy = z @ p["head"].T
     dy *= share
     dhead = (z.T @ (y1 * share)).T
-    grad: dict[str, object] = {"head": dhead[:-1], "bias": dhead[-1], "tail": None, "tail_bias": None}
-    clusters, steps = [], []
-    for own, width, runs in _tails(v, of, within, weight > 0):
-        part = y1[own]
-        t = np.empty((len(own), width), dtype=kind)
+    grad: dict[str, object] = {"head": dhead[:-1], "bias": dhead[-1]}
+    tails = {}
+    for group, own, runs in _tails(v, of, within, weight > 0):
+        low, w, part = v.groups[group][0], groups[group], y1[own]
+        t, back, found = (np.empty(shape, dtype=kind) for shape in ((len(own), w.shape[1]), (len(own), d), (len(runs), *w.shape[1:])))
         for c, s, e in runs:
-            np.dot(part[s:e, :d], p["tail"][c, :width].T, out=t[s:e])
-            t[s:e] += p["tail_bias"][c, :width]
+            np.dot(part[s:e], w[c - low].T, out=t[s:e])
         more, t, share = softened(t, within[own], weight[own])
         loss += more
         part *= share
-        back = np.empty((len(own), d), dtype=kind)
-        found = np.zeros((len(runs), v.cluster, d + 1), dtype=kind)
         for i, (c, s, e) in enumerate(runs):
-            np.dot(t[s:e], p["tail"][c, :width], out=back[s:e])
-            np.dot(t[s:e].T, part[s:e], out=found[i, :width])
+            np.dot(t[s:e], w[c - low, :, :d], out=back[s:e])
+            np.dot(t[s:e].T, part[s:e], out=found[i])
         back *= share
         dy[own] += back
-        clusters += [c for c, _, _ in runs]
-        steps.append(found)
-    if clusters:
-        found = np.concatenate(steps)
-        grad["tail"], grad["tail_bias"] = (np.array(clusters), found[:, :, :-1]), (np.array(clusters), found[:, :, -1])
+        tails[group] = np.array([c - low for c, _, _ in runs]), found
     dg = dy @ p["down"].T
     dg *= g > 0
     dr = dg @ p["up"].T
@@ -317,7 +326,7 @@ def gradients(p: dict[str, np.ndarray], v: Vocabulary, x: np.ndarray, target: np
     place = np.zeros_like(p["place"])
     place[:n] = windows(dh).sum(axis=0)
     grad |= {"place": place, "qkv": h.T @ dqkv, "out": o.reshape(h.shape).T @ dr, "up": r.T @ dg, "down": g.T @ dy}
-    return loss, grad
+    return loss, grad, tails
 
 
 def _grouped_starts(values: np.ndarray) -> np.ndarray:
@@ -334,35 +343,37 @@ def train(p: dict[str, np.ndarray], v: Vocabulary, batches: Iterable[tuple[np.nd
     ends = np.cumsum([0, *(p[k].size for k in DENSE)])
     dense = np.concatenate([p[k].ravel() for k in DENSE])
     p |= {k: dense[a:b].reshape(p[k].shape) for k, a, b in zip(DENSE, ends, ends[1:], strict=False)}
-    held = {"": dense} | {k: p[k] for k in ROWS}
+    groups = _in_groups(p, v)
+    held = {"": dense, "embed": p["embed"]} | dict(enumerate(groups))
+    # sums of the gradients and of their squares, of which older ones fade: 10 and 100 times the means
     m = {k: np.zeros_like(w) for k, w in held.items()}
     s = {k: np.zeros_like(w) for k, w in held.items()}
     losses = []
     for step, (x, target, valid) in enumerate(batches, 1):
-        loss, grad = gradients(p, v, x, target, valid)
+        loss, grad, tails = _gradients(p, groups, v, x, target, valid)
         losses.append(loss)
         now = rate * max(LEAST_RATE, 1 - (step - 1) / steps) if steps else rate
-        up, down = dense.dtype.type(now / (1 - 0.9**step)), dense.dtype.type(1 / (1 - 0.99**step))
-        grad[""] = slice(None), np.concatenate([grad[k].ravel() for k in DENSE])
-        for k, w in held.items():
-            if grad[k] is None:
-                continue
-            at, g = grad[k]
-            if k and len(at) == len(w):
+        root = 0.1 / (1 - 0.99**step) ** 0.5  # by what the root of a sum of squares is that of their mean
+        up, least = dense.dtype.type(0.1 * now / (1 - 0.9**step) / root), dense.dtype.type(1e-8 / root)
+        every = {"": (slice(None), np.concatenate([grad[k].ravel() for k in DENSE])), "embed": grad["embed"], **tails}
+        for k, (at, g) in every.items():
+            if not isinstance(at, slice) and len(at) == len(held[k]):
                 at = slice(None)  # all rows, in order
-            mk = m[k][at] * np.float32(0.9)
-            mk += g * np.float32(0.1)
-            sk = s[k][at] * np.float32(0.99)
-            g = g * g
-            g *= np.float32(0.01)
+            mk, sk = m[k][at], s[k][at]  # themselves where all rows are meant, else copies
+            mk *= np.float32(0.9)
+            mk += g
+            sk *= np.float32(0.99)
+            np.multiply(g, g, out=g)
             sk += g
-            m[k][at], s[k][at] = mk, sk
-            sk *= down
-            np.sqrt(sk, out=sk)
-            sk += np.float32(1e-8)
-            mk *= up
-            mk /= sk
-            w[at] -= mk
+            if not isinstance(at, slice):
+                m[k][at], s[k][at] = mk, sk
+            np.sqrt(sk, out=g)
+            g += least
+            np.divide(mk, g, out=g)
+            g *= up
+            held[k][at] -= g
+    for (low, high, width), w in zip(v.groups, groups, strict=True):
+        p["tail"][low:high, :width], p["tail_bias"][low:high, :width] = w[:, :, :-1], w[:, :, -1]
     return p, float(np.mean(losses)) if losses else 0.0
 
 

@@ -215,10 +215,15 @@ def head_words(counts: DataFrame, most: int = HEAD_WORDS) -> tuple[np.ndarray, n
 
 
 def rounds_of(positions: int) -> list[tuple[int, int, int]]:
-    """First and last part (not included) and buckets of each round over so many positions."""
+    """First and last part (not included) and buckets of each round over so many positions.
+
+    Several buckets of a first round have ``LEAST_BATCHES`` batches each, so that none is gone over again.
+    """
     first = max(FIRST_SHARE, min(1.0, FIRST / max(1, positions)))
     cuts = sorted({0, round(first * PARTS), round((first + (1 - first) / 4) * PARTS), PARTS})
-    return [(a, b, max(1, round(positions * (b - a) / PARTS / BUCKET))) for a, b in zip(cuts, cuts[1:], strict=False)]
+    whole = max(BUCKET, LEAST_BATCHES * BATCHES[0] * attention.CONTEXT)
+    own = [positions * (b - a) / PARTS for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [(a, b, max(1, round(n / BUCKET) if a else int(n / whole))) for a, b, n in zip(cuts, cuts[1:], own, strict=False)]
 
 
 def bucket_batches(texts: Iterator[np.ndarray], seed: int, least: int, size: int = attention.BATCH) -> Iterator[np.ndarray]:

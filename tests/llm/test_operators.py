@@ -701,6 +701,36 @@ def test_buckets_train_on_every_window():
         assert [a for a, _, _ in parts] == [0, *[b for _, b, _ in parts[:-1]]] and parts[-1][1] == lm_score.PARTS
 
 
+def test_first_round_of_large_corpora_goes_over_nothing_again():
+    for positions in (10**8, 2 * 10**8, 10**9, 10**11):
+        low, high, buckets = lm_score.rounds_of(positions)[0]
+        assert buckets == 1 or positions * (high - low) / lm_score.PARTS / buckets >= lm_score.LEAST_BATCHES * attention.BATCH * attention.CONTEXT
+
+
+def test_training_takes_the_steps_of_adam_over_clusters_of_their_own_width():
+    """Means of gradients and of their squares, kept for the rows that occur; no cluster is filled up to the widest."""
+    rng = np.random.default_rng(9)
+    v = attention.Vocabulary.from_counts({i: 900 - i for i in range(800)} | {attention.END: 9})
+    p = attention.initial(v)
+    texts = [np.append(rng.integers(0, 820, n), attention.END) for n in rng.integers(1, 90, 60)]
+    batches = [attention.batch(attention.training_windows(texts[at : at + 6])) for at in range(0, 60, 6)]
+    expected = {k: w.astype(float) for k, w in p.items()}
+    m, s = ({k: np.zeros(w.shape) for k, w in p.items()} for _ in range(2))
+    for step, batch in enumerate(batches, 1):
+        _, grad = attention.gradients({k: w.astype(np.float32) for k, w in expected.items()}, v, *batch)
+        for k, w in expected.items():
+            at, g = grad[k] if k in attention.ROWS else (slice(None), grad[k])
+            m[k][at] = 0.9 * m[k][at] + 0.1 * g
+            s[k][at] = 0.99 * s[k][at] + 0.01 * g * g
+            w[at] -= 1e-2 * (1 - (step - 1) / 20) * (m[k][at] / (1 - 0.9**step)) / (np.sqrt(s[k][at] / (1 - 0.99**step)) + 1e-8)
+    found, _ = attention.train(p, v, batches, 1e-2, 20)
+    for k, w in expected.items():
+        off = np.abs(np.subtract(found[k], w, where=np.isfinite(w), out=np.zeros(w.shape)))
+        assert np.array_equal(np.isfinite(found[k]), np.isfinite(w)) and np.mean(off) < 1e-5 and np.mean(off > 1e-3) < 1e-3
+    widths = [w.shape[1] for w in attention._in_groups(p, v)]
+    assert widths == [width for _, _, width in v.groups] and min(widths) == attention.NARROW < max(widths)
+
+
 def test_lexicon_gives_the_tokenizer_s_ids_and_all_counts():
     cache, rng = tokens.TokenCache.of(), random.Random(2)
     vocabulary = ["the", "of", "don't", "a,b", "\u00a0x", "\u00e9p\u00e9e", "12", "<|endoftext|>", "!!", "_"]
